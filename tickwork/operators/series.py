@@ -28,6 +28,14 @@ Work per task is bounded by ``block_rows + back + ahead`` no matter how large a
 single series (or a hot key holding a third of the data) grows. The result is
 identical to the global window for every frame that looks at most ``back`` rows
 back and ``ahead`` rows ahead (tested in ``tests/test_series.py``).
+
+The input is read twice (counts, rows). Left lazy, Catalyst prunes the two
+branches differently, the exchanges are not reused and the input's whole
+lineage -- typically a full scan and aggregation of the raw ticks -- runs
+twice. So the input (bars: orders of magnitude smaller than ticks) is
+materialised once with a reliable ``checkpoint()`` in the cluster's
+``spark.checkpoint.dir``; that also cuts the lineage, so a lost executor
+costs a re-read of the checkpoint, not a re-scan of the ticks.
 """
 
 from __future__ import annotations
@@ -61,6 +69,7 @@ class Layout:
     blocked: bool = True
     block_rows: int = 65536
     chunk: str = "month"
+    materialize: bool = True
 
     def __post_init__(self) -> None:
         if self.block_rows < 1:
@@ -71,6 +80,14 @@ DEFAULT_LAYOUT = Layout()
 PARTITIONED = Layout(blocked=False)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Eager, reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
+    from tickwork.sinks.scratch import shared_dir
+
+    shared_dir(df.sparkSession)  # registers a checkpoint dir only when the session has none
+    return df.checkpoint(eager=True)
+
+
 def series_spec(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
     """``Window.partitionBy(*keys).orderBy(*order)``; no keys = one global series."""
     return Window.partitionBy(*keys).orderBy(*order)
@@ -134,11 +151,10 @@ def with_series_columns(
             out = out.withColumn(name, build(w))
         return out
 
-    b = layout.block_rows
-    if back > b or ahead > b:
-        raise ValueError(f"block_rows={b} must be at least back={back} and ahead={ahead}")
-    idx = row_index(df, keys, order, tiebreak, layout.chunk)
-    home = F.floor(F.col(_RN) / F.lit(b))
+    b = max(layout.block_rows, back, ahead, 1)  # a block must hold the whole halo
+    src = materialize(df) if layout.materialize else df
+    idx = row_index(src, keys, order, tiebreak, layout.chunk)
+    home = F.expr(f"{_RN} div {b}")
     pos = F.col(_RN) - F.col(_HOME) * F.lit(b)
     targets = F.array(
         F.col(_HOME),

@@ -78,6 +78,8 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 paths.append(path)
                 times.append(ts)
                 txs.append(tx if tx <= _INT64_MAX else None)
+        if not paths:
+            continue
         yield pd.DataFrame(
             {"path": paths, "block_time": pd.array(times, dtype="Int64"), "tx_count": pd.array(txs, dtype="Int64")}
         )
