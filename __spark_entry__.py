@@ -23,6 +23,7 @@ from tickwork import tables
 from tickwork.functions.time import epoch_seconds_ntz, hour_text
 from tickwork.operators import (
     Layout,
+    layout_for_bar_size,
     add_indicators,
     add_labels,
     apply_null_policy,
@@ -41,7 +42,7 @@ from tickwork.operators import (
     time_split,
     total_blocks,
 )
-from tickwork.plans import RunParams, build_features, metrics_frame, train_and_evaluate
+from tickwork.plans import RunParams, build_features, class_share, metrics_frame, run, train_and_evaluate
 from tickwork.plans.evaluate import accuracy, auc_roc
 from tickwork.plans.model import assembler, classifier_pipeline, scaler
 from tickwork.sinks import (
@@ -63,6 +64,7 @@ TRAIN_END, TEST_START = "2024-01-24", "2024-01-25"
 BAR_COLS = ["open_1h", "close_1h", "high_1h", "low_1h", "vol_1h", "volatility_1h"]
 NOISY_BAR = ["vol_1h", "volatility_1h"]
 NOISY_IND = ["ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ma_close_3h", "ma_close_12h", "vol_24h"]
+DAILY = layout_for_bar_size("1 day")  # count chunks of a year for daily bars
 
 
 def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
@@ -146,7 +148,7 @@ def q_indicators_partitioned(spark, d):
 
 def q_indicators_large_keyed(spark, d):
     out = add_indicators(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d",
-                         high="high_1d", low="low_1d", unit="d")
+                         high="high_1d", low="low_1d", unit="d", layout=DAILY)
     return _round(out, ["vol_1d", "volatility_1d", "ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ma_close_3d",
                         "ma_close_12d", "vol_24d"])
 
@@ -163,7 +165,7 @@ def q_labels_horizon_3(spark, d):
 
 
 def q_labels_large_keyed(spark, d):
-    out = add_labels(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d")
+    out = add_labels(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d", layout=DAILY)
     return out.select("l_suppkey", "ts_day", "close_1d", "close_future", "return_future", "label_up")
 
 
@@ -295,9 +297,15 @@ def q_accuracy_fixed_score(spark, d):
 
 
 def _train(spark, d, model_type, params):
-    feats = _features(spark, d)
-    train, test = time_split(feats, TRAIN_END, TEST_START)
-    return train_and_evaluate(train, test, RunParams(TRAIN_END, TEST_START, model_type, params))
+    """C3 end to end: ticks + activity -> features -> split -> fit -> metrics."""
+    return run(spark, tables.ticks(spark, d), _activity(spark, d),
+               RunParams(TRAIN_END, TEST_START, model_type, params))
+
+
+def q_class_share(spark, d):
+    """Majority-class baseline of the test split, to read next to an accuracy."""
+    _, test = time_split(_features(spark, d), TRAIN_END, TEST_START)
+    return class_share(test).select(F.round("positive_share", 9).alias("positive_share"))
 
 
 def q_train_logistic(spark, d):
@@ -407,6 +415,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standardised_features": q_standardised_features,
     "auc_fixed_score": q_auc_fixed_score,
     "accuracy_fixed_score": q_accuracy_fixed_score,
+    "class_share": q_class_share,
     "train_logistic": q_train_logistic,
     "train_gbt": q_train_gbt,
     "train_forest": q_train_forest,
@@ -602,6 +611,8 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
         f"round((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS z_{c}"
         for c in ['ret_1h', 'vol_1h', 'volatility_1h', 'high_low_ratio', 'ma_close_3h', 'ma_close_12h',
                   'tx_count_hour'])} FROM ({_prepared_sql()}) p""",
+    "class_share": f"""SELECT round(CAST(avg(CAST(label_up AS DOUBLE)) AS DOUBLE), 9) AS positive_share
+        FROM ({_features_sql(False, rounded=False)}) f WHERE ts_hour >= TIMESTAMP '{TEST_START}'""",
     "auc_fixed_score": _AUC,
     "accuracy_fixed_score": _ACC,
     "metrics_csv_roundtrip": f"""SELECT a.auc_roc, b.accuracy, c.n_train, c.n_test FROM ({_AUC}) a, ({_ACC}) b,

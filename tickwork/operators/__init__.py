@@ -14,7 +14,14 @@ from tickwork.operators.indicators import (
 from tickwork.operators.labels import add_labels
 from tickwork.operators.prepare import apply_null_policy, select_features, split_counts, time_split
 from tickwork.operators.resample import daily_to_hourly_proxy, resample_ffill
-from tickwork.operators.series import DEFAULT_LAYOUT, PARTITIONED, Layout, row_index, with_series_columns
+from tickwork.operators.series import (
+    DEFAULT_LAYOUT,
+    PARTITIONED,
+    Layout,
+    layout_for_bar_size,
+    row_index,
+    with_series_columns,
+)
 
 __all__ = [
     "DEFAULT_LAYOUT",
@@ -28,6 +35,7 @@ __all__ = [
     "hourly_bars",
     "hourly_block_stats",
     "join_activity",
+    "layout_for_bar_size",
     "lagged_returns",
     "log_returns",
     "moving_averages",

@@ -10,7 +10,7 @@ from tickwork.operators.bars import ohlcv_bars
 from tickwork.operators.enrich import join_activity
 from tickwork.operators.indicators import _PREV, indicator_specs
 from tickwork.operators.labels import DEFAULT_HORIZON, DEFAULT_THRESHOLD, finish_labels, future_spec
-from tickwork.operators.series import Layout, with_series_columns
+from tickwork.operators.series import Layout, layout_for_bar_size, with_series_columns
 
 BAR_COLUMNS = ("open_1h", "close_1h", "high_1h", "low_1h", "vol_1h", "volatility_1h")
 INDICATOR_COLUMNS = ("ret_1h", "high_low_ratio", "ret_1h_lag1", "ret_1h_lag2", "ma_close_3h", "ma_close_12h",
@@ -40,6 +40,7 @@ def build_features(
     join keeps every bar; rows without a future are dropped last.
     """
     keys = list(keys)
+    layout = layout or layout_for_bar_size(size)
     bars = ohlcv_bars(prices, ts=ts, keys=keys, size=size, tiebreak=tiebreak)
     specs, back = indicator_specs()
     ordered = with_series_columns(
