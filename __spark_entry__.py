@@ -601,9 +601,9 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
         CAST(6 AS BIGINT) AS block_count FROM ({_FFILL_BODY}) f""",
     "null_policy": f"""SELECT ts_hour, {_r('ret_1h')}, {_r('vol_1h')}, {_r('volatility_1h')}, high_low_ratio,
         {_r('ma_close_3h')}, {_r('ma_close_12h')}, tx_count_hour, label_up FROM ({_prepared_sql()}) p""",
-    "time_split_counts": f"""SELECT count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS n_train,
-        count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS n_test,
-        count_if(ts_hour > TIMESTAMP '{TRAIN_END}' AND ts_hour < TIMESTAMP '{TEST_START}') AS n_gap
+    "time_split_counts": f"""SELECT CAST(count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS BIGINT) AS n_train,
+        CAST(count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS BIGINT) AS n_test,
+        CAST(count_if(ts_hour > TIMESTAMP '{TRAIN_END}' AND ts_hour < TIMESTAMP '{TEST_START}') AS BIGINT) AS n_gap
         FROM ({_prepared_sql()}) p""",
     "time_split_train": f"""SELECT ts_hour, label_up FROM ({_prepared_sql()}) p
         WHERE ts_hour <= TIMESTAMP '{TRAIN_END}'""",
