@@ -5,8 +5,11 @@ gap, and leading frames are partial (the 12-bar average of the first bar is its
 own close). ``stddev`` is the sample deviation, NULL over a single row.
 
 All indicators of one call are evaluated in a single layout pass
-(:func:`tickwork.operators.series.with_series_columns`), so they share one
-partitioning and one sort.
+(:func:`tickwork.operators.series.with_series_columns`), in one projection
+over the input columns: one ``Window`` operator, one partitioning, one sort.
+A lagged return is therefore written over the closes directly,
+``ret_lag_k = ln(lag(close, k) / lag(close, k + 1))`` -- the same value, NULLs
+included, as ``lag(ret, k)``, without a second window pass.
 """
 
 from __future__ import annotations
@@ -19,18 +22,19 @@ from pyspark.sql import functions as F
 from tickwork.functions.returns import log_return, ratio
 from tickwork.operators.series import ColumnBuilder, Layout, with_series_columns
 
-_PREV = "_tw_close_prev"
+def _lagged_log_return(close: str, k: int) -> ColumnBuilder:
+    """``ln(close[t-k] / close[t-k-1])``; k = 0 is the return itself."""
+    if k == 0:
+        return lambda w: log_return(F.col(close), F.lag(close, 1).over(w))
+    return lambda w: log_return(F.lag(close, k).over(w), F.lag(close, k + 1).over(w))
 
 
 def return_specs(close: str, ret: str) -> list[tuple[str, ColumnBuilder]]:
-    return [
-        (_PREV, lambda w: F.lag(close, 1).over(w)),
-        (ret, lambda w: log_return(close, _PREV)),
-    ]
+    return [(ret, _lagged_log_return(close, 0))]
 
 
-def lag_specs(ret: str, lags: Sequence[int]) -> list[tuple[str, ColumnBuilder]]:
-    return [(f"{ret}_lag{k}", (lambda k: lambda w: F.lag(ret, k).over(w))(k)) for k in lags]
+def lag_specs(ret: str, lags: Sequence[int], close: str = "close_1h") -> list[tuple[str, ColumnBuilder]]:
+    return [(f"{ret}_lag{k}", _lagged_log_return(close, k)) for k in lags]
 
 
 def ma_specs(close: str, windows: Sequence[int], unit: str) -> list[tuple[str, ColumnBuilder]]:
@@ -44,9 +48,8 @@ def vol_spec(close: str, n: int, unit: str) -> list[tuple[str, ColumnBuilder]]:
     return [(f"vol_{n}{unit}", lambda w: F.stddev_samp(close).over(w.rowsBetween(-(n - 1), 0)))]
 
 
-def _run(df, specs, keys, ts, back, ahead, layout, drop=(_PREV,)):
-    out = with_series_columns(df, specs, keys=keys, order=ts, back=back, ahead=ahead, layout=layout)
-    return out.drop(*[d for d in drop if d in out.columns])
+def _run(df, specs, keys, ts, back, ahead, layout):
+    return with_series_columns(df, specs, keys=keys, order=ts, back=back, ahead=ahead, layout=layout)
 
 
 def log_returns(
@@ -63,7 +66,7 @@ def lagged_returns(
 ) -> DataFrame:
     """The return and its lags ``{ret}_lag{k}``."""
     back = max(lags, default=0) + 1
-    return _run(bars, return_specs(close, ret) + lag_specs(ret, lags), keys, ts, back, 0, layout)
+    return _run(bars, return_specs(close, ret) + lag_specs(ret, lags, close), keys, ts, back, 0, layout)
 
 
 def moving_averages(
@@ -96,7 +99,7 @@ def indicator_specs(
     specs = (
         return_specs(close, ret)
         + [("high_low_ratio", lambda w: ratio(high, low))]
-        + lag_specs(ret, lags)
+        + lag_specs(ret, lags, close)
         + ma_specs(close, ma, unit)
         + vol_spec(close, vol_window, unit)
     )

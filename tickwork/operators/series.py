@@ -8,34 +8,35 @@ single-partition exchange over the entire table. That is the bottleneck the
 source pipeline accepted; here it is avoided with an exact *block + halo*
 layout expressed in plain DataFrame operations:
 
-1. ``_chunk`` = a coarse calendar truncation of the order column (monotonic).
-   Count rows per ``(keys, _chunk)`` -- a tiny table, partially aggregated
-   map-side -- and turn the counts into running offsets with a window over that
-   small table only.
-2. Join the offsets back (AQE broadcasts them at run time when the measured
-   size is under the broadcast threshold, otherwise it is a shuffle join) and
-   number rows inside each chunk: ``_rn`` = offset + position, a global,
-   gap-free row index per series. Rows per chunk are bounded by the chunk
-   length over the bar size, so no task holds an unbounded group.
-3. ``_blk = _rn div block_rows``. A row is also copied to the next block when it
-   is among the last ``back`` rows of its block, and to the previous block when
-   it is among the first ``ahead`` rows. Each block then carries every row its
-   own rows' frames can reach.
-4. Evaluate the windows with ``partitionBy(*keys, _blk).orderBy(_rn)`` and keep
-   each row only in its home block.
-
-Work per task is bounded by ``block_rows + back + ahead`` no matter how large a
-single series (or a hot key holding a third of the data) grows. The result is
-identical to the global window for every frame that looks at most ``back`` rows
-back and ``ahead`` rows ahead (tested in ``tests/test_series.py``).
+1. ``_chunk`` = a coarse calendar truncation of the order column (monotonic,
+   so a chunk is a contiguous run of each series). Count rows per
+   ``(keys, _chunk)`` -- partially aggregated map-side, a table orders of
+   magnitude smaller than the rows.
+2. On that small table only, in one window pass: running row offsets per
+   series, blocks of whole chunks (``offset div block_rows``), and for every
+   chunk the blocks it must also be copied into as *halo*: a chunk that ends
+   fewer than ``back`` rows before a block starts, or starts fewer than
+   ``ahead`` rows after a block ends (see :func:`chunk_blocks`).
+3. Join the rows to that chunk -> blocks table (AQE broadcasts it when its
+   measured size is under the threshold, otherwise a shuffle join) -- one row
+   per target block -- and evaluate the windows with
+   ``partitionBy(*keys, block).orderBy(ts)``; keep each row only in its home
+   block.
+
+One shuffle of the rows, like the plain window, but a task holds at most
+``block_rows`` rows plus two halo chunks, however long a series is -- a key
+holding a third of all bars is split into many blocks, nothing is dropped or
+sampled. Halos of whole chunks over-cover the frames, so results are identical
+to the global window for frames reaching at most ``back`` rows back and
+``ahead`` rows ahead (tests G28, keyed run = one run per key).
 
 The input is read twice (counts, rows). Left lazy, Catalyst prunes the two
 branches differently, the exchanges are not reused and the input's whole
 lineage -- typically a full scan and aggregation of the raw ticks -- runs
 twice. So the input (bars: orders of magnitude smaller than ticks) is
-materialised once with a reliable ``checkpoint()`` in the cluster's
-``spark.checkpoint.dir``; that also cuts the lineage, so a lost executor
-costs a re-read of the checkpoint, not a re-scan of the ticks.
+written once as a Parquet table in the cluster's shared checkpoint folder
+(``spark.checkpoint.dir``) and read back; that also cuts the lineage, so a
+lost executor costs a re-read of that table, not a re-scan of the ticks.
 """
 
 from __future__ import annotations
@@ -54,6 +55,10 @@ _HOME = "_tw_home"
 _CHUNK = "_tw_chunk"
 _OFF = "_tw_off"
 _CNT = "_tw_n"
+_CB = "_tw_cb"  # rows of the series before the chunk
+_CA = "_tw_ca"  # rows up to and including the chunk
+_BS = "_tw_bs"  # first row offset of a block
+_BE = "_tw_be"  # row offset just past a block
 
 
 @dataclass(frozen=True)
@@ -99,12 +104,19 @@ def layout_for_bar_size(size: str, min_rows: int = 256, **kw) -> Layout:
     return Layout(chunk=chunk, **kw)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Eager, reliable checkpoint into the shared checkpoint folder (never a local checkpoint)."""
-    from tickwork.sinks.scratch import shared_dir
+def materialize(df: DataFrame, name: str = "series") -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
-    shared_dir(df.sparkSession)  # registers a checkpoint dir only when the session has none
-    return df.checkpoint(eager=True)
+    One job (a reliable ``checkpoint()`` runs the last stage twice: once for
+    the eager count, once for the checkpoint write), columnar and compressed,
+    and the re-read prunes columns and pushes filters. The folder is the
+    cluster's ``spark.checkpoint.dir``, so the table outlives a lost executor.
+    """
+    from tickwork.sinks.scratch import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def series_spec(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -156,37 +168,64 @@ def with_series_columns(
 
     ``columns`` is an ordered list of ``(name, builder)``; a builder receives
     the ordered ``WindowSpec`` (partition + order, no frame) and returns the
-    column, e.g. ``lambda w: F.lag("close_1h", 1).over(w)``. Builders may use
-    columns added before them. ``back``/``ahead`` must cover the furthest row
-    any frame reaches, including chained lags (a lag of a lagged value reaches
-    the sum of both offsets).
+    column, e.g. ``lambda w: F.lag("close_1h", 1).over(w)``. All columns are
+    added in one projection over the input columns (one ``Window`` operator),
+    so a builder cannot refer to another builder's output -- write it over the
+    inputs instead (``lag(x, k)`` of a return is a return of lagged closes).
+    ``back``/``ahead`` must cover the furthest row any frame reaches.
     """
     layout = layout or DEFAULT_LAYOUT
     keys = list(keys)
     if not layout.blocked:
         w = series_spec(keys, [order, *tiebreak])
-        out = df
-        for name, build in columns:
-            out = out.withColumn(name, build(w))
-        return out
+        return _add(df, columns, w)
 
-    b = max(layout.block_rows, back, ahead, 1)  # a block must hold the whole halo
     src = materialize(df) if layout.materialize else df
-    idx = row_index(src, keys, order, tiebreak, layout.chunk)
-    home = F.expr(f"{_RN} div {b}")
-    pos = F.col(_RN) - F.col(_HOME) * F.lit(b)
-    targets = F.array(
-        F.col(_HOME),
-        F.when(pos >= F.lit(b - back), F.col(_HOME) + 1) if back > 0 else F.lit(None).cast("bigint"),
-        F.when((pos < F.lit(ahead)) & (F.col(_HOME) > 0), F.col(_HOME) - 1)
-        if ahead > 0
-        else F.lit(None).cast("bigint"),
-    )
-    spread = idx.withColumn(_HOME, home).withColumn(
-        _BLK, F.explode(F.filter(targets, lambda x: x.isNotNull()))
-    )
-    w = series_spec([*keys, _BLK], [_RN])
-    out = spread
-    for name, build in columns:
-        out = out.withColumn(name, build(w))
-    return out.filter(F.col(_BLK) == F.col(_HOME)).drop(_RN, _BLK, _HOME)
+    chunked = src.withColumn(_CHUNK, F.date_trunc(layout.chunk, F.col(order)))
+    plan = chunk_blocks(chunked, keys, back, ahead, max(layout.block_rows, 1))
+    alias = {k: f"_tw_k{i}" for i, k in enumerate([*keys, _CHUNK])}
+    plan = plan.select(*[F.col(k).alias(a) for k, a in alias.items()], _HOME, _BLK)
+    cond = [chunked[k].eqNullSafe(plan[a]) for k, a in alias.items()]
+    spread = chunked.join(plan, cond, "inner").drop(*alias.values(), _CHUNK)
+    # Hash the rows by block explicitly: whichever join strategy AQE picks, the
+    # windows then never inherit the small table's single-partition layout.
+    spread = spread.repartition(*[F.col(k) for k in keys], F.col(_BLK))
+    w = series_spec([*keys, _BLK], [order, *tiebreak])
+    return _add(spread, columns, w).filter(F.col(_BLK) == F.col(_HOME)).drop(_BLK, _HOME)
+
+
+def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], w: WindowSpec) -> DataFrame:
+    names = {n for n, _ in columns}
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*keep, *[build(w).alias(name) for name, build in columns])
+
+
+def chunk_blocks(chunked: DataFrame, keys: Sequence[str], back: int, ahead: int, block_rows: int) -> DataFrame:
+    """Small table ``(*keys, _chunk, home block, target block)``: one row per block a chunk is sent to.
+
+    One window pass over the per-chunk counts: running offsets give each
+    chunk its home block (``rows before it div block_rows``); the block ids of
+    the next ``back`` and previous ``ahead`` chunks (bounded row frames -- every
+    chunk holds at least one row, so no farther chunk is within reach) are kept
+    when that chunk starts fewer than ``back`` rows after this one ends, or
+    ends fewer than ``ahead`` rows before this one starts.
+    """
+    keys = list(keys)
+    counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias(_CNT))
+    w = Window.partitionBy(*keys).orderBy(_CHUNK)
+    cb = F.coalesce(F.sum(_CNT).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    c = counts.withColumn(_CB, cb).withColumn(_CA, F.col(_CB) + F.col(_CNT)).withColumn(
+        _HOME, F.expr(f"{_CB} div {block_rows}"))
+    parts = [F.array(F.col(_HOME))]
+    if back > 0:  # (start, block) of the next `back` chunks
+        c = c.withColumn("_tw_nxt", F.collect_list(F.struct(F.col(_CB).alias("s"), F.col(_HOME).alias("h")))
+                         .over(w.rowsBetween(1, back)))
+        near = F.filter("_tw_nxt", lambda x: x["s"] - F.col(_CA) < back)
+        parts.append(F.transform(near, lambda x: x["h"]))
+    if ahead > 0:  # (end, block) of the previous `ahead` chunks
+        c = c.withColumn("_tw_prv", F.collect_list(F.struct(F.col(_CA).alias("e"), F.col(_HOME).alias("h")))
+                         .over(w.rowsBetween(-ahead, -1)))
+        near = F.filter("_tw_prv", lambda x: F.col(_CB) - x["e"] < ahead)
+        parts.append(F.transform(near, lambda x: x["h"]))
+    targets = F.array_distinct(F.concat(*parts)) if len(parts) > 1 else parts[0]
+    return c.select(*keys, _CHUNK, _HOME, F.explode(targets).alias(_BLK))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tickwork.operators.bars import ohlcv_bars
 from tickwork.operators.enrich import join_activity
-from tickwork.operators.indicators import _PREV, indicator_specs
+from tickwork.operators.indicators import indicator_specs
 from tickwork.operators.labels import DEFAULT_HORIZON, DEFAULT_THRESHOLD, finish_labels, future_spec
 from tickwork.operators.series import Layout, layout_for_bar_size, with_series_columns
 
@@ -35,7 +35,7 @@ def build_features(
     """Labelled feature table: ``*keys, ts_hour``, bars, indicators, activity columns, labels.
 
     The indicators and the future close are computed in one ordered pass over
-    the bars (one partitioning, one sort), *before* the activity join: a right
+    the bars (one ``Window`` operator: one partitioning, one sort), *before* the activity join: a right
     side with duplicate hours can then not make a bar its own "future". The
     join keeps every bar; rows without a future are dropped last.
     """
@@ -46,7 +46,7 @@ def build_features(
     ordered = with_series_columns(
         bars, specs + future_spec("close_1h", horizon), keys=keys, order="ts_hour",
         back=back, ahead=horizon, layout=layout,
-    ).drop(_PREV)
+    )
     joined = join_activity(ordered, activity, keys=keys, columns=activity_columns, enabled=use_activity)
     labelled = finish_labels(joined, "close_1h", threshold)
     head = [*keys, "ts_hour", *BAR_COLUMNS, *INDICATOR_COLUMNS]
