@@ -50,12 +50,20 @@ from tickwork.sinks import (
     read_metrics_csv,
     save_model,
     scratch_path,
+    write_features,
     write_hourly_stats,
     write_metrics_csv,
     write_proxy,
 )
 from tickwork.sinks.blockfiles import write_block_files
-from tickwork.sources import align_activity, load_activity, load_candles_csv, normalize_candles, read_block_files
+from tickwork.sources import (
+    land_candles,
+    load_activity,
+    load_candles_csv,
+    load_candles_parquet,
+    normalize_candles,
+    read_block_files,
+)
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -231,6 +239,14 @@ def q_date_range_filter(spark, d):
     return out.withColumn("ts_raw", F.col("ts_raw").cast("timestamp_ntz"))
 
 
+def q_candles_parquet_pruned(spark, d):
+    """Ticks landed as date-partitioned Parquet, read back with date bounds (partition pruning)."""
+    path = scratch_path(spark, "candles_parquet")
+    land_candles(tables.ticks(spark, d), path)
+    out = load_candles_parquet(spark, path, start="2024-01-05", end="2024-01-20")
+    return out.withColumn("ts_raw", F.col("ts_raw").cast("timestamp_ntz"))
+
+
 # ---------------------------------------------------------------- resampling
 def q_daily_to_hourly_ffill(spark, d):
     return resample_ffill(tables.daily(spark, d), ts="Date")
@@ -334,6 +350,12 @@ def q_metrics_csv_roundtrip(spark, d):
                        "n_train", "n_test")
 
 
+def q_feature_parquet_roundtrip(spark, d):
+    path = scratch_path(spark, "features")
+    write_features(_features(spark, d), path)
+    return _round(spark.read.parquet(path), NOISY_BAR + NOISY_IND)
+
+
 def q_stats_parquet_roundtrip(spark, d):
     path = scratch_path(spark, "hourly_stats")
     write_hourly_stats(_activity(spark, d), path)
@@ -363,13 +385,9 @@ def q_model_roundtrip(spark, d):
 # ---------------------------------------------------------------- raw block files
 def _block_stats(spark, d):
     ev = tables.table(spark, d, "events")
-    rows = ev.select(
-        F.floor(epoch_seconds_ntz("ts") / 86400).alias("file"),
-        epoch_seconds_ntz("ts").alias("block_time"),
-        F.col("user_id").alias("tx_count"),
-    )
+    rows = ev.select(epoch_seconds_ntz("ts").alias("block_time"), F.col("user_id").alias("tx_count"))
     path = scratch_path(spark, "blocks")
-    write_block_files(rows, path, file_col="file")
+    write_block_files(rows, path)
     return hourly_block_stats(read_block_files(spark, path))
 
 
@@ -407,6 +425,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_candles": q_csv_candles,
     "activity_detect_ts": q_activity_detect_ts,
     "date_range_filter": q_date_range_filter,
+    "candles_parquet_pruned": q_candles_parquet_pruned,
     "daily_to_hourly_ffill": q_daily_to_hourly_ffill,
     "daily_proxy": q_daily_proxy,
     "null_policy": q_null_policy,
@@ -420,6 +439,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_gbt": q_train_gbt,
     "train_forest": q_train_forest,
     "metrics_csv_roundtrip": q_metrics_csv_roundtrip,
+    "feature_parquet_roundtrip": q_feature_parquet_roundtrip,
     "stats_parquet_roundtrip": q_stats_parquet_roundtrip,
     "proxy_parquet_roundtrip": q_proxy_parquet_roundtrip,
     "model_roundtrip": q_model_roundtrip,
@@ -595,6 +615,9 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "date_range_filter": """SELECT ts AS ts_raw, value AS open, value AS high, value AS low, value AS close,
         value AS volume FROM events WHERE value > 0
         AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'""",
+    "candles_parquet_pruned": """SELECT ts AS ts_raw, value AS open, value AS high, value AS low, value AS close,
+        value AS volume FROM events WHERE value > 0
+        AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'""",
     "daily_to_hourly_ffill": _FFILL_BODY,
     "daily_proxy": f"""SELECT strftime(Date, '%Y-%m-%d %H:%M:%S') AS timestamp,
         Volume / 24.0 AS total_value_hour, Volume / 24.0 / 10000.0 AS tx_count_hour,
@@ -618,6 +641,7 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "metrics_csv_roundtrip": f"""SELECT a.auc_roc, b.accuracy, c.n_train, c.n_test FROM ({_AUC}) a, ({_ACC}) b,
         (SELECT CAST(count_if(ts < TIMESTAMP '{TEST_START}') AS INTEGER) AS n_train,
                 CAST(count_if(ts >= TIMESTAMP '{TEST_START}') AS INTEGER) AS n_test FROM events) c""",
+    "feature_parquet_roundtrip": _features_sql(False),
     "stats_parquet_roundtrip": f"""SELECT timestamp, block_count, CAST(tx_count_hour AS BIGINT) AS tx_count_hour,
         total_value_hour FROM ({_ACT_BODY}) a""",
     "proxy_parquet_roundtrip": f"""SELECT strftime(Date, '%Y-%m-%d %H:%M:%S') AS timestamp,

@@ -78,3 +78,16 @@ def test_g13_half_hour_zone_bucket_vs_trunc(spark):
         assert x["h"] == "09:30"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_landed_candles_prune_date_partitions(spark):
+    from tickwork.plans.explain import plan_text
+    from tickwork.sources import land_candles, load_candles_parquet
+
+    raw = _raw(spark, [(f"2022-12-{d:02d} {h:02d}:00:00", d * 100 + h) for d in (29, 30, 31) for h in (0, 5)])
+    path = scratch_path(spark, "test_land")
+    land_candles(normalize_candles(raw), path)
+    out = load_candles_parquet(spark, path, start="2022-12-30", end="2022-12-31")
+    assert sorted(r[0] for r in rows(out, "close")) == [3000.0, 3005.0, 3100.0]
+    text = plan_text(out, "formatted")
+    assert "PartitionFilters: [isnotnull(date" in text and "PushedFilters" in text

@@ -5,6 +5,7 @@ from tickwork.sinks.writers import (
     load_model,
     read_metrics_csv,
     save_model,
+    write_features,
     write_hourly_stats,
     write_metrics_csv,
     write_parquet,
@@ -17,6 +18,7 @@ __all__ = [
     "save_model",
     "scratch_path",
     "shared_dir",
+    "write_features",
     "write_hourly_stats",
     "write_metrics_csv",
     "write_parquet",

@@ -1,17 +1,19 @@
 """Block-file writer: encode ``(block_time, tx_count)`` rows as ``blk*.dat`` frames.
 
 Used to turn rows of a given table into raw files for the block decoder.
-Rows are grouped by ``file_col`` -- the caller picks a key that bounds a file
-(e.g. the day), never a single global group -- sorted by time inside each
-group and written by the task that owns the group, through ``pyarrow.fs`` so
-the target can be any shared filesystem URI. A file is written under a
-temporary name and moved into place, so a retried task simply rewrites the
-same, deterministic content.
+Rows are range-partitioned and sorted by time, then each task writes its
+partition batch by batch (``mapInPandas``), ``rows_per_file`` blocks per file:
+no group is ever collected whole, a task holds one Arrow batch at a time.
+Files are written through ``pyarrow.fs`` (any shared filesystem URI) under a
+temporary name and moved into place; names and contents depend only on the
+data (partition id, batch and slice index of a sorted partition), so a
+retried task rewrites identical files.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -39,37 +41,48 @@ def encode_block(block_time: int, tx_count: int, magic: bytes = MAGICS[0]) -> by
 
 
 def write_block_files(
-    df: DataFrame, path: str, *, file_col: str, ts: str = "block_time", tx: str = "tx_count",
-    padding: int = 64,
+    df: DataFrame, path: str, *, ts: str = "block_time", tx: str = "tx_count", rows_per_file: int = 2000,
+    files_hint: int | None = None, padding: int = 64,
 ) -> DataFrame:
-    """Write one ``blk<file>.dat`` per ``file_col`` value under ``path``.
+    """Write ``blk<part><batch><slice>.dat`` files under ``path``; returns the manifest ``(file, n_blocks)``.
 
-    ``padding`` zero bytes are appended to each file, as in preallocated block
-    files; the decoder stops at them. The write runs immediately; the returned
-    frame reads the manifest ``(file, n_blocks)`` stored next to ``path``.
+    ``files_hint`` is the number of range partitions (default: the session's
+    shuffle partitions). ``padding`` zero bytes end each file, as in
+    preallocated block files; the decoder stops at them. The write runs
+    immediately; the manifest is stored next to ``path``.
     """
     from pyarrow import fs  # task-side import
 
     root = local_fs_path(path)
+    spark = df.sparkSession
+    n = files_hint or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def write_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    def write_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
         filesystem, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
         filesystem.create_dir(base, recursive=True)
-        pdf = pdf.sort_values([ts, tx], kind="stable")
-        name = f"blk{int(pdf[file_col].iloc[0]):05d}.dat"
-        body = b"".join(encode_block(int(t), int(n)) for t, n in zip(pdf[ts], pdf[tx])) + bytes(padding)
-        tmp = f"{base}/_tmp_{name}"
-        with filesystem.open_output_stream(tmp) as out:
-            out.write(body)
-        filesystem.move(tmp, f"{base}/{name}")
-        return pd.DataFrame({"file": [name], "n_blocks": [len(pdf)]})
+        names, counts = [], []
+        for b, pdf in enumerate(batches):
+            for k, lo in enumerate(range(0, len(pdf), rows_per_file)):
+                part = pdf.iloc[lo:lo + rows_per_file]
+                name = f"blk{pid:05d}{b:04d}{k:03d}.dat"
+                body = b"".join(encode_block(int(t), int(x)) for t, x in zip(part[ts], part[tx])) + bytes(padding)
+                tmp = f"{base}/_tmp_{name}"
+                with filesystem.open_output_stream(tmp) as out:
+                    out.write(body)
+                filesystem.move(tmp, f"{base}/{name}")
+                names.append(name)
+                counts.append(len(part))
+        yield pd.DataFrame({"file": pd.Series(names, dtype="object"), "n_blocks": pd.Series(counts, dtype="int64")})
 
     written = (
-        df.select(F.col(file_col).cast("bigint").alias(file_col), F.col(ts).cast("bigint").alias(ts),
-                  F.col(tx).cast("bigint").alias(tx))
-        .groupBy(file_col)
-        .applyInPandas(write_group, "file string, n_blocks bigint")
+        df.select(F.col(ts).cast("bigint").alias(ts), F.col(tx).cast("bigint").alias(tx))
+        .repartitionByRange(n, ts)
+        .sortWithinPartitions(ts, tx)
+        .mapInPandas(write_partition, "file string, n_blocks bigint")
     )
     manifest = f"{path.rstrip('/')}_manifest"
     written.write.mode("overwrite").parquet(manifest)  # runs the writes; one small row per file
-    return df.sparkSession.read.parquet(manifest)
+    return spark.read.parquet(manifest)

@@ -48,6 +48,11 @@ def write_proxy(proxy: DataFrame, path: str) -> None:
                   sort_by=["timestamp"])
 
 
+def write_features(features: DataFrame, path: str, keys: Sequence[str] = (), ts: str = "ts_hour") -> None:
+    """O1: the labelled feature table as Parquet, sorted by series and time (a distributed range sort)."""
+    write_parquet(features, path, sort_by=[*keys, ts])
+
+
 def write_metrics_csv(metrics: DataFrame, path: str) -> bool:
     """K3: metrics as one CSV part with a header, overwriting; an IO error is logged, not raised."""
     try:

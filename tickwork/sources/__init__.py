@@ -2,13 +2,15 @@
 
 from tickwork.sources.activity import align_activity, detect_time_column, load_activity
 from tickwork.sources.blockfiles import read_block_files
-from tickwork.sources.candles import load_candles_csv, normalize_candles
+from tickwork.sources.candles import land_candles, load_candles_csv, load_candles_parquet, normalize_candles
 
 __all__ = [
     "align_activity",
     "detect_time_column",
+    "land_candles",
     "load_activity",
     "load_candles_csv",
+    "load_candles_parquet",
     "normalize_candles",
     "read_block_files",
 ]
