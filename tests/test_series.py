@@ -70,3 +70,27 @@ def test_plan_has_no_single_partition_exchange_over_rows(spark):
 def test_partitioned_layout_without_keys_is_single_partition(spark):
     text = plan_text(add_indicators(_events_bars(spark), layout=PARTITIONED), "simple")
     assert "Exchange SinglePartition" in text
+
+
+def test_hot_key_is_split_into_bounded_blocks(spark):
+    """One key holds most rows: the blocked layout spreads it over many window partitions."""
+    from tickwork.operators.series import _BLK, _CHUNK, chunk_blocks
+
+    hot = spark.range(3000).select(F.lit("hot").alias("k"), F.expr("timestamp_seconds(id * 3600)").alias("ts_hour"),
+                                    (F.col("id") + 1).cast("double").alias("close_1h"))
+    cold = spark.range(50).select(F.lit("cold").alias("k"), F.expr("timestamp_seconds(id * 3600)").alias("ts_hour"),
+                                   (F.col("id") + 1).cast("double").alias("close_1h"))
+    bars = hot.union(cold)
+    layout = Layout(block_rows=200, chunk="day")
+    chunked = bars.withColumn(_CHUNK, F.date_trunc("day", "ts_hour"))
+    plan = chunk_blocks(chunked, ["k"], 23, 1, 200)
+    sizes = (chunked.join(plan, ["k", _CHUNK]).groupBy("k", _BLK).count())
+    hot_sizes = [r["count"] for r in sizes.filter(F.col("k") == "hot").collect()]
+    assert len(hot_sizes) >= 3000 // 200 - 1
+    assert max(hot_sizes) <= 200 + 24 + 24 + 24  # a block, plus a day of halo on each side
+    blocked = add_labels(add_indicators(bars.withColumn("high_1h", F.col("close_1h") + 1).withColumn(
+        "low_1h", F.col("close_1h") + 1), keys=["k"], layout=layout), keys=["k"], layout=layout)
+    plain = add_labels(add_indicators(bars.withColumn("high_1h", F.col("close_1h") + 1).withColumn(
+        "low_1h", F.col("close_1h") + 1), keys=["k"], layout=PARTITIONED), keys=["k"], layout=PARTITIONED)
+    cols = ["k", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h", "close_future", "label_up"]
+    _same(blocked, plain, cols)

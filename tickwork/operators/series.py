@@ -57,18 +57,20 @@ _OFF = "_tw_off"
 _CNT = "_tw_n"
 _CB = "_tw_cb"  # rows of the series before the chunk
 _CA = "_tw_ca"  # rows up to and including the chunk
-_BS = "_tw_bs"  # first row offset of a block
-_BE = "_tw_be"  # row offset just past a block
 
 
 @dataclass(frozen=True)
 class Layout:
     """How ordered per-series windows are laid out across tasks.
 
-    ``blocked=True`` (default) uses the block + halo scheme above; ``False``
-    falls back to ``Window.partitionBy(*keys)`` (one task per key, one task in
-    total without keys) -- cheaper by one shuffle when every series is known to
-    be short.
+    ``blocked=True`` (default) uses the block + halo scheme above: one shuffle
+    of the rows, bounded tasks, plus one Parquet write of the input and a few
+    small stages over the chunk counts. ``False`` falls back to
+    ``Window.partitionBy(*keys)`` (one task per key, one task in total without
+    keys) -- saves those small fixed costs when every series is known to be
+    short. ``chunk`` is a ``date_trunc`` unit; the order column must be a
+    timestamp. ``materialize=False`` skips the Parquet write when the input is
+    cheap to recompute.
     """
 
     blocked: bool = True

@@ -60,7 +60,8 @@ def write_block_files(
     def write_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid, attempt = ctx.partitionId(), ctx.attemptNumber()
         filesystem, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
         filesystem.create_dir(base, recursive=True)
         names, counts = [], []
@@ -69,7 +70,7 @@ def write_block_files(
                 part = pdf.iloc[lo:lo + rows_per_file]
                 name = f"blk{pid:05d}{b:04d}{k:03d}.dat"
                 body = b"".join(encode_block(int(t), int(x)) for t, x in zip(part[ts], part[tx])) + bytes(padding)
-                tmp = f"{base}/_tmp_{name}"
+                tmp = f"{base}/_tmp_{name}.{attempt}"  # concurrent (speculative) attempts never share it
                 with filesystem.open_output_stream(tmp) as out:
                     out.write(body)
                 filesystem.move(tmp, f"{base}/{name}")
