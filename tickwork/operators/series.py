@@ -118,7 +118,7 @@ def materialize(df: DataFrame, name: str = "series") -> DataFrame:
 
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no inference job
 
 
 def series_spec(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
