@@ -1,3 +1,44 @@
-"""tickwork: time-series bars, indicators, labels and direction models as Spark DataFrame operators."""
+"""tickwork: time-series bars, indicators, labels and direction models as Spark DataFrame operators.
+
+Typical use::
+
+    from tickwork import build_features, run, RunParams, load_candles_csv, load_activity
+"""
+
+from tickwork.operators import (
+    Layout,
+    add_indicators,
+    add_labels,
+    daily_to_hourly_proxy,
+    hourly_bars,
+    hourly_block_stats,
+    join_activity,
+    ohlcv_bars,
+    resample_ffill,
+    with_series_columns,
+)
+from tickwork.plans import RunParams, build_features, run, train_and_evaluate
+from tickwork.sources import load_activity, load_candles_csv, load_candles_parquet, read_block_files
 
 __version__ = "0.1.0"
+
+__all__ = [
+    "Layout",
+    "RunParams",
+    "add_indicators",
+    "add_labels",
+    "build_features",
+    "daily_to_hourly_proxy",
+    "hourly_bars",
+    "hourly_block_stats",
+    "join_activity",
+    "load_activity",
+    "load_candles_csv",
+    "load_candles_parquet",
+    "ohlcv_bars",
+    "read_block_files",
+    "resample_ffill",
+    "run",
+    "train_and_evaluate",
+    "with_series_columns",
+]
