@@ -5,7 +5,18 @@ Typical use::
     from tickwork import build_features, run, RunParams, load_candles_csv, load_activity
 """
 
-from tickwork.operators import (
+import sys as _sys
+
+# Ship this package's code *by value* with every Python UDF (mapInPandas / applyInPandas):
+# executors then need no installed copy of tickwork, whatever their working directory or path.
+try:  # pragma: no cover - depends on the cloudpickle vendored by pyspark
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):
+    pass
+
+from tickwork.operators import (  # noqa: E402
     Layout,
     add_indicators,
     add_labels,
@@ -17,8 +28,8 @@ from tickwork.operators import (
     resample_ffill,
     with_series_columns,
 )
-from tickwork.plans import RunParams, build_features, run, train_and_evaluate
-from tickwork.sources import load_activity, load_candles_csv, load_candles_parquet, read_block_files
+from tickwork.plans import RunParams, build_features, run, train_and_evaluate  # noqa: E402
+from tickwork.sources import load_activity, load_candles_csv, load_candles_parquet, read_block_files  # noqa: E402
 
 __version__ = "0.1.0"
 
