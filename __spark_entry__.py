@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwork import tables
-from tickwork.functions.time import epoch_seconds_ntz, hour_text
+from tickwork.functions.time import epoch_seconds_ntz
 from tickwork.operators import (
     Layout,
     layout_for_bar_size,
@@ -44,7 +44,7 @@ from tickwork.operators import (
 )
 from tickwork.plans import RunParams, build_features, class_share, metrics_frame, run, train_and_evaluate
 from tickwork.plans.evaluate import accuracy, auc_roc
-from tickwork.plans.model import assembler, classifier_pipeline, scaler
+from tickwork.plans.model import classifier_pipeline
 from tickwork.sinks import (
     load_model,
     read_metrics_csv,
@@ -273,6 +273,11 @@ def q_time_split_counts(spark, d):
     return split_counts(prep, TRAIN_END, TEST_START)
 
 
+def q_time_split_counts_raw(spark, d):
+    """A4 before the null policy: split sizes of the labelled table as built."""
+    return split_counts(_features(spark, d), TRAIN_END, TEST_START)
+
+
 def q_time_split_train(spark, d):
     prep, _ = _prepared(spark, d)
     train, _ = time_split(prep, TRAIN_END, TEST_START)
@@ -430,6 +435,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_proxy": q_daily_proxy,
     "null_policy": q_null_policy,
     "time_split_counts": q_time_split_counts,
+    "time_split_counts_raw": q_time_split_counts_raw,
     "time_split_train": q_time_split_train,
     "standardised_features": q_standardised_features,
     "auc_fixed_score": q_auc_fixed_score,
@@ -628,6 +634,10 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
         CAST(count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS BIGINT) AS n_test,
         CAST(count_if(ts_hour > TIMESTAMP '{TRAIN_END}' AND ts_hour < TIMESTAMP '{TEST_START}') AS BIGINT) AS n_gap
         FROM ({_prepared_sql()}) p""",
+    "time_split_counts_raw": f"""SELECT CAST(count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS BIGINT) AS n_train,
+        CAST(count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS BIGINT) AS n_test,
+        CAST(count_if(ts_hour > TIMESTAMP '{TRAIN_END}' AND ts_hour < TIMESTAMP '{TEST_START}') AS BIGINT) AS n_gap
+        FROM ({_features_sql(False, rounded=False)}) f""",
     "time_split_train": f"""SELECT ts_hour, label_up FROM ({_prepared_sql()}) p
         WHERE ts_hour <= TIMESTAMP '{TRAIN_END}'""",
     "standardised_features": f"""SELECT ts_hour, {', '.join(

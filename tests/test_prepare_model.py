@@ -1,5 +1,3 @@
-import math
-
 import pytest
 from conftest import rows, ts
 from pyspark.ml import Pipeline
