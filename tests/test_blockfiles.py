@@ -74,3 +74,16 @@ def test_writer_reader_roundtrip(spark):
     back = read_block_files(spark, path)
     assert back.count() == 51
     assert sorted(rows(back, "block_time", "tx_count"))[-1] == (1700000000, 300)
+
+
+def test_k1_empty_stats_still_write_four_columns(spark):
+    from tickwork.sinks import write_hourly_stats
+
+    path = _folder(spark, {"blk00000.dat": bytes(64)})
+    stats = hourly_block_stats(read_block_files(spark, path))
+    out = scratch_path(spark, "test_empty_stats")
+    write_hourly_stats(stats, out)
+    back = spark.read.parquet(out)
+    assert back.dtypes == [("timestamp", "string"), ("block_count", "bigint"), ("tx_count_hour", "bigint"),
+                           ("total_value_hour", "double")]
+    assert back.count() == 0
