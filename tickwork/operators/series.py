@@ -23,10 +23,12 @@ layout expressed in plain DataFrame operations:
    ``partitionBy(*keys, block).orderBy(ts)``; keep each row only in its home
    block.
 
-One shuffle of the rows, like the plain window, but a task holds at most
-``block_rows`` rows plus two halo chunks, however long a series is -- a key
-holding a third of all bars is split into many blocks, nothing is dropped or
-sampled. Halos of whole chunks over-cover the frames, so results are identical
+One shuffle of the rows, like the plain window, but a window partition holds
+at most ``block_rows`` rows plus one chunk (blocks are whole chunks), plus the
+halo chunks that cover ``back`` rows before and ``ahead`` rows after it --
+however long a series is. A key holding a third of all bars is split into many
+blocks; nothing is dropped or sampled. A chunk is bounded by its calendar
+length over the bar size (see :func:`layout_for_bar_size`). Halos of whole chunks over-cover the frames, so results are identical
 to the global window for frames reaching at most ``back`` rows back and
 ``ahead`` rows ahead (tests G28, keyed run = one run per key).
 
