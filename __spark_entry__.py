@@ -10,6 +10,10 @@ logarithms) are rounded to 6 decimals on both sides. Columns that both engines
 compute with identical IEEE operations on identical inputs (selected prices,
 ratios, forward returns, exact decimal sums) are left unrounded: rounding those
 could split a value that lies exactly on a decimal tie.
+
+Integer columns that the left join can leave NULL (``block_count``) are
+reported as double on both sides: through pandas, Spark turns a nullable
+bigint into float64 and DuckDB into Int64, which would hash differently.
 """
 
 from __future__ import annotations
@@ -80,6 +84,10 @@ def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _int_as_double(df: DataFrame, cols=("block_count",)) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def _bars(spark, d, keyed=False):
     return ohlcv_bars(tables.ticks(spark, d, keyed), keys=["event_type"] if keyed else [])
 
@@ -188,7 +196,7 @@ def q_activity_total_blocks(spark, d):
 
 def q_price_activity_left_join(spark, d):
     act = _activity(spark, d).select("ts_hour", "block_count", "tx_count_hour")
-    return _round(join_activity(_bars(spark, d), act), NOISY_BAR)
+    return _int_as_double(_round(join_activity(_bars(spark, d), act), NOISY_BAR))
 
 
 def q_price_without_activity(spark, d):
@@ -197,11 +205,11 @@ def q_price_without_activity(spark, d):
 
 # ---------------------------------------------------------------- feature table
 def q_feature_dataset(spark, d):
-    return _round(_features(spark, d), NOISY_BAR + NOISY_IND)
+    return _int_as_double(_round(_features(spark, d), NOISY_BAR + NOISY_IND))
 
 
 def q_feature_dataset_keyed(spark, d):
-    return _round(_features(spark, d, keyed=True), NOISY_BAR + NOISY_IND)
+    return _int_as_double(_round(_features(spark, d, keyed=True), NOISY_BAR + NOISY_IND))
 
 
 # ---------------------------------------------------------------- sources
@@ -358,7 +366,7 @@ def q_metrics_csv_roundtrip(spark, d):
 def q_feature_parquet_roundtrip(spark, d):
     path = scratch_path(spark, "features")
     write_features(_features(spark, d), path)
-    return _round(spark.read.parquet(path), NOISY_BAR + NOISY_IND)
+    return _int_as_double(_round(spark.read.parquet(path), NOISY_BAR + NOISY_IND))
 
 
 def q_stats_parquet_roundtrip(spark, d):
@@ -531,7 +539,8 @@ def _features_sql(keyed: bool, rounded: bool = True) -> str:
 WITH f AS ({_ind_body(bars, part)}),
      l AS (SELECT *, lead(close_1h, 1) OVER ({part} ORDER BY ts_hour) AS close_future FROM f),
      a AS ({_ACT_BODY}),
-     j AS (SELECT l.*, a.timestamp, a.total_value_hour, a.tx_count_hour, a.block_count
+     j AS (SELECT l.*, a.timestamp, a.total_value_hour, a.tx_count_hour,
+                  CAST(a.block_count AS DOUBLE) AS block_count
            FROM l LEFT JOIN a USING (ts_hour)),
      y AS (SELECT *, (close_future - close_1h) / close_1h AS return_future FROM j)
 SELECT {head}, timestamp, total_value_hour, tx_count_hour, block_count,
@@ -608,7 +617,8 @@ FROM (SELECT *, (close_future - close_1d) / close_1d AS return_future
 WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "activity_hourly": _ACT_BODY,
     "activity_total_blocks": "SELECT count(*) AS n_blocks FROM events WHERE event_type = 'view'",
-    "price_activity_left_join": f"""SELECT ts_hour, {_BAR_SEL}, a.block_count, a.tx_count_hour
+    "price_activity_left_join": f"""SELECT ts_hour, {_BAR_SEL}, CAST(a.block_count AS DOUBLE) AS block_count,
+        a.tx_count_hour
         FROM ({_BARS_BODY}) b LEFT JOIN ({_ACT_BODY}) a USING (ts_hour)""",
     "price_without_activity": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY}) b",
     "feature_dataset": _features_sql(False),
