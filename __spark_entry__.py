@@ -342,7 +342,7 @@ def q_train_logistic(spark, d):
 
 
 def q_train_gbt(spark, d):
-    return _train(spark, d, "gbt", {"maxIter": 10})[0]
+    return _train(spark, d, "gbt", {})[0]  # defaults of the source pipeline: depth 5, 50 iterations
 
 
 def q_train_forest(spark, d):

@@ -78,9 +78,13 @@ def run(
     spark: SparkSession, prices: DataFrame, activity: DataFrame | None, params: RunParams
 ) -> tuple[DataFrame, PipelineModel]:
     """Prices (+ activity) -> labelled features -> time split -> train and evaluate."""
+    # Only the activity features are needed for training: project the right side before the join.
+    wanted = list(params.activity_features) if params.use_activity and activity is not None else None
+    if wanted is not None:
+        wanted = [c for c in wanted if c in activity.columns]
     labelled = build_features(prices, activity, keys=params.keys, horizon=params.horizon,
                               threshold=params.threshold, use_activity=params.use_activity,
-                              layout=params.layout)
+                              activity_columns=wanted, layout=params.layout)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train, test = time_split(labelled, params.train_end, params.test_start)
