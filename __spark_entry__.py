@@ -134,6 +134,15 @@ def q_moving_averages(spark, d):
     return _round(out, ["ma_close_3h", "ma_close_12h"])
 
 
+def q_time_frames_keyed(spark, d):
+    """Q4 option: time-range frames (3 h / 12 h averages, 24 h deviation) on keyed bars that have gaps."""
+    bars = _bars(spark, d, keyed=True)
+    out = rolling_volatility(moving_averages(bars, keys=["event_type"], frame="time"), keys=["event_type"],
+                             frame="time")
+    return _round(out.select("event_type", "ts_hour", "ma_close_3h", "ma_close_12h", "vol_24h"),
+                  ["ma_close_3h", "ma_close_12h", "vol_24h"])
+
+
 def q_rolling_volatility(spark, d):
     return _round(rolling_volatility(_bars(spark, d)).select("ts_hour", "vol_24h"), ["vol_24h"])
 
@@ -420,6 +429,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lagged_returns": q_lagged_returns,
     "moving_averages": q_moving_averages,
     "rolling_volatility": q_rolling_volatility,
+    "time_frames_keyed": q_time_frames_keyed,
     "high_low_ratio": q_high_low_ratio,
     "indicators": q_indicators,
     "indicators_keyed": q_indicators_keyed,
@@ -595,6 +605,14 @@ _ORACLE: dict[str, str] = {
         FROM ({_ind_body(f'({_BARS_BODY}) b')}) i""",
     "rolling_volatility": f"SELECT ts_hour, {_r('vol_24h')} FROM ({_ind_body(f'({_BARS_BODY}) b')}) i",
     "high_low_ratio": f"SELECT ts_hour, high_1h, low_1h, high_1h / low_1h AS high_low_ratio FROM ({_BARS_BODY}) b",
+    "time_frames_keyed": f"""SELECT event_type, ts_hour,
+        round(avg(close_1h) OVER (PARTITION BY event_type ORDER BY ts_hour
+              RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND CURRENT ROW), 6) AS ma_close_3h,
+        round(avg(close_1h) OVER (PARTITION BY event_type ORDER BY ts_hour
+              RANGE BETWEEN INTERVAL 11 HOURS PRECEDING AND CURRENT ROW), 6) AS ma_close_12h,
+        round(stddev_samp(close_1h) OVER (PARTITION BY event_type ORDER BY ts_hour
+              RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW), 6) AS vol_24h
+        FROM ({_BARS_KEYED_BODY}) b""",
     "indicators": f"SELECT {_ind_select()} FROM ({_ind_body(f'({_BARS_BODY}) b')}) i",
     "indicators_keyed": f"""SELECT {_ind_select('event_type, ')}
         FROM ({_ind_body(f'({_BARS_KEYED_BODY}) b', 'PARTITION BY event_type')}) i""",

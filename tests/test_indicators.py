@@ -69,3 +69,19 @@ def test_g17_zero_low_raises_under_ansi(spark):
     bars = _bars(spark, [1, 2]).selectExpr("ts_hour", "close_1h", "high_1h", "0.0 AS low_1h")
     with pytest.raises(Exception, match="(?i)divi"):
         add_indicators(bars, layout=PARTITIONED).collect()
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_time_frames_stop_at_gaps(spark, layout):
+    bars = _bars(spark, [1, 2, 8, 10], hours=[10, 11, 15, 16])
+    out = rows(moving_averages(bars, windows=(3,), frame="time", layout=layout).orderBy("ts_hour"), "ma_close_3h")
+    assert [r[0] for r in out] == pytest.approx([1, 1.5, 8, 9])  # 15:00 sees only 13:00-15:00
+    rows_frame = rows(moving_averages(bars, windows=(3,), layout=layout).orderBy("ts_hour"), "ma_close_3h")
+    assert rows_frame[2][0] == pytest.approx(11 / 3)  # the row frame reaches back over the gap
+    vol = rows(rolling_volatility(bars, window=2, frame="time", layout=layout).orderBy("ts_hour"), "vol_2h")
+    assert vol[2][0] is None and vol[3][0] == pytest.approx(math.sqrt(2))
+
+
+def test_unknown_frame_is_an_error(spark):
+    with pytest.raises(ValueError):
+        moving_averages(_bars(spark, [1, 2]), frame="calendar", layout=PARTITIONED)

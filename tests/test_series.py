@@ -52,7 +52,7 @@ def test_row_index_is_gap_free_with_null_keys_and_times(spark):
 
 def test_blocks_widen_to_cover_the_halo(spark):
     df = spark.range(12).withColumn("ts_hour", F.expr("timestamp_seconds(id * 3600)"))
-    out = with_series_columns(df, [("x", lambda w: F.lag("id", 5).over(w))], back=5,
+    out = with_series_columns(df, [("x", lambda s: F.lag("id", 5).over(s.rows))], back=5,
                               layout=Layout(block_rows=2, chunk="day"))
     assert sorted(rows(out, "id", "x")) == [(i, i - 5 if i >= 5 else None) for i in range(12)]
 

@@ -25,8 +25,8 @@ from tickwork.operators.series import ColumnBuilder, Layout, with_series_columns
 def _lagged_log_return(close: str, k: int) -> ColumnBuilder:
     """``ln(close[t-k] / close[t-k-1])``; k = 0 is the return itself."""
     if k == 0:
-        return lambda w: log_return(F.col(close), F.lag(close, 1).over(w))
-    return lambda w: log_return(F.lag(close, k).over(w), F.lag(close, k + 1).over(w))
+        return lambda s: log_return(F.col(close), F.lag(close, 1).over(s.rows))
+    return lambda s: log_return(F.lag(close, k).over(s.rows), F.lag(close, k + 1).over(s.rows))
 
 
 def return_specs(close: str, ret: str) -> list[tuple[str, ColumnBuilder]]:
@@ -37,15 +37,25 @@ def lag_specs(ret: str, lags: Sequence[int], close: str = "close_1h") -> list[tu
     return [(f"{ret}_lag{k}", _lagged_log_return(close, k)) for k in lags]
 
 
-def ma_specs(close: str, windows: Sequence[int], unit: str) -> list[tuple[str, ColumnBuilder]]:
+def _frame(s, n: int, frame: str, step: int):
+    """The last ``n`` rows (row frame) or the last ``n`` bar intervals of ``step`` seconds (time frame)."""
+    if frame == "rows":
+        return s.rows.rowsBetween(-(n - 1), 0)
+    if frame == "time":
+        return s.time.rangeBetween(-(n - 1) * step, 0)
+    raise ValueError(f"frame must be 'rows' or 'time', not {frame!r}")
+
+
+def ma_specs(close: str, windows: Sequence[int], unit: str, frame: str = "rows",
+             step: int = 3600) -> list[tuple[str, ColumnBuilder]]:
     return [
-        (f"ma_close_{n}{unit}", (lambda n: lambda w: F.avg(close).over(w.rowsBetween(-(n - 1), 0)))(n))
+        (f"ma_close_{n}{unit}", (lambda n: lambda s: F.avg(close).over(_frame(s, n, frame, step)))(n))
         for n in windows
     ]
 
 
-def vol_spec(close: str, n: int, unit: str) -> list[tuple[str, ColumnBuilder]]:
-    return [(f"vol_{n}{unit}", lambda w: F.stddev_samp(close).over(w.rowsBetween(-(n - 1), 0)))]
+def vol_spec(close: str, n: int, unit: str, frame: str = "rows", step: int = 3600) -> list[tuple[str, ColumnBuilder]]:
+    return [(f"vol_{n}{unit}", lambda s: F.stddev_samp(close).over(_frame(s, n, frame, step)))]
 
 
 def _run(df, specs, keys, ts, back, ahead, layout):
@@ -71,18 +81,24 @@ def lagged_returns(
 
 def moving_averages(
     bars: DataFrame, *, keys: Sequence[str] = (), ts: str = "ts_hour", close: str = "close_1h",
-    windows: Sequence[int] = (3, 12), unit: str = "h", layout: Layout | None = None,
+    windows: Sequence[int] = (3, 12), unit: str = "h", frame: str = "rows", step: int = 3600,
+    layout: Layout | None = None,
 ) -> DataFrame:
-    """``ma_close_{n}{unit}`` = average close over the current and n-1 previous rows."""
-    return _run(bars, ma_specs(close, windows, unit), keys, ts, max(windows) - 1, 0, layout)
+    """``ma_close_{n}{unit}`` = average close over the current and n-1 previous rows.
+
+    ``frame="time"`` averages over the bars of the last n intervals of ``step``
+    seconds instead (a gap then shortens the frame instead of reaching further back).
+    """
+    return _run(bars, ma_specs(close, windows, unit, frame, step), keys, ts, max(windows) - 1, 0, layout)
 
 
 def rolling_volatility(
     bars: DataFrame, *, keys: Sequence[str] = (), ts: str = "ts_hour", close: str = "close_1h",
-    window: int = 24, unit: str = "h", layout: Layout | None = None,
+    window: int = 24, unit: str = "h", frame: str = "rows", step: int = 3600, layout: Layout | None = None,
 ) -> DataFrame:
-    """``vol_{n}{unit}`` = sample deviation of close over the current and n-1 previous rows."""
-    return _run(bars, vol_spec(close, window, unit), keys, ts, window - 1, 0, layout)
+    """``vol_{n}{unit}`` = sample deviation of close over the current and n-1 previous rows
+    (or, with ``frame="time"``, over the bars of the last n intervals of ``step`` seconds)."""
+    return _run(bars, vol_spec(close, window, unit, frame, step), keys, ts, window - 1, 0, layout)
 
 
 def high_low_ratio(bars: DataFrame, *, high: str = "high_1h", low: str = "low_1h",
@@ -94,14 +110,15 @@ def high_low_ratio(bars: DataFrame, *, high: str = "high_1h", low: str = "low_1h
 def indicator_specs(
     close: str = "close_1h", high: str = "high_1h", low: str = "low_1h", ret: str = "ret_1h",
     ma: Sequence[int] = (3, 12), vol_window: int = 24, lags: Sequence[int] = (1, 2), unit: str = "h",
+    frame: str = "rows", step: int = 3600,
 ) -> tuple[list[tuple[str, ColumnBuilder]], int]:
-    """The W9 indicator set as ordered specs plus the look-back it needs."""
+    """The W9 indicator set as ordered specs plus the look-back it needs (frames: see ``moving_averages``)."""
     specs = (
         return_specs(close, ret)
-        + [("high_low_ratio", lambda w: ratio(high, low))]
+        + [("high_low_ratio", lambda s: ratio(high, low))]
         + lag_specs(ret, lags, close)
-        + ma_specs(close, ma, unit)
-        + vol_spec(close, vol_window, unit)
+        + ma_specs(close, ma, unit, frame, step)
+        + vol_spec(close, vol_window, unit, frame, step)
     )
     back = max([max(lags, default=0) + 1, max(ma, default=1) - 1, vol_window - 1])
     return specs, back
@@ -110,8 +127,13 @@ def indicator_specs(
 def add_indicators(
     bars: DataFrame, *, keys: Sequence[str] = (), ts: str = "ts_hour", close: str = "close_1h",
     high: str = "high_1h", low: str = "low_1h", ma: Sequence[int] = (3, 12), vol_window: int = 24,
-    lags: Sequence[int] = (1, 2), unit: str = "h", layout: Layout | None = None,
+    lags: Sequence[int] = (1, 2), unit: str = "h", frame: str = "rows", step: int = 3600,
+    layout: Layout | None = None,
 ) -> DataFrame:
-    """``ret_1h, high_low_ratio, ret_1h_lag1, ret_1h_lag2, ma_close_3h, ma_close_12h, vol_24h``."""
-    specs, back = indicator_specs(close, high, low, "ret_1h", ma, vol_window, lags, unit)
+    """``ret_1h, high_low_ratio, ret_1h_lag1, ret_1h_lag2, ma_close_3h, ma_close_12h, vol_24h``.
+
+    Row frames by default (the source pipeline's semantics); ``frame="time"``
+    switches the averages and the deviation to time frames of ``step`` seconds.
+    """
+    specs, back = indicator_specs(close, high, low, "ret_1h", ma, vol_window, lags, unit, frame, step)
     return _run(bars, specs, keys, ts, back, 0, layout)

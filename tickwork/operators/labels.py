@@ -17,7 +17,7 @@ DEFAULT_HORIZON = 1
 
 def future_spec(close: str, horizon: int, name: str = "close_future") -> list[tuple[str, ColumnBuilder]]:
     """The close ``horizon`` rows ahead."""
-    return [(name, lambda w: F.lead(close, horizon).over(w))]
+    return [(name, lambda s: F.lead(close, horizon).over(s.rows))]
 
 
 def finish_labels(df: DataFrame, close: str = "close_1h", threshold: float = DEFAULT_THRESHOLD) -> DataFrame:

@@ -36,7 +36,7 @@ def resample_ffill(
     out_ts = out_ts or ts
     step_expr = F.expr(f"INTERVAL {step}")
     nxt = with_series_columns(
-        df, [(_NEXT, lambda w: F.lead(ts, 1).over(w))], keys=keys, order=ts, ahead=1, layout=layout
+        df, [(_NEXT, lambda s: F.lead(ts, 1).over(s.rows))], keys=keys, order=ts, ahead=1, layout=layout
     )
     stop = F.greatest(F.col(ts), F.coalesce(F.col(_NEXT) - step_expr, F.col(ts)))
     others = [c for c in df.columns if c != ts]

@@ -49,7 +49,25 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-ColumnBuilder = Callable[[WindowSpec], Column]
+
+
+
+@dataclass(frozen=True)
+class Specs:
+    """Window specs handed to column builders: same partitioning, two orders.
+
+    ``rows`` is ordered by the order column (+ tiebreak): row frames, lag, lead.
+    ``time`` is ordered by whole epoch seconds of the order column, for
+    ``rangeBetween`` frames in seconds (time frames; bars hold at most one row
+    per bar interval, so such a frame never reaches more rows back than its
+    length in bars, and the block layout stays exact).
+    """
+
+    rows: WindowSpec
+    time: WindowSpec
+
+
+ColumnBuilder = Callable[[Specs], Column]
 
 _RN = "_tw_rn"
 _BLK = "_tw_blk"
@@ -123,11 +141,29 @@ def materialize(df: DataFrame, name: str = "series") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)  # known schema: no inference job
 
 
-def series_spec(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
+def series_spec(keys: Sequence[str], order: Sequence[str | Column]) -> WindowSpec:
     """``Window.partitionBy(*keys).orderBy(*order)``; no keys = one global series."""
     return Window.partitionBy(*keys).orderBy(*order)
 
 
+def epoch_seconds(df: DataFrame, col: str) -> Column:
+    """Whole seconds since the epoch of a timestamp (NTZ as UTC wall clock), date or number column."""
+    from tickwork.functions.time import epoch_seconds_ntz
+
+    kind = dict(df.dtypes)[col]
+    if kind == "timestamp_ntz":
+        return epoch_seconds_ntz(col)
+    if kind == "timestamp":
+        return F.unix_seconds(F.col(col))
+    if kind == "date":
+        return F.unix_date(F.col(col)).cast("bigint") * 86400
+    return F.col(col).cast("bigint")
+
+
+def _specs(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str]) -> Specs:
+    return Specs(series_spec(keys, [order, *tiebreak]), series_spec(keys, [epoch_seconds(df, order)]))
+
+
 def row_index(
     df: DataFrame,
     keys: Sequence[str],
@@ -172,7 +208,7 @@ def with_series_columns(
 
     ``columns`` is an ordered list of ``(name, builder)``; a builder receives
     the ordered ``WindowSpec`` (partition + order, no frame) and returns the
-    column, e.g. ``lambda w: F.lag("close_1h", 1).over(w)``. All columns are
+    column, e.g. ``lambda s: F.lag("close_1h", 1).over(s.rows)`` (see :class:`Specs`). All columns are
     added in one projection over the input columns (one ``Window`` operator),
     so a builder cannot refer to another builder's output -- write it over the
     inputs instead (``lag(x, k)`` of a return is a return of lagged closes).
@@ -181,8 +217,7 @@ def with_series_columns(
     layout = layout or DEFAULT_LAYOUT
     keys = list(keys)
     if not layout.blocked:
-        w = series_spec(keys, [order, *tiebreak])
-        return _add(df, columns, w)
+        return _add(df, columns, _specs(df, keys, order, tiebreak))
 
     src = materialize(df) if layout.materialize else df
     chunked = src.withColumn(_CHUNK, F.date_trunc(layout.chunk, F.col(order)))
@@ -194,14 +229,14 @@ def with_series_columns(
     # Hash the rows by block explicitly: whichever join strategy AQE picks, the
     # windows then never inherit the small table's single-partition layout.
     spread = spread.repartition(*[F.col(k) for k in keys], F.col(_BLK))
-    w = series_spec([*keys, _BLK], [order, *tiebreak])
-    return _add(spread, columns, w).filter(F.col(_BLK) == F.col(_HOME)).drop(_BLK, _HOME)
+    specs = _specs(spread, [*keys, _BLK], order, tiebreak)
+    return _add(spread, columns, specs).filter(F.col(_BLK) == F.col(_HOME)).drop(_BLK, _HOME)
 
 
-def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], w: WindowSpec) -> DataFrame:
+def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], specs: Specs) -> DataFrame:
     names = {n for n, _ in columns}
     keep = [F.col(f"`{c}`") for c in df.columns if c not in names]
-    return df.select(*keep, *[build(w).alias(name) for name, build in columns])
+    return df.select(*keep, *[build(specs).alias(name) for name, build in columns])
 
 
 def chunk_blocks(chunked: DataFrame, keys: Sequence[str], back: int, ahead: int, block_rows: int) -> DataFrame:
