@@ -73,3 +73,11 @@ def test_metrics_csv_and_model_roundtrip(spark):
     assert save_model(model, mpath)
     a = rows(model.transform(df), "prediction")
     assert rows(load_model(mpath).transform(df), "prediction") == a
+
+
+def test_split_sets_are_disjoint_and_ordered(spark):
+    data = [(ts("2024-01-01 00:00:00") + __import__("datetime").timedelta(hours=h),) for h in range(24 * 10)]
+    df = spark.createDataFrame(data, "ts_hour timestamp_ntz")
+    train, test = time_split(df, "2024-01-05", "2024-01-06")
+    assert train.join(test, "ts_hour").count() == 0
+    assert train.agg({"ts_hour": "max"}).first()[0] < test.agg({"ts_hour": "min"}).first()[0]
