@@ -94,3 +94,27 @@ def test_hot_key_is_split_into_bounded_blocks(spark):
         "low_1h", F.col("close_1h") + 1), keys=["k"], layout=PARTITIONED), keys=["k"], layout=PARTITIONED)
     cols = ["k", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h", "close_future", "label_up"]
     _same(blocked, plain, cols)
+
+
+def test_null_keys_blocked_equals_plain(spark):
+    data = [(k, i, float(i % 7 + 1)) for k in (None, "a") for i in range(40)]
+    bars = spark.createDataFrame(data, "k string, i int, close_1h double").withColumn(
+        "ts_hour", F.expr("timestamp_seconds(i * 3600)")).withColumn("high_1h", F.col("close_1h")).withColumn(
+        "low_1h", F.col("close_1h"))
+    blocked = add_indicators(bars, keys=["k"], layout=Layout(block_rows=7, chunk="day"))
+    plain = add_indicators(bars, keys=["k"], layout=PARTITIONED)
+    cols = ["k", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h"]
+    _same(blocked, plain, cols)
+    assert blocked.filter(F.col("k").isNull()).count() == 40
+
+
+def test_keyed_forward_fill_across_blocks(spark):
+    from tickwork.operators import resample_ffill
+
+    data = [(k, d, float(d * 10 + len(k))) for k in ("x", "yy") for d in (0, 1, 4, 5, 9)]
+    daily = spark.createDataFrame(data, "k string, d int, Volume double").withColumn(
+        "Date", F.expr("timestamp_seconds(d * 86400)")).drop("d")
+    a = resample_ffill(daily, ts="Date", keys=["k"], layout=Layout(block_rows=2, chunk="day"))
+    b = resample_ffill(daily, ts="Date", keys=["k"], layout=PARTITIONED)
+    assert sorted(rows(a, "k", "Date", "Volume")) == sorted(rows(b, "k", "Date", "Volume"))
+    assert a.filter(F.col("k") == "x").count() == 9 * 24 + 1
