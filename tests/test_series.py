@@ -118,3 +118,20 @@ def test_keyed_forward_fill_across_blocks(spark):
     b = resample_ffill(daily, ts="Date", keys=["k"], layout=PARTITIONED)
     assert sorted(rows(a, "k", "Date", "Volume")) == sorted(rows(b, "k", "Date", "Volume"))
     assert a.filter(F.col("k") == "x").count() == 9 * 24 + 1
+
+
+def test_blocked_layout_without_aqe_or_broadcast(spark):
+    """The sort-merge fallback (chunk table too large to broadcast) gives the same result."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        bars = _events_bars(spark, keyed=True)
+        blocked = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=60, chunk="day"))
+        assert "SortMergeJoin" in plan_text(blocked, "simple")
+        plain = add_indicators(bars, keys=["event_type"], layout=PARTITIONED)
+        _same(blocked, plain, ["event_type", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h"])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
