@@ -81,3 +81,13 @@ def test_split_sets_are_disjoint_and_ordered(spark):
     train, test = time_split(df, "2024-01-05", "2024-01-06")
     assert train.join(test, "ts_hour").count() == 0
     assert train.agg({"ts_hour": "max"}).first()[0] < test.agg({"ts_hour": "min"}).first()[0]
+
+
+def test_k3_k4_sink_failures_are_logged_not_raised(spark, tmp_path, caplog):
+    blocker = tmp_path / "file"
+    blocker.write_text("x")  # a file where a folder is needed
+    m = metrics_frame(spark, 0.5, 0.5, 1, 1)
+    assert write_metrics_csv(m, f"file://{blocker}/metrics") is False
+    df = spark.createDataFrame([(float(i), i % 2) for i in range(6)], "x double, label_up int")
+    model = Pipeline(stages=[assembler(["x"]), scaler(), make_classifier("logistic_regression")]).fit(df)
+    assert save_model(model, f"file://{blocker}/model") is False
