@@ -4,7 +4,15 @@ from tickwork.plans.evaluate import accuracy, auc_roc, metrics_frame
 from tickwork.plans.explain import plan_text, single_partition_exchanges
 from tickwork.plans.features import build_features
 from tickwork.plans.model import MODEL_DEFAULTS, classifier_pipeline, make_classifier
-from tickwork.plans.run import RunParams, class_share, run, train_and_evaluate
+from tickwork.plans.run import (
+    RunParams,
+    class_share,
+    params_from_config,
+    run,
+    run_config,
+    sources_from_config,
+    train_and_evaluate,
+)
 
 __all__ = [
     "MODEL_DEFAULTS",
@@ -16,8 +24,11 @@ __all__ = [
     "classifier_pipeline",
     "make_classifier",
     "metrics_frame",
+    "params_from_config",
     "plan_text",
     "run",
+    "run_config",
+    "sources_from_config",
     "single_partition_exchanges",
     "train_and_evaluate",
 ]

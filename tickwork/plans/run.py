@@ -96,3 +96,50 @@ def run(
 def class_share(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Share of the positive class -- the majority-class baseline next to an accuracy."""
     return df.agg(F.avg(F.col(label).cast("double")).alias("positive_share"))
+
+
+# ---------------------------------------------------------------- configuration-driven run (C3 as `main`)
+def params_from_config(cfg: Mapping[str, Any]) -> RunParams:
+    """RunParams from a configuration mapping with the source pipeline's keys (already parsed)."""
+    feats, model, train = cfg.get("features", {}), cfg.get("model", {}), cfg.get("train", {})
+    return RunParams(
+        train_end=train["train_end_date"],
+        test_start=train["test_start_date"],
+        model_type=model.get("type", "random_forest"),
+        model_params=dict(model.get("params", {}) or {}),
+        price_features=tuple(feats.get("price_features", PRICE_FEATURES)),
+        activity_features=tuple(feats.get("blockchain_features", ACTIVITY_FEATURES)),
+        use_activity=bool(feats.get("use_blockchain", False)),
+        label=cfg.get("label_col", LABEL),
+        horizon=int(cfg.get("etl", {}).get("label_horizon_hours", 1)),
+    )
+
+
+def sources_from_config(spark: SparkSession, cfg: Mapping[str, Any]) -> tuple[DataFrame, DataFrame | None]:
+    """Candle CSV (column names, date bounds) and the optional activity Parquet named by ``data.*``."""
+    from tickwork.sources import load_activity, load_candles_csv
+    from tickwork.sources.candles import DEFAULT_COLUMNS, DEFAULT_TS_COLUMN
+
+    data = cfg["data"]
+    names = {data.get(f"price_{k}_col", src): dst for src, (k, dst) in zip(
+        DEFAULT_COLUMNS, [("open", "open"), ("high", "high"), ("low", "low"), ("close", "close"),
+                          ("volume", "volume")])}
+    prices = load_candles_csv(spark, data["price_path"], ts_col=data.get("price_timestamp_col", DEFAULT_TS_COLUMN),
+                              columns=names, start=data.get("start_date"), end=data.get("end_date"))
+    return prices, load_activity(spark, data.get("blockchain_path"))
+
+
+def run_config(spark: SparkSession, cfg: Mapping[str, Any]) -> tuple[DataFrame, PipelineModel]:
+    """The source pipeline's end-to-end run from its configuration mapping, sinks included
+    (metrics CSV at ``output.metrics_csv``, model under ``output.models_dir``)."""
+    from tickwork.sinks import save_model, write_metrics_csv
+
+    params = params_from_config(cfg)
+    prices, activity = sources_from_config(spark, cfg)
+    metrics, model = run(spark, prices, activity, params)
+    out = cfg.get("output", {})
+    if out.get("metrics_csv"):
+        write_metrics_csv(metrics, out["metrics_csv"])
+    if out.get("models_dir"):
+        save_model(model, f"{out['models_dir'].rstrip('/')}/{params.model_type}_pipeline")
+    return metrics, model
