@@ -68,7 +68,7 @@ def test_writer_reader_roundtrip(spark):
     df = spark.createDataFrame([(1600000000 + i * 600, i) for i in range(50)] + [(1700000000, 300)],
                                "block_time long, tx_count long")
     path = scratch_path(spark, "test_writer")
-    manifest = write_block_files(df, path, rows_per_file=7, files_hint=3)
+    manifest = write_block_files(df.repartition(3), path, rows_per_file=7)
     assert sum(r[1] for r in rows(manifest)) == 51
     assert all(r[1] <= 7 for r in rows(manifest))
     back = read_block_files(spark, path)

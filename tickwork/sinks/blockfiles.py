@@ -1,9 +1,10 @@
 """Block-file writer: encode ``(block_time, tx_count)`` rows as ``blk*.dat`` frames.
 
 Used to turn rows of a given table into raw files for the block decoder.
-Rows are range-partitioned and sorted by time, then each task writes its
-partition batch by batch (``mapInPandas``), ``rows_per_file`` blocks per file:
-no group is ever collected whole, a task holds one Arrow batch at a time.
+No shuffle: each task sorts its own input split by time and writes it batch
+by batch (``mapInPandas``), ``rows_per_file`` blocks per file -- one pass over
+the input, no group is ever collected whole, a task holds one Arrow batch at
+a time. (A range repartition would sample, i.e. scan, the input twice.)
 Files are written through ``pyarrow.fs`` (any shared filesystem URI) under a
 temporary name and moved into place; names and contents depend only on the
 data (partition id, batch and slice index of a sorted partition), so a
@@ -42,20 +43,18 @@ def encode_block(block_time: int, tx_count: int, magic: bytes = MAGICS[0]) -> by
 
 def write_block_files(
     df: DataFrame, path: str, *, ts: str = "block_time", tx: str = "tx_count", rows_per_file: int = 2000,
-    files_hint: int | None = None, padding: int = 64,
+    padding: int = 64,
 ) -> DataFrame:
-    """Write ``blk<part><batch><slice>.dat`` files under ``path``; returns the manifest ``(file, n_blocks)``.
+    """Write ``blk<split><batch><slice>.dat`` files under ``path``; returns the manifest ``(file, n_blocks)``.
 
-    ``files_hint`` is the number of range partitions (default: the session's
-    shuffle partitions). ``padding`` zero bytes end each file, as in
-    preallocated block files; the decoder stops at them. The write runs
-    immediately; the manifest is stored next to ``path``.
+    ``padding`` zero bytes end each file, as in preallocated block files; the
+    decoder stops at them. The write runs immediately; the manifest is stored
+    next to ``path``.
     """
     from pyarrow import fs  # task-side import
 
     root = local_fs_path(path)
     spark = df.sparkSession
-    n = files_hint or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -80,7 +79,6 @@ def write_block_files(
 
     written = (
         df.select(F.col(ts).cast("bigint").alias(ts), F.col(tx).cast("bigint").alias(tx))
-        .repartitionByRange(n, ts)
         .sortWithinPartitions(ts, tx)
         .mapInPandas(write_partition, "file string, n_blocks bigint")
     )

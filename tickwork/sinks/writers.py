@@ -28,7 +28,9 @@ def write_parquet(df: DataFrame, path: str, columns: Sequence[str] | None = None
     """Write ``df`` (optionally projected, and range-sorted for ordered output) as Parquet, overwriting."""
     out = df.select(*columns) if columns else df
     if sort_by:
-        out = out.sort(*sort_by)  # distributed range sort; no single-partition step
+        # Distributed range sort, for small aggregated tables (hours, days): its sampling pass
+        # re-runs only the stage after the aggregate's shuffle, never the raw scan.
+        out = out.sort(*sort_by)
     out.write.mode("overwrite").parquet(path)
 
 
@@ -49,8 +51,12 @@ def write_proxy(proxy: DataFrame, path: str) -> None:
 
 
 def write_features(features: DataFrame, path: str, keys: Sequence[str] = (), ts: str = "ts_hour") -> None:
-    """O1: the labelled feature table as Parquet, sorted by series and time (a distributed range sort)."""
-    write_parquet(features, path, sort_by=[*keys, ts])
+    """O1: the labelled feature table as Parquet, each file sorted by series and time.
+
+    A local sort in each task: a global sort would first sample its input,
+    i.e. run the window stage a second time, only to order files.
+    """
+    features.sortWithinPartitions(*keys, ts).write.mode("overwrite").parquet(path)
 
 
 def write_metrics_csv(metrics: DataFrame, path: str) -> bool:
