@@ -82,7 +82,7 @@ def test_hot_key_is_split_into_bounded_blocks(spark):
                                    (F.col("id") + 1).cast("double").alias("close_1h"))
     bars = hot.union(cold)
     layout = Layout(block_rows=200, chunk="day")
-    chunked = bars.withColumn(_CHUNK, F.date_trunc("day", "ts_hour"))
+    chunked = bars.withColumn(_CHUNK, F.to_date("ts_hour"))
     plan = chunk_blocks(chunked, ["k"], 23, 1, 200)
     sizes = (chunked.join(plan, ["k", _CHUNK]).groupBy("k", _BLK).count())
     hot_sizes = [r["count"] for r in sizes.filter(F.col("k") == "hot").collect()]
@@ -135,3 +135,18 @@ def test_blocked_layout_without_aqe_or_broadcast(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_hour_chunks_are_monotonic_across_a_clock_change(spark):
+    """NTZ wall-clock times inside a spring-forward gap keep their order in the layout."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        times = ["2024-03-31 01:40:00", "2024-03-31 02:20:00", "2024-03-31 02:50:00", "2024-03-31 03:10:00",
+                 "2024-03-31 04:00:00"]
+        df = spark.createDataFrame([(t, float(i + 1)) for i, t in enumerate(times)], "s string, close_1h double") \
+            .select(F.col("s").cast("timestamp_ntz").alias("ts_hour"), "close_1h")
+        out = with_series_columns(df, [("prev", lambda s: F.lag("close_1h", 1).over(s.rows))], back=1,
+                                  layout=Layout(block_rows=1, chunk="hour"))
+        assert sorted(rows(out, "close_1h", "prev")) == [(1.0, None), (2.0, 1.0), (3.0, 2.0), (4.0, 3.0), (5.0, 4.0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -8,8 +8,8 @@ single-partition exchange over the entire table. That is the bottleneck the
 source pipeline accepted; here it is avoided with an exact *block + halo*
 layout expressed in plain DataFrame operations:
 
-1. ``_chunk`` = a coarse calendar truncation of the order column (monotonic,
-   so a chunk is a contiguous run of each series). Count rows per
+1. ``_chunk`` = a coarse calendar chunk of the order column (monotonic, so a
+   chunk is a contiguous run of each series; see :func:`chunk_of`). Count rows per
    ``(keys, _chunk)`` -- partially aggregated map-side, a table orders of
    magnitude smaller than the rows.
 2. On that small table only, in one window pass: running row offsets per
@@ -88,8 +88,8 @@ class Layout:
     small stages over the chunk counts. ``False`` falls back to
     ``Window.partitionBy(*keys)`` (one task per key, one task in total without
     keys) -- saves those small fixed costs when every series is known to be
-    short. ``chunk`` is a ``date_trunc`` unit; the order column must be a
-    timestamp. ``materialize=False`` skips the Parquet write when the input is
+    short. ``chunk`` is one of hour/day/week/month/quarter/year; the order
+    column must be a timestamp or date. ``materialize=False`` skips the Parquet write when the input is
     cheap to recompute.
     """
 
@@ -106,7 +106,7 @@ class Layout:
 DEFAULT_LAYOUT = Layout()
 PARTITIONED = Layout(blocked=False)
 
-# Calendar units for ``date_trunc`` chunks, with their (longest) length in seconds.
+# Chunk units (see chunk_of), with their longest length in seconds.
 _CHUNK_UNITS = (("hour", 3600), ("day", 86400), ("week", 7 * 86400), ("month", 31 * 86400),
                 ("year", 366 * 86400))
 _SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
@@ -160,6 +160,24 @@ def epoch_seconds(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("bigint")
 
 
+def chunk_of(df: DataFrame, order: str, unit: str) -> Column:
+    """Coarse, monotonic chunk key of the order column, without time-zone round trips.
+
+    ``year``/``quarter``/``month``/``week`` truncate the calendar date, ``day`` is
+    the date, ``hour`` counts whole hours since the epoch. For ``TIMESTAMP_NTZ`` the
+    date is the wall-clock date; for instants it is the session-zone date, which
+    never decreases as time goes on (also across clock changes).
+    """
+    if unit == "hour":
+        return F.floor(epoch_seconds(df, order) / F.lit(3600))
+    day = F.to_date(F.col(order))
+    if unit == "day":
+        return day
+    if unit in ("week", "month", "quarter", "year"):
+        return F.trunc(day, unit)
+    raise ValueError(f"unsupported chunk unit: {unit!r}")
+
+
 def _specs(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str]) -> Specs:
     return Specs(series_spec(keys, [order, *tiebreak]), series_spec(keys, [epoch_seconds(df, order)]))
 
@@ -178,7 +196,7 @@ def row_index(
     first, as in an ascending window. Key columns may hold NULL (null-safe join).
     """
     keys = list(keys)
-    chunked = df.withColumn(_CHUNK, F.date_trunc(chunk, F.col(order)))
+    chunked = df.withColumn(_CHUNK, chunk_of(df, order, chunk))
     counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias(_CNT))
     before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     # Rename the keys on the small side so the self-join has no ambiguous lineage.
@@ -220,7 +238,7 @@ def with_series_columns(
         return _add(df, columns, _specs(df, keys, order, tiebreak))
 
     src = materialize(df) if layout.materialize else df
-    chunked = src.withColumn(_CHUNK, F.date_trunc(layout.chunk, F.col(order)))
+    chunked = src.withColumn(_CHUNK, chunk_of(src, order, layout.chunk))
     plan = chunk_blocks(chunked, keys, back, ahead, max(layout.block_rows, 1))
     alias = {k: f"_tw_k{i}" for i, k in enumerate([*keys, _CHUNK])}
     plan = plan.select(*[F.col(k).alias(a) for k, a in alias.items()], _HOME, _BLK)
