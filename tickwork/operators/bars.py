@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from tickwork.functions.time import bucket_start
 
 
+def _dbl(c: str) -> Column:
+    return F.col(c).cast("double")  # one cast; Catalyst folds it into a double input
+
+
 def _first_last(value: str, ts: str, tiebreak: Sequence[str]) -> tuple[Column, Column]:
     if not tiebreak:
         return F.min_by(F.col(value), F.col(ts)), F.max_by(F.col(value), F.col(ts))
@@ -55,16 +59,15 @@ def ohlcv_bars(
     keys = list(keys)
     first_open, _ = _first_last(open, ts, tiebreak)
     _, last_close = _first_last(close, ts, tiebreak)
-    cast = lambda c: F.col(c).cast("double")  # noqa: E731 - single cast, folded by Catalyst
     return (
         ticks.groupBy(*keys, bucket_start(ts, size).alias(out_ts))
         .agg(
             first_open.cast("double").alias(f"open{suffix}"),
             last_close.cast("double").alias(f"close{suffix}"),
-            F.max(cast(high)).alias(f"high{suffix}"),
-            F.min(cast(low)).alias(f"low{suffix}"),
-            F.sum(cast(volume)).alias(f"vol{suffix}"),
-            F.stddev_pop(cast(close)).alias(f"volatility{suffix}"),
+            F.max(_dbl(high)).alias(f"high{suffix}"),
+            F.min(_dbl(low)).alias(f"low{suffix}"),
+            F.sum(_dbl(volume)).alias(f"vol{suffix}"),
+            F.stddev_pop(_dbl(close)).alias(f"volatility{suffix}"),
         )
     )
 
