@@ -66,3 +66,21 @@ def test_build_features_columns(spark):
                            "ma_close_12h", "vol_24h", "timestamp", "tx_count_hour", "close_future",
                            "return_future", "label_up"]
     assert out.count() == 59
+
+
+def test_k2_proxy_sink_and_o1_sorted_features(spark):
+    from tickwork.sinks import scratch_path, write_features, write_proxy
+
+    daily = spark.createDataFrame([(ts("2018-01-02 00:00:00"), 48.0), (ts("2018-01-01 00:00:00"), 24.0)],
+                                  "Date timestamp_ntz, Volume double")
+    path = scratch_path(spark, "test_proxy")
+    write_proxy(daily_to_hourly_proxy(daily, ts="Date"), path)
+    back = spark.read.parquet(path)
+    assert back.columns == ["timestamp", "total_value_hour", "tx_count_hour", "block_count"]
+    texts = [r[0] for r in back.collect()]
+    assert len(texts) == 25 and texts == sorted(texts)
+    feats = spark.createDataFrame([("b", 2), ("a", 3), ("a", 1), ("b", 1)], "k string, t int").withColumn(
+        "ts_hour", F.expr("timestamp_seconds(t * 3600)")).coalesce(1)
+    fpath = scratch_path(spark, "test_features")
+    write_features(feats, fpath, keys=["k"])
+    assert [(r["k"], r["t"]) for r in spark.read.parquet(fpath).collect()] == [("a", 1), ("a", 3), ("b", 1), ("b", 2)]
