@@ -11,6 +11,9 @@ compute with identical IEEE operations on identical inputs (selected prices,
 ratios, forward returns, exact decimal sums) are left unrounded: rounding those
 could split a value that lies exactly on a decimal tie.
 
+Rounded oracle values get ``+ 0.0``: DuckDB rounds a tiny negative to -0.0,
+Spark to 0.0.
+
 Integer columns that the left join can leave NULL (``block_count``) are
 reported as double on both sides: through pandas, Spark turns a nullable
 bigint into float64 and DuckDB into Int64, which would hash differently.
@@ -530,7 +533,7 @@ def _ind_body(bars: str, part: str = "", ts: str = "ts_hour", s: str = "1h", u:
 
 
 def _r(c: str, n: int = 6) -> str:
-    return f"round({c}, {n}) AS {c}"
+    return f"(round({c}, {n}) + 0.0) AS {c}"  # + 0.0 maps DuckDB's -0.0 to Spark's 0.0
 
 
 _BAR_SEL = "open_1h, close_1h, high_1h, low_1h, " + ", ".join(_r(c) for c in NOISY_BAR)
@@ -598,7 +601,7 @@ _ORACLE: dict[str, str] = {
     "daily_bars_large": f"""SELECT l_suppkey, ts_day, open_1d, close_1d, high_1d, low_1d,
         {_r('vol_1d')}, {_r('volatility_1d')} FROM ({_LARGE_BODY}) b""",
     "prev_close_log_return": f"""SELECT ts_hour, close_1h,
-        round(ln(close_1h / lag(close_1h, 1) OVER (ORDER BY ts_hour)), 6) AS ret_1h FROM ({_BARS_BODY}) b""",
+        round(ln(close_1h / lag(close_1h, 1) OVER (ORDER BY ts_hour)), 6) + 0.0 AS ret_1h FROM ({_BARS_BODY}) b""",
     "lagged_returns": f"""SELECT ts_hour, {_r('ret_1h')}, {_r('ret_1h_lag1')}, {_r('ret_1h_lag2')}
         FROM ({_ind_body(f'({_BARS_BODY}) b')}) i""",
     "moving_averages": f"""SELECT ts_hour, close_1h, {_r('ma_close_3h')}, {_r('ma_close_12h')}
@@ -669,7 +672,7 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "time_split_train": f"""SELECT ts_hour, label_up FROM ({_prepared_sql()}) p
         WHERE ts_hour <= TIMESTAMP '{TRAIN_END}'""",
     "standardised_features": f"""SELECT ts_hour, {', '.join(
-        f"round((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS z_{c}"
+        f"round((CAST({c} AS DOUBLE) - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) + 0.0 AS z_{c}"
         for c in ['ret_1h', 'vol_1h', 'volatility_1h', 'high_low_ratio', 'ma_close_3h', 'ma_close_12h',
                   'tx_count_hour'])} FROM ({_prepared_sql()}) p""",
     "class_share": f"""SELECT round(CAST(avg(CAST(label_up AS DOUBLE)) AS DOUBLE), 9) AS positive_share
