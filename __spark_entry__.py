@@ -122,6 +122,12 @@ def q_daily_bars_large(spark, d):
     return _round(_large_bars(spark, d), ["vol_1d", "volatility_1d"])
 
 
+def q_bars_15min(spark, d):
+    """Q9: the bar size is a parameter."""
+    out = ohlcv_bars(tables.ticks(spark, d), size="15 minutes", out_ts="ts_bar", suffix="_15m")
+    return _round(out, ["vol_15m", "volatility_15m"])
+
+
 # ---------------------------------------------------------------- indicators
 def q_prev_close_log_return(spark, d):
     return _round(log_returns(_bars(spark, d)).select("ts_hour", "close_1h", "ret_1h"), ["ret_1h"])
@@ -158,6 +164,14 @@ def q_indicators(spark, d):
     return _round(add_indicators(_bars(spark, d)), NOISY_BAR + NOISY_IND)
 
 
+def q_indicators_custom(spark, d):
+    """Q9: window lengths and lags are parameters (5/24-bar averages, 12-bar deviation, three lags)."""
+    out = add_indicators(_bars(spark, d), ma=(5, 24), vol_window=12, lags=(1, 2, 3))
+    return _round(out.select("ts_hour", "ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ret_1h_lag3", "ma_close_5h",
+                             "ma_close_24h", "vol_12h"),
+                  ["ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ret_1h_lag3", "ma_close_5h", "ma_close_24h", "vol_12h"])
+
+
 def q_indicators_keyed(spark, d):
     return _round(add_indicators(_bars(spark, d, keyed=True), keys=["event_type"]), NOISY_BAR + NOISY_IND)
 
@@ -192,6 +206,12 @@ def q_labels_horizon_3(spark, d):
     return out.select("ts_hour", "close_1h", "close_future", "return_future", "label_up")
 
 
+def q_labels_threshold(spark, d):
+    """Q8/Q9: the label threshold is a parameter (0.5 % here, still strict)."""
+    out = add_labels(_bars(spark, d), threshold=0.005)
+    return out.select("ts_hour", "close_1h", "close_future", "return_future", "label_up")
+
+
 def q_labels_large_keyed(spark, d):
     out = add_labels(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d", layout=DAILY)
     return out.select("l_suppkey", "ts_day", "close_1d", "close_future", "return_future", "label_up")
@@ -428,6 +448,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_bars": q_hourly_bars,
     "hourly_bars_keyed": q_hourly_bars_keyed,
     "daily_bars_large": q_daily_bars_large,
+    "bars_15min": q_bars_15min,
     "prev_close_log_return": q_prev_close_log_return,
     "lagged_returns": q_lagged_returns,
     "moving_averages": q_moving_averages,
@@ -435,12 +456,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_frames_keyed": q_time_frames_keyed,
     "high_low_ratio": q_high_low_ratio,
     "indicators": q_indicators,
+    "indicators_custom": q_indicators_custom,
     "indicators_keyed": q_indicators_keyed,
     "indicators_blocked": q_indicators_blocked,
     "indicators_partitioned": q_indicators_partitioned,
     "indicators_large_keyed": q_indicators_large_keyed,
     "labels": q_labels,
     "labels_horizon_3": q_labels_horizon_3,
+    "labels_threshold": q_labels_threshold,
     "labels_large_keyed": q_labels_large_keyed,
     "activity_hourly": q_activity_hourly,
     "activity_total_blocks": q_activity_total_blocks,
@@ -571,10 +594,10 @@ FROM ({_features_sql(False, rounded=False)}) x
 WHERE {cond} AND label_up IS NOT NULL"""
 
 
-def _label_sql(h: int) -> str:
+def _label_sql(h: int, threshold: float = 0.001) -> str:
     return f"""
 SELECT ts_hour, close_1h, close_future, return_future,
-       CAST(CASE WHEN return_future > 0.001 THEN 1 ELSE 0 END AS INTEGER) AS label_up
+       CAST(CASE WHEN return_future > {threshold} THEN 1 ELSE 0 END AS INTEGER) AS label_up
 FROM (SELECT *, (close_future - close_1h) / close_1h AS return_future
       FROM (SELECT ts_hour, close_1h, lead(close_1h, {h}) OVER (ORDER BY ts_hour) AS close_future
             FROM ({_BARS_BODY}) b) x) y
@@ -598,6 +621,11 @@ FROM ({_SCORED}) s"""
 _ORACLE: dict[str, str] = {
     "hourly_bars": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY}) b",
     "hourly_bars_keyed": f"SELECT event_type, ts_hour, {_BAR_SEL} FROM ({_BARS_KEYED_BODY}) b",
+    "bars_15min": f"""SELECT ts_bar, open_15m, close_15m, high_15m, low_15m, {_r('vol_15m')}, {_r('volatility_15m')}
+        FROM (SELECT date_trunc('hour', ts) + to_minutes(CAST(floor(minute(ts) / 15) * 15 AS BIGINT)) AS ts_bar,
+                     arg_min(value, ts) AS open_15m, arg_max(value, ts) AS close_15m, max(value) AS high_15m,
+                     min(value) AS low_15m, sum(value) AS vol_15m, stddev_pop(value) AS volatility_15m
+              FROM events WHERE value > 0 GROUP BY 1) b""",
     "daily_bars_large": f"""SELECT l_suppkey, ts_day, open_1d, close_1d, high_1d, low_1d,
         {_r('vol_1d')}, {_r('volatility_1d')} FROM ({_LARGE_BODY}) b""",
     "prev_close_log_return": f"""SELECT ts_hour, close_1h,
@@ -617,6 +645,16 @@ _ORACLE: dict[str, str] = {
               RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW), 6) AS vol_24h
         FROM ({_BARS_KEYED_BODY}) b""",
     "indicators": f"SELECT {_ind_select()} FROM ({_ind_body(f'({_BARS_BODY}) b')}) i",
+    "indicators_custom": f"""
+SELECT ts_hour, {_r('ret_1h')}, {_r('ret_1h_lag1')}, {_r('ret_1h_lag2')}, {_r('ret_1h_lag3')},
+       {_r('ma_close_5h')}, {_r('ma_close_24h')}, {_r('vol_12h')}
+FROM (SELECT *, lag(ret_1h, 1) OVER w AS ret_1h_lag1, lag(ret_1h, 2) OVER w AS ret_1h_lag2,
+             lag(ret_1h, 3) OVER w AS ret_1h_lag3,
+             avg(close_1h) OVER (ORDER BY ts_hour ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS ma_close_5h,
+             avg(close_1h) OVER (ORDER BY ts_hour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS ma_close_24h,
+             stddev_samp(close_1h) OVER (ORDER BY ts_hour ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS vol_12h
+      FROM (SELECT *, ln(close_1h / lag(close_1h, 1) OVER (ORDER BY ts_hour)) AS ret_1h FROM ({_BARS_BODY}) b) r
+      WINDOW w AS (ORDER BY ts_hour)) i""",
     "indicators_keyed": f"""SELECT {_ind_select('event_type, ')}
         FROM ({_ind_body(f'({_BARS_KEYED_BODY}) b', 'PARTITION BY event_type')}) i""",
     "indicators_blocked": f"SELECT {_ind_select()} FROM ({_ind_body(f'({_BARS_BODY}) b')}) i",
@@ -628,6 +666,7 @@ _ORACLE: dict[str, str] = {
         FROM ({_ind_body(f'({_LARGE_BODY}) b', 'PARTITION BY l_suppkey', 'ts_day', '1d', 'd')}) i""",
     "labels": _label_sql(1),
     "labels_horizon_3": _label_sql(3),
+    "labels_threshold": _label_sql(1, 0.005),
     "labels_large_keyed": f"""
 SELECT l_suppkey, ts_day, close_1d, close_future, return_future,
        CAST(CASE WHEN return_future > 0.001 THEN 1 ELSE 0 END AS INTEGER) AS label_up
