@@ -271,17 +271,21 @@ def chunk_blocks(chunked: DataFrame, keys: Sequence[str], back: int, ahead: int,
     counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias(_CNT))
     w = Window.partitionBy(*keys).orderBy(_CHUNK)
     cb = F.coalesce(F.sum(_CNT).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    c = counts.withColumn(_CB, cb).withColumn(_CA, F.col(_CB) + F.col(_CNT)).withColumn(
-        _HOME, F.expr(f"{_CB} div {block_rows}"))
+    c = counts.select(*keys, _CHUNK, cb.alias(_CB), (cb + F.col(_CNT)).alias(_CA))
+    # (start, block) of the next `back` chunks and (end, block) of the previous `ahead` chunks
+    home = F.expr(f"{_CB} div {block_rows}")
+    pair = lambda pos, name: F.struct(F.col(pos).alias(name), home.alias("h"))
+    lists = []
+    if back > 0:
+        lists.append(F.collect_list(pair(_CB, "s")).over(w.rowsBetween(1, back)).alias("_tw_nxt"))
+    if ahead > 0:
+        lists.append(F.collect_list(pair(_CA, "e")).over(w.rowsBetween(-ahead, -1)).alias("_tw_prv"))
+    c = c.select(*keys, _CHUNK, _CB, _CA, home.alias(_HOME), *lists)
     parts = [F.array(F.col(_HOME))]
-    if back > 0:  # (start, block) of the next `back` chunks
-        c = c.withColumn("_tw_nxt", F.collect_list(F.struct(F.col(_CB).alias("s"), F.col(_HOME).alias("h")))
-                         .over(w.rowsBetween(1, back)))
+    if back > 0:
         near = F.filter("_tw_nxt", lambda x: x["s"] - F.col(_CA) < back)
         parts.append(F.transform(near, lambda x: x["h"]))
-    if ahead > 0:  # (end, block) of the previous `ahead` chunks
-        c = c.withColumn("_tw_prv", F.collect_list(F.struct(F.col(_CA).alias("e"), F.col(_HOME).alias("h")))
-                         .over(w.rowsBetween(-ahead, -1)))
+    if ahead > 0:
         near = F.filter("_tw_prv", lambda x: F.col(_CB) - x["e"] < ahead)
         parts.append(F.transform(near, lambda x: x["h"]))
     targets = F.array_distinct(F.concat(*parts)) if len(parts) > 1 else parts[0]
