@@ -55,6 +55,10 @@ def ohlcv_bars(
     Output: ``*keys, out_ts, open, close, high, low, vol, volatility`` (names
     suffixed, ``volatility`` = population deviation of ``close`` in the bar;
     0.0 for a one-row bar). Rows with a NULL time are dropped by the bucketing.
+
+    Buckets are Spark ``window`` buckets: aligned to the epoch. For
+    ``TIMESTAMP_NTZ`` input that is wall-clock alignment; for ``TIMESTAMP``
+    (instants) a ``"1 day"`` bar is a UTC day whatever the session zone.
     """
     keys = list(keys)
     first_open, _ = _first_last(open, ts, tiebreak)
