@@ -1,0 +1,45 @@
+from conftest import ts
+from pyspark.sql import functions as F
+
+from tickwork.functions import (
+    bucket_start,
+    epoch_seconds_ntz,
+    epoch_to_utc_ntz,
+    hour_text,
+    log_return,
+    parse_timestamp,
+    simple_return,
+    up_label,
+)
+
+
+def test_epoch_round_trip_ignores_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        (r,) = spark.range(1).select(
+            epoch_to_utc_ntz(F.lit(1600000000)).alias("t"),
+            epoch_seconds_ntz(epoch_to_utc_ntz(F.lit(1600000000))).alias("s"),
+            hour_text(epoch_to_utc_ntz(F.lit(1600000000))).alias("x"),
+        ).collect()
+        assert r["t"] == ts("2020-09-13 12:26:40") and r["s"] == 1600000000 and r["x"] == "2020-09-13 12:26:40"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_bucket_keeps_ntz_and_parse_trims(spark):
+    df = spark.createDataFrame([(ts("2024-01-01 10:59:59"),)], "t timestamp_ntz")
+    out = df.select(bucket_start("t").alias("b"), bucket_start("t", "15 minutes").alias("q"))
+    assert dict(out.dtypes) == {"b": "timestamp_ntz", "q": "timestamp_ntz"}
+    (r,) = out.collect()
+    assert (r["b"], r["q"]) == (ts("2024-01-01 10:00:00"), ts("2024-01-01 10:45:00"))
+    (p,) = spark.range(1).select(parse_timestamp(F.lit("  2024-01-01 10:00:00 ")).alias("p")).collect()
+    assert p["p"] is not None
+
+
+def test_return_and_label_expressions(spark):
+    (r,) = spark.range(1).select(
+        log_return(F.lit(2.0), F.lit(1.0)).alias("lr"), simple_return(F.lit(101.0), F.lit(100.0)).alias("sr"),
+        up_label(F.lit(0.001)).alias("tie"), up_label(F.lit(None).cast("double")).alias("null"),
+    ).collect()
+    assert abs(r["lr"] - 0.6931471805599453) < 1e-15 and abs(r["sr"] - 0.01) < 1e-15
+    assert (r["tie"], r["null"]) == (0, 0)  # strict threshold; a NULL return is class 0
