@@ -121,9 +121,8 @@ def sources_from_config(spark: SparkSession, cfg: Mapping[str, Any]) -> tuple[Da
     from tickwork.sources.candles import DEFAULT_COLUMNS, DEFAULT_TS_COLUMN
 
     data = cfg["data"]
-    names = {data.get(f"price_{k}_col", src): dst for src, (k, dst) in zip(
-        DEFAULT_COLUMNS, [("open", "open"), ("high", "high"), ("low", "low"), ("close", "close"),
-                          ("volume", "volume")])}
+    # config keys price_open_col ... price_volume_col name the source columns of open ... volume
+    names = {data.get(f"price_{dst}_col", src): dst for src, dst in DEFAULT_COLUMNS.items()}
     prices = load_candles_csv(spark, data["price_path"], ts_col=data.get("price_timestamp_col", DEFAULT_TS_COLUMN),
                               columns=names, start=data.get("start_date"), end=data.get("end_date"))
     return prices, load_activity(spark, data.get("blockchain_path"))
