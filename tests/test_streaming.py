@@ -23,3 +23,36 @@ def test_stream_bars_equal_batch_bars_for_closed_windows(spark):
     want = sorted(rows(batch.filter(F.col("ts_hour") < F.lit(last))))
     have = sorted(rows(got.select(*batch.columns)))
     assert len(have) == len(want) and have == want
+
+
+def test_keyed_stream_drops_late_ticks_after_watermark(spark):
+    import datetime as dt
+
+    schema = "k string, ts_raw timestamp, open double, high double, low double, close double, volume double"
+
+    def batch(rows):
+        return spark.createDataFrame(
+            [(k, dt.datetime.fromisoformat(t), v, v, v, v, 1.0) for k, t, v in rows], schema)
+
+    src = scratch_path(spark, "stream_keyed_src")
+    batch([("a", "2024-01-01 10:05:00", 1.0), ("a", "2024-01-01 10:50:00", 3.0),
+           ("b", "2024-01-01 10:10:00", 7.0)]).write.parquet(src + "/1")
+    out = scratch_path(spark, "stream_keyed_out")
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+    q = (stream_bars(stream, keys=["k"], watermark="10 minutes").writeStream.outputMode("append")
+         .format("parquet").option("checkpointLocation", out + "_ckpt").start(out))
+    try:
+        q.processAllAvailable()
+        # move event time past 10:00-11:00 + 10 minutes, and send a late tick for the closed bar
+        batch([("a", "2024-01-01 12:30:00", 5.0)]).write.parquet(src + "/2")
+        q.processAllAvailable()
+        batch([("a", "2024-01-01 10:55:00", 100.0)]).write.parquet(src + "/3")
+        q.processAllAvailable()
+        batch([("a", "2024-01-01 14:00:00", 6.0)]).write.parquet(src + "/4")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(rows(spark.read.parquet(out).select("k", "open_1h", "close_1h", "high_1h", "vol_1h")))
+    assert ("a", 1.0, 3.0, 3.0, 2.0) in got  # the late 100.0 tick did not reopen the closed bar
+    assert ("b", 7.0, 7.0, 7.0, 1.0) in got
+    assert all(r[3] != 100.0 for r in got)
