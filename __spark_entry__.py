@@ -428,18 +428,23 @@ def q_model_roundtrip(spark, d):
 
 
 # ---------------------------------------------------------------- raw block files
-def _block_stats(spark, d):
+def _block_stats(spark, d, method="binaryFile"):
     ev = tables.table(spark, d, "events")
     rows = ev.select(epoch_seconds_ntz("ts").alias("block_time"), F.col("user_id").alias("tx_count"))
     path = scratch_path(spark, "blocks")
     write_block_files(rows, path)
-    return hourly_block_stats(read_block_files(spark, path))
+    return hourly_block_stats(read_block_files(spark, path, method=method))
 
 
 def q_block_files_hourly(spark, d):
     return _block_stats(spark, d)
 
 
+def q_block_files_hourly_stream(spark, d):
+    """The same, read by the frame-by-frame Python data source instead of ``binaryFile``."""
+    return _block_stats(spark, d, method="stream")
+
+
 def q_block_files_total(spark, d):
     return total_blocks(_block_stats(spark, d))
 
@@ -494,6 +499,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "proxy_parquet_roundtrip": q_proxy_parquet_roundtrip,
     "model_roundtrip": q_model_roundtrip,
     "block_files_hourly": q_block_files_hourly,
+    "block_files_hourly_stream": q_block_files_hourly_stream,
     "block_files_total": q_block_files_total,
 }
 
@@ -618,6 +624,11 @@ FROM t"""
 _ACC = f"""SELECT round(CAST(avg(CASE WHEN prediction = label_up THEN 1.0 ELSE 0.0 END) AS DOUBLE), 9) AS accuracy
 FROM ({_SCORED}) s"""
 
+_BLOCK_STATS_SQL = """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS timestamp,
+        count(*) AS block_count, CAST(sum(user_id) AS BIGINT) AS tx_count_hour,
+        CAST(0.0 AS DOUBLE) AS total_value_hour
+        FROM events GROUP BY date_trunc('hour', ts)"""
+
 _ORACLE: dict[str, str] = {
     "hourly_bars": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY}) b",
     "hourly_bars_keyed": f"SELECT event_type, ts_hour, {_BAR_SEL} FROM ({_BARS_KEYED_BODY}) b",
@@ -727,10 +738,8 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "proxy_parquet_roundtrip": f"""SELECT strftime(Date, '%Y-%m-%d %H:%M:%S') AS timestamp,
         Volume / 24.0 AS total_value_hour, Volume / 24.0 / 10000.0 AS tx_count_hour,
         CAST(6 AS BIGINT) AS block_count FROM ({_FFILL_BODY}) f""",
-    "block_files_hourly": """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS timestamp,
-        count(*) AS block_count, CAST(sum(user_id) AS BIGINT) AS tx_count_hour,
-        CAST(0.0 AS DOUBLE) AS total_value_hour
-        FROM events GROUP BY date_trunc('hour', ts)""",
+    "block_files_hourly": _BLOCK_STATS_SQL,
+    "block_files_hourly_stream": _BLOCK_STATS_SQL,
     "block_files_total": "SELECT count(*) AS n_blocks FROM events",
 }
 

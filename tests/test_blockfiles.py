@@ -1,6 +1,8 @@
 import os
 import struct
 
+import pytest
+
 from conftest import rows
 
 from tickwork.operators import hourly_block_stats, total_blocks
@@ -33,9 +35,10 @@ def test_g25_varint_widths():
         assert read_varint(enc, 0) == (n, width)
 
 
-def test_g22_two_blocks_then_zero_padding(spark):
+@pytest.mark.parametrize("method", ["binaryFile", "stream"])
+def test_g22_two_blocks_then_zero_padding(spark, method):
     body = encode_block(1600000000, 5) + encode_block(1600000100, 7, MAGICS[1]) + bytes(100)
-    stats = hourly_block_stats(read_block_files(spark, _folder(spark, {"blk00000.dat": body})))
+    stats = hourly_block_stats(read_block_files(spark, _folder(spark, {"blk00000.dat": body}), method=method))
     assert rows(stats) == [("2020-09-13 12:00:00", 2, 12, 0.0)]
 
 
@@ -49,16 +52,29 @@ def test_g24_truncated_last_frame_is_ignored(spark):
     assert list(walk_frames(body)) == [(1600000000, 5)]
 
 
-def test_glob_and_recursion(spark):
+def test_stream_reader_packs_small_files(spark):
+    files = {f"blk{i:05d}.dat": encode_block(1600000000 + i, i) for i in range(6)}
+    from tickwork.sources.blockfiles import BlockFileSource
+
+    spark.dataSource.register(BlockFileSource)
+    path = _folder(spark, files)
+    packed = spark.read.format("blockfiles").option("maxPartitionBytes", 200).load(path)
+    assert packed.rdd.getNumPartitions() == 3  # ~90-byte files, two per 200-byte partition
+    assert sorted(r[0] for r in rows(packed, "tx_count")) == list(range(6))
+
+
+@pytest.mark.parametrize("method", ["binaryFile", "stream"])
+def test_glob_and_recursion(spark, method):
     path = _folder(spark, {"a/blk00001.dat": encode_block(1600000000, 1), "b/c/blk00002.dat":
                            encode_block(1600000000, 2), "rev00001.dat": encode_block(1600000000, 50)})
-    (r,) = hourly_block_stats(read_block_files(spark, path)).collect()
+    (r,) = hourly_block_stats(read_block_files(spark, path, method=method)).collect()
     assert (r["block_count"], r["tx_count_hour"]) == (2, 3)
 
 
-def test_g26_no_blocks_gives_empty_table_with_columns(spark):
+@pytest.mark.parametrize("method", ["binaryFile", "stream"])
+def test_g26_no_blocks_gives_empty_table_with_columns(spark, method):
     path = _folder(spark, {"blk00000.dat": bytes(64)})
-    stats = hourly_block_stats(read_block_files(spark, path))
+    stats = hourly_block_stats(read_block_files(spark, path, method=method))
     assert stats.columns == ["timestamp", "block_count", "tx_count_hour", "total_value_hour"]
     assert stats.count() == 0
     assert rows(total_blocks(stats)) == [(0,)]
@@ -73,6 +89,8 @@ def test_writer_reader_roundtrip(spark):
     assert all(r[1] <= 7 for r in rows(manifest))
     back = read_block_files(spark, path)
     assert back.count() == 51
+    streamed = read_block_files(spark, path, method="stream")
+    assert sorted(rows(streamed, "block_time", "tx_count")) == sorted(rows(back, "block_time", "tx_count"))
     assert sorted(rows(back, "block_time", "tx_count"))[-1] == (1700000000, 300)
 
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.sinks.scratch import local_fs_path
+from tickwork.fsutil import local_fs_path
 from tickwork.sources.blockfiles import HEADER_LEN, MAGICS, TIME_OFFSET, VARINT_U16, VARINT_U32, VARINT_U64
 
 

@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tickwork.fsutil import local_fs_path  # noqa: F401  (re-exported)
+
 
 def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
@@ -29,10 +31,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tickwork/{name}-{uuid.uuid4().hex}"
 
 
-def local_fs_path(uri: str) -> str:
-    """``file:/x``, ``file:///x`` or ``/x`` -> ``/x`` for Python-side file access; other URIs unchanged."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri

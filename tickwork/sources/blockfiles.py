@@ -9,18 +9,24 @@ a payload under 81 bytes is skipped and the walk goes on.
 
 Spark plan: ``binaryFile`` (one row per file, only ``path`` and ``content``
 read) -> ``mapInPandas`` that walks the frames of each file in an Arrow batch
--> ``(path, block_time, tx_count)`` rows. One task per file split is the unit of
+-> ``(path, block_time, tx_count)`` rows; or, with ``method="stream"``, the
+:class:`BlockFileSource` Python data source that reads frame by frame. One task per file split is the unit of
 parallelism; a corrupt tail ends only its own file. Everything after the
 decode (hourly statistics, joins) is plain DataFrame work.
 """
 
 from __future__ import annotations
 
+import fnmatch
+import io
 import struct
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from tickwork.fsutil import pyarrow_filesystem
 
 # Network magics, header length, time offset, varint markers.
 MAGICS = (b"\xf9\xbe\xb4\xd9", b"\x0b\x11\x09\x07")
@@ -53,21 +59,29 @@ def block_header(payload: bytes) -> tuple[int, int]:
     return ts, tx
 
 
-def walk_frames(content: bytes) -> Iterator[tuple[int, int]]:
-    """Yield ``(block_time, tx_count)`` for each decodable frame of one file."""
-    pos, end = 0, len(content)
-    while pos + 8 <= end:
-        if content[pos:pos + 4] not in MAGICS:
+def walk_stream(read) -> Iterator[tuple[int, int]]:
+    """Yield ``(block_time, tx_count)`` per decodable frame, reading through ``read(n) -> bytes``.
+
+    Holds one frame at a time: ends at EOF, at a wrong magic (zero padding)
+    or at a frame shorter than its size field; skips undecodable payloads.
+    """
+    while True:
+        head = read(8)
+        if len(head) < 8 or head[:4] not in MAGICS:
             return
-        (size,) = struct.unpack_from("<I", content, pos + 4)
-        start = pos + 8
-        if start + size > end:
+        (size,) = struct.unpack_from("<I", head, 4)
+        payload = read(size)
+        if len(payload) < size:
             return
         try:
-            yield block_header(content[start:start + size])
+            yield block_header(payload)
         except (ValueError, struct.error, IndexError):
             pass
-        pos = start + size
+
+
+def walk_frames(content: bytes) -> Iterator[tuple[int, int]]:
+    """:func:`walk_stream` over an in-memory file."""
+    return walk_stream(io.BytesIO(content).read)
 
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,12 +99,20 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def read_block_files(spark: SparkSession, path: str, *, glob: str = "blk*.dat") -> DataFrame:
+def read_block_files(spark: SparkSession, path: str, *, glob: str = "blk*.dat", method: str = "binaryFile") -> DataFrame:
     """S6 + S7: decode every ``glob`` file under ``path`` (recursively).
 
     Output ``path, block_time`` (epoch seconds), ``tx_count`` (NULL if it does
-    not fit a signed 64-bit integer).
+    not fit a signed 64-bit integer). ``method="binaryFile"`` reads each file
+    whole (Spark's ``binaryFile`` source, files up to 2 GB) and decodes it in
+    ``mapInPandas``; ``method="stream"`` uses :class:`BlockFileSource`, which
+    reads each file frame by frame in the task.
     """
+    if method == "stream":
+        spark.dataSource.register(BlockFileSource)
+        return spark.read.format(BlockFileSource.name()).option("pathGlobFilter", glob).load(path)
+    if method != "binaryFile":
+        raise ValueError(f"method must be 'binaryFile' or 'stream', not {method!r}")
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -99,3 +121,58 @@ def read_block_files(spark: SparkSession, path: str, *, glob: str = "blk*.dat")
         .select("path", "content")
     )
     return files.mapInPandas(_decode_batches, BLOCK_SCHEMA)
+
+
+# ---------------------------------------------------------------- streaming reader (Python data source)
+class BlockFileSource(DataSource):
+    """``spark.read.format("blockfiles").option("pathGlobFilter", "blk*.dat").load(path)``.
+
+    The driver lists the matching files (recursively) and packs them into
+    partitions of about ``maxPartitionBytes`` (default 128 MiB) -- one task per
+    large file, several small files per task. Each task opens its files
+    through ``pyarrow.fs`` (local or any shared filesystem URI) and walks the
+    frames with one block in memory at a time; a corrupt tail ends only its
+    own file.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "blockfiles"
+
+    def schema(self) -> str:
+        return BLOCK_SCHEMA
+
+    def reader(self, schema):
+        return _BlockFileReader(self.options)
+
+
+class _BlockFileReader(DataSourceReader):
+    def __init__(self, options) -> None:
+        self.path = options["path"]
+        self.glob = options.get("pathGlobFilter", "blk*.dat")
+        self.target = int(options.get("maxPartitionBytes", 128 * 1024 * 1024))
+
+    def partitions(self):
+        from pyarrow import fs
+
+        filesystem, base = pyarrow_filesystem(self.path)
+        infos = filesystem.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True))
+        files = sorted((i.path, i.size or 0) for i in infos
+                       if i.type == fs.FileType.File and fnmatch.fnmatch(i.base_name, self.glob))
+        groups, current, size = [], [], 0
+        for p, n in files:
+            if current and size + n > self.target:
+                groups.append(current)
+                current, size = [], 0
+            current.append(p)
+            size += n
+        if current:
+            groups.append(current)
+        return [InputPartition(g) for g in groups]
+
+    def read(self, partition):
+        filesystem, _ = pyarrow_filesystem(self.path)
+        for p in partition.value:
+            with filesystem.open_input_stream(p) as f:
+                for ts, tx in walk_stream(f.read):
+                    yield (p, ts, tx if tx <= _INT64_MAX else None)
