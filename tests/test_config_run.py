@@ -43,3 +43,15 @@ def test_run_from_config(spark):
     model = load_model(f"{out}/models/random_forest_pipeline")
     assert [type(st).__name__ for st in model.stages] == ["VectorAssembler", "StandardScalerModel",
                                                           "RandomForestClassificationModel"]
+
+
+def test_run_without_activity_uses_price_features_only(spark):
+    from tickwork.plans import RunParams, run
+
+    ticks = tables.ticks(spark, SF_MID)
+    params = RunParams("2024-01-24", "2024-01-25", "logistic_regression", use_activity=False)
+    metrics, model = run(spark, ticks, tables.activity(spark, SF_MID), params)
+    (m,) = metrics.collect()
+    assert (m["n_train"], m["n_test"]) == (552, 143)
+    assert model.stages[0].getInputCols() == ["ret_1h", "vol_1h", "volatility_1h", "high_low_ratio",
+                                              "ma_close_3h", "ma_close_12h"]

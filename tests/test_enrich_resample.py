@@ -84,3 +84,12 @@ def test_k2_proxy_sink_and_o1_sorted_features(spark):
     fpath = scratch_path(spark, "test_features")
     write_features(feats, fpath, keys=["k"])
     assert [(r["k"], r["t"]) for r in spark.read.parquet(fpath).collect()] == [("a", 1), ("a", 3), ("b", 1), ("b", 2)]
+
+
+def test_join_projects_the_right_side(spark):
+    bars = _bars(spark, [1, 2])
+    act = spark.createDataFrame([(ts("2024-01-01 01:00:00"), 5.0, "x", 9)],
+                                "ts_hour timestamp_ntz, tx double, note string, n int")
+    out = join_activity(bars, act, columns=["tx"])
+    assert out.columns == ["ts_hour", "close_1h", "tx"]
+    assert sorted(rows(out, "close_1h", "tx"), key=str) == [(1.0, 5.0), (2.0, None)]

@@ -38,8 +38,9 @@ def _canon(pdf):
     return cols, sorted((tuple(_norm(r[c]) for c in cols) for _, r in pdf.iterrows()), key=str)
 
 
-FAST = ["hourly_bars", "daily_bars_large", "indicators", "indicators_blocked", "labels_horizon_3",
-        "feature_dataset", "daily_proxy", "null_policy", "time_split_counts", "csv_candles", "block_files_hourly"]
+FAST = ["hourly_bars", "bars_15min", "daily_bars_large", "indicators", "indicators_blocked", "time_frames_keyed",
+        "labels_horizon_3", "feature_dataset", "daily_proxy", "null_policy", "time_split_counts", "csv_candles",
+        "block_files_hourly", "block_files_hourly_stream"]
 
 
 @pytest.mark.parametrize("name", FAST)
