@@ -35,6 +35,7 @@ TIME_OFFSET = 68
 VARINT_U16, VARINT_U32, VARINT_U64 = 0xFD, 0xFE, 0xFF
 
 BLOCK_SCHEMA = "path string, block_time bigint, tx_count bigint"
+_BATCH = 8192  # blocks per Arrow batch yielded by the streaming reader
 _INT64_MAX = (1 << 63) - 1
 
 
@@ -171,8 +172,25 @@ class _BlockFileReader(DataSourceReader):
         return [InputPartition(g) for g in groups]
 
     def read(self, partition):
+        """Arrow record batches of at most ``_BATCH`` blocks (one frame in memory while walking)."""
+        import pyarrow as pa
+
         filesystem, _ = pyarrow_filesystem(self.path)
+        schema = pa.schema([("path", pa.string()), ("block_time", pa.int64()), ("tx_count", pa.int64())])
+
+        def batch(p, times, txs):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([p] * len(times), pa.string()), pa.array(times, pa.int64()), pa.array(txs, pa.int64())],
+                schema=schema)
+
         for p in partition.value:
+            times, txs = [], []
             with filesystem.open_input_stream(p) as f:
                 for ts, tx in walk_stream(f.read):
-                    yield (p, ts, tx if tx <= _INT64_MAX else None)
+                    times.append(ts)
+                    txs.append(tx if tx <= _INT64_MAX else None)
+                    if len(times) >= _BATCH:
+                        yield batch(p, times, txs)
+                        times, txs = [], []
+            if times:
+                yield batch(p, times, txs)
