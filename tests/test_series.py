@@ -150,3 +150,18 @@ def test_hour_chunks_are_monotonic_across_a_clock_change(spark):
         assert sorted(rows(out, "close_1h", "prev")) == [(1.0, None), (2.0, 1.0), (3.0, 2.0), (4.0, 3.0), (5.0, 4.0)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_adaptive_keyed_layout_skips_blocks_only_when_every_series_fits(spark):
+    bars = _events_bars(spark, keyed=True)  # five series of ~700 bars
+    fits = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=1000))
+    text = plan_text(fits, "simple")
+    assert "_tw_blk" not in text and "Exchange SinglePartition" not in text
+    assert "hashpartitioning(event_type" in text
+    forced = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=1000, adaptive=False))
+    assert "hashpartitioning(event_type#" in plan_text(forced, "simple") and "_tw_blk" in plan_text(forced, "simple")
+    long = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=100))
+    assert "_tw_blk" in plan_text(long, "simple")
+    cols = ["event_type", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h"]
+    _same(fits, long, cols)
+    _same(forced, long, cols)

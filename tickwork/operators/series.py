@@ -89,14 +89,18 @@ class Layout:
     ``Window.partitionBy(*keys)`` (one task per key, one task in total without
     keys) -- saves those small fixed costs when every series is known to be
     short. ``chunk`` is one of hour/day/week/month/quarter/year; the order
-    column must be a timestamp or date. ``materialize=False`` skips the Parquet write when the input is
-    cheap to recompute.
+    column must be a timestamp or date. ``materialize=False`` skips the
+    Parquet write when the input is cheap to recompute. ``adaptive`` (keyed
+    series only): one small job counts rows per key on the materialised input;
+    when no series exceeds ``block_rows``, plain ``partitionBy(keys)`` windows
+    are exact and already bounded, and the chunk table is skipped.
     """
 
     blocked: bool = True
     block_rows: int = 65536
     chunk: str = "month"
     materialize: bool = True
+    adaptive: bool = True
 
     def __post_init__(self) -> None:
         if self.block_rows < 1:
@@ -238,6 +242,9 @@ def with_series_columns(
         return _add(df, columns, _specs(df, keys, order, tiebreak))
 
     src = materialize(df) if layout.materialize else df
+    if keys and layout.adaptive and _longest_series(src, keys) <= layout.block_rows:
+        # size-checked: every window partition holds at most block_rows rows
+        return _add(src, columns, _specs(src, keys, order, tiebreak))
     chunked = src.withColumn(_CHUNK, chunk_of(src, order, layout.chunk))
     plan = chunk_blocks(chunked, keys, back, ahead, max(layout.block_rows, 1))
     alias = {k: f"_tw_k{i}" for i, k in enumerate([*keys, _CHUNK])}
@@ -251,6 +258,12 @@ def with_series_columns(
     return _add(spread, columns, specs).filter(F.col(_BLK) == F.col(_HOME)).drop(_BLK, _HOME)
 
 
+def _longest_series(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the longest series (one small aggregate over the key columns; a scalar to the driver)."""
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0)
+
+
 def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], specs: Specs) -> DataFrame:
     names = {n for n, _ in columns}
     keep = [F.col(f"`{c}`") for c in df.columns if c not in names]
