@@ -363,6 +363,12 @@ def _train(spark, d, model_type, params):
                RunParams(TRAIN_END, TEST_START, model_type, params))
 
 
+def q_train_logistic_keyed(spark, d):
+    """C3 over keyed series: bars, indicators and labels per event type, one model across all of them."""
+    params = RunParams(TRAIN_END, TEST_START, "logistic_regression", keys=("event_type",))
+    return run(spark, tables.ticks(spark, d, keyed=True), _activity(spark, d), params)[0]
+
+
 def q_class_share(spark, d):
     """Majority-class baseline of the test split, to read next to an accuracy."""
     _, test = time_split(_features(spark, d), TRAIN_END, TEST_START)
@@ -491,6 +497,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "accuracy_fixed_score": q_accuracy_fixed_score,
     "class_share": q_class_share,
     "train_logistic": q_train_logistic,
+    "train_logistic_keyed": q_train_logistic_keyed,
     "train_gbt": q_train_gbt,
     "train_forest": q_train_forest,
     "metrics_csv_roundtrip": q_metrics_csv_roundtrip,

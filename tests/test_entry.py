@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 import __spark_entry__ as E
 
 TABLES = ["events", "orders", "lineitem"]
-RowsOnly = {"train_logistic", "train_gbt", "train_forest", "model_roundtrip"}
+RowsOnly = {"train_logistic", "train_logistic_keyed", "train_gbt", "train_forest", "model_roundtrip"}
 
 
 def test_entry_runs(spark):
