@@ -93,3 +93,12 @@ def test_join_projects_the_right_side(spark):
     out = join_activity(bars, act, columns=["tx"])
     assert out.columns == ["ts_hour", "close_1h", "tx"]
     assert sorted(rows(out, "close_1h", "tx"), key=str) == [(1.0, 5.0), (2.0, None)]
+
+
+def test_ffill_with_observations_closer_than_a_step(spark):
+    daily = spark.createDataFrame([(ts("2018-01-01 00:00:00"), 1.0), (ts("2018-01-01 00:30:00"), 2.0),
+                                   (ts("2018-01-01 02:00:00"), 3.0)], "Date timestamp_ntz, Volume double")
+    got = sorted(rows(resample_ffill(daily, ts="Date"), "Date", "Volume"))
+    # no error on a sub-step gap; each value repeats up to one step before the next observation
+    assert got == [(ts("2018-01-01 00:00:00"), 1.0), (ts("2018-01-01 00:30:00"), 2.0),
+                   (ts("2018-01-01 02:00:00"), 3.0)]

@@ -34,3 +34,8 @@ def test_threshold_parameter(spark):
 
 def test_label_type_is_int(spark):
     assert dict(add_labels(_bars(spark, [1, 2])).dtypes)["label_up"] == "int"
+
+
+def test_horizon_must_be_positive(spark):
+    with pytest.raises(ValueError):
+        add_labels(_bars(spark, [1, 2]), horizon=0)

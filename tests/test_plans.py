@@ -42,3 +42,12 @@ def test_layout_chunks_follow_bar_size():
     assert layout_for_bar_size("1 day").chunk == "year"
     assert layout_for_bar_size("1 minute").chunk == "day"
     assert layout_for_bar_size("5 minutes").chunk == "day"
+
+
+def test_interval_parsing():
+    from tickwork.operators.series import interval_seconds
+
+    assert interval_seconds("1 hour") == 3600
+    assert interval_seconds("15 minutes") == 900
+    assert interval_seconds("2 days") == 172800
+    assert interval_seconds("30 seconds") == 30
