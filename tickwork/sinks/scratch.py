@@ -17,12 +17,18 @@ from tickwork.fsutil import local_fs_path  # noqa: F401  (re-exported)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        sc = None
+    d = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="tickwork-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        d = tempfile.mkdtemp(prefix="tickwork-ckpt-")  # bare local/test session only
+        if sc is not None:
+            sc.setCheckpointDir(d)
+            d = sc.getCheckpointDir() or d
+        else:
+            spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 
 
