@@ -128,8 +128,12 @@ def test_blocked_layout_without_aqe_or_broadcast(spark):
         for k, v in conf.items():
             spark.conf.set(k, v)
         bars = _events_bars(spark, keyed=True)
-        blocked = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=60, chunk="day"))
+        big = Layout(block_rows=60, chunk="day", broadcast_bytes=0)  # the chunk table "does not fit"
+        blocked = add_indicators(bars, keys=["event_type"], layout=big)
         assert "SortMergeJoin" in plan_text(blocked, "simple")
+        hinted = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=60, chunk="day"))
+        assert "BroadcastHashJoin" in plan_text(hinted, "simple")  # proven small: broadcast despite -1
+        _same(hinted, blocked, ["event_type", "ts_hour", "ret_1h", "ma_close_12h", "vol_24h"])
         plain = add_indicators(bars, keys=["event_type"], layout=PARTITIONED)
         _same(blocked, plain, ["event_type", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h"])
     finally:

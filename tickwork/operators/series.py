@@ -91,9 +91,12 @@ class Layout:
     short. ``chunk`` is one of hour/day/week/month/quarter/year; the order
     column must be a timestamp or date. ``materialize=False`` skips the
     Parquet write when the input is cheap to recompute. ``adaptive`` (keyed
-    series only): one small job counts rows per key on the materialised input;
-    when no series exceeds ``block_rows``, plain ``partitionBy(keys)`` windows
-    are exact and already bounded, and the chunk table is skipped.
+    series only): the chunk table is written once and one tiny job reads the
+    longest series off it; when no series exceeds ``block_rows``, plain ``partitionBy(keys)`` windows
+    are exact and already bounded, and the join is skipped. The same job
+    measures the chunk table (rows x widest key); under ``broadcast_bytes`` it
+    is broadcast explicitly, above it the join is left to Spark (a shuffle
+    join unless AQE measures it small enough).
     """
 
     blocked: bool = True
@@ -101,6 +104,7 @@ class Layout:
     chunk: str = "month"
     materialize: bool = True
     adaptive: bool = True
+    broadcast_bytes: int = 64 * 1024 * 1024
 
     def __post_init__(self) -> None:
         if self.block_rows < 1:
@@ -242,13 +246,21 @@ def with_series_columns(
         return _add(df, columns, _specs(df, keys, order, tiebreak))
 
     src = materialize(df) if layout.materialize else df
-    if keys and layout.adaptive and _longest_series(src, keys) <= layout.block_rows:
-        # size-checked: every window partition holds at most block_rows rows
-        return _add(src, columns, _specs(src, keys, order, tiebreak))
     chunked = src.withColumn(_CHUNK, chunk_of(src, order, layout.chunk))
     plan = chunk_blocks(chunked, keys, back, ahead, max(layout.block_rows, 1))
+    small_plan = False
+    if keys:
+        # The chunk table is small: write it once and measure it exactly (one tiny job, three scalars).
+        plan = materialize(plan, "chunks")
+        longest, plan_rows, key_bytes = _plan_stats(plan, keys)
+        if layout.adaptive and longest <= layout.block_rows:
+            # size-checked: every window partition holds at most block_rows rows
+            return _add(src, columns, _specs(src, keys, order, tiebreak))
+        small_plan = plan_rows * (key_bytes + _PLAN_ROW_BYTES) <= layout.broadcast_bytes
     alias = {k: f"_tw_k{i}" for i, k in enumerate([*keys, _CHUNK])}
     plan = plan.select(*[F.col(k).alias(a) for k, a in alias.items()], _HOME, _BLK)
+    if small_plan:
+        plan = F.broadcast(plan)
     cond = [chunked[k].eqNullSafe(plan[a]) for k, a in alias.items()]
     spread = chunked.join(plan, cond, "inner").drop(*alias.values(), _CHUNK)
     # Hash the rows by block explicitly: whichever join strategy AQE picks, the
@@ -258,10 +270,16 @@ def with_series_columns(
     return _add(spread, columns, specs).filter(F.col(_BLK) == F.col(_HOME)).drop(_BLK, _HOME)
 
 
-def _longest_series(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the longest series (one small aggregate over the key columns; a scalar to the driver)."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row["m"] or 0)
+# Fixed per-row bytes of a chunk-table row besides the keys: chunk, two block ids, row overhead.
+_PLAN_ROW_BYTES = 64
+
+
+def _plan_stats(plan: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
+    """(rows of the longest series, rows of the chunk table, widest key in bytes) of a chunk table."""
+    width = [F.octet_length(F.col(k)) if dict(plan.dtypes)[k] in ("string", "binary") else F.lit(8) for k in keys]
+    row = plan.agg(F.max(_CA).alias("m"), F.count(F.lit(1)).alias("n"),
+                   F.max(sum(width[1:], width[0])).alias("w")).first()
+    return int(row["m"] or 0), int(row["n"] or 0), int(row["w"] or 0)
 
 
 def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], specs: Specs) -> DataFrame:
@@ -271,7 +289,8 @@ def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], specs: Spe
 
 
 def chunk_blocks(chunked: DataFrame, keys: Sequence[str], back: int, ahead: int, block_rows: int) -> DataFrame:
-    """Small table ``(*keys, _chunk, home block, target block)``: one row per block a chunk is sent to.
+    """Small table ``(*keys, _chunk, rows so far, home block, target block)``: one row per block a chunk
+    is sent to.
 
     One window pass over the per-chunk counts: running offsets give each
     chunk its home block (``rows before it div block_rows``); the block ids of
@@ -302,4 +321,4 @@ def chunk_blocks(chunked: DataFrame, keys: Sequence[str], back: int, ahead: int,
         near = F.filter("_tw_prv", lambda x: F.col(_CB) - x["e"] < ahead)
         parts.append(F.transform(near, lambda x: x["h"]))
     targets = F.array_distinct(F.concat(*parts)) if len(parts) > 1 else parts[0]
-    return c.select(*keys, _CHUNK, _HOME, F.explode(targets).alias(_BLK))
+    return c.select(*keys, _CHUNK, _CA, _HOME, F.explode(targets).alias(_BLK))
