@@ -169,3 +169,15 @@ def test_adaptive_keyed_layout_skips_blocks_only_when_every_series_fits(spark):
     cols = ["event_type", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h"]
     _same(fits, long, cols)
     _same(forced, long, cols)
+
+
+def test_plan_stats_measure_the_chunk_table(spark):
+    from tickwork.operators.series import _CHUNK, _plan_stats, chunk_blocks, chunk_of
+
+    data = [("aa", i) for i in range(30)] + [("bbbbb", i) for i in range(5)]
+    df = spark.createDataFrame(data, "k string, i int").withColumn("ts_hour", F.expr("timestamp_seconds(i * 3600)"))
+    chunked = df.withColumn(_CHUNK, chunk_of(df, "ts_hour", "day"))
+    plan = chunk_blocks(chunked, ["k"], back=3, ahead=1, block_rows=10)
+    longest, n, width = _plan_stats(plan, ["k"])
+    assert longest == 30 and width == 5
+    assert n == plan.count() and n >= 3  # 30 hourly rows span two days -> at least one row per chunk
