@@ -516,8 +516,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_feature_dataset(spark, SF_SMOKE)
 
 
+def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and oracles of the training-data subpackage and its pipeline; none where those aren't installed."""
+    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    oracles: dict[str, str] = {}
+    try:
+        from tickwork.llm import queries as llm
+
+        found, oracles = dict(llm.QUERIES), dict(llm.ORACLES)
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ImportError:
+        pass
+    return found, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _llm()[0]
 
 
 # ====================================================================== oracle SQL (DuckDB)
@@ -753,4 +771,4 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query; the trained-model queries (train_*, model_roundtrip) have none (rows-only)."""
-    return dict(_ORACLE)
+    return _ORACLE | _llm()[1]
