@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm import langid, packing, token_counts
+from tickwork.llm import langid, packing, quality, secret_scan, simhash, token_counts
 from tickwork.llm.common import held_out, table
 
 TOKEN_LIMIT = 512
@@ -21,6 +21,14 @@ def op1_language_id(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op2_secret_scans(spark, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
+    return quality.rate_quality(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -30,5 +38,9 @@ def op7_token_counts(spark, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
-QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op5_best_fit_packing, op7_token_counts)}
+def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op4_quality_rules, op5_best_fit_packing, op7_token_counts, op9_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
