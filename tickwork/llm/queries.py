@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm import langid, packing, quality, secret_scan, simhash, token_counts
+from tickwork.llm import decontaminate, langid, packing, quality, secret_scan, simhash, token_counts
 from tickwork.llm.common import held_out, table
 
 TOKEN_LIMIT = 512
@@ -38,9 +38,28 @@ def op7_token_counts(spark, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
+    """One row per document that holds benchmark passages: the smallest item found and the most words equal in place."""
+    found = decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id").agg(F.min("item_id").alias("item_id"), F.max("n_equal").alias("n_equal"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
-QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op4_quality_rules, op5_best_fit_packing, op7_token_counts, op9_simhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op4_quality_rules, op5_best_fit_packing, op7_token_counts, op8_benchmark_decontamination, op9_simhash_near_dedup)}
+#: Windows of thirteen words, eleven of them equal in place: one of three parts of the window is then equal as a whole.
+_WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
+_OP8 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+dw AS (SELECT doc_id, i, w[i:i + 12] AS win FROM d, range(1, len(w) - 11) t(i)),
+bw AS (SELECT item_id, w[i:i + 12] AS win, i FROM b, range(1, len(w) - 11) t(i)),
+parts(p, a, z) AS (VALUES (0, 1, 4), (1, 5, 8), (2, 9, 13)),
+dp AS (SELECT doc_id, win, p, win[a:z] AS part FROM dw, parts),
+bp AS (SELECT item_id, win, p, win[a:z] AS part FROM bw, parts),
+hit AS (SELECT doc_id, item_id, list_sum(list_transform(range(1, 14), lambda k: CAST(dp.win[k] = bp.win[k] AS INTEGER))) AS n
+        FROM dp JOIN bp USING (p, part))
+SELECT doc_id, min(item_id) AS item_id, CAST(max(n) AS INTEGER) AS n_equal FROM hit WHERE n >= 11 GROUP BY doc_id"""
+
+ORACLES: dict[str, str] = {"op8_benchmark_decontamination": _OP8}
