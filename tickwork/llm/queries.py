@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm import decontaminate, langid, packing, quality, secret_scan, simhash, token_counts
+from tickwork.llm import decontaminate, langid, packing, quality, secret_scan, simhash, token_counts, warc
 from tickwork.llm.common import held_out, table
+from tickwork.sinks.scratch import scratch_path
 
 TOKEN_LIMIT = 512
 
@@ -33,6 +34,12 @@ def op5_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_warc(spark, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"), folder), folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
@@ -48,7 +55,7 @@ def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
-QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op4_quality_rules, op5_best_fit_packing, op7_token_counts, op8_benchmark_decontamination, op9_simhash_near_dedup)}
+QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op4_quality_rules, op5_best_fit_packing, op6_warc, op7_token_counts, op8_benchmark_decontamination, op9_simhash_near_dedup)}
 #: Windows of thirteen words, eleven of them equal in place: one of three parts of the window is then equal as a whole.
 _WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
 _OP8 = f"""
@@ -62,4 +69,12 @@ hit AS (SELECT doc_id, item_id, list_sum(list_transform(range(1, 14), lambda k:
         FROM dp JOIN bp USING (p, part))
 SELECT doc_id, min(item_id) AS item_id, CAST(max(n) AS INTEGER) AS n_equal FROM hit WHERE n >= 11 GROUP BY doc_id"""
 
-ORACLES: dict[str, str] = {"op8_benchmark_decontamination": _OP8}
+_OP6 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM f"""
+
+ORACLES: dict[str, str] = {"op6_warc": _OP6, "op8_benchmark_decontamination": _OP8}
