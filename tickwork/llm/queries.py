@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm import decontaminate, langid, packing, quality, secret_scan, simhash, token_counts, warc
+from tickwork.llm import decontaminate, html_extract, langid, packing, quality, secret_scan, simhash, token_counts, warc
 from tickwork.llm.common import held_out, table
 from tickwork.sinks.scratch import scratch_path
 
@@ -26,6 +26,10 @@ def op2_secret_scans(spark, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
     return quality.rate_quality(table(spark, sf_dir, "documents"))
 
@@ -55,7 +59,7 @@ def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
-QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op4_quality_rules, op5_best_fit_packing, op6_warc, op7_token_counts, op8_benchmark_decontamination, op9_simhash_near_dedup)}
+QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op3_html_extraction, op4_quality_rules, op5_best_fit_packing, op6_warc, op7_token_counts, op8_benchmark_decontamination, op9_simhash_near_dedup)}
 #: Windows of thirteen words, eleven of them equal in place: one of three parts of the window is then equal as a whole.
 _WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
 _OP8 = f"""
@@ -69,12 +73,13 @@ hit AS (SELECT doc_id, item_id, list_sum(list_transform(range(1, 14), lambda k:
         FROM dp JOIN bp USING (p, part))
 SELECT doc_id, min(item_id) AS item_id, CAST(max(n) AS INTEGER) AS n_equal FROM hit WHERE n >= 11 GROUP BY doc_id"""
 
+#: refers_to is cast because pandas turns Spark's nullable long into a double.
 _OP6 = """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+       CAST(CASE WHEN n >= 100 AND page_id > first THEN first END AS DOUBLE) AS refers_to
 FROM f"""
 
 ORACLES: dict[str, str] = {"op6_warc": _OP6, "op8_benchmark_decontamination": _OP8}
