@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm import decontaminate, html_extract, langid, packing, quality, secret_scan, simhash, token_counts, warc
+from tickwork.llm import decontaminate, html_extract, langid, packing, quality, secret_scan, simhash, substring_dedup, token_counts, warc
 from tickwork.llm.common import held_out, table
 from tickwork.sinks.scratch import scratch_path
 
@@ -59,7 +59,11 @@ def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
-QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op3_html_extraction, op4_quality_rules, op5_best_fit_packing, op6_warc, op7_token_counts, op8_benchmark_decontamination, op9_simhash_near_dedup)}
+def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (op1_language_id, op2_secret_scans, op3_html_extraction, op4_quality_rules, op5_best_fit_packing, op6_warc, op7_token_counts, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_substring_dedup)}
 #: Windows of thirteen words, eleven of them equal in place: one of three parts of the window is then equal as a whole.
 _WORDS = "list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
 _OP8 = f"""
