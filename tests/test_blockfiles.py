@@ -1,3 +1,4 @@
+import io
 import os
 import struct
 
@@ -7,10 +8,10 @@ from conftest import rows
 
 from tickwork.operators import hourly_block_stats, total_blocks
 from tickwork.sinks import scratch_path
-from tickwork.sinks.blockfiles import encode_block, encode_varint, write_block_files
+from tickwork.sinks.blockfiles import encode_block, encode_count, write_block_files
 from tickwork.sinks.scratch import local_fs_path
 from tickwork.sources import read_block_files
-from tickwork.sources.blockfiles import MAGICS, read_varint, walk_frames
+from tickwork.sources.blockfiles import MAGICS, frame_heads
 
 
 def _folder(spark, files: dict[str, bytes]) -> str:
@@ -28,11 +29,50 @@ def _frame(payload: bytes, magic: bytes = MAGICS[0]) -> bytes:
     return magic + struct.pack("<I", len(payload)) + payload
 
 
-def test_g25_varint_widths():
+def _heads(body: bytes):
+    return list(frame_heads(io.BytesIO(body), len(body)))
+
+
+def test_g25_count_widths():
     for first, n, width in [(0xFC, 0xFC, 1), (0xFD, 0x1234, 3), (0xFE, 0x12345678, 5), (0xFF, 0x1234567890, 9)]:
-        enc = encode_varint(n)
+        enc = encode_count(n)
         assert enc[0] == first and len(enc) == width
-        assert read_varint(enc, 0) == (n, width)
+        assert _heads(encode_block(9, n) + encode_block(10, 1)) == [(9, n), (10, 1)]
+
+
+def test_count_cut_off_by_its_payload_is_skipped():
+    assert _heads(_frame(bytes(80) + b"\xfd\x01") + encode_block(7, 3)) == [(7, 3)]
+    assert _heads(_frame(bytes(80) + b"\xfd\x01\x01")) == [(0, 257)]
+
+
+def test_payloads_are_not_read():
+    body = b"".join(_frame(encode_block(k, k)[8:] + bytes(100_000)) for k in range(5))
+
+    class Counting(io.BytesIO):
+        n = 0
+
+        def read(self, size=-1):
+            part = super().read(size)
+            Counting.n += len(part)
+            return part
+
+    assert list(frame_heads(Counting(body), len(body))) == [(k, k) for k in range(5)]
+    assert Counting.n <= 5 * 97
+
+
+@pytest.mark.parametrize("method", ["binaryFile", "stream"])
+def test_largest_counts_are_kept(spark, method):
+    body = encode_block(1600000000, (1 << 64) - 1)
+    (r,) = read_block_files(spark, _folder(spark, {"blk00000.dat": body}), method=method).collect()
+    assert int(r["tx_count"]) == (1 << 64) - 1
+
+
+@pytest.mark.parametrize("method", ["binaryFile", "stream"])
+def test_folder_without_block_files_and_missing_folder(spark, method):
+    path = _folder(spark, {"other.txt": b"x"})
+    assert read_block_files(spark, path, method=method).count() == 0
+    with pytest.raises(Exception, match="(?i)not found|no such|non-existent|does not exist|cannot list"):
+        read_block_files(spark, path + "-missing", method=method).count()
 
 
 @pytest.mark.parametrize("method", ["binaryFile", "stream"])
@@ -44,12 +84,12 @@ def test_g22_two_blocks_then_zero_padding(spark, method):
 
 def test_g23_short_payload_is_skipped(spark):
     body = encode_block(1600000000, 5) + _frame(bytes(80)) + encode_block(1600000100, 7)
-    assert list(walk_frames(body)) == [(1600000000, 5), (1600000100, 7)]
+    assert _heads(body) == [(1600000000, 5), (1600000100, 7)]
 
 
 def test_g24_truncated_last_frame_is_ignored(spark):
     body = encode_block(1600000000, 5) + encode_block(1600003600, 7)[:-3]
-    assert list(walk_frames(body)) == [(1600000000, 5)]
+    assert _heads(body) == [(1600000000, 5)]
 
 
 def test_stream_reader_packs_small_files(spark):

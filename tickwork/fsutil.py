@@ -18,3 +18,11 @@ def pyarrow_filesystem(uri: str):
 
     local = local_fs_path(uri)
     return fs.FileSystem.from_uri(local) if "://" in local else (fs.LocalFileSystem(), local)
+
+
+def qualified(spark, path: str) -> str:
+    """``path`` as Spark itself resolves it: without a scheme it belongs to the session's default file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    place = hadoop.Path(path)
+    return place.getFileSystem(conf).makeQualified(place).toString()

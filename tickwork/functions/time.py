@@ -36,6 +36,27 @@ def bucket_start(c: str | Column, size: str = "1 hour") -> Column:
     return F.window(_col(c), size).start
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
+
+
+def interval_seconds(size: str) -> int:
+    """``'5 minutes'`` -> 300 (units second/minute/hour/day/week, singular or plural)."""
+    num, unit = size.strip().split()
+    return int(float(num) * _SECONDS[unit.lower().rstrip("s")])
+
+
+def bucket_floor(c: str | Column, size: str = "1 hour", *, ntz: bool) -> Column:
+    """:func:`bucket_start` as plain arithmetic: rows without a time stay, with a NULL bucket.
+
+    Weeks begin on the epoch's weekday, as those of ``window`` do. ``ntz`` says whether ``c`` is a
+    ``TIMESTAMP_NTZ`` column (wall clock) or a ``TIMESTAMP`` (instant).
+    """
+    step = interval_seconds(size)
+    seconds = epoch_seconds_ntz(F.date_trunc("second", _col(c)).cast("timestamp_ntz")) if ntz else F.unix_seconds(_col(c))
+    start = F.floor(seconds / F.lit(step)) * F.lit(step)
+    return epoch_to_utc_ntz(start) if ntz else F.timestamp_seconds(start)
+
+
 def truncate_hour(c: str | Column) -> Column:
     """Calendar truncation to the hour in the session zone (returns TIMESTAMP)."""
     return F.date_trunc("hour", _col(c))

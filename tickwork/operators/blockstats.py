@@ -20,7 +20,7 @@ def hourly_block_stats(blocks: DataFrame, *, ts: str = "block_time", tx: str = "
     hour = bucket_start(epoch_to_utc_ntz(ts), "1 hour").alias("_tw_hour")
     return (
         blocks.groupBy(hour)
-        .agg(F.count(F.lit(1)).alias("block_count"), F.sum(F.col(tx).cast("bigint")).alias("tx_count_hour"))
+        .agg(F.count(F.lit(1)).alias("block_count"), F.sum(F.col(tx).cast("decimal(20,0)")).alias("tx_count_hour"))
         .select(
             hour_text("_tw_hour").alias("timestamp"),
             "block_count",

@@ -49,6 +49,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickwork.functions.time import interval_seconds
+
 
 
 
@@ -117,15 +119,6 @@ PARTITIONED = Layout(blocked=False)
 # Chunk units (see chunk_of), with their longest length in seconds.
 _CHUNK_UNITS = (("hour", 3600), ("day", 86400), ("week", 7 * 86400), ("month", 31 * 86400),
                 ("year", 366 * 86400))
-_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
-
-
-def interval_seconds(size: str) -> int:
-    """``'5 minutes'`` -> 300 (units second/minute/hour/day/week, singular or plural)."""
-    num, unit = size.strip().split()
-    return int(float(num) * _SECONDS[unit.lower().rstrip("s")])
-
-
 def layout_for_bar_size(size: str, min_rows: int = 256, **kw) -> Layout:
     """Blocked layout whose count chunks hold about ``min_rows`` bars or more (e.g. month for hourly bars,
     year for daily bars), so the chunk-count table stays small and each chunk is a bounded group."""

@@ -20,24 +20,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.fsutil import local_fs_path
-from tickwork.sources.blockfiles import HEADER_LEN, MAGICS, TIME_OFFSET, VARINT_U16, VARINT_U32, VARINT_U64
+from tickwork.fsutil import pyarrow_filesystem, qualified
+from tickwork.sources.blockfiles import COUNT_WIDTHS, HEADER_LEN, MAGICS, TIME_OFFSET
 
 
-def encode_varint(n: int) -> bytes:
-    if n < VARINT_U16:
+def encode_count(n: int) -> bytes:
+    """A count in one byte, or a marker and the narrowest width that holds it."""
+    if n < min(COUNT_WIDTHS):
         return bytes([n])
-    if n <= 0xFFFF:
-        return bytes([VARINT_U16]) + struct.pack("<H", n)
-    if n <= 0xFFFFFFFF:
-        return bytes([VARINT_U32]) + struct.pack("<I", n)
-    return bytes([VARINT_U64]) + struct.pack("<Q", n)
+    marker, width = next((m, w) for m, w in COUNT_WIDTHS.items() if n < 1 << 8 * w)
+    return bytes([marker]) + n.to_bytes(width, "little")
 
 
 def encode_block(block_time: int, tx_count: int, magic: bytes = MAGICS[0]) -> bytes:
     header = bytearray(HEADER_LEN)
     struct.pack_into("<I", header, TIME_OFFSET, block_time)
-    payload = bytes(header) + encode_varint(tx_count)
+    payload = bytes(header) + encode_count(tx_count)
     return magic + struct.pack("<I", len(payload)) + payload
 
 
@@ -45,29 +43,27 @@ def write_block_files(
     df: DataFrame, path: str, *, ts: str = "block_time", tx: str = "tx_count", rows_per_file: int = 2000,
     padding: int = 64,
 ) -> DataFrame:
-    """Write ``blk<split><batch><slice>.dat`` files under ``path``; returns the manifest ``(file, n_blocks)``.
+    """Write ``blk<split>-<batch>-<slice>.dat`` files under ``path``; returns the manifest ``(file, n_blocks)``.
 
     ``padding`` zero bytes end each file, as in preallocated block files; the
     decoder stops at them. The write runs immediately; the manifest is stored
     next to ``path``.
     """
-    from pyarrow import fs  # task-side import
-
-    root = local_fs_path(path)
     spark = df.sparkSession
+    root = qualified(spark, path)
 
     def write_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
         pid, attempt = ctx.partitionId(), ctx.attemptNumber()
-        filesystem, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        filesystem, base = pyarrow_filesystem(root)
         filesystem.create_dir(base, recursive=True)
         names, counts = [], []
         for b, pdf in enumerate(batches):
             for k, lo in enumerate(range(0, len(pdf), rows_per_file)):
                 part = pdf.iloc[lo:lo + rows_per_file]
-                name = f"blk{pid:05d}{b:04d}{k:03d}.dat"
+                name = f"blk{pid:05d}-{b:04d}-{k:03d}.dat"  # separators: wider numbers never run into each other
                 body = b"".join(encode_block(int(t), int(x)) for t, x in zip(part[ts], part[tx])) + bytes(padding)
                 tmp = f"{base}/_tmp_{name}.{attempt}"  # concurrent (speculative) attempts never share it
                 with filesystem.open_output_stream(tmp) as out:

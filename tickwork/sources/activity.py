@@ -7,9 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import TimestampNTZType
 
-from tickwork.functions.time import bucket_start
+from tickwork.functions.time import bucket_floor
 
 log = logging.getLogger(__name__)
 
@@ -18,39 +18,32 @@ TIME_CANDIDATES = ("ts_hour", "timestamp", "ts", "date", "datetime")
 
 
 def detect_time_column(columns: Sequence[str], candidates: Sequence[str] = TIME_CANDIDATES) -> str:
-    """First candidate present (case-insensitive); ``ValueError`` naming the columns otherwise."""
-    lower = {c.lower(): c for c in columns}
-    for cand in candidates:
-        if cand in lower:
-            return lower[cand]
-    raise ValueError(f"No timestamp column found in activity data. Available columns: {list(columns)}")
+    """The column with the best-ranked candidate name, in any case; ``ValueError`` if there is none."""
+    rank = {name: k for k, name in enumerate(candidates)}
+    known = [c for c in columns if c.lower() in rank]
+    if not known:
+        raise ValueError(f"none of {', '.join(candidates)} among the activity columns {', '.join(columns)}")
+    return min(reversed(known), key=lambda c: rank[c.lower()])
 
 
 def align_activity(df: DataFrame, *, ts_col: str | None = None, size: str = "1 hour") -> DataFrame:
-    """P5: add (or replace) ``ts_hour`` = bucket start of the detected time column.
+    """P5: add (or replace) ``ts_hour`` = start of the ``size`` bucket of the detected time column.
 
-    Text time columns are cast to a session-zone timestamp; timestamp columns
-    keep their type. The bucket is the same ``window`` expression the bars use,
-    so both join sides meet in every time zone.
+    Text and date columns are read as session-zone timestamps; timestamp columns
+    keep their type. Buckets are aligned to the epoch like those of the bars, so
+    both join sides meet in every time zone. Rows without a time keep a NULL bucket.
     """
     col = ts_col or detect_time_column(df.columns)
     log.info("activity time column: %s", col)
-    t = F.col(f"`{col}`")
-    if isinstance(df.schema[col].dataType, StringType):
+    kind, t = df.schema[col].dataType, F.col(f"`{col}`")
+    if not isinstance(kind, TimestampNTZType):
         t = t.cast("timestamp")
-    return df.withColumn("ts_hour", bucket_start(t, size))
+    return df.withColumn("ts_hour", bucket_floor(t, size, ntz=isinstance(kind, TimestampNTZType)))
 
 
-def load_activity(
-    spark: SparkSession, path: str | None, *, ts_col: str | None = None, size: str = "1 hour"
-) -> DataFrame | None:
-    """S3 + S4: Parquet activity table aligned to ``ts_hour``; no path -> ``None`` (join skipped)."""
+def load_activity(spark: SparkSession, path: str | None, *, ts_col: str | None = None, size: str = "1 hour") -> DataFrame | None:
+    """S3 + S4: the Parquet activity table aligned to ``ts_hour``, or ``None`` without a path (no join then)."""
     if not path:
         log.warning("no activity path given; activity features skipped")
         return None
-    try:
-        df = spark.read.parquet(path)
-    except Exception:
-        log.error("failed to read activity parquet at %s", path)
-        raise
-    return align_activity(df, ts_col=ts_col, size=size)
+    return align_activity(spark.read.parquet(path), ts_col=ts_col, size=size)

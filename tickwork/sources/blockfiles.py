@@ -1,18 +1,20 @@
 """Raw block-file source.
 
-A block file is a sequence of frames: 4 magic bytes (main or test network),
-a little-endian uint32 payload size, then the payload. The payload starts with
-an 80-byte header (uint32 LE epoch seconds at offset 68) followed by a
-variable-length transaction count. A file ends at EOF, at a wrong magic (the
-zero padding of preallocated files) or at a frame shorter than its size field;
-a payload under 81 bytes is skipped and the walk goes on.
-
-Spark plan: ``binaryFile`` (one row per file, only ``path`` and ``content``
-read) -> ``mapInPandas`` that walks the frames of each file in an Arrow batch
--> ``(path, block_time, tx_count)`` rows; or, with ``method="stream"``, the
-:class:`BlockFileSource` Python data source that reads frame by frame. One task per file split is the unit of
-parallelism; a corrupt tail ends only its own file. Everything after the
-decode (hourly statistics, joins) is plain DataFrame work.
+A block file is a row of frames: 4 magic bytes (main or test network), a
+little-endian uint32 payload size, then the payload, which begins with an
+80-byte header (uint32 epoch seconds at offset 68) and a variable-length
+transaction count. A file ends at a wrong magic (the zero padding of
+preallocated files), or where a frame would reach past the end of the file; a
+payload too short for header and count gives no row.
+
+Only the first 97 bytes of a frame matter. ``method="stream"`` (default) is the
+Python data source :class:`BlockFileSource`: it opens each file for random
+access, reads those bytes and seeks to the next frame, so the payloads, nearly
+all of the data, are never read. ``method="binaryFile"`` is Spark's
+``binaryFile`` source with ``mapInPandas`` over whole files, for paths that only
+Spark's file systems can open. Either way one task per group of files, and a
+damaged tail ends only its own file. Everything after the decode (hourly
+statistics, joins) is plain DataFrame work.
 """
 
 from __future__ import annotations
@@ -21,107 +23,76 @@ import fnmatch
 import io
 import struct
 from collections.abc import Iterator
+from decimal import Decimal
+from itertools import islice
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tickwork.fsutil import pyarrow_filesystem
+from tickwork.fsutil import pyarrow_filesystem, qualified
 
-# Network magics, header length, time offset, varint markers.
+# Network magics, header length, time offset, markers of longer counts and their widths.
 MAGICS = (b"\xf9\xbe\xb4\xd9", b"\x0b\x11\x09\x07")
 HEADER_LEN = 80
 TIME_OFFSET = 68
-VARINT_U16, VARINT_U32, VARINT_U64 = 0xFD, 0xFE, 0xFF
+COUNT_WIDTHS = {0xFD: 2, 0xFE: 4, 0xFF: 8}
 
-BLOCK_SCHEMA = "path string, block_time bigint, tx_count bigint"
-_BATCH = 8192  # blocks per Arrow batch yielded by the streaming reader
-_INT64_MAX = (1 << 63) - 1
+# What matters of a frame: magic, payload size, time, first byte of the count, the bytes that may follow it.
+FRAME_HEAD = f"<4sI{TIME_OFFSET}xI{HEADER_LEN - TIME_OFFSET - 4}xB8s"
+HEAD_LEN = struct.calcsize(FRAME_HEAD)
+FRAME_PREFIX = 8
 
+BLOCK_SCHEMA = "path string, block_time bigint, tx_count decimal(20,0)"
+_BATCH = 8192  # blocks per Arrow batch
 
-def read_varint(buf: bytes, pos: int) -> tuple[int, int]:
-    """Variable-length integer at ``pos`` -> (value, bytes used): 1, 3, 5 or 9 bytes."""
-    first = buf[pos]
-    if first < VARINT_U16:
-        return first, 1
-    if first == VARINT_U16:
-        return struct.unpack_from("<H", buf, pos + 1)[0], 3
-    if first == VARINT_U32:
-        return struct.unpack_from("<I", buf, pos + 1)[0], 5
-    return struct.unpack_from("<Q", buf, pos + 1)[0], 9
 
+def frame_heads(file, length: int) -> Iterator[tuple[int, int]]:
+    """(epoch seconds, transaction count) of each block in a seekable file of ``length`` bytes."""
+    end = 0
+    while end + FRAME_PREFIX <= length:
+        file.seek(end)
+        magic, size, seconds, count, more = struct.unpack(FRAME_HEAD, file.read(HEAD_LEN).ljust(HEAD_LEN, b"\0"))
+        end += FRAME_PREFIX + size
+        if magic not in MAGICS or end > length:
+            break
+        width = COUNT_WIDTHS.get(count, 0)
+        if size > HEADER_LEN + width:
+            yield seconds, int.from_bytes(more[:width], "little") if width else count
 
-def block_header(payload: bytes) -> tuple[int, int]:
-    """(epoch seconds, transaction count) of one block payload; ``ValueError`` if too short."""
-    if len(payload) < HEADER_LEN + 1:
-        raise ValueError("block too short")
-    (ts,) = struct.unpack_from("<I", payload, TIME_OFFSET)
-    tx, _ = read_varint(payload, HEADER_LEN)
-    return ts, tx
 
+def _arrow_batches(path: str, heads: Iterator[tuple[int, int]]):
+    """Arrow batches of ``BLOCK_SCHEMA`` with at most ``_BATCH`` blocks of one file."""
+    import pyarrow as pa
 
-def walk_stream(read) -> Iterator[tuple[int, int]]:
-    """Yield ``(block_time, tx_count)`` per decodable frame, reading through ``read(n) -> bytes``.
+    schema = pa.schema([("path", pa.string()), ("block_time", pa.int64()), ("tx_count", pa.decimal128(20, 0))])
+    while part := list(islice(heads, _BATCH)):
+        times, counts = zip(*part)
+        columns = [[path] * len(part), times, [Decimal(c) for c in counts]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    Holds one frame at a time: ends at EOF, at a wrong magic (zero padding)
-    or at a frame shorter than its size field; skips undecodable payloads.
-    """
-    while True:
-        head = read(8)
-        if len(head) < 8 or head[:4] not in MAGICS:
-            return
-        (size,) = struct.unpack_from("<I", head, 4)
-        payload = read(size)
-        if len(payload) < size:
-            return
-        try:
-            yield block_header(payload)
-        except (ValueError, struct.error, IndexError):
-            pass
-
-
-def walk_frames(content: bytes) -> Iterator[tuple[int, int]]:
-    """:func:`walk_stream` over an in-memory file."""
-    return walk_stream(io.BytesIO(content).read)
-
-
-def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        paths, times, txs = [], [], []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            for ts, tx in walk_frames(bytes(content)):
-                paths.append(path)
-                times.append(ts)
-                txs.append(tx if tx <= _INT64_MAX else None)
-        if not paths:
-            continue
-        yield pd.DataFrame(
-            {"path": paths, "block_time": pd.array(times, dtype="Int64"), "tx_count": pd.array(txs, dtype="Int64")}
-        )
-
-
-def read_block_files(spark: SparkSession, path: str, *, glob: str = "blk*.dat", method: str = "binaryFile") -> DataFrame:
-    """S6 + S7: decode every ``glob`` file under ``path`` (recursively).
-
-    Output ``path, block_time`` (epoch seconds), ``tx_count`` (NULL if it does
-    not fit a signed 64-bit integer). ``method="binaryFile"`` reads each file
-    whole (Spark's ``binaryFile`` source, files up to 2 GB) and decodes it in
-    ``mapInPandas``; ``method="stream"`` uses :class:`BlockFileSource`, which
-    reads each file frame by frame in the task.
+
+def _decode_files(batches):
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            raw = content.as_buffer()
+            yield from _arrow_batches(path, frame_heads(io.BytesIO(raw), raw.size))
+
+
+def read_block_files(spark: SparkSession, path: str, *, glob: str = "blk*.dat", method: str = "stream") -> DataFrame:
+    """S6 + S7: decode every ``glob`` file under ``path`` (recursively) into ``path, block_time`` (epoch seconds),
+    ``tx_count`` (decimal: a count can be any unsigned 64-bit number).
+
+    A path without a scheme is one of the session's default file system with either ``method`` (see the module). A
+    folder without such files gives no rows, a missing folder an error.
     """
+    path = qualified(spark, path)
     if method == "stream":
         spark.dataSource.register(BlockFileSource)
         return spark.read.format(BlockFileSource.name()).option("pathGlobFilter", glob).load(path)
     if method != "binaryFile":
-        raise ValueError(f"method must be 'binaryFile' or 'stream', not {method!r}")
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "content")
-    )
-    return files.mapInPandas(_decode_batches, BLOCK_SCHEMA)
+        raise ValueError(f"method must be 'stream' or 'binaryFile', not {method!r}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    return files.select("path", "content").mapInArrow(_decode_files, BLOCK_SCHEMA)
 
 
 # ---------------------------------------------------------------- streaming reader (Python data source)
@@ -129,11 +100,9 @@ class BlockFileSource(DataSource):
     """``spark.read.format("blockfiles").option("pathGlobFilter", "blk*.dat").load(path)``.
 
     The driver lists the matching files (recursively) and packs them into
-    partitions of about ``maxPartitionBytes`` (default 128 MiB) -- one task per
-    large file, several small files per task. Each task opens its files
-    through ``pyarrow.fs`` (local or any shared filesystem URI) and walks the
-    frames with one block in memory at a time; a corrupt tail ends only its
-    own file.
+    partitions of about ``maxPartitionBytes`` (default 128 MiB): one task per
+    large file, several small files per task. Tasks open them through
+    ``pyarrow.fs`` (local or any shared file system URI).
     """
 
     @classmethod
@@ -157,40 +126,20 @@ class _BlockFileReader(DataSourceReader):
         from pyarrow import fs
 
         filesystem, base = pyarrow_filesystem(self.path)
-        infos = filesystem.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True))
-        files = sorted((i.path, i.size or 0) for i in infos
-                       if i.type == fs.FileType.File and fnmatch.fnmatch(i.base_name, self.glob))
-        groups, current, size = [], [], 0
-        for p, n in files:
-            if current and size + n > self.target:
-                groups.append(current)
-                current, size = [], 0
-            current.append(p)
+        found = filesystem.get_file_info(fs.FileSelector(base, recursive=True))  # raises where there is no such folder
+        files = sorted((i.path, i.size or 0) for i in found if i.is_file and fnmatch.fnmatch(i.base_name, self.glob))
+        groups: list[list[str]] = [[]]
+        size = 0
+        for name, n in files:
+            if groups[-1] and size + n > self.target:
+                groups.append([])
+                size = 0
+            groups[-1].append(name)
             size += n
-        if current:
-            groups.append(current)
-        return [InputPartition(g) for g in groups]
+        return [InputPartition(g) for g in groups]  # one at least: Spark reads without a partition otherwise
 
     def read(self, partition):
-        """Arrow record batches of at most ``_BATCH`` blocks (one frame in memory while walking)."""
-        import pyarrow as pa
-
         filesystem, _ = pyarrow_filesystem(self.path)
-        schema = pa.schema([("path", pa.string()), ("block_time", pa.int64()), ("tx_count", pa.int64())])
-
-        def batch(p, times, txs):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p] * len(times), pa.string()), pa.array(times, pa.int64()), pa.array(txs, pa.int64())],
-                schema=schema)
-
-        for p in partition.value:
-            times, txs = [], []
-            with filesystem.open_input_stream(p) as f:
-                for ts, tx in walk_stream(f.read):
-                    times.append(ts)
-                    txs.append(tx if tx <= _INT64_MAX else None)
-                    if len(times) >= _BATCH:
-                        yield batch(p, times, txs)
-                        times, txs = [], []
-            if times:
-                yield batch(p, times, txs)
+        for name in partition.value:
+            with filesystem.open_input_file(name) as file:
+                yield from _arrow_batches(name, frame_heads(file, file.size()))
