@@ -140,12 +140,13 @@ def train_model(train: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
 def language_column(spark, model: Model, text: Column) -> Column:
     """struct(lang_pred, score) of each text by the broadcast model."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.langs, model.prior, model.weights, model.bits))  # values that need no package to read
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        here = Model(*shared.value)
         for t in batches:
-            langs, score = shared.value.predict(t.tolist())
+            langs, score = here.predict(t.tolist())
             yield pd.DataFrame({"lang_pred": langs, "score": score})
 
     return predict(text)
