@@ -22,6 +22,7 @@ an empty table; further columns are left out. Texts are never cut short.
 from __future__ import annotations
 
 import random
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -33,45 +34,87 @@ from pyspark.sql import functions as F
 
 from tickwork.llm.common import batch_of, renamed, text_chunks, written
 
-#: Words whose ids a worker keeps (about 250 bytes each).
+#: Words whose ids a worker keeps (about 200 bytes each), twice: those used since the last turn, and before.
 CACHE = 500_000
 
+#: ASCII marks other than the apostrophe, with which contractions begin.
+MARKS = string.punctuation.replace("'", "")
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 class WordEncoder:
-    """Ids of texts by a vocabulary whose words never hold white space: each distinct word is encoded once."""
+    """Ids of texts by a vocabulary whose words never hold white space: each distinct word is encoded once.
+
+    Words of letters make exactly one word of the vocabulary's pattern, so all new ones of a batch are encoded in one
+    call and its ids are cut where a word ends; others are encoded one by one.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode_letters(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(cuts) != len(words):
+            return self.encode(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
     @staticmethod
     def split(word: str) -> tuple[str, str]:
-        """A word of letters and the full stop or comma after it, which the vocabulary's pattern splits off."""
-        core, end = (word[:-1], word[-1]) if len(word) > 1 and word[-1] in ".," and word[:-1].isalpha() else (word, "")
-        return (core.lower() if core.isascii() and core.isalpha() else core), end
+        """A word of letters, in lower case if that is plain, and the marks after it, which the pattern splits off together."""
+        core = word.rstrip(MARKS)
+        if not core or not WordEncoder.plain(core):
+            return word, ""
+        return (core.lower() if core.isascii() else core), word[len(core) :]
+
+    @staticmethod
+    def plain(word: str) -> bool:
+        """Letters of the Latin script, but not the dotted capital I: they stay one word when they are normalised."""
+        return word.isalpha() and max(word) < "\u0250" and "\u0130" not in word
+
+    def learn(self, words: set[str]) -> None:
+        """Have the ids of ``words`` in ``seen``."""
+        seen, older = self.seen, self.older
+        parts = {}
+        for w in words:
+            known = older.get(w)
+            if known is None:
+                parts[w] = self.split(w)
+            else:
+                seen[w] = known
+        cores = {core for core, _ in parts.values()}
+        cores.update(end for _, end in parts.values() if end)
+        cores = {c for c in cores if c not in seen}
+        letters = list(filter(self.plain, cores))
+        seen.update(zip(letters, self.encode_letters(letters), strict=True))
+        other = list(cores.difference(letters))
+        seen.update(zip(other, self.encode(other), strict=True))
+        for w, (core, end) in parts.items():
+            seen[w] = seen[core] + seen[end] if end else seen[core]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.seen) > CACHE:
-            self.seen.clear()
-        seen = self.seen
+            self.seen, self.older = {}, self.seen
         # str.split() also splits at four control characters that aren't white space to the library
         words = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        new = {w for line in words if line for w in line if w not in seen}
-        parts = {w: self.split(w) for w in new}
-        cores = list({p for pair in parts.values() for p in pair if p and p not in seen})
-        seen.update(zip(cores, self.encode(cores), strict=True))
-        for w, (core, end) in parts.items():
-            seen[w] = seen[core] + seen[end] if end else seen[core]
-        return [self.encode([t])[0] if line is None else b"".join([seen[w] for w in line]) for t, line in zip(texts, words, strict=True)]
+        new = set().union(*filter(None, words)).difference(self.seen)
+        self.learn(new)
+        known = self.seen.__getitem__
+        return [self.encode([t])[0] if line is None else b"".join(map(known, line)) for t, line in zip(texts, words, strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -91,7 +134,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
         enc, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in text_chunks(texts):
+            for a, b in text_chunks(texts, 1 << 22):
                 rows: list[tuple] = []
                 for doc, raw in zip(ids[a:b], enc.ids(texts[a:b]), strict=True):
                     raw += end
