@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,6 +30,21 @@ def renamed(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*(df[source].alias(name) for name, source in cols.items()))
 
 
+T = TypeVar("T")
+
+
+def worker_state(key: str, make: Callable[[], T]) -> T:
+    """What ``make`` gave the first time in this worker process.
+
+    Functions travel to the workers by value, each time with globals of their own, so what should outlast a task (a
+    loaded vocabulary, words seen) is kept in a module that the process registers itself.
+    """
+    state = vars(sys.modules.setdefault("tickwork_worker_state", types.ModuleType("tickwork_worker_state")))
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 def text_chunks(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``limit`` characters each (one row at least), so scratch arrays stay small."""
     begin = size = 0

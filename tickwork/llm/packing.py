@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm.common import batch_of, renamed, text_chunks, written
+from tickwork.llm.common import batch_of, renamed, text_chunks, worker_state, written
 
 #: Words whose ids a worker keeps (about 200 bytes each), twice: those used since the last turn, and before.
 CACHE = 500_000
@@ -117,14 +117,9 @@ class WordEncoder:
         return [self.encode([t])[0] if line is None else b"".join(map(known, line)) for t, line in zip(texts, words, strict=True)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """One for each worker process and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return worker_state(f"words of {path}", lambda: WordEncoder(path))
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
