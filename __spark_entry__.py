@@ -23,11 +23,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickwork import tables
-from tickwork.functions.time import epoch_seconds_ntz
+from tickwork.functions.time import epoch_seconds_ntz, truncate_hour
 from tickwork.operators import (
     Layout,
     add_indicators,
@@ -38,7 +40,6 @@ from tickwork.operators import (
     hourly_block_stats,
     join_activity,
     lagged_returns,
-    layout_for_bar_size,
     log_returns,
     moving_averages,
     ohlcv_bars,
@@ -49,7 +50,8 @@ from tickwork.operators import (
     time_split,
     total_blocks,
 )
-from tickwork.plans import RunParams, build_features, class_share, metrics_frame, run, train_and_evaluate
+from tickwork.operators.series import materialize
+from tickwork.plans import RunParams, build_features, class_share, metrics_frame, run_config, train_and_evaluate
 from tickwork.plans.evaluate import accuracy, auc_roc
 from tickwork.plans.model import classifier_pipeline
 from tickwork.sinks import (
@@ -79,7 +81,8 @@ TRAIN_END, TEST_START = "2024-01-24", "2024-01-25"
 BAR_COLS = ["open_1h", "close_1h", "high_1h", "low_1h", "vol_1h", "volatility_1h"]
 NOISY_BAR = ["vol_1h", "volatility_1h"]
 NOISY_IND = ["ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ma_close_3h", "ma_close_12h", "vol_24h"]
-DAILY = layout_for_bar_size("1 day")  # count chunks of a year for daily bars
+DAY = {"size": "1 day"}
+ZERO = {"on_zero": "null"}  # a price of zero gives no return and no ratio; SQL says nullif
 
 
 def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
@@ -96,17 +99,17 @@ def _bars(spark, d, keyed=False):
 
 
 def _large_bars(spark, d):
-    return ohlcv_bars(tables.lineitem_ticks(spark, d), keys=["l_suppkey"], size="1 day",
-                      tiebreak=["l_orderkey", "l_linenumber"], out_ts="ts_day", suffix="_1d")
+    return ohlcv_bars(tables.lineitem_ticks(spark, d), keys=["l_suppkey"], size="1 day", out_ts="ts_day", suffix="_1d")
 
 
 def _activity(spark, d):
-    return tables.activity(spark, d)
+    """One event type: the join then meets hours without activity."""
+    return tables.activity(spark, d, "view")
 
 
-def _features(spark, d, keyed=False):
+def _features(spark, d, keyed=False, size="1 hour"):
     keys = ["event_type"] if keyed else []
-    return build_features(tables.ticks(spark, d, keyed), _activity(spark, d), keys=keys)
+    return build_features(tables.ticks(spark, d, keyed), _activity(spark, d), keys=keys, size=size, **ZERO)
 
 
 # ---------------------------------------------------------------- bars (A1)
@@ -128,13 +131,25 @@ def q_bars_15min(spark, d):
     return _round(out, ["vol_15m", "volatility_15m"])
 
 
+def q_bars_tied_ticks(spark, d):
+    """Ticks of whole minutes, many with equal times: the smallest opens, the largest closes."""
+    tied = tables.ticks(spark, d).withColumn("ts_raw", F.date_trunc("minute", "ts_raw").cast("timestamp_ntz"))
+    return _round(ohlcv_bars(tied), NOISY_BAR)
+
+
+def q_truncated_hours(spark, d):
+    """calendar truncation, counted."""
+    hour = truncate_hour("ts").cast("timestamp_ntz").alias("ts_hour")
+    return tables.table(spark, d, "events").groupBy(hour).agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- indicators
 def q_prev_close_log_return(spark, d):
-    return _round(log_returns(_bars(spark, d)).select("ts_hour", "close_1h", "ret_1h"), ["ret_1h"])
+    return _round(log_returns(_bars(spark, d), **ZERO).select("ts_hour", "close_1h", "ret_1h"), ["ret_1h"])
 
 
 def q_lagged_returns(spark, d):
-    out = lagged_returns(_bars(spark, d)).select("ts_hour", "ret_1h", "ret_1h_lag1", "ret_1h_lag2")
+    out = lagged_returns(_bars(spark, d), **ZERO).select("ts_hour", "ret_1h", "ret_1h_lag1", "ret_1h_lag2")
     return _round(out, ["ret_1h", "ret_1h_lag1", "ret_1h_lag2"])
 
 
@@ -157,73 +172,91 @@ def q_rolling_volatility(spark, d):
 
 
 def q_high_low_ratio(spark, d):
-    return high_low_ratio(_bars(spark, d)).select("ts_hour", "high_1h", "low_1h", "high_low_ratio")
+    return high_low_ratio(_bars(spark, d), **ZERO).select("ts_hour", "high_1h", "low_1h", "high_low_ratio")
 
 
 def q_indicators(spark, d):
-    return _round(add_indicators(_bars(spark, d)), NOISY_BAR + NOISY_IND)
+    return _round(add_indicators(_bars(spark, d), **ZERO), NOISY_BAR + NOISY_IND)
 
 
 def q_indicators_custom(spark, d):
     """Q9: window lengths and lags are parameters (5/24-bar averages, 12-bar deviation, three lags)."""
-    out = add_indicators(_bars(spark, d), ma=(5, 24), vol_window=12, lags=(1, 2, 3))
+    out = add_indicators(_bars(spark, d), ma=(5, 24), vol_window=12, lags=(1, 2, 3), **ZERO)
     return _round(out.select("ts_hour", "ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ret_1h_lag3", "ma_close_5h",
                              "ma_close_24h", "vol_12h"),
                   ["ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ret_1h_lag3", "ma_close_5h", "ma_close_24h", "vol_12h"])
 
 
 def q_indicators_keyed(spark, d):
-    return _round(add_indicators(_bars(spark, d, keyed=True), keys=["event_type"]), NOISY_BAR + NOISY_IND)
+    return _round(add_indicators(_bars(spark, d, keyed=True), keys=["event_type"], **ZERO), NOISY_BAR + NOISY_IND)
 
 
 def q_indicators_blocked(spark, d):
     """Block + halo layout with small blocks (100 bars) so series span many blocks."""
-    out = add_indicators(_bars(spark, d), layout=Layout(block_rows=100, chunk="day"))
+    out = add_indicators(_bars(spark, d), layout=Layout(block_rows=100, chunk="day"), **ZERO)
     return _round(out, NOISY_BAR + NOISY_IND)
 
 
 def q_indicators_partitioned(spark, d):
     """The plain ``partitionBy(keys)`` layout, for comparison with the blocked default."""
-    out = add_indicators(_bars(spark, d, keyed=True), keys=["event_type"], layout=Layout(blocked=False))
+    out = add_indicators(_bars(spark, d, keyed=True), keys=["event_type"], layout=Layout(blocked=False), **ZERO)
     return _round(out, NOISY_BAR + NOISY_IND)
 
 
 def q_indicators_large_keyed(spark, d):
     out = add_indicators(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d",
-                         high="high_1d", low="low_1d", unit="d", layout=DAILY)
+                         high="high_1d", low="low_1d", unit="d", **DAY)
     return _round(out, ["vol_1d", "volatility_1d", "ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ma_close_3d",
                         "ma_close_12d", "vol_24d"])
 
 
+def q_indicators_keyed_blocked(spark, d):
+    """The same over blocks of 128 bars, several to each series."""
+    out = add_indicators(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d",
+                         high="high_1d", low="low_1d", unit="d", layout=Layout(block_rows=128, chunk="month"))
+    return _round(out, ["vol_1d", "volatility_1d", "ret_1h", "ret_1h_lag1", "ret_1h_lag2", "ma_close_3d",
+                        "ma_close_12d", "vol_24d"])
+
+
+def q_time_frames_15min_blocked(spark, d):
+    """Frames of hours over 15-minute bars, in blocks that are shorter than a day."""
+    bars = ohlcv_bars(tables.ticks(spark, d, keyed=True), keys=["event_type"], size="15 minutes")
+    small = Layout(block_rows=96, chunk="hour")
+    out = moving_averages(bars, keys=["event_type"], frame="time", layout=small)
+    out = rolling_volatility(out, keys=["event_type"], frame="time", layout=small)
+    return _round(out.select("event_type", "ts_hour", "ma_close_3h", "ma_close_12h", "vol_24h"),
+                  ["ma_close_3h", "ma_close_12h", "vol_24h"], 9)  # averages of 32 prices often end in a tie at 6 digits
+
+
 # ---------------------------------------------------------------- labels
 def q_labels(spark, d):
-    out = add_labels(_bars(spark, d)).select("ts_hour", "close_1h", "close_future", "return_future", "label_up")
+    out = add_labels(_bars(spark, d), **ZERO).select("ts_hour", "close_1h", "close_future", "return_future", "label_up")
     return out
 
 
 def q_labels_horizon_3(spark, d):
-    out = add_labels(_bars(spark, d), horizon=3)
+    out = add_labels(_bars(spark, d), horizon=3, **ZERO)
     return out.select("ts_hour", "close_1h", "close_future", "return_future", "label_up")
 
 
 def q_labels_threshold(spark, d):
     """Q8/Q9: the label threshold is a parameter (0.5 % here, still strict)."""
-    out = add_labels(_bars(spark, d), threshold=0.005)
+    out = add_labels(_bars(spark, d), threshold=0.005, **ZERO)
     return out.select("ts_hour", "close_1h", "close_future", "return_future", "label_up")
 
 
 def q_labels_large_keyed(spark, d):
-    out = add_labels(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d", layout=DAILY)
+    out = add_labels(_large_bars(spark, d), keys=["l_suppkey"], ts="ts_day", close="close_1d", **DAY)
     return out.select("l_suppkey", "ts_day", "close_1d", "close_future", "return_future", "label_up")
 
 
 # ---------------------------------------------------------------- activity, joins
 def q_activity_hourly(spark, d):
-    return _activity(spark, d)
+    return tables.activity(spark, d)
 
 
 def q_activity_total_blocks(spark, d):
-    return total_blocks(_activity(spark, d))
+    return total_blocks(tables.activity(spark, d))
 
 
 def q_price_activity_left_join(spark, d):
@@ -240,6 +273,12 @@ def q_feature_dataset(spark, d):
     return _int_as_double(_round(_features(spark, d), NOISY_BAR + NOISY_IND))
 
 
+def q_feature_dataset_15min(spark, d):
+    noisy = ["vol_15m", "volatility_15m", "ret_15m", "ret_15m_lag1", "ret_15m_lag2", "ma_close_3x15m", "ma_close_12x15m",
+             "vol_24x15m"]
+    return _int_as_double(_round(_features(spark, d, size="15 minutes"), noisy))
+
+
 def q_feature_dataset_keyed(spark, d):
     return _int_as_double(_round(_features(spark, d, keyed=True), NOISY_BAR + NOISY_IND))
 
@@ -247,7 +286,7 @@ def q_feature_dataset_keyed(spark, d):
 # ---------------------------------------------------------------- sources
 def q_csv_candles(spark, d):
     """Ticks written as a candle CSV (padded time text, source column names, an extra column), read back."""
-    ev = tables.table(spark, d, "events").filter(F.col("value") > 0)
+    ev = tables.table(spark, d, "events")
     v = F.col("value").cast("string")
     raw = ev.select(
         F.concat(F.lit("  "), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" ")).alias("Open time"),
@@ -262,7 +301,7 @@ def q_csv_candles(spark, d):
 
 def q_activity_detect_ts(spark, d):
     """Activity Parquet with ``Date`` and ``Timestamp`` text columns: ``Timestamp`` is detected and bucketed."""
-    act = _activity(spark, d)
+    act = tables.activity(spark, d)
     path = scratch_path(spark, "activity_parquet")
     act.select(F.col("timestamp").alias("Timestamp"), F.substring("timestamp", 1, 10).alias("Date"),
                "block_count", "tx_count_hour").write.mode("overwrite").parquet(path)
@@ -271,7 +310,7 @@ def q_activity_detect_ts(spark, d):
 
 
 def q_date_range_filter(spark, d):
-    ev = tables.table(spark, d, "events").filter(F.col("value") > 0)
+    ev = tables.table(spark, d, "events")
     v = F.col("value").cast("string")
     raw = ev.select(F.col("ts").cast("string").alias("Open time"), v.alias("Open"), v.alias("High"),
                     v.alias("Low"), v.alias("Close"), v.alias("Volume"))
@@ -292,6 +331,12 @@ def q_daily_to_hourly_ffill(spark, d):
     return resample_ffill(tables.daily(spark, d), ts="Date")
 
 
+def q_ffill_offgrid(spark, d):
+    """Observations at any time, several in one step or none, filled onto 15 minutes."""
+    seen = tables.table(spark, d, "events").select("event_type", F.col("ts"), "value")
+    return resample_ffill(seen, ts="ts", keys=["event_type"], step="15 minutes")
+
+
 def q_daily_proxy(spark, d):
     return daily_to_hourly_proxy(tables.daily(spark, d), ts="Date")
 
@@ -324,12 +369,17 @@ def q_time_split_train(spark, d):
     return train.select("ts_hour", "label_up")
 
 
+def q_time_split_test(spark, d):
+    prep, _ = _prepared(spark, d)
+    _, test = time_split(prep, TRAIN_END, TEST_START)
+    return test.select("ts_hour", "label_up")
+
+
 # ---------------------------------------------------------------- ML
 def q_standardised_features(spark, d):
     prep, cols = _prepared(spark, d)
     fitted = classifier_pipeline(cols).getStages()[:2]
     from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
 
     model = Pipeline(stages=fitted).fit(prep)
     arr = vector_to_array(F.col("features"))
@@ -357,16 +407,62 @@ def q_accuracy_fixed_score(spark, d):
     return spark.createDataFrame([(acc,)], "accuracy double").select(F.round("accuracy", 9).alias("accuracy"))
 
 
-def _train(spark, d, model_type, params):
-    """C3 end to end: ticks + activity -> features -> split -> fit -> metrics."""
-    return run(spark, tables.ticks(spark, d), _activity(spark, d),
-               RunParams(TRAIN_END, TEST_START, model_type, params))
+def _rank_auc(scored, label, score):
+    """Area under the curve by ranks: the share of pairs that the score orders rightly, ties half."""
+    by = scored.groupBy(score).agg(F.sum(label).cast("double").alias("p"), F.count(F.lit(1)).cast("double").alias("n"))
+    up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)  # one row for each distinct score of the test set
+    below = by.withColumn("below", F.coalesce(F.sum(F.col("n") - F.col("p")).over(up), F.lit(0.0)))
+    t = below.agg(F.sum(F.col("p") * (F.col("below") + (F.col("n") - F.col("p")) / 2)).alias("w"), F.sum("p").alias("p"),
+                  F.sum(F.col("n") - F.col("p")).alias("q")).first()
+    return t["w"] / (t["p"] * t["q"])
+
+
+def _train(spark, d, model_type, params, keyed=False):
+    """Ticks + activity -> features -> split -> fit -> metrics, and what must hold for any trained model.
+
+    The metrics are compared with rank and share formulas over the same scores; probabilities must add up to 1. A
+    linear model without a penalty must meet its first-order condition, trees their number and depth.
+    """
+    run_params = RunParams(TRAIN_END, TEST_START, model_type, params, keys=("event_type",) if keyed else (), **ZERO)
+    features = materialize(_features(spark, d, keyed), "prepared")
+    train, test = time_split(features, TRAIN_END, TEST_START)
+    metrics, model = train_and_evaluate(train, test, run_params)
+    m = metrics.first()
+    cols = select_features(features.columns)
+    p = vector_to_array("probability")
+    scored = model.transform(apply_null_policy(test, cols)).select("label_up", "prediction", p[1].alias("score"), (p[0] + p[1]).alias("total")).persist()
+    share = scored.agg(F.avg((F.col("label_up") == F.col("prediction")).cast("double")).alias("a"), F.max(F.abs(F.col("total") - 1)).alias("t")).first()
+    checks = {"n_train": m["n_train"], "n_test": m["n_test"], "accuracy_is_share": abs(m["accuracy"] - share["a"]) < 1e-9,
+              "auc_is_by_ranks": abs(m["auc_roc"] - _rank_auc(scored, "label_up", "score")) < 1e-9, "probabilities_add_up": share["t"] < 1e-9}
+    scored.unpersist()
+    fitted = model.stages[-1]
+    if model_type == "logistic_regression":
+        seen = model.transform(apply_null_policy(train, cols)).select((vector_to_array("probability")[1] - F.col("label_up")).alias("e"), vector_to_array("features").alias("x"))
+        slopes = seen.agg(F.avg("e").alias("c"), *[F.avg(F.col("e") * F.col("x")[i]).alias(f"g{i}") for i in range(len(cols))]).first()
+        checks["at_optimum"] = max(map(abs, slopes)) < 1e-3
+    else:
+        checks |= {"n_trees": fitted.getNumTrees, "depth_kept": max(t.depth for t in fitted.trees) <= fitted.getOrDefault("maxDepth")}
+    return spark.createDataFrame([tuple(checks.values())], list(checks))
 
 
 def q_train_logistic_keyed(spark, d):
     """C3 over keyed series: bars, indicators and labels per event type, one model across all of them."""
-    params = RunParams(TRAIN_END, TEST_START, "logistic_regression", keys=("event_type",))
-    return run(spark, tables.ticks(spark, d, keyed=True), _activity(spark, d), params)[0]
+    return _train(spark, d, "logistic_regression", {}, keyed=True)
+
+
+def q_run_config(spark, d):
+    """C3 from a configuration: candle CSV and activity Parquet to metrics CSV and model, read back from there."""
+    path, v = scratch_path(spark, "configured"), F.col("value").cast("string")
+    tables.table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Open time"), v.alias("Open"), v.alias("High"),
+                                            v.alias("Low"), v.alias("Close"), v.alias("Volume")).write.option("header", True).csv(f"{path}/candles")
+    _activity(spark, d).drop("ts_hour").write.parquet(f"{path}/activity")
+    cfg = {"data": {"price_path": f"{path}/candles", "blockchain_path": f"{path}/activity"}, "features": {"use_blockchain": True},
+           "model": {"type": "logistic_regression"}, "train": {"train_end_date": TRAIN_END, "test_start_date": TEST_START},
+           "output": {"metrics_csv": f"{path}/metrics", "models_dir": f"{path}/models"}}
+    run_config(spark, cfg, **ZERO)
+    stages = len(load_model(f"{path}/models/logistic_regression_pipeline").stages)
+    between = F.col("auc_roc").between(0, 1) & F.col("accuracy").between(0, 1)
+    return read_metrics_csv(spark, f"{path}/metrics").select("n_train", "n_test", between.alias("metrics_valid"), F.lit(stages).alias("n_stages"))
 
 
 def q_class_share(spark, d):
@@ -376,16 +472,16 @@ def q_class_share(spark, d):
 
 
 def q_train_logistic(spark, d):
-    return _train(spark, d, "logistic_regression", {})[0]
+    return _train(spark, d, "logistic_regression", {})
 
 
 def q_train_gbt(spark, d):
-    return _train(spark, d, "gbt", {})[0]  # defaults of the source pipeline: depth 5, 50 iterations
+    return _train(spark, d, "gbt", {})  # defaults of the source pipeline: depth 5, 50 iterations
 
 
 def q_train_forest(spark, d):
     # The recorded configuration of the source pipeline: 150 trees, depth 7, seed 42.
-    return _train(spark, d, "random_forest", {"numTrees": 150, "maxDepth": 7, "seed": 42})[0]
+    return _train(spark, d, "random_forest", {"numTrees": 150, "maxDepth": 7, "seed": 42})
 
 
 # ---------------------------------------------------------------- sinks (K1-K4)
@@ -407,9 +503,29 @@ def q_feature_parquet_roundtrip(spark, d):
     return _int_as_double(_round(spark.read.parquet(path), NOISY_BAR + NOISY_IND))
 
 
+def _in_file_order(spark, path, *cols):
+    """Rows of a sorted table with their position: by file, then place in the file."""
+    place = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    return spark.read.parquet(path).select(*cols, F.row_number().over(Window.orderBy(*place)).alias("position"))
+
+
+def q_features_file_order(spark, d):
+    """O1: the feature table is in order of time and series over all its files."""
+    path = scratch_path(spark, "features")
+    write_features(_features(spark, d, keyed=True), path, keys=["event_type"])
+    return _in_file_order(spark, path, "ts_hour", "event_type")
+
+
+def q_stats_file_order(spark, d):
+    """O2: the hourly statistics are in order of time."""
+    path = scratch_path(spark, "hourly_stats")
+    write_hourly_stats(tables.activity(spark, d), path)
+    return _in_file_order(spark, path, "timestamp")
+
+
 def q_stats_parquet_roundtrip(spark, d):
     path = scratch_path(spark, "hourly_stats")
-    write_hourly_stats(_activity(spark, d), path)
+    write_hourly_stats(tables.activity(spark, d), path)
     return spark.read.parquet(path)
 
 
@@ -420,17 +536,16 @@ def q_proxy_parquet_roundtrip(spark, d):
 
 
 def q_model_roundtrip(spark, d):
-    feats = _features(spark, d)
-    train, test = time_split(feats, TRAIN_END, TEST_START)
-    params = RunParams(TRAIN_END, TEST_START, "logistic_regression")
-    _, model = train_and_evaluate(train, test, params)
+    """K4: how many test rows the loaded model scores, and how many just as the fitted one did."""
+    features = materialize(_features(spark, d), "prepared")
+    train, test = time_split(features, TRAIN_END, TEST_START)
+    _, model = train_and_evaluate(train, test, RunParams(TRAIN_END, TEST_START, "logistic_regression"))
     path = scratch_path(spark, "model")
     save_model(model, path)
-    cols = select_features(test.columns)
-    prepared = apply_null_policy(test, cols)
-    a = model.transform(prepared).select("ts_hour", F.col("prediction").alias("p_fitted"))
-    b = load_model(path).transform(prepared).select("ts_hour", F.col("prediction").alias("p_loaded"))
-    return a.join(b, "ts_hour").withColumn("same", F.col("p_fitted") == F.col("p_loaded"))
+    prepared = apply_null_policy(test, select_features(test.columns))
+    score = lambda m, name: m.transform(prepared).select("ts_hour", vector_to_array("probability").alias(name))
+    both = score(model, "fitted").join(score(load_model(path), "loaded"), "ts_hour")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("fitted") == F.col("loaded")).alias("n_equal"))
 
 
 # ---------------------------------------------------------------- raw block files
@@ -460,11 +575,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_bars_keyed": q_hourly_bars_keyed,
     "daily_bars_large": q_daily_bars_large,
     "bars_15min": q_bars_15min,
+    "truncated_hours": q_truncated_hours,
+    "bars_tied_ticks": q_bars_tied_ticks,
     "prev_close_log_return": q_prev_close_log_return,
     "lagged_returns": q_lagged_returns,
     "moving_averages": q_moving_averages,
     "rolling_volatility": q_rolling_volatility,
     "time_frames_keyed": q_time_frames_keyed,
+    "time_frames_15min_blocked": q_time_frames_15min_blocked,
     "high_low_ratio": q_high_low_ratio,
     "indicators": q_indicators,
     "indicators_custom": q_indicators_custom,
@@ -472,6 +590,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "indicators_blocked": q_indicators_blocked,
     "indicators_partitioned": q_indicators_partitioned,
     "indicators_large_keyed": q_indicators_large_keyed,
+    "indicators_keyed_blocked": q_indicators_keyed_blocked,
     "labels": q_labels,
     "labels_horizon_3": q_labels_horizon_3,
     "labels_threshold": q_labels_threshold,
@@ -481,6 +600,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_activity_left_join": q_price_activity_left_join,
     "price_without_activity": q_price_without_activity,
     "feature_dataset": q_feature_dataset,
+    "feature_dataset_15min": q_feature_dataset_15min,
     "feature_dataset_keyed": q_feature_dataset_keyed,
     "csv_candles": q_csv_candles,
     "activity_detect_ts": q_activity_detect_ts,
@@ -488,10 +608,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "candles_parquet_pruned": q_candles_parquet_pruned,
     "daily_to_hourly_ffill": q_daily_to_hourly_ffill,
     "daily_proxy": q_daily_proxy,
+    "ffill_offgrid": q_ffill_offgrid,
     "null_policy": q_null_policy,
     "time_split_counts": q_time_split_counts,
     "time_split_counts_raw": q_time_split_counts_raw,
     "time_split_train": q_time_split_train,
+    "time_split_test": q_time_split_test,
     "standardised_features": q_standardised_features,
     "auc_fixed_score": q_auc_fixed_score,
     "accuracy_fixed_score": q_accuracy_fixed_score,
@@ -500,9 +622,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_logistic_keyed": q_train_logistic_keyed,
     "train_gbt": q_train_gbt,
     "train_forest": q_train_forest,
+    "run_config": q_run_config,
     "metrics_csv_roundtrip": q_metrics_csv_roundtrip,
     "feature_parquet_roundtrip": q_feature_parquet_roundtrip,
+    "features_file_order": q_features_file_order,
     "stats_parquet_roundtrip": q_stats_parquet_roundtrip,
+    "stats_file_order": q_stats_file_order,
     "proxy_parquet_roundtrip": q_proxy_parquet_roundtrip,
     "model_roundtrip": q_model_roundtrip,
     "block_files_hourly": q_block_files_hourly,
@@ -540,23 +665,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 # ====================================================================== oracle SQL (DuckDB)
-_TICKS = "SELECT ts, value FROM events WHERE value > 0"
+def _ratio(a: str, b: str) -> str:
+    return f"({a} / nullif({b}, 0))"
+
+
+def _ln(a: str, b: str) -> str:
+    return f"ln(CASE WHEN {_ratio(a, b)} > 0 THEN {_ratio(a, b)} END)"
+
+
 _BARS_BODY = """
   SELECT date_trunc('hour', ts) AS ts_hour,
-         arg_min(value, ts) AS open_1h, arg_max(value, ts) AS close_1h,
+         arg_min(value, (ts, value)) AS open_1h, arg_max(value, (ts, value)) AS close_1h,
          max(value) AS high_1h, min(value) AS low_1h,
          sum(value) AS vol_1h, stddev_pop(value) AS volatility_1h
-  FROM events WHERE value > 0 GROUP BY date_trunc('hour', ts)"""
+  FROM events GROUP BY date_trunc('hour', ts)"""
 _BARS_KEYED_BODY = """
   SELECT event_type, date_trunc('hour', ts) AS ts_hour,
-         arg_min(value, ts) AS open_1h, arg_max(value, ts) AS close_1h,
+         arg_min(value, (ts, value)) AS open_1h, arg_max(value, (ts, value)) AS close_1h,
          max(value) AS high_1h, min(value) AS low_1h,
          sum(value) AS vol_1h, stddev_pop(value) AS volatility_1h
-  FROM events WHERE value > 0 GROUP BY event_type, date_trunc('hour', ts)"""
+  FROM events GROUP BY event_type, date_trunc('hour', ts)"""
 _LARGE_BODY = """
   SELECT l_suppkey, date_trunc('day', l_shipdate) AS ts_day,
-         arg_min(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS open_1d,
-         arg_max(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS close_1d,
+         arg_min(l_extendedprice, (l_shipdate, l_extendedprice)) AS open_1d,
+         arg_max(l_extendedprice, (l_shipdate, l_extendedprice)) AS close_1d,
          max(l_extendedprice) AS high_1d, min(l_extendedprice) AS low_1d,
          sum(l_quantity) AS vol_1d, stddev_pop(l_extendedprice) AS volatility_1d
   FROM lineitem GROUP BY l_suppkey, date_trunc('day', l_shipdate)"""
@@ -567,6 +699,7 @@ _ACT_BODY = """
          count(*) AS block_count,
          date_trunc('hour', ts) AS ts_hour
   FROM events WHERE event_type = 'view' GROUP BY date_trunc('hour', ts)"""
+_ACT_ALL = _ACT_BODY.replace(" WHERE event_type = 'view'", "")
 _DAILY_BODY = """
   SELECT o_orderdate AS Date, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS Volume
   FROM orders GROUP BY o_orderdate"""
@@ -583,7 +716,7 @@ def _ind_body(bars: str, part: str = "", ts: str = "ts_hour", s: str = "1h", u:
          avg(close_{s}) OVER ({part} ORDER BY {ts} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS ma_close_3{u},
          avg(close_{s}) OVER ({part} ORDER BY {ts} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS ma_close_12{u},
          stddev_samp(close_{s}) OVER ({part} ORDER BY {ts} ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS vol_24{u}
-  FROM (SELECT *, ln(close_{s} / lag(close_{s}, 1) OVER {w}) AS ret_1h, high_{s} / low_{s} AS high_low_ratio
+  FROM (SELECT *, {_ln(f'close_{s}', f'lag(close_{s}, 1) OVER {w}')} AS ret_1h, {_ratio(f'high_{s}', f'low_{s}')} AS high_low_ratio
         FROM {bars}) r"""
 
 
@@ -610,19 +743,19 @@ WITH f AS ({_ind_body(bars, part)}),
      j AS (SELECT l.*, a.timestamp, a.total_value_hour, a.tx_count_hour,
                   CAST(a.block_count AS DOUBLE) AS block_count
            FROM l LEFT JOIN a USING (ts_hour)),
-     y AS (SELECT *, (close_future - close_1h) / close_1h AS return_future FROM j)
+     y AS (SELECT *, (close_future - close_1h) / nullif(close_1h, 0) AS return_future FROM j)
 SELECT {head}, timestamp, total_value_hour, tx_count_hour, block_count,
        close_future, return_future, CAST(CASE WHEN return_future > 0.001 THEN 1 ELSE 0 END AS INTEGER) AS label_up
 FROM y WHERE close_future IS NOT NULL AND NOT isnan(close_future)
          AND return_future IS NOT NULL AND NOT isnan(return_future)"""
 
 
-def _prepared_sql() -> str:
+def _prepared_sql(keyed: bool = False) -> str:
     feats = ["ret_1h", "vol_1h", "volatility_1h", "high_low_ratio", "ma_close_3h", "ma_close_12h"]
     cond = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in feats)
     return f"""
 SELECT ts_hour, {', '.join(feats)}, COALESCE(tx_count_hour, 0.0) AS tx_count_hour, label_up
-FROM ({_features_sql(False, rounded=False)}) x
+FROM ({_features_sql(keyed, rounded=False)}) x
 WHERE {cond} AND label_up IS NOT NULL"""
 
 
@@ -630,7 +763,7 @@ def _label_sql(h: int, threshold: float = 0.001) -> str:
     return f"""
 SELECT ts_hour, close_1h, close_future, return_future,
        CAST(CASE WHEN return_future > {threshold} THEN 1 ELSE 0 END AS INTEGER) AS label_up
-FROM (SELECT *, (close_future - close_1h) / close_1h AS return_future
+FROM (SELECT *, (close_future - close_1h) / nullif(close_1h, 0) AS return_future
       FROM (SELECT ts_hour, close_1h, lead(close_1h, {h}) OVER (ORDER BY ts_hour) AS close_future
             FROM ({_BARS_BODY}) b) x) y
 WHERE close_future IS NOT NULL AND return_future IS NOT NULL"""
@@ -655,24 +788,84 @@ _BLOCK_STATS_SQL = """SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S
         CAST(0.0 AS DOUBLE) AS total_value_hour
         FROM events GROUP BY date_trunc('hour', ts)"""
 
+_LARGE_INDICATORS = f"""SELECT l_suppkey, ts_day, open_1d, close_1d, high_1d, low_1d,
+        {_r('vol_1d')}, {_r('volatility_1d')}, {_r('ret_1h')}, high_low_ratio, {_r('ret_1h_lag1')},
+        {_r('ret_1h_lag2')}, {_r('ma_close_3d')}, {_r('ma_close_12d')}, {_r('vol_24d')}
+        FROM ({_ind_body(f'({_LARGE_BODY}) b', 'PARTITION BY l_suppkey', 'ts_day', '1d', 'd')}) i"""
+_QUARTER = "date_trunc('hour', ts) + to_minutes(CAST(floor(minute(ts) / 15) * 15 AS BIGINT))"
+_FRAMES_SQL = """SELECT event_type, ts_hour,
+        round(avg(close) OVER (PARTITION BY event_type ORDER BY ts_hour
+              RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND CURRENT ROW), 9) AS ma_close_3h,
+        round(avg(close) OVER (PARTITION BY event_type ORDER BY ts_hour
+              RANGE BETWEEN INTERVAL 11 HOURS PRECEDING AND CURRENT ROW), 9) AS ma_close_12h,
+        round(stddev_samp(close) OVER (PARTITION BY event_type ORDER BY ts_hour
+              RANGE BETWEEN INTERVAL 23 HOURS PRECEDING AND CURRENT ROW), 9) AS vol_24h
+        FROM ({bars}) b"""
+_QUARTER_BARS = f"""SELECT {_QUARTER} AS ts_hour, arg_min(value, (ts, value)) AS open_15m, arg_max(value, (ts, value)) AS close_15m,
+        max(value) AS high_15m, min(value) AS low_15m, sum(value) AS vol_15m, stddev_pop(value) AS volatility_15m
+        FROM events GROUP BY 1"""
+_QUARTER_FEATURES = f"""
+WITH i AS ({_ind_body(f'({_QUARTER_BARS}) b', s='15m', u='x15m')}),
+     l AS (SELECT *, lead(close_15m, 1) OVER (ORDER BY ts_hour) AS close_future FROM i),
+     y AS (SELECT l.*, a.timestamp, a.total_value_hour, a.tx_count_hour, CAST(a.block_count AS DOUBLE) AS block_count,
+                  (close_future - close_15m) / nullif(close_15m, 0) AS return_future
+           FROM l LEFT JOIN ({_ACT_BODY}) a ON a.ts_hour = date_trunc('hour', l.ts_hour))
+SELECT ts_hour, open_15m, close_15m, high_15m, low_15m, {_r('vol_15m')}, {_r('volatility_15m')},
+       (round(ret_1h, 6) + 0.0) AS ret_15m, high_low_ratio, (round(ret_1h_lag1, 6) + 0.0) AS ret_15m_lag1,
+       (round(ret_1h_lag2, 6) + 0.0) AS ret_15m_lag2, {_r('ma_close_3x15m')}, {_r('ma_close_12x15m')}, {_r('vol_24x15m')},
+       timestamp, total_value_hour, tx_count_hour, block_count, close_future, return_future,
+       CAST(CASE WHEN return_future > 0.001 THEN 1 ELSE 0 END AS INTEGER) AS label_up
+FROM y WHERE close_future IS NOT NULL AND return_future IS NOT NULL"""
+
+
+def _prepared_counts(body: str) -> str:
+    return f"""SELECT CAST(count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS INTEGER) AS n_train,
+        CAST(count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS INTEGER) AS n_test FROM ({body}) p"""
+
+
+def _trained_sql(keyed: bool = False, trees: int | None = None) -> str:
+    """Sizes of both sets from the tables; everything else must hold for any trained model."""
+    model = "TRUE AS at_optimum" if trees is None else f"CAST({trees} AS BIGINT) AS n_trees, TRUE AS depth_kept"
+    return f"""SELECT CAST(n_train AS BIGINT) AS n_train, CAST(n_test AS BIGINT) AS n_test, TRUE AS accuracy_is_share,
+        TRUE AS auc_is_by_ranks, TRUE AS probabilities_add_up, {model} FROM ({_prepared_counts(_prepared_sql(keyed))}) c"""
+
+
 _ORACLE: dict[str, str] = {
+    "bars_tied_ticks": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY.replace('events', "(SELECT date_trunc('minute', ts) AS ts, value FROM events) e")}) b",
+    "truncated_hours": "SELECT date_trunc('hour', ts) AS ts_hour, count(*) AS n FROM events GROUP BY 1",
+    "indicators_keyed_blocked": _LARGE_INDICATORS,
+    "time_frames_15min_blocked": _FRAMES_SQL.format(bars=f"SELECT event_type, {_QUARTER} AS ts_hour, arg_max(value, (ts, value)) AS close FROM events GROUP BY 1, 2"),
+    "feature_dataset_15min": _QUARTER_FEATURES,
+    "ffill_offgrid": f"""SELECT event_type, unnest(generate_series(step, coalesce(nx - INTERVAL 15 MINUTE, step), INTERVAL 15 MINUTE)) AS ts, value
+        FROM (SELECT *, lead(step) OVER (PARTITION BY event_type ORDER BY step) AS nx
+              FROM (SELECT event_type, {_QUARTER} AS step, arg_max(value, (ts, value)) AS value FROM events GROUP BY 1, 2) s) n""",
+    "time_split_test": f"""SELECT ts_hour, label_up FROM ({_prepared_sql()}) p
+        WHERE ts_hour >= TIMESTAMP '{TEST_START}'""",
+    "train_logistic": _trained_sql(),
+    "train_logistic_keyed": _trained_sql(keyed=True),
+    "train_gbt": _trained_sql(trees=50),
+    "train_forest": _trained_sql(trees=150),
+    "run_config": f"SELECT n_train, n_test, TRUE AS metrics_valid, CAST(3 AS INTEGER) AS n_stages FROM ({_prepared_counts(_prepared_sql())}) c",
+    "model_roundtrip": f"SELECT CAST(n_test AS BIGINT) AS n_rows, CAST(n_test AS BIGINT) AS n_equal FROM ({_prepared_counts(_prepared_sql())}) c",
+    "features_file_order": f"SELECT ts_hour, event_type, CAST(row_number() OVER (ORDER BY ts_hour, event_type) AS INTEGER) AS position FROM ({_features_sql(True, rounded=False)}) f",
+    "stats_file_order": f"SELECT timestamp, CAST(row_number() OVER (ORDER BY timestamp) AS INTEGER) AS position FROM ({_ACT_ALL}) a",
     "hourly_bars": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY}) b",
     "hourly_bars_keyed": f"SELECT event_type, ts_hour, {_BAR_SEL} FROM ({_BARS_KEYED_BODY}) b",
     "bars_15min": f"""SELECT ts_bar, open_15m, close_15m, high_15m, low_15m, {_r('vol_15m')}, {_r('volatility_15m')}
         FROM (SELECT date_trunc('hour', ts) + to_minutes(CAST(floor(minute(ts) / 15) * 15 AS BIGINT)) AS ts_bar,
-                     arg_min(value, ts) AS open_15m, arg_max(value, ts) AS close_15m, max(value) AS high_15m,
+                     arg_min(value, (ts, value)) AS open_15m, arg_max(value, (ts, value)) AS close_15m, max(value) AS high_15m,
                      min(value) AS low_15m, sum(value) AS vol_15m, stddev_pop(value) AS volatility_15m
-              FROM events WHERE value > 0 GROUP BY 1) b""",
+              FROM events GROUP BY 1) b""",
     "daily_bars_large": f"""SELECT l_suppkey, ts_day, open_1d, close_1d, high_1d, low_1d,
         {_r('vol_1d')}, {_r('volatility_1d')} FROM ({_LARGE_BODY}) b""",
     "prev_close_log_return": f"""SELECT ts_hour, close_1h,
-        round(ln(close_1h / lag(close_1h, 1) OVER (ORDER BY ts_hour)), 6) + 0.0 AS ret_1h FROM ({_BARS_BODY}) b""",
+        round({_ln('close_1h', 'lag(close_1h, 1) OVER (ORDER BY ts_hour)')}, 6) + 0.0 AS ret_1h FROM ({_BARS_BODY}) b""",
     "lagged_returns": f"""SELECT ts_hour, {_r('ret_1h')}, {_r('ret_1h_lag1')}, {_r('ret_1h_lag2')}
         FROM ({_ind_body(f'({_BARS_BODY}) b')}) i""",
     "moving_averages": f"""SELECT ts_hour, close_1h, {_r('ma_close_3h')}, {_r('ma_close_12h')}
         FROM ({_ind_body(f'({_BARS_BODY}) b')}) i""",
     "rolling_volatility": f"SELECT ts_hour, {_r('vol_24h')} FROM ({_ind_body(f'({_BARS_BODY}) b')}) i",
-    "high_low_ratio": f"SELECT ts_hour, high_1h, low_1h, high_1h / low_1h AS high_low_ratio FROM ({_BARS_BODY}) b",
+    "high_low_ratio": f"SELECT ts_hour, high_1h, low_1h, {_ratio('high_1h', 'low_1h')} AS high_low_ratio FROM ({_BARS_BODY}) b",
     "time_frames_keyed": f"""SELECT event_type, ts_hour,
         round(avg(close_1h) OVER (PARTITION BY event_type ORDER BY ts_hour
               RANGE BETWEEN INTERVAL 2 HOURS PRECEDING AND CURRENT ROW), 6) AS ma_close_3h,
@@ -690,30 +883,27 @@ FROM (SELECT *, lag(ret_1h, 1) OVER w AS ret_1h_lag1, lag(ret_1h, 2) OVER w AS r
              avg(close_1h) OVER (ORDER BY ts_hour ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS ma_close_5h,
              avg(close_1h) OVER (ORDER BY ts_hour ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS ma_close_24h,
              stddev_samp(close_1h) OVER (ORDER BY ts_hour ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS vol_12h
-      FROM (SELECT *, ln(close_1h / lag(close_1h, 1) OVER (ORDER BY ts_hour)) AS ret_1h FROM ({_BARS_BODY}) b) r
+      FROM (SELECT *, {_ln('close_1h', 'lag(close_1h, 1) OVER (ORDER BY ts_hour)')} AS ret_1h FROM ({_BARS_BODY}) b) r
       WINDOW w AS (ORDER BY ts_hour)) i""",
     "indicators_keyed": f"""SELECT {_ind_select('event_type, ')}
         FROM ({_ind_body(f'({_BARS_KEYED_BODY}) b', 'PARTITION BY event_type')}) i""",
     "indicators_blocked": f"SELECT {_ind_select()} FROM ({_ind_body(f'({_BARS_BODY}) b')}) i",
     "indicators_partitioned": f"""SELECT {_ind_select('event_type, ')}
         FROM ({_ind_body(f'({_BARS_KEYED_BODY}) b', 'PARTITION BY event_type')}) i""",
-    "indicators_large_keyed": f"""SELECT l_suppkey, ts_day, open_1d, close_1d, high_1d, low_1d,
-        {_r('vol_1d')}, {_r('volatility_1d')}, {_r('ret_1h')}, high_low_ratio, {_r('ret_1h_lag1')},
-        {_r('ret_1h_lag2')}, {_r('ma_close_3d')}, {_r('ma_close_12d')}, {_r('vol_24d')}
-        FROM ({_ind_body(f'({_LARGE_BODY}) b', 'PARTITION BY l_suppkey', 'ts_day', '1d', 'd')}) i""",
+    "indicators_large_keyed": _LARGE_INDICATORS,
     "labels": _label_sql(1),
     "labels_horizon_3": _label_sql(3),
     "labels_threshold": _label_sql(1, 0.005),
     "labels_large_keyed": f"""
 SELECT l_suppkey, ts_day, close_1d, close_future, return_future,
        CAST(CASE WHEN return_future > 0.001 THEN 1 ELSE 0 END AS INTEGER) AS label_up
-FROM (SELECT *, (close_future - close_1d) / close_1d AS return_future
+FROM (SELECT *, (close_future - close_1d) / nullif(close_1d, 0) AS return_future
       FROM (SELECT l_suppkey, ts_day, close_1d,
                    lead(close_1d, 1) OVER (PARTITION BY l_suppkey ORDER BY ts_day) AS close_future
             FROM ({_LARGE_BODY}) b) x) y
 WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
-    "activity_hourly": _ACT_BODY,
-    "activity_total_blocks": "SELECT count(*) AS n_blocks FROM events WHERE event_type = 'view'",
+    "activity_hourly": _ACT_ALL,
+    "activity_total_blocks": "SELECT count(*) AS n_blocks FROM events",
     "price_activity_left_join": f"""SELECT ts_hour, {_BAR_SEL}, CAST(a.block_count AS DOUBLE) AS block_count,
         a.tx_count_hour
         FROM ({_BARS_BODY}) b LEFT JOIN ({_ACT_BODY}) a USING (ts_hour)""",
@@ -721,16 +911,13 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "feature_dataset": _features_sql(False),
     "feature_dataset_keyed": _features_sql(True),
     "csv_candles": """SELECT ts AS ts_raw, value AS open, value AS high, value AS low, value AS close,
-        value AS volume FROM events WHERE value > 0""",
+        value AS volume FROM events""",
     "activity_detect_ts": """SELECT date_trunc('hour', ts) AS ts_hour, count(*) AS block_count,
-        CAST(sum(user_id) AS DOUBLE) AS tx_count_hour FROM events WHERE event_type = 'view'
-        GROUP BY date_trunc('hour', ts)""",
+        CAST(sum(user_id) AS DOUBLE) AS tx_count_hour FROM events GROUP BY date_trunc('hour', ts)""",
     "date_range_filter": """SELECT ts AS ts_raw, value AS open, value AS high, value AS low, value AS close,
-        value AS volume FROM events WHERE value > 0
-        AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'""",
+        value AS volume FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'""",
     "candles_parquet_pruned": """SELECT ts AS ts_raw, value AS open, value AS high, value AS low, value AS close,
-        value AS volume FROM events WHERE value > 0
-        AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'""",
+        value AS volume FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00'""",
     "daily_to_hourly_ffill": _FFILL_BODY,
     "daily_proxy": f"""SELECT strftime(Date, '%Y-%m-%d %H:%M:%S') AS timestamp,
         Volume / 24.0 AS total_value_hour, Volume / 24.0 / 10000.0 AS tx_count_hour,
@@ -760,7 +947,7 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
                 CAST(count_if(ts >= TIMESTAMP '{TEST_START}') AS INTEGER) AS n_test FROM events) c""",
     "feature_parquet_roundtrip": _features_sql(False),
     "stats_parquet_roundtrip": f"""SELECT timestamp, block_count, CAST(tx_count_hour AS BIGINT) AS tx_count_hour,
-        total_value_hour FROM ({_ACT_BODY}) a""",
+        total_value_hour FROM ({_ACT_ALL}) a""",
     "proxy_parquet_roundtrip": f"""SELECT strftime(Date, '%Y-%m-%d %H:%M:%S') AS timestamp,
         Volume / 24.0 AS total_value_hour, Volume / 24.0 / 10000.0 AS tx_count_hour,
         CAST(6 AS BIGINT) AS block_count FROM ({_FFILL_BODY}) f""",
@@ -772,5 +959,5 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; the trained-model queries (train_*, model_roundtrip) have none (rows-only)."""
+    """DuckDB SQL per query."""
     return _ORACLE | _llm()[1]

@@ -59,3 +59,28 @@ def test_daily_bars_and_keys(spark):
     out = sorted(rows(ohlcv_bars(df, keys=["k"], size="1 day", out_ts="ts_day", suffix="_1d"),
                       "k", "ts_day", "open_1d", "close_1d", "vol_1d"))
     assert out == [("a", ts("2024-01-01 00:00:00"), 1.0, 2.0, 3.0), ("b", ts("2024-01-01 00:00:00"), 5.0, 5.0, 5.0)]
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_tied_ticks_do_not_depend_on_partitioning(spark, parts):
+    """Equal times: the smallest value opens and the largest closes, negative and tiny values too."""
+    data = [(ts(f"2024-01-01 {h:02d}:00:00"), v) for h in range(3) for v in (7.0, -2.5, 1e-300, 0.0, 7.0000000000000009, 1e18)]
+    df = spark.createDataFrame(data, "ts_raw timestamp_ntz, v double").repartition(parts)
+    df = df.selectExpr("ts_raw", "v AS open", "v AS high", "v AS low", "v AS close", "v AS volume")
+    assert rows(hourly_bars(df), "open_1h", "close_1h") == [(-2.5, 1e18)] * 3
+
+
+def test_double_rank_sorts_like_doubles(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tickwork.functions.order import double_rank
+
+    rng = random.Random(1)
+    values = [0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1e-310, 1.7976931348623157e308, float("inf"), -float("inf")]
+    values += [rng.choice([1, -1]) * math.exp(rng.uniform(-700, 700)) for _ in range(300)]
+    values += [f(2.0**k, 9e300) for k in range(-1000, 1000, 37) for f in (math.nextafter, lambda x, _: x)]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", double_rank(F.col("v")).alias("r")).collect()
+    in_order = sorted(got, key=lambda x: x.v)
+    assert all((a.v < b.v) == (a.r < b.r) for a, b in zip(in_order, in_order[1:]))

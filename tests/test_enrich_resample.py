@@ -32,6 +32,28 @@ def test_g14_forward_fill_daily_to_hourly(spark):
         assert max(got) == ts("2018-01-04 00:00:00") and got[max(got)] == 5.0
 
 
+def test_forward_fill_snaps_to_the_grid_and_keeps_the_latest(spark):
+    seen = [("00:30:00", 1.0), ("03:15:00", 2.0), ("03:40:00", 3.0), ("05:00:00", 4.0), ("05:00:00", 5.0)]
+    df = spark.createDataFrame([(ts(f"2024-01-01 {t}"), v) for t, v in seen] + [(None, 9.0)], "t timestamp_ntz, v double")
+    out = sorted(rows(resample_ffill(df, ts="t"), "t", "v"))
+    assert out == [(ts(f"2024-01-01 {h:02d}:00:00"), v) for h, v in enumerate([1.0, 1.0, 1.0, 3.0, 3.0, 5.0])]
+    assert resample_ffill(df, ts="t", out_ts="at").columns == ["at", "v"]
+
+
+def test_forward_fill_of_a_long_gap_and_instants(spark):
+    df = spark.createDataFrame([(0, 1.0), (86400 * 40 + 30, 2.0)], "s long, v double").select(F.timestamp_seconds("s").alias("t"), "v")
+    out = resample_ffill(df, ts="t", step="1 minute")
+    assert out.count() == 40 * 1440 + 1 and out.distinct().count() == out.count()
+    assert out.dtypes == [("t", "timestamp"), ("v", "double")]
+
+
+def test_activity_rows_without_a_time_stay(spark):
+    from tickwork.sources import align_activity
+
+    df = spark.createDataFrame([("2024-01-01 05:10:00", 1), (None, 2)], "timestamp string, n int")
+    assert sorted((str(r.ts_hour), r.n) for r in align_activity(df).collect()) == [("2024-01-01 05:00:00", 1), ("None", 2)]
+
+
 def test_proxy_columns(spark):
     daily = spark.createDataFrame([(ts("2018-01-01 00:00:00"), 240000.0)], "Date timestamp_ntz, Volume double")
     (r,) = daily_to_hourly_proxy(daily, ts="Date").collect()
@@ -83,7 +105,7 @@ def test_k2_proxy_sink_and_o1_sorted_features(spark):
         "ts_hour", F.expr("timestamp_seconds(t * 3600)")).coalesce(1)
     fpath = scratch_path(spark, "test_features")
     write_features(feats, fpath, keys=["k"])
-    assert [(r["k"], r["t"]) for r in spark.read.parquet(fpath).collect()] == [("a", 1), ("a", 3), ("b", 1), ("b", 2)]
+    assert [(r["k"], r["t"]) for r in spark.read.parquet(fpath).collect()] == [("a", 1), ("b", 1), ("b", 2), ("a", 3)]
 
 
 def test_join_projects_the_right_side(spark):
@@ -99,6 +121,5 @@ def test_ffill_with_observations_closer_than_a_step(spark):
     daily = spark.createDataFrame([(ts("2018-01-01 00:00:00"), 1.0), (ts("2018-01-01 00:30:00"), 2.0),
                                    (ts("2018-01-01 02:00:00"), 3.0)], "Date timestamp_ntz, Volume double")
     got = sorted(rows(resample_ffill(daily, ts="Date"), "Date", "Volume"))
-    # no error on a sub-step gap; each value repeats up to one step before the next observation
-    assert got == [(ts("2018-01-01 00:00:00"), 1.0), (ts("2018-01-01 00:30:00"), 2.0),
-                   (ts("2018-01-01 02:00:00"), 3.0)]
+    # the latest observation of a step counts, and is repeated up to the step before the next one
+    assert got == [(ts("2018-01-01 00:00:00"), 2.0), (ts("2018-01-01 01:00:00"), 2.0), (ts("2018-01-01 02:00:00"), 3.0)]

@@ -10,19 +10,21 @@ from tickwork.plans.explain import plan_text, single_partition_exchanges
 
 def test_bars_push_filters_and_prune_columns(spark):
     text = plan_text(hourly_bars(tables.ticks(spark, SF_MID)), "formatted")
-    assert "PushedFilters: [IsNotNull(value), GreaterThan(value,0.0)" in text
+    assert "PushedFilters: [IsNotNull(ts)]" in text
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in text
     simple = plan_text(hourly_bars(tables.ticks(spark, SF_MID)), "simple")
     assert "partial_min_by" in simple and "HashAggregate" in simple and "SortAggregate" not in simple
 
 
-def test_tiebreak_bars_use_sort_aggregate_only_when_asked(spark):
+def test_bars_with_ties_are_hash_aggregates(spark):
     simple = plan_text(E._large_bars(spark, SF_MID), "simple")
-    assert "SortAggregate" in simple and "partial_min_by" in simple
+    assert "SortAggregate" not in simple and "partial_min_by" in simple
+    text_tie = tables.ticks(spark, SF_MID, keyed=True)  # what doesn't fit into a number is ordered as a struct
+    assert "SortAggregate" in plan_text(hourly_bars(text_tie, tiebreak=["event_type"]), "simple")
 
 
 def test_activity_projection_reaches_the_scan(spark):
-    text = plan_text(tables.activity(spark, SF_MID), "formatted")
+    text = plan_text(tables.activity(spark, SF_MID, "view"), "formatted")
     assert "EqualTo(event_type,view)" in text
     assert "props" not in text.split("ReadSchema:")[1].split("\n")[0]
 

@@ -5,7 +5,7 @@ from conftest import SF_MID, rows
 from pyspark.sql import functions as F
 
 from tickwork import tables
-from tickwork.operators import PARTITIONED, Layout, add_indicators, add_labels, hourly_bars, row_index
+from tickwork.operators import PARTITIONED, Layout, add_indicators, add_labels, hourly_bars, moving_averages, ohlcv_bars, rolling_volatility
 from tickwork.plans.explain import plan_text
 from tickwork.operators.series import with_series_columns
 
@@ -42,14 +42,6 @@ def test_keyed_blocked_equals_one_run_per_key(spark):
         _same(keyed.filter(F.col("event_type") == k), single, cols)
 
 
-def test_row_index_is_gap_free_with_null_keys_and_times(spark):
-    df = spark.createDataFrame(
-        [(None, 3), (None, 1), ("a", 2), ("a", 1), ("a", None)], "k string, t int"
-    ).withColumn("ts", F.expr("timestamp_seconds(t * 86400 * 40)"))
-    out = sorted(rows(row_index(df, ["k"], "ts", chunk="month"), "k", "t", "_tw_rn"), key=str)
-    assert out == sorted([(None, 1, 0), (None, 3, 1), ("a", None, 0), ("a", 1, 1), ("a", 2, 2)], key=str)
-
-
 def test_blocks_widen_to_cover_the_halo(spark):
     df = spark.range(12).withColumn("ts_hour", F.expr("timestamp_seconds(id * 3600)"))
     out = with_series_columns(df, [("x", lambda s: F.lag("id", 5).over(s.rows))], back=5,
@@ -83,7 +75,7 @@ def test_hot_key_is_split_into_bounded_blocks(spark):
     bars = hot.union(cold)
     layout = Layout(block_rows=200, chunk="day")
     chunked = bars.withColumn(_CHUNK, F.to_date("ts_hour"))
-    plan = chunk_blocks(chunked, ["k"], 23, 1, 200)
+    plan = chunk_blocks(chunked, ["k"], "ts_hour", layout, 23, 1, 0)
     sizes = (chunked.join(plan, ["k", _CHUNK]).groupBy("k", _BLK).count())
     hot_sizes = [r["count"] for r in sizes.filter(F.col("k") == "hot").collect()]
     assert len(hot_sizes) >= 3000 // 200 - 1
@@ -121,19 +113,15 @@ def test_keyed_forward_fill_across_blocks(spark):
 
 
 def test_blocked_layout_without_aqe_or_broadcast(spark):
-    """The sort-merge fallback (chunk table too large to broadcast) gives the same result."""
+    """A chunk table that is too large to broadcast is joined by sort-merge, with the same result."""
     conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
         bars = _events_bars(spark, keyed=True)
-        big = Layout(block_rows=60, chunk="day", broadcast_bytes=0)  # the chunk table "does not fit"
-        blocked = add_indicators(bars, keys=["event_type"], layout=big)
+        blocked = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=60, chunk="day"))
         assert "SortMergeJoin" in plan_text(blocked, "simple")
-        hinted = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=60, chunk="day"))
-        assert "BroadcastHashJoin" in plan_text(hinted, "simple")  # proven small: broadcast despite -1
-        _same(hinted, blocked, ["event_type", "ts_hour", "ret_1h", "ma_close_12h", "vol_24h"])
         plain = add_indicators(bars, keys=["event_type"], layout=PARTITIONED)
         _same(blocked, plain, ["event_type", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h"])
     finally:
@@ -156,28 +144,24 @@ def test_hour_chunks_are_monotonic_across_a_clock_change(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_adaptive_keyed_layout_skips_blocks_only_when_every_series_fits(spark):
+def test_one_plan_whatever_the_length_of_a_series(spark):
     bars = _events_bars(spark, keyed=True)  # five series of ~700 bars
-    fits = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=1000))
-    text = plan_text(fits, "simple")
-    assert "_tw_blk" not in text and "Exchange SinglePartition" not in text
-    assert "hashpartitioning(event_type" in text
-    forced = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=1000, adaptive=False))
-    assert "hashpartitioning(event_type#" in plan_text(forced, "simple") and "_tw_blk" in plan_text(forced, "simple")
-    long = add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=100))
-    assert "_tw_blk" in plan_text(long, "simple")
-    cols = ["event_type", "ts_hour", "ret_1h", "ret_1h_lag2", "ma_close_12h", "vol_24h"]
-    _same(fits, long, cols)
-    _same(forced, long, cols)
-
-
-def test_plan_stats_measure_the_chunk_table(spark):
-    from tickwork.operators.series import _CHUNK, _plan_stats, chunk_blocks, chunk_of
-
-    data = [("aa", i) for i in range(30)] + [("bbbbb", i) for i in range(5)]
-    df = spark.createDataFrame(data, "k string, i int").withColumn("ts_hour", F.expr("timestamp_seconds(i * 3600)"))
-    chunked = df.withColumn(_CHUNK, chunk_of(df, "ts_hour", "day"))
-    plan = chunk_blocks(chunked, ["k"], back=3, ahead=1, block_rows=10)
-    longest, n, width = _plan_stats(plan, ["k"])
-    assert longest == 30 and width == 5
-    assert n == plan.count() and n >= 3  # 30 hourly rows span two days -> at least one row per chunk
+    for block_rows in (100, 1000, 65536):
+        text = plan_text(add_indicators(bars, keys=["event_type"], layout=Layout(block_rows=block_rows)), "simple")
+        assert "_tw_blk" in text
+
+
+@pytest.mark.parametrize("size", ["1 minute", "15 minutes", "1 hour", "4 hours"])
+@pytest.mark.parametrize("step", [900, 3600])
+@pytest.mark.parametrize("block_rows,chunk", [(96, "hour"), (50, "day"), (100_000, "month")])
+def test_time_frames_do_not_depend_on_the_layout(spark, size, step, block_rows, chunk):
+    """Frames in seconds reach as many bars as there are in them, whatever the bar size, block and chunk."""
+    bars = ohlcv_bars(tables.ticks(spark, SF_MID, True), keys=["event_type"], size=size)
+    bars = bars.where("event_type IN ('view', 'error') AND ts_hour < TIMESTAMP_NTZ '2024-01-09'")
+    cols = ["event_type", "ts_hour", "ma_close_3h", "ma_close_12h", "vol_24h"]
+
+    def frames(layout):
+        kw = {"keys": ["event_type"], "frame": "time", "step": step, "layout": layout}
+        return rolling_volatility(moving_averages(bars, **kw), **kw)
+
+    _same(frames(Layout(block_rows=block_rows, chunk=chunk)), frames(PARTITIONED), cols)

@@ -10,20 +10,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def ratio(num: str | Column, den: str | Column) -> Column:
-    """``num / den``; under ANSI mode a zero denominator raises, as in the source pipeline."""
-    return _col(num) / _col(den)
+def ratio(num: str | Column, den: str | Column, on_zero: str = "error") -> Column:
+    """``num / den``; a zero denominator raises (ANSI mode, as in the source pipeline) or, with ``"null"``, gives NULL."""
+    if on_zero not in ("error", "null"):
+        raise ValueError(f"on_zero must be 'error' or 'null', not {on_zero!r}")
+    return F.try_divide(_col(num), _col(den)) if on_zero == "null" else _col(num) / _col(den)
 
 
-def log_return(cur: str | Column, prev: str | Column) -> Column:
-    """Natural-log return ``ln(cur / prev)``; NULL when the ratio is not positive."""
-    return F.ln(_col(cur) / _col(prev))
+def log_return(cur: str | Column, prev: str | Column, on_zero: str = "error") -> Column:
+    """Natural-log return ``ln(cur / prev)``; NULL when the ratio is not positive (``on_zero``: see :func:`ratio`)."""
+    return F.ln(ratio(cur, prev, on_zero))
 
 
-def simple_return(future: str | Column, cur: str | Column) -> Column:
+def simple_return(future: str | Column, cur: str | Column, on_zero: str = "error") -> Column:
     """Forward simple return ``(future - cur) / cur``."""
     c = _col(cur)
-    return (_col(future) - c) / c
+    return ratio(_col(future) - c, c, on_zero)
 
 
 def up_label(ret: str | Column, threshold: float = 0.001) -> Column:

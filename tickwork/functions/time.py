@@ -62,14 +62,19 @@ def truncate_hour(c: str | Column) -> Column:
     return F.date_trunc("hour", _col(c))
 
 
+def epoch_ntz() -> Column:
+    """The epoch as a wall-clock literal."""
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
+
+
 def epoch_to_utc_ntz(seconds: str | Column) -> Column:
     """Epoch seconds -> UTC wall-clock ``TIMESTAMP_NTZ``, independent of the session zone."""
-    return F.timestamp_add("SECOND", _col(seconds), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.timestamp_add("SECOND", _col(seconds), epoch_ntz())
 
 
 def epoch_seconds_ntz(c: str | Column) -> Column:
     """Whole seconds since the epoch of a UTC wall-clock ``TIMESTAMP_NTZ`` (truncating)."""
-    return F.timestamp_diff("SECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _col(c))
+    return F.timestamp_diff("SECOND", epoch_ntz(), _col(c))
 
 
 def hour_text(c: str | Column) -> Column:

@@ -19,7 +19,6 @@ from tickwork.operators.series import (
     PARTITIONED,
     Layout,
     layout_for_bar_size,
-    row_index,
     with_series_columns,
 )
 
@@ -42,7 +41,6 @@ __all__ = [
     "ohlcv_bars",
     "resample_ffill",
     "rolling_volatility",
-    "row_index",
     "select_features",
     "split_counts",
     "time_split",

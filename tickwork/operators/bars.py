@@ -1,11 +1,12 @@
 """Tumbling OHLCV bars (A1): one row per series key and epoch-aligned bucket.
 
-Open and close are taken by time (``min_by`` / ``max_by``), not by the row
-order a shuffle happens to deliver, so a bar does not depend on the input
-partitioning. When time stamps can tie inside a bucket, pass ``tiebreak``
-columns: the ordering becomes ``struct(ts, *tiebreak, value)`` -- the value
-last, so that even complete ties resolve the same way every run. That form
-plans as a sort-based aggregate; without ties the cheaper hash aggregate stays.
+Open and close are taken by time, not by the row order a shuffle happens to
+deliver, so a bar does not depend on the input partitioning. Equal times are
+ordered by the ``tiebreak`` columns, or without any by the value itself (the
+smallest opens, the largest closes). Time and tie-break are packed into one
+number (see :func:`tickwork.functions.order.packed_order`): a fixed-width
+aggregation buffer keeps ``min_by``/``max_by`` in a hash aggregate, where a struct
+would make Spark sort all ticks before it aggregates them.
 
 The aggregation is Spark's partial + final hash aggregate: ticks are combined
 map-side, only one partial row per (key, bucket, task) is shuffled.
@@ -18,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwork.functions.order import packed_order
 from tickwork.functions.time import bucket_start
 
 
@@ -25,14 +27,9 @@ def _dbl(c: str) -> Column:
     return F.col(c).cast("double")  # one cast; Catalyst folds it into a double input
 
 
-def _first_last(value: str, ts: str, tiebreak: Sequence[str]) -> tuple[Column, Column]:
-    if not tiebreak:
-        return F.min_by(F.col(value), F.col(ts)), F.max_by(F.col(value), F.col(ts))
-    order = [F.col(ts), *[F.col(c) for c in tiebreak], F.col(value)]
-    return (
-        F.min_by(F.col(value), F.struct(*order)),
-        F.max_by(F.col(value), F.struct(*order)),
-    )
+def _first_last(ticks: DataFrame, value: str, ts: str, tiebreak: Sequence[str]) -> tuple[Column, Column]:
+    order = packed_order(ticks, [ts, *(tiebreak or [value])])
+    return F.min_by(F.col(value), order), F.max_by(F.col(value), order)
 
 
 def ohlcv_bars(
@@ -61,8 +58,8 @@ def ohlcv_bars(
     (instants) a ``"1 day"`` bar is a UTC day whatever the session zone.
     """
     keys = list(keys)
-    first_open, _ = _first_last(open, ts, tiebreak)
-    _, last_close = _first_last(close, ts, tiebreak)
+    first_open, _ = _first_last(ticks, open, ts, tiebreak)
+    _, last_close = _first_last(ticks, close, ts, tiebreak)
     return (
         ticks.groupBy(*keys, bucket_start(ts, size).alias(out_ts))
         .agg(

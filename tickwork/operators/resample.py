@@ -1,4 +1,4 @@
-"""Upsampling with forward fill (R1) and the daily-to-hourly proxy table."""
+"""Forward fill on a grid (R1) and the daily-to-hourly proxy table."""
 
 from __future__ import annotations
 
@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.functions.time import hour_text
-from tickwork.operators.series import Layout, with_series_columns
+from pyspark.sql.types import TimestampNTZType
 
-_NEXT = "_tw_next_ts"
+from tickwork.functions.time import bucket_floor, epoch_seconds_ntz, epoch_to_utc_ntz, hour_text, interval_seconds
+from tickwork.operators.series import Layout, layout_for_bar_size, with_series_columns
+
+_STEP, _ROW, _NEXT = "_tw_step", "_tw_row", "_tw_next_ts"
 
 
 def resample_ffill(
@@ -22,28 +24,44 @@ def resample_ffill(
     out_ts: str | None = None,
     layout: Layout | None = None,
 ) -> DataFrame:
-    """Forward-fill a coarser series onto a ``step`` grid.
+    """Forward-fill a series onto a ``step`` grid.
 
-    Each observation is repeated at ``ts, ts+step, ...`` up to one step before
-    the next observation of its series; the last observation yields one row.
-    Missing periods are bridged by the latest earlier value. Observations are
-    expected on the grid (daily rows at midnight for an hourly step).
+    Times are floored to the epoch-aligned grid; of several observations in one
+    step of a series the latest counts (of equal times the largest row). Each is
+    repeated from its step up to the step before the next observation of its
+    series; the last one yields one row. Missing periods are bridged by the latest
+    earlier value. Rows without a time are dropped.
 
-    Plan: ``lead(ts)`` per series (block + halo layout, one row ahead), then a
-    generator ``explode(sequence(...))`` -- each task expands its own rows, no
-    shuffle after the lead.
+    Plan: one aggregate per series and step (a hash aggregate with map-side
+    combining), ``lead(step)`` per series (block + halo layout, one row ahead), then
+    two generators: first the days that a gap covers, then, after those rows are
+    dealt out anew, the steps of each day, so neither one row nor one task expands a
+    whole long gap of a fine step.
     """
     out_ts = out_ts or ts
-    step_expr = F.expr(f"INTERVAL {step}")
-    nxt = with_series_columns(
-        df, [(_NEXT, lambda s: F.lead(ts, 1).over(s.rows))], keys=keys, order=ts, ahead=1, layout=layout
-    )
-    stop = F.greatest(F.col(ts), F.coalesce(F.col(_NEXT) - step_expr, F.col(ts)))
-    others = [c for c in df.columns if c != ts]
-    return nxt.select(
-        F.explode(F.sequence(F.col(ts), stop, step_expr)).alias(out_ts),
-        *others,
+    seconds = interval_seconds(step)
+    ntz = isinstance(df.schema[ts].dataType, TimestampNTZType)
+    others = [c for c in df.columns if c != ts and c not in keys]
+    at = F.col(ts) if ntz else F.col(ts).cast("timestamp")
+    latest = (
+        df.where(F.col(ts).isNotNull())
+        .groupBy(*keys, bucket_floor(at, step, ntz=ntz).alias(_STEP))
+        .agg(F.max(F.struct(F.col(ts), *others)).alias(_ROW))
+        .select(*keys, _STEP, *[F.col(f"{_ROW}.`{c}`").alias(c) for c in others])
     )
+    nxt = with_series_columns(latest, [(_NEXT, lambda s: F.lead(_STEP, 1).over(s.rows))], keys=keys, order=_STEP,
+                              ahead=1, layout=layout or layout_for_bar_size(step))
+    epoch = epoch_seconds_ntz if ntz else F.unix_seconds
+    first = epoch(F.col(_STEP))
+    last = F.coalesce(epoch(F.col(_NEXT)) - F.lit(seconds), first)
+    chunk = F.lit(max(86400 // seconds, 1) * seconds)
+    parts = nxt.select(*keys, *others, last.alias("_tw_last"), F.explode(F.sequence(first, last, chunk)).alias("_tw_first"))
+    parts = parts.repartition(*keys, "_tw_first")
+    until = F.least(F.col("_tw_last"), F.col("_tw_first") + chunk - F.lit(seconds))
+    steps = parts.select(*keys, *others, F.explode(F.sequence("_tw_first", until, F.lit(seconds).cast("long"))).alias("_tw_at"))
+    time = epoch_to_utc_ntz("_tw_at") if ntz else F.timestamp_seconds("_tw_at")
+    order = [out_ts if c == ts else c for c in df.columns]
+    return steps.withColumn(out_ts, time).select(*order)
 
 
 # Fixed values of the proxy table: hours per day, count scale, constant block count.

@@ -12,25 +12,25 @@ layout expressed in plain DataFrame operations:
    chunk is a contiguous run of each series; see :func:`chunk_of`). Count rows per
    ``(keys, _chunk)`` -- partially aggregated map-side, a table orders of
    magnitude smaller than the rows.
-2. On that small table only, in one window pass: running row offsets per
-   series, blocks of whole chunks (``offset div block_rows``), and for every
-   chunk the blocks it must also be copied into as *halo*: a chunk that ends
-   fewer than ``back`` rows before a block starts, or starts fewer than
-   ``ahead`` rows after a block ends (see :func:`chunk_blocks`).
-3. Join the rows to that chunk -> blocks table (AQE broadcasts it when its
-   measured size is under the threshold, otherwise a shuffle join) -- one row
-   per target block -- and evaluate the windows with
+2. On that small table only: running row offsets per series, blocks of whole
+   chunks (``offset div block_rows``, numbered without gaps), and for every chunk
+   the range of blocks that need a copy of it as *halo*: a later block if it
+   starts fewer than ``back`` rows after the chunk ends, or at most
+   ``back_seconds`` after it; an earlier one if it ends fewer than ``ahead`` rows
+   before the chunk starts (see :func:`chunk_blocks`).
+3. Join the rows to that chunk -> blocks table (Spark picks the strategy by
+   measured size) -- one row per target block -- and evaluate the windows with
    ``partitionBy(*keys, block).orderBy(ts)``; keep each row only in its home
    block.
 
-One shuffle of the rows, like the plain window, but a window partition holds
+There is this one plan for series of every length. A window partition holds
 at most ``block_rows`` rows plus one chunk (blocks are whole chunks), plus the
-halo chunks that cover ``back`` rows before and ``ahead`` rows after it --
-however long a series is. A key holding a third of all bars is split into many
-blocks; nothing is dropped or sampled. A chunk is bounded by its calendar
-length over the bar size (see :func:`layout_for_bar_size`). Halos of whole chunks over-cover the frames, so results are identical
-to the global window for frames reaching at most ``back`` rows back and
-``ahead`` rows ahead (tests G28, keyed run = one run per key).
+halo chunks, however long a series is. A key holding a third of all bars is
+split into many blocks; nothing is dropped or sampled. A chunk is bounded by its
+calendar length over the bar size (see :func:`layout_for_bar_size`). Row frames
+are covered by ``back``/``ahead`` in rows, time frames by ``back_seconds``,
+whatever the bar size, so results equal those of the global window (tests G28,
+keyed run = one run per key).
 
 The input is read twice (counts, rows). Left lazy, Catalyst prunes the two
 branches differently, the exchanges are not reused and the input's whole
@@ -60,9 +60,7 @@ class Specs:
 
     ``rows`` is ordered by the order column (+ tiebreak): row frames, lag, lead.
     ``time`` is ordered by whole epoch seconds of the order column, for
-    ``rangeBetween`` frames in seconds (time frames; bars hold at most one row
-    per bar interval, so such a frame never reaches more rows back than its
-    length in bars, and the block layout stays exact).
+    ``rangeBetween`` frames in seconds (time frames).
     """
 
     rows: WindowSpec
@@ -71,14 +69,13 @@ class Specs:
 
 ColumnBuilder = Callable[[Specs], Column]
 
-_RN = "_tw_rn"
 _BLK = "_tw_blk"
 _HOME = "_tw_home"
 _CHUNK = "_tw_chunk"
-_OFF = "_tw_off"
 _CNT = "_tw_n"
 _CB = "_tw_cb"  # rows of the series before the chunk
 _CA = "_tw_ca"  # rows up to and including the chunk
+_T0 = "_tw_t0"  # first whole second of the chunk
 
 
 @dataclass(frozen=True)
@@ -87,26 +84,18 @@ class Layout:
 
     ``blocked=True`` (default) uses the block + halo scheme above: one shuffle
     of the rows, bounded tasks, plus one Parquet write of the input and a few
-    small stages over the chunk counts. ``False`` falls back to
+    small stages over the chunk counts. ``False`` is the plain
     ``Window.partitionBy(*keys)`` (one task per key, one task in total without
-    keys) -- saves those small fixed costs when every series is known to be
-    short. ``chunk`` is one of hour/day/week/month/quarter/year; the order
+    keys). ``chunk`` is one of hour/day/week/month/quarter/year; the order
     column must be a timestamp or date. ``materialize=False`` skips the
-    Parquet write when the input is cheap to recompute. ``adaptive`` (keyed
-    series only): the chunk table is written once and one tiny job reads the
-    longest series off it; when no series exceeds ``block_rows``, plain ``partitionBy(keys)`` windows
-    are exact and already bounded, and the join is skipped. The same job
-    measures the chunk table (rows x widest key); under ``broadcast_bytes`` it
-    is broadcast explicitly, above it the join is left to Spark (a shuffle
-    join unless AQE measures it small enough).
+    Parquet write when the input is cheap to recompute;
+    :func:`tickwork.sinks.scratch.drop_scratch` removes the tables written so far.
     """
 
     blocked: bool = True
     block_rows: int = 65536
     chunk: str = "month"
     materialize: bool = True
-    adaptive: bool = True
-    broadcast_bytes: int = 64 * 1024 * 1024
 
     def __post_init__(self) -> None:
         if self.block_rows < 1:
@@ -117,8 +106,9 @@ DEFAULT_LAYOUT = Layout()
 PARTITIONED = Layout(blocked=False)
 
 # Chunk units (see chunk_of), with their longest length in seconds.
-_CHUNK_UNITS = (("hour", 3600), ("day", 86400), ("week", 7 * 86400), ("month", 31 * 86400),
+_CHUNK_UNITS = (("hour", 3600), ("day", 86400), ("week", 7 * 86400), ("month", 31 * 86400), ("quarter", 92 * 86400),
                 ("year", 366 * 86400))
+_CLOCK_CHANGE = 7200  # by so many seconds a calendar chunk can be longer in a session zone
 def layout_for_bar_size(size: str, min_rows: int = 256, **kw) -> Layout:
     """Blocked layout whose count chunks hold about ``min_rows`` bars or more (e.g. month for hourly bars,
     year for daily bars), so the chunk-count table stays small and each chunk is a bounded group."""
@@ -183,35 +173,6 @@ def _specs(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[st
     return Specs(series_spec(keys, [order, *tiebreak]), series_spec(keys, [epoch_seconds(df, order)]))
 
 
-def row_index(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    tiebreak: Sequence[str] = (),
-    chunk: str = "month",
-    name: str = _RN,
-) -> DataFrame:
-    """Add a 0-based, gap-free row position per series (``name``) without a global sort.
-
-    Rows are ordered by ``order`` then ``tiebreak``; NULL order values sort
-    first, as in an ascending window. Key columns may hold NULL (null-safe join).
-    """
-    keys = list(keys)
-    chunked = df.withColumn(_CHUNK, chunk_of(df, order, chunk))
-    counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    # Rename the keys on the small side so the self-join has no ambiguous lineage.
-    alias = {k: f"_tw_k{i}" for i, k in enumerate([*keys, _CHUNK])}
-    offsets = counts.select(
-        *[F.col(k).alias(a) for k, a in alias.items()],
-        F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
-    )
-    cond = [chunked[k].eqNullSafe(offsets[a]) for k, a in alias.items()]
-    joined = chunked.join(offsets, cond, "inner").drop(*alias.values())
-    within = Window.partitionBy(*keys, _CHUNK).orderBy(order, *tiebreak)
-    return joined.withColumn(name, F.col(_OFF) + F.row_number().over(within) - 1).drop(_OFF, _CHUNK)
-
-
 def with_series_columns(
     df: DataFrame,
     columns: Sequence[tuple[str, ColumnBuilder]],
@@ -221,17 +182,19 @@ def with_series_columns(
     tiebreak: Sequence[str] = (),
     back: int = 0,
     ahead: int = 0,
+    back_seconds: int = 0,
     layout: Layout | None = None,
 ) -> DataFrame:
     """Add window columns evaluated over each time-ordered series.
 
     ``columns`` is an ordered list of ``(name, builder)``; a builder receives
-    the ordered ``WindowSpec`` (partition + order, no frame) and returns the
-    column, e.g. ``lambda s: F.lag("close_1h", 1).over(s.rows)`` (see :class:`Specs`). All columns are
+    the ordered window specs (see :class:`Specs`) and returns the column, e.g.
+    ``lambda s: F.lag("close_1h", 1).over(s.rows)``. All columns are
     added in one projection over the input columns (one ``Window`` operator),
     so a builder cannot refer to another builder's output -- write it over the
     inputs instead (``lag(x, k)`` of a return is a return of lagged closes).
-    ``back``/``ahead`` must cover the furthest row any frame reaches.
+    ``back``/``ahead`` must cover the furthest row any row frame reaches,
+    ``back_seconds`` the longest time frame.
     """
     layout = layout or DEFAULT_LAYOUT
     keys = list(keys)
@@ -240,20 +203,9 @@ def with_series_columns(
 
     src = materialize(df) if layout.materialize else df
     chunked = src.withColumn(_CHUNK, chunk_of(src, order, layout.chunk))
-    plan = chunk_blocks(chunked, keys, back, ahead, max(layout.block_rows, 1))
-    small_plan = False
-    if keys:
-        # The chunk table is small: write it once and measure it exactly (one tiny job, three scalars).
-        plan = materialize(plan, "chunks")
-        longest, plan_rows, key_bytes = _plan_stats(plan, keys)
-        if layout.adaptive and longest <= layout.block_rows:
-            # size-checked: every window partition holds at most block_rows rows
-            return _add(src, columns, _specs(src, keys, order, tiebreak))
-        small_plan = plan_rows * (key_bytes + _PLAN_ROW_BYTES) <= layout.broadcast_bytes
+    plan = chunk_blocks(chunked, keys, order, layout, back, ahead, back_seconds)
     alias = {k: f"_tw_k{i}" for i, k in enumerate([*keys, _CHUNK])}
     plan = plan.select(*[F.col(k).alias(a) for k, a in alias.items()], _HOME, _BLK)
-    if small_plan:
-        plan = F.broadcast(plan)
     cond = [chunked[k].eqNullSafe(plan[a]) for k, a in alias.items()]
     spread = chunked.join(plan, cond, "inner").drop(*alias.values(), _CHUNK)
     # Hash the rows by block explicitly: whichever join strategy AQE picks, the
@@ -263,55 +215,42 @@ def with_series_columns(
     return _add(spread, columns, specs).filter(F.col(_BLK) == F.col(_HOME)).drop(_BLK, _HOME)
 
 
-# Fixed per-row bytes of a chunk-table row besides the keys: chunk, two block ids, row overhead.
-_PLAN_ROW_BYTES = 64
-
-
-def _plan_stats(plan: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
-    """(rows of the longest series, rows of the chunk table, widest key in bytes) of a chunk table."""
-    width = [F.octet_length(F.col(k)) if dict(plan.dtypes)[k] in ("string", "binary") else F.lit(8) for k in keys]
-    row = plan.agg(F.max(_CA).alias("m"), F.count(F.lit(1)).alias("n"),
-                   F.max(sum(width[1:], width[0])).alias("w")).first()
-    return int(row["m"] or 0), int(row["n"] or 0), int(row["w"] or 0)
-
-
 def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], specs: Specs) -> DataFrame:
     names = {n for n, _ in columns}
     keep = [F.col(f"`{c}`") for c in df.columns if c not in names]
     return df.select(*keep, *[build(specs).alias(name) for name, build in columns])
 
 
-def chunk_blocks(chunked: DataFrame, keys: Sequence[str], back: int, ahead: int, block_rows: int) -> DataFrame:
-    """Small table ``(*keys, _chunk, rows so far, home block, target block)``: one row per block a chunk
-    is sent to.
-
-    One window pass over the per-chunk counts: running offsets give each
-    chunk its home block (``rows before it div block_rows``); the block ids of
-    the next ``back`` and previous ``ahead`` chunks (bounded row frames -- every
-    chunk holds at least one row, so no farther chunk is within reach) are kept
-    when that chunk starts fewer than ``back`` rows after this one ends, or
-    ends fewer than ``ahead`` rows before this one starts.
+def chunk_blocks(
+    chunked: DataFrame, keys: Sequence[str], order: str, layout: Layout, back: int, ahead: int, back_seconds: int
+) -> DataFrame:
+    """Small table ``(*keys, _chunk, home block, target block)``: one row per block a chunk is sent to.
+
+    Blocks are numbered without gaps, so what a chunk is sent to is a range of
+    them. The last block that needs it holds the last chunk starting fewer than
+    ``back`` rows after the next one does (a range frame over row offsets, read off
+    the next chunk), or within ``back_seconds`` and one chunk length of its own
+    start (a range frame over times). The first one holds the first chunk ending
+    fewer than ``ahead`` rows before the previous one does.
     """
     keys = list(keys)
-    counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias(_CNT))
-    w = Window.partitionBy(*keys).orderBy(_CHUNK)
-    cb = F.coalesce(F.sum(_CNT).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    c = counts.select(*keys, _CHUNK, cb.alias(_CB), (cb + F.col(_CNT)).alias(_CA))
-    # (start, block) of the next `back` chunks and (end, block) of the previous `ahead` chunks
-    home = F.expr(f"{_CB} div {block_rows}")
-    pair = lambda pos, name: F.struct(F.col(pos).alias(name), home.alias("h"))
-    lists = []
-    if back > 0:
-        lists.append(F.collect_list(pair(_CB, "s")).over(w.rowsBetween(1, back)).alias("_tw_nxt"))
-    if ahead > 0:
-        lists.append(F.collect_list(pair(_CA, "e")).over(w.rowsBetween(-ahead, -1)).alias("_tw_prv"))
-    c = c.select(*keys, _CHUNK, _CB, _CA, home.alias(_HOME), *lists)
-    parts = [F.array(F.col(_HOME))]
+    counts = chunked.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias(_CNT), F.min(epoch_seconds(chunked, order)).alias(_T0))
+    in_order = Window.partitionBy(*keys).orderBy(_CHUNK)
+    by = lambda c: Window.partitionBy(*keys).orderBy(c)
+    before = F.coalesce(F.sum(_CNT).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    c = counts.select(*keys, _CHUNK, _T0, before.alias(_CB), (before + F.col(_CNT)).alias(_CA))
+    c = c.withColumn(_HOME, F.dense_rank().over(by(F.expr(f"{_CB} div {layout.block_rows}"))))
+    first, last = [F.col(_HOME)], [F.col(_HOME)]
     if back > 0:
-        near = F.filter("_tw_nxt", lambda x: x["s"] - F.col(_CA) < back)
-        parts.append(F.transform(near, lambda x: x["h"]))
+        c = c.withColumn("_tw_last", F.max(_HOME).over(by(_CB).rangeBetween(0, back - 1)))
+        last.append(F.lead("_tw_last").over(in_order))
+    if back_seconds > 0:
+        length = dict(_CHUNK_UNITS)[layout.chunk] + _CLOCK_CHANGE
+        last.append(F.max(_HOME).over(by(_T0).rangeBetween(0, length + back_seconds)))
     if ahead > 0:
-        near = F.filter("_tw_prv", lambda x: F.col(_CB) - x["e"] < ahead)
-        parts.append(F.transform(near, lambda x: x["h"]))
-    targets = F.array_distinct(F.concat(*parts)) if len(parts) > 1 else parts[0]
-    return c.select(*keys, _CHUNK, _CA, _HOME, F.explode(targets).alias(_BLK))
+        c = c.withColumn("_tw_first", F.min(_HOME).over(by(_CA).rangeBetween(-(ahead - 1), 0)))
+        first.append(F.lag("_tw_first").over(in_order))
+    lo = F.least(*first) if len(first) > 1 else first[0]
+    hi = F.greatest(*last) if len(last) > 1 else last[0]
+    c = c.select(*keys, _CHUNK, _HOME, lo.alias("_tw_lo"), hi.alias("_tw_hi"))
+    return c.select(*keys, _CHUNK, _HOME, F.explode(F.sequence("_tw_lo", "_tw_hi")).alias(_BLK))

@@ -26,7 +26,7 @@ def make_classifier(model_type: str, params: Mapping[str, Any] | None = None, *,
                     features: str = "features"):
     """M3-M6: estimator by name with defaults overridden by ``params``; unknown name -> ``ValueError``."""
     if model_type not in _FACTORIES:
-        raise ValueError(f"Unknown model type: {model_type}")
+        raise ValueError(f"{model_type!r} is none of the models {', '.join(_FACTORIES)}")
     merged = {**MODEL_DEFAULTS[model_type], **{k: v for k, v in (params or {}).items()
                                                if k in MODEL_DEFAULTS[model_type]}}
     return _FACTORIES[model_type](labelCol=label, featuresCol=features, **merged)

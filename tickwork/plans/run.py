@@ -43,54 +43,72 @@ class RunParams:
     horizon: int = 1
     threshold: float = 0.001
     keys: Sequence[str] = ()
+    size: str = "1 hour"
+    tiebreak: Sequence[str] = ()
+    on_zero: str = "error"
     layout: Layout | None = None
 
 
+def _features_of(columns: Sequence[str], params: RunParams) -> tuple[list[str], Sequence[str]]:
+    """Features that exist, and those whose NULLs become zero."""
+    features = select_features(columns, params.price_features, params.activity_features, params.use_activity)
+    return features, params.activity_features if params.use_activity else ()
+
+
+def _fit_and_score(
+    train: DataFrame, test: DataFrame, features: Sequence[str], params: RunParams
+) -> tuple[DataFrame, PipelineModel]:
+    """Fit on prepared rows, score the others once, and take the metrics off the cached scores."""
+    model = classifier_pipeline(features, params.model_type, params.model_params, params.label).fit(train)
+    scored = model.transform(test).select(params.label, "rawPrediction", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n_test = scored.count()
+        auc, acc = auc_roc(scored, params.label), accuracy(scored, params.label)
+    finally:
+        scored.unpersist()
+    n_train = train.count()
+    log.info("metrics: auc=%s acc=%s n_train=%s n_test=%s", auc, acc, n_train, n_test)
+    return metrics_frame(train.sparkSession, auc, acc, n_train, n_test), model
+
+
 def train_and_evaluate(
     train: DataFrame, test: DataFrame, params: RunParams
 ) -> tuple[DataFrame, PipelineModel]:
     """Null policy, fit on train, score test, metrics record (and the fitted model).
 
-    Both sets are persisted once after the null policy: the fit passes over
-    the training rows many times (tree levels, iterations) and the counts
-    reuse the same cached rows instead of recomputing the feature plan.
+    The training rows are persisted after the null policy: the fit passes over
+    them many times (tree levels, iterations). The test rows are read once.
     """
-    spark = train.sparkSession
-    features = select_features(train.columns, params.price_features, params.activity_features,
-                               params.use_activity)
-    zero = params.activity_features if params.use_activity else ()
+    features, zero = _features_of(train.columns, params)
     tr = apply_null_policy(train, features, params.label, zero).persist(StorageLevel.MEMORY_AND_DISK)
-    te = apply_null_policy(test, features, params.label, zero).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = classifier_pipeline(features, params.model_type, params.model_params, params.label).fit(tr)
-        preds = model.transform(te)
-        auc = auc_roc(preds, params.label)
-        acc = accuracy(preds, params.label)
-        n_train, n_test = tr.count(), te.count()
+        return _fit_and_score(tr, apply_null_policy(test, features, params.label, zero), features, params)
     finally:
         tr.unpersist()
-        te.unpersist()
-    log.info("metrics: auc=%s acc=%s n_train=%s n_test=%s", auc, acc, n_train, n_test)
-    return metrics_frame(spark, auc, acc, n_train, n_test), model
 
 
 def run(
     spark: SparkSession, prices: DataFrame, activity: DataFrame | None, params: RunParams
 ) -> tuple[DataFrame, PipelineModel]:
-    """Prices (+ activity) -> labelled features -> time split -> train and evaluate."""
+    """Prices (+ activity) -> labelled features -> null policy -> time split -> train and evaluate.
+
+    The prepared rows are cached once, with the columns that training needs; both sets are filters of them.
+    """
     # Only the activity features are needed for training: project the right side before the join.
     wanted = list(params.activity_features) if params.use_activity and activity is not None else None
     if wanted is not None:
         wanted = [c for c in wanted if c in activity.columns]
-    labelled = build_features(prices, activity, keys=params.keys, horizon=params.horizon,
-                              threshold=params.threshold, use_activity=params.use_activity,
-                              activity_columns=wanted, layout=params.layout)
-    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
+    labelled = build_features(prices, activity, keys=params.keys, size=params.size, tiebreak=params.tiebreak,
+                              horizon=params.horizon, threshold=params.threshold, use_activity=params.use_activity,
+                              activity_columns=wanted, on_zero=params.on_zero, layout=params.layout)
+    features, zero = _features_of(labelled.columns, params)
+    prepared = apply_null_policy(labelled, features, params.label, zero).select("ts_hour", *features, params.label)
+    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train, test = time_split(labelled, params.train_end, params.test_start)
-        return train_and_evaluate(train, test, params)
+        train, test = time_split(prepared, params.train_end, params.test_start)
+        return _fit_and_score(train, test, features, params)
     finally:
-        labelled.unpersist()
+        prepared.unpersist()
 
 
 def class_share(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -99,8 +117,11 @@ def class_share(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 # ---------------------------------------------------------------- configuration-driven run (C3 as `main`)
-def params_from_config(cfg: Mapping[str, Any]) -> RunParams:
-    """RunParams from a configuration mapping with the source pipeline's keys (already parsed)."""
+def params_from_config(cfg: Mapping[str, Any], **own: Any) -> RunParams:
+    """RunParams from a configuration mapping with the source pipeline's keys (already parsed).
+
+    ``own`` sets what that pipeline has no key for: ``keys``, ``size``, ``tiebreak``, ``on_zero``, ``layout``.
+    """
     feats, model, train = cfg.get("features", {}), cfg.get("model", {}), cfg.get("train", {})
     return RunParams(
         train_end=train["train_end_date"],
@@ -112,9 +133,14 @@ def params_from_config(cfg: Mapping[str, Any]) -> RunParams:
         use_activity=bool(feats.get("use_blockchain", False)),
         label=cfg.get("label_col", LABEL),
         horizon=int(cfg.get("etl", {}).get("label_horizon_hours", 1)),
+        **own,
     )
 
 
+# Where the source pipeline writes without an ``output`` section.
+DEFAULT_METRICS_CSV, DEFAULT_MODELS_DIR = "output/metrics.csv", "output/models"
+
+
 def sources_from_config(spark: SparkSession, cfg: Mapping[str, Any]) -> tuple[DataFrame, DataFrame | None]:
     """Candle CSV (column names, date bounds) and the optional activity Parquet named by ``data.*``."""
     from tickwork.sources import load_activity, load_candles_csv
@@ -128,17 +154,22 @@ def sources_from_config(spark: SparkSession, cfg: Mapping[str, Any]) -> tuple[Da
     return prices, load_activity(spark, data.get("blockchain_path"))
 
 
-def run_config(spark: SparkSession, cfg: Mapping[str, Any]) -> tuple[DataFrame, PipelineModel]:
-    """The source pipeline's end-to-end run from its configuration mapping, sinks included
-    (metrics CSV at ``output.metrics_csv``, model under ``output.models_dir``)."""
+def run_config(spark: SparkSession, cfg: Mapping[str, Any], **own: Any) -> tuple[DataFrame, PipelineModel]:
+    """The source pipeline's end-to-end run from its configuration mapping, sinks included.
+
+    Metrics go to ``output.metrics_csv``, the model under ``output.models_dir``, by default to the source pipeline's
+    places. Both sinks are tried; if one fails, the run raises after the other.
+    """
     from tickwork.sinks import save_model, write_metrics_csv
 
-    params = params_from_config(cfg)
+    params = params_from_config(cfg, **own)
     prices, activity = sources_from_config(spark, cfg)
     metrics, model = run(spark, prices, activity, params)
-    out = cfg.get("output", {})
-    if out.get("metrics_csv"):
-        write_metrics_csv(metrics, out["metrics_csv"])
-    if out.get("models_dir"):
-        save_model(model, f"{out['models_dir'].rstrip('/')}/{params.model_type}_pipeline")
+    out = cfg.get("output", {}) or {}
+    metrics_path = out.get("metrics_csv", DEFAULT_METRICS_CSV)
+    model_path = f"{out.get('models_dir', DEFAULT_MODELS_DIR).rstrip('/')}/{params.model_type}_pipeline"
+    failed = [path for path, done in ((metrics_path, write_metrics_csv(metrics, metrics_path)),
+                                      (model_path, save_model(model, model_path))) if not done]
+    if failed:
+        raise RuntimeError(f"the run succeeded, but could not write {' and '.join(failed)} (see the log)")
     return metrics, model

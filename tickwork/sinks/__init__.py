@@ -1,6 +1,6 @@
 """Sinks: Parquet tables, metrics CSV, fitted models, raw block files."""
 
-from tickwork.sinks.scratch import scratch_path, shared_dir
+from tickwork.sinks.scratch import drop_scratch, scratch_mark, scratch_path, shared_dir
 from tickwork.sinks.writers import (
     load_model,
     read_metrics_csv,
@@ -13,9 +13,11 @@ from tickwork.sinks.writers import (
 )
 
 __all__ = [
+    "drop_scratch",
     "load_model",
     "read_metrics_csv",
     "save_model",
+    "scratch_mark",
     "scratch_path",
     "shared_dir",
     "write_features",

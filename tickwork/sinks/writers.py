@@ -51,12 +51,14 @@ def write_proxy(proxy: DataFrame, path: str) -> None:
 
 
 def write_features(features: DataFrame, path: str, keys: Sequence[str] = (), ts: str = "ts_hour") -> None:
-    """O1: the labelled feature table as Parquet, each file sorted by series and time.
+    """O1: the labelled feature table as Parquet in one order over all files: by time, then series.
 
-    A local sort in each task: a global sort would first sample its input,
-    i.e. run the window stage a second time, only to order files.
+    The range sort samples its input, so the table is first written as it comes and sorted from there: the window
+    stages before it run once.
     """
-    features.sortWithinPartitions(*keys, ts).write.mode("overwrite").parquet(path)
+    from tickwork.operators.series import materialize
+
+    write_parquet(materialize(features, "features"), path, sort_by=[ts, *keys])
 
 
 def write_metrics_csv(metrics: DataFrame, path: str) -> bool:

@@ -66,16 +66,14 @@ def load_candles_csv(
 def land_candles(candles: DataFrame, path: str) -> None:
     """Land normalized candles as Parquet partitioned by calendar ``date`` (of ``ts_raw``).
 
-    One pass, no shuffle: each task sorts its own split by ``(date, ts_raw)``
-    and writes the dates it holds, so files are time-sorted (tight row-group
-    min/max statistics for the time filter). A range repartition would sample
-    -- that is, scan -- the raw input a second time. Read back with
+    The rows are rebalanced by date first (one shuffle): a date goes to few tasks, and one with
+    many rows is split by size, so the number of files follows the data and not tasks x dates. Each
+    file is sorted by time (tight row-group min/max statistics for the time filter). Read back with
     :func:`load_candles_parquet`: date bounds prune whole partitions and the
     time bound is pushed to the row groups.
     """
-    (candles.withColumn("date", F.to_date("ts_raw"))
-     .sortWithinPartitions("date", "ts_raw")
-     .write.mode("overwrite").partitionBy("date").parquet(path))
+    dated = candles.withColumn("date", F.to_date("ts_raw")).hint("rebalance", "date")
+    dated.sortWithinPartitions("date", "ts_raw").write.mode("overwrite").partitionBy("date").parquet(path)
 
 
 def load_candles_parquet(

@@ -1,11 +1,13 @@
 """Adapters from the benchmark tables to the library's input shapes.
 
-* ticks        -- ``events`` with a positive value: ``ts_raw`` and open = high = low = close = volume = value
+* ticks        -- ``events``: ``ts_raw`` and open = high = low = close = volume = value
 * keyed ticks  -- the same, keyed by ``event_type``
-* activity     -- ``events`` of type ``view`` per UTC hour: block count, summed user ids as transaction
-                  count, summed value; with a text ``timestamp`` like the activity producers write
+* activity     -- ``events`` per UTC hour: block count, summed user ids as transaction count, summed value; with a
+                  text ``timestamp`` like the activity producers write. One event type can be asked for where a join
+                  needs hours without activity
 * daily        -- ``orders``: summed ``o_totalprice`` per ``o_orderdate`` as ``Volume``
-* large keyed  -- ``lineitem`` keyed by ``l_suppkey``, daily bars, ties broken by order key and line
+* large keyed  -- ``lineitem`` keyed by ``l_suppkey``, daily bars; the lines of a day have equal times (order and line number
+                  aren't unique), so the price decides
 
 Money sums go through ``decimal(18,2)`` so they are exact: the result does not
 depend on the order in which partitions are combined.
@@ -28,7 +30,7 @@ def exact_sum(c: str) -> F.Column:
 
 
 def ticks(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
-    ev = table(spark, sf_dir, "events").filter(F.col("value") > 0)
+    ev = table(spark, sf_dir, "events")
     v = F.col("value")
     return ev.select(
         *(["event_type"] if keyed else []),
@@ -37,9 +39,11 @@ def ticks(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     )
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def activity(spark: SparkSession, sf_dir: str, event_type: str | None = None) -> DataFrame:
     """Hourly activity table with the producers' columns (``timestamp`` text first)."""
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "view")
+    ev = table(spark, sf_dir, "events")
+    if event_type is not None:
+        ev = ev.filter(F.col("event_type") == event_type)
     hourly = ev.groupBy(bucket_start("ts").alias("_h")).agg(
         F.count(F.lit(1)).alias("block_count"),
         F.sum("user_id").alias("tx_count_hour"),
@@ -61,7 +65,7 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     p = F.col("l_extendedprice")
     return li.select(
-        "l_suppkey", "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("ts_raw"),
+        "l_suppkey", F.col("l_shipdate").alias("ts_raw"),
         p.alias("open"), p.alias("high"), p.alias("low"), p.alias("close"),
         F.col("l_quantity").alias("volume"),
     )
