@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from tickwork.llm.common import batch_of, renamed
+from tickwork.llm.common import batch_of, renamed, worker_state
 
 #: Pieces whose result a worker keeps (about 200 bytes each).
 CACHE = 1_000_000
@@ -180,14 +180,9 @@ class PrefixCounter:
         return np.diff(counts, prepend=0).astype(np.int8).tobytes()
 
 
-_COUNTERS: dict[str, PrefixCounter] = {}
-
-
 def counter(path: str) -> PrefixCounter:
     """One for each worker process and vocabulary."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = PrefixCounter(path)
-    return _COUNTERS[path]
+    return worker_state(f"prefixes of {path}", lambda: PrefixCounter(path))
 
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("prefix_deltas", pa.binary())])
