@@ -34,15 +34,24 @@ T = TypeVar("T")
 
 
 def worker_state(key: str, make: Callable[[], T]) -> T:
-    """What ``make`` gave the first time in this worker process.
+    """What ``make`` gave the first time in this worker process; what was kept under another key goes.
 
     Functions travel to the workers by value, each time with globals of their own, so what should outlast a task (a
-    loaded vocabulary, words seen) is kept in a module that the process registers itself.
+    loaded vocabulary, words seen) is kept in a module that the process registers itself. There is one such thing at a
+    time: workers outlive the stage that needs it.
     """
     state = vars(sys.modules.setdefault("tickwork_worker_state", types.ModuleType("tickwork_worker_state")))
-    if key not in state:
-        state[key] = make()
-    return state[key]
+    kept = state.get("kept")
+    if kept is None or kept[0] != key:
+        state["kept"] = kept = None
+        state["kept"] = kept = (key, make())
+    return kept[1]
+
+
+def forget_state() -> None:
+    """Free what an earlier stage has kept in this worker process."""
+    worker_state("", lambda: None)
+    pa.default_memory_pool().release_unused()
 
 
 def text_chunks(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -58,6 +67,13 @@ def text_chunks(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``: texts become Python strings few at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm.common import batch_of, renamed
+from tickwork.llm.common import batch_of, renamed, small_batches
 
 #: Fixed values of HTML: elements that end a block, that have no end tag, and whose content isn't text of the page.
 BLOCK_TAGS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -288,7 +288,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     """page_id, url, text, n_chars of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [extract(h) for h in batch.column(2).to_pylist()]
             yield batch_of(SCHEMA, batch.column(0), batch.column(1), texts, [len(t) for t in texts])
 

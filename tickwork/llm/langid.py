@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm.common import batch_of, renamed, text_chunks
+from tickwork.llm.common import batch_of, forget_state, renamed, small_batches, text_chunks
 
 #: Buckets of hashed n-grams at most (a power of two), and the bound of the broadcast matrix.
 BUCKETS, MODEL_BYTES = 1 << 14, 64 << 20
@@ -67,9 +67,10 @@ def count_grams(train: DataFrame, bits: int) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_state()
         sums: dict[str, np.ndarray] = {}
         size = (1 << bits) + 1
-        for batch in batches:
+        for batch in small_batches(batches):
             by: dict[str, list[str]] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if lang and has_letter(text):
@@ -144,6 +145,7 @@ def language_column(spark, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget_state()
         here = Model(*shared.value)
         for t in batches:
             langs, score = here.predict(t.tolist())

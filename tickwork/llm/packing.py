@@ -22,6 +22,7 @@ an empty table; further columns are left out. Texts are never cut short.
 from __future__ import annotations
 
 import random
+import re
 import string
 import zlib
 from bisect import bisect_left, insort
@@ -32,18 +33,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm.common import batch_of, renamed, text_chunks, worker_state, written
+from tickwork.llm.common import batch_of, renamed, small_batches, text_chunks, worker_state, written
 
 #: Words whose ids a worker keeps (about 200 bytes each), twice: those used since the last turn, and before.
-CACHE = 500_000
+CACHE = 150_000
 
 #: ASCII marks other than the apostrophe, with which contractions begin.
 MARKS = string.punctuation.replace("'", "")
 
+ADJACENT = re.compile(r"[^\w\s][^\w\s]|_[^\w\s]|[^\w\s]_|__")
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordEncoder:
     """Ids of texts by a vocabulary whose words never hold white space: each distinct word is encoded once.
 
@@ -105,12 +116,25 @@ class WordEncoder:
         for w, (core, end) in parts.items():
             seen[w] = seen[core] + seen[end] if end else seen[core]
 
+    @staticmethod
+    def words(text: str) -> list[str] | None:
+        """Parts of a text that are encoded apart; None where only the whole text will do.
+
+        str.split() also splits at four control characters that aren't white space to the library. In Latin-1 text
+        without marks side by side, full stops and commas are words of their own, and case doesn't matter.
+        """
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return None
+        if text.isascii() or is_latin(text):
+            if not ADJACENT.search(text):
+                text = text.lower().replace(".", " . ").replace(",", " , ")
+        return text.split()
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.seen) > CACHE:
             self.seen, self.older = {}, self.seen
-        # str.split() also splits at four control characters that aren't white space to the library
-        words = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
+        words = list(map(self.words, texts))
         new = set().union(*filter(None, words)).difference(self.seen)
         self.learn(new)
         known = self.seen.__getitem__
@@ -127,15 +151,15 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in text_chunks(texts, 1 << 22):
+        for part in small_batches(batches):
+            ids, texts = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
+            for a, b in text_chunks(texts):
                 rows: list[tuple] = []
                 for doc, raw in zip(ids[a:b], enc.ids(texts[a:b]), strict=True):
                     raw += end
                     for k in range(0, len(raw), 4 * capacity):
-                        part = raw[k : k + 4 * capacity]
-                        rows.append((doc, k // (4 * capacity), k // 4, len(part) // 4, zlib.crc32(part)))
+                        piece = raw[k : k + 4 * capacity]
+                        rows.append((doc, k // (4 * capacity), k // 4, len(piece) // 4, zlib.crc32(piece)))
                 yield batch_of(_PIECES, *zip(*rows, strict=True))
 
     rows = renamed(docs, doc_id=id_col, text=text_col)

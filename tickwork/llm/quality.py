@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm.common import batch_of, renamed, written
+from tickwork.llm.common import batch_of, renamed, small_batches, written
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct", "n_other", "n_symbol_runs")
 SYMBOLS = "#*$%&|<>"
@@ -98,7 +98,7 @@ def measure_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     schema = pa.schema([("doc_id", pa.int64()), *((m, pa.int64()) for m in MEASURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [measure(t or "") for t in batch.column(1).to_pylist()]
             yield batch_of(schema, batch.column(0), *(zip(*found, strict=True) if found else [[]] * len(MEASURES)))
 

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwork.llm.common import batch_of, renamed
+from tickwork.llm.common import batch_of, forget_state, renamed, small_batches
 
 KINDS = ("assign", "access", "hex", "novel")
 
@@ -126,7 +126,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()
-        for batch in batches:
+        for batch in small_batches(batches):
             columns: list[list] = [[] for _ in range(len(SCHEMA) - 1)]
             for text in batch.column(1).to_pylist():
                 spans = find_spans(text or "", novelty)
@@ -155,6 +155,7 @@ def redacted(text: Column, by: str = "[SECRET]") -> Column:
 
     @F.pandas_udf("string")
     def redact(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        forget_state()
         novelty = Novelty()
         for texts in batches:
             yield pd.Series([t if t is None else mask(t, find_spans(t, novelty), by) for t in texts.tolist()], dtype=object)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from tickwork.llm.common import batch_of, renamed, worker_state
+from tickwork.llm.common import batch_of, renamed, small_batches, worker_state
 
 #: Pieces whose result a worker keeps (about 200 bytes each).
 CACHE = 1_000_000
@@ -196,13 +196,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(vocabulary)
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            step = 1024
-            for k in range(0, len(texts), step):
-                part = texts[k : k + step]
-                deltas = [c.deltas(t) for t in part]
-                yield batch_of(SCHEMA, batch.column(0)[k : k + step], [len(t.encode("utf-8", "surrogatepass")) for t in part], [int(np.frombuffer(d, dtype=np.int8).sum(dtype=np.int64)) for d in deltas], deltas)
+            deltas = [c.deltas(t) for t in texts]
+            yield batch_of(SCHEMA, batch.column(0), [len(t.encode("utf-8", "surrogatepass")) for t in texts], [int(np.frombuffer(d, dtype=np.int8).sum(dtype=np.int64)) for d in deltas], deltas)
 
     rows = renamed(docs, doc_id=id_col, text=text_col)
     return rows.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, prefix_deltas binary")
