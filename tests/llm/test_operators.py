@@ -245,7 +245,7 @@ def test_masks_miss_no_two_changes():
     assert decontaminate.masks_survive(13, 2) == 1.0
 
 
-@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 2000])
 def test_changed_passages(spark, monkeypatch, limit):
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
     rng = random.Random(4)

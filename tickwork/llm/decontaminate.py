@@ -10,9 +10,10 @@ equal in place. An item shorter than a window must be equal in all its words.
 
 The benchmark's seeds are grouped by hash and the words around them, with the
 smallest item that has them, so a passage that many items share meets a document
-once. They are broadcast if their measured size is within ``BROADCAST_BYTES``,
-so documents aren't shuffled; beyond it both sides are joined by hash. A
-document's words stay in its row, and only what is around a hit is looked at.
+once. They are broadcast, so documents are never shuffled: a larger benchmark is
+cut into blocks of ``BROADCAST_BYTES`` by hash, and the documents are read once
+for each. A document's words stay in its row, within one stage from the scan to
+the counts of its passages, and only what is around a hit is looked at.
 
 Defined results: null and empty texts hold nothing; items of fewer than ``SPAN``
 words hold no seed and aren't found; repeated items count as the smallest of
@@ -23,6 +24,7 @@ give an empty table; further columns are left out. Whole texts are read.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -37,10 +39,13 @@ MASKS = ((0, 2, 5, 6, 7), (0, 3, 4, 5, 7))
 BROADCAST_BYTES = 64 << 20
 
 
-def word_hashes(text: Column) -> Column:
-    """Hashes of the lower-case words of letters and digits."""
-    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
+def _words(text: Column) -> Column:
+    """Lower-case words of letters and digits; the first or last is empty where the text begins or ends otherwise."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def _seeds(words: str, at: Column) -> Column:
@@ -61,18 +66,23 @@ def _around(words: str, at: Column, window: int) -> Column:
 
 def benchmark_seeds(benchmark: DataFrame, window: int, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """hash, around, whole (words of a full window), item_id; the same around a hash once, with its smallest item."""
-    items = renamed(benchmark, item_id=id_col, text=text_col).select("item_id", word_hashes(F.col("text")).alias("words"))
+    items = renamed(benchmark, item_id=id_col, text=text_col).select("item_id", _hashes(F.filter(_words(F.col("text")), lambda w: w != "")).alias("words"))
     at = items.select("item_id", "words", F.explode(_places("words")).alias("at"))
     rows = at.select("item_id", F.explode(_seeds("words", F.col("at"))).alias("hash"), _around("words", F.col("at"), window).alias("around"), F.least(F.size("words"), F.lit(window)).alias("whole"))
     return rows.groupBy("hash", "around", "whole").agg(F.min("item_id").alias("item_id"))
 
 
 def _most_equal(window: int, similarity: float) -> Column:
-    """Most words equal in place in a window that is whole and similar enough; null if there is none."""
-    width, least = 2 * window - SPAN, math.ceil(window * similarity - 1e-9)
-    equal = [F.coalesce((F.get("around", F.lit(k)) == F.get("own", F.lit(k))).cast("int"), F.lit(0)) for k in range(width)]
-    windows = [sum(equal[k + 1 : k + window], equal[k]) for k in range(width - window + 1)]
-    most = F.greatest(*windows) if len(windows) > 1 else windows[0]
+    """Most words equal in place in a window that is whole and similar enough; null if there is none.
+
+    Written with higher-order functions, which are evaluated outside of the generated code: spelled out, the windows
+    would make the code of the scan and join, which they would share a stage with, too long for the JVM to compile.
+    """
+    least = math.ceil(window * similarity - 1e-9)
+    equal = F.zip_with("around", "own", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0)))
+    places = F.sequence(F.lit(1), F.lit(window - SPAN + 1))
+    count = lambda e: F.transform(places, lambda k: F.aggregate(F.slice(e, k, F.lit(window)), F.lit(0), lambda n, x: n + x))
+    most = F.array_max(F.flatten(F.transform(F.array(equal), count)))  # the one-element array holds what is equal, computed once
     return F.when(most >= F.when(F.col("whole") < window, F.col("whole")).otherwise(least), most)
 
 
@@ -81,15 +91,23 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 13, simil
     if window < SPAN or not 0 < similarity <= 1:
         raise ValueError(f"windows have {SPAN} words or more, the similarity is over 0 and at most 1")
     seeds = written(benchmark_seeds(benchmark, window, item_col, item_text_col), "seeds")
-    row_bytes = 8 * (2 * window - SPAN) + 64
-    if seeds.count() * row_bytes <= BROADCAST_BYTES:
-        seeds = F.broadcast(seeds)
-    words = renamed(docs, doc_id=id_col, text=text_col).select("doc_id", word_hashes(F.col("text")).alias("words"))
+    # an empty word at either end of a document equals none of the benchmark's, which has none
+    words = renamed(docs, doc_id=id_col, text=text_col).select("doc_id", _hashes(_words(F.col("text"))).alias("words"))
     at = words.select("doc_id", "words", F.explode(_places("words")).alias("at"))
     asked = at.select("doc_id", "words", "at", F.explode(_seeds("words", F.col("at"))).alias("hash"))
-    met = asked.join(seeds, "hash").select("doc_id", "item_id", "around", "whole", _around("words", F.col("at"), window).alias("own"))
-    found = met.select("doc_id", "item_id", _most_equal(window, similarity).alias("n_equal")).where(F.col("n_equal").isNotNull())
-    return found.groupBy("doc_id", "item_id").agg(F.max("n_equal").alias("n_equal"))
+
+    def found(block: DataFrame) -> DataFrame:
+        met = asked.join(F.broadcast(block), "hash").select("doc_id", "item_id", "around", "whole", _around("words", F.col("at"), window).alias("own"))
+        # hits that aren't passages go after the aggregate: a filter would become a condition of the join, which
+        # takes the join out of the compiled stage, and then every row before it is copied with its words
+        most = met.select("doc_id", "item_id", _most_equal(window, similarity).alias("n_equal"))
+        return most.groupBy("doc_id", "item_id").agg(F.max("n_equal").alias("n_equal")).where(F.col("n_equal").isNotNull())
+
+    blocks = -(-seeds.count() * (8 * (2 * window - SPAN) + 64) // BROADCAST_BYTES)
+    if blocks <= 1:
+        return found(seeds)
+    parts = [written(found(seeds.where(F.pmod("hash", F.lit(blocks)) == k)), "passages") for k in range(blocks)]
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "item_id").agg(F.max("n_equal").alias("n_equal"))
 
 
 def masks_survive(window: int, changed: int) -> float:
