@@ -22,7 +22,6 @@ an empty table; further columns are left out. Texts are never cut short.
 from __future__ import annotations
 
 import random
-import re
 import string
 import zlib
 from bisect import bisect_left, insort
@@ -36,13 +35,11 @@ from pyspark.sql import functions as F
 from tickwork.llm.common import batch_of, renamed, small_batches, text_chunks, worker_state, written
 
 #: Words whose ids a worker keeps (about 200 bytes each), twice: those used since the last turn, and before.
-CACHE = 150_000
+WORDS_KEPT = 250_000
 
 #: ASCII marks other than the apostrophe, with which contractions begin.
 MARKS = string.punctuation.replace("'", "")
 
-ADJACENT = re.compile(r"[^\w\s][^\w\s]|_[^\w\s]|[^\w\s]_|__")
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -58,17 +55,22 @@ def is_latin(text: str) -> bool:
 class WordEncoder:
     """Ids of texts by a vocabulary whose words never hold white space: each distinct word is encoded once.
 
-    Words of letters make exactly one word of the vocabulary's pattern, so all new ones of a batch are encoded in one
-    call and its ids are cut where a word ends; others are encoded one by one.
+    Lower-case words of letters make exactly one word of the vocabulary's pattern, so all new ones of a batch are
+    encoded together and their ids are cut where a word ends; others are encoded one by one.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merger = Tokenizer.from_file(path)  # lower-case words need no normalisation, and white space is all that splits them
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words_kept = words_kept
         self.seen: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -76,10 +78,9 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def encode_letters(self, words: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        lines = [" ".join(words[k : k + 200]) for k in range(0, len(words), 200)]
+        ids = np.array([i for e in self.merger.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], dtype="<u4")
         cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-        if len(cuts) != len(words):
-            return self.encode(words)
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
@@ -87,32 +88,34 @@ class WordEncoder:
     def split(word: str) -> tuple[str, str]:
         """A word of letters, in lower case if that is plain, and the marks after it, which the pattern splits off together."""
         core = word.rstrip(MARKS)
-        if not core or not WordEncoder.plain(core):
-            return word, ""
-        return (core.lower() if core.isascii() else core), word[len(core) :]
+        low = core.lower() if core.isascii() else core
+        return (low, word[len(core) :]) if core and WordEncoder.plain(low) else (word, "")
 
     @staticmethod
     def plain(word: str) -> bool:
-        """Letters of the Latin script, but not the dotted capital I: they stay one word when they are normalised."""
-        return word.isalpha() and max(word) < "\u0250" and "\u0130" not in word
+        """Lower-case letters of the Latin script: normalisation leaves them as they are."""
+        return word.isalpha() and word.islower() and max(word) < "\u0250"
 
     def learn(self, words: set[str]) -> None:
         """Have the ids of ``words`` in ``seen``."""
         seen, older = self.seen, self.older
-        parts = {}
+        letters, parts = set(), {}
         for w in words:
             known = older.get(w)
-            if known is None:
-                parts[w] = self.split(w)
-            else:
+            if known is not None:
                 seen[w] = known
-        cores = {core for core, _ in parts.values()}
-        cores.update(end for _, end in parts.values() if end)
-        cores = {c for c in cores if c not in seen}
-        letters = list(filter(self.plain, cores))
-        seen.update(zip(letters, self.encode_letters(letters), strict=True))
-        other = list(cores.difference(letters))
-        seen.update(zip(other, self.encode(other), strict=True))
+            elif w.isascii() and w.isalpha() and w.islower():
+                letters.add(w)
+            else:
+                parts[w] = self.split(w)
+        other = set()
+        for core, end in parts.values():
+            (letters if self.plain(core) else other).add(core)
+            if end:
+                other.add(end)
+        new, rest = [c for c in letters if c not in seen], [c for c in other if c not in seen]
+        seen.update(zip(new, self.encode_letters(new), strict=True))
+        seen.update(zip(rest, self.encode(rest), strict=True))
         for w, (core, end) in parts.items():
             seen[w] = seen[core] + seen[end] if end else seen[core]
 
@@ -121,18 +124,18 @@ class WordEncoder:
         """Parts of a text that are encoded apart; None where only the whole text will do.
 
         str.split() also splits at four control characters that aren't white space to the library. In Latin-1 text
-        without marks side by side, full stops and commas are words of their own, and case doesn't matter.
+        without other marks, single full stops and commas are words of their own, and case doesn't matter.
         """
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return None
-        if text.isascii() or is_latin(text):
-            if not ADJACENT.search(text):
-                text = text.lower().replace(".", " . ").replace(",", " , ")
+        bare = text.replace(".", "").replace(",", "").replace(" ", "").replace("\n", "")
+        if bare.isalnum() and is_latin(bare) and not any(pair in text for pair in ("..", ".,", ",.", ",,")):
+            text = text.lower().replace(".", " . ").replace(",", " , ")
         return text.split()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.seen) > CACHE:
+        if len(self.seen) > self.words_kept:
             self.seen, self.older = {}, self.seen
         words = list(map(self.words, texts))
         new = set().union(*filter(None, words)).difference(self.seen)
@@ -141,19 +144,19 @@ class WordEncoder:
         return [self.encode([t])[0] if line is None else b"".join(map(known, line)) for t, line in zip(texts, words, strict=True)]
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, words_kept: int) -> WordEncoder:
     """One for each worker process and vocabulary."""
-    return worker_state(f"words of {path}", lambda: WordEncoder(path))
+    return worker_state(f"{words_kept} words of {path}", lambda: WordEncoder(path, words_kept))
 
 
-def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", words_kept: int = WORDS_KEPT) -> DataFrame:
     """Each document's ids and the end id, cut after every ``capacity`` ids: doc_id, piece, start, length, ids_crc32."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
-        for part in small_batches(batches):
+        enc, end = encoder(vocabulary, words_kept), np.array([end_id], dtype="<u4").tobytes()
+        for part in small_batches(batches, 1024):
             ids, texts = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
-            for a, b in text_chunks(texts):
+            for a, b in text_chunks(texts, 1 << 21):
                 rows: list[tuple] = []
                 for doc, raw in zip(ids[a:b], enc.ids(texts[a:b]), strict=True):
                     raw += end
@@ -309,9 +312,12 @@ def pack(pieces: DataFrame, capacity: int = 4096, block: int = 2048, islands: in
     return placed
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", **evolution) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document."""
-    pieces = written(token_pieces(docs, vocabulary, capacity, end_id, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pieces")
+def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", words_kept: int = WORDS_KEPT, **evolution) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document.
+
+    ``words_kept`` trades a worker's memory for time; results don't depend on it.
+    """
+    pieces = written(token_pieces(docs, vocabulary, capacity, end_id, id_col, text_col, words_kept).withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = pieces.where(F.col("length") == capacity).select(*_PIECES.names, F.col("row").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     part = pieces.where(F.col("length") < capacity)
     return full.unionByName(part.join(pack(part, capacity, **evolution), "row").select(*full.columns))

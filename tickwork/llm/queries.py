@@ -35,7 +35,7 @@ def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), words_kept=500_000)
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:
