@@ -373,3 +373,21 @@ def test_given_exact_passages_are_found(spark, texts):
         for k in range(len(w) - 49):
             if len(holders[tuple(w[k : k + 50])]) > 1:
                 assert any(a <= k and k + 50 <= b for a, b in spans[i])
+
+
+# ------------------------------------------------------------------ helpers
+def test_worker_keeps_one_state():
+    from tickwork.llm.common import forget_state, worker_state
+
+    made = []
+    make = lambda name: (lambda: made.append(name) or name)
+    assert [worker_state("a", make("a")), worker_state("a", make("a")), worker_state("b", make("b")), worker_state("a", make("a"))] == ["a", "a", "b", "a"]
+    forget_state()
+    worker_state("a", make("a"))
+    assert made == ["a", "b", "a", "a"]
+
+
+def test_words_kept_do_not_change_ids(texts):
+    small, large = packing.WordEncoder(WORD, words_kept=50), packing.WordEncoder(WORD)
+    some = [t or "" for t in texts.values()][:60]
+    assert [small.ids([t])[0] for t in some] == large.ids(some)

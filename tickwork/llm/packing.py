@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tickwork.llm.common import batch_of, renamed, small_batches, text_chunks, worker_state, written
 
 #: Words whose ids a worker keeps (about 200 bytes each), twice: those used since the last turn, and before.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 150_000
 
 #: ASCII marks other than the apostrophe, with which contractions begin.
 MARKS = string.punctuation.replace("'", "")
