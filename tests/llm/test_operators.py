@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 
 import duckdb
@@ -86,6 +87,27 @@ def test_novel_secrets_and_masking():
     assert secret_scan.find_spans(known, novelty) == []
 
 
+@pytest.mark.parametrize("alphabet", [string.digits, "0123456789ABCDEF", string.ascii_uppercase + "234567", string.ascii_lowercase + string.digits, string.ascii_letters + string.digits + "+/"])
+def test_random_secrets_of_any_length(alphabet):
+    rng, novelty = random.Random(8), secret_scan.Novelty()
+    for n in (16, 40, 63, 64, 65, 128, 500, 2000):
+        for _ in range(5):
+            secret = "".join(rng.choices(alphabet, k=n - 2)) + alphabet[0] + alphabet[-1]
+            text = f"the private key {secret} is kept elsewhere"
+            assert [text[a:b] for a, b, _ in secret_scan.find_spans(text, novelty)] == [secret]
+
+
+def test_letters_without_digits():
+    rng, novelty = random.Random(9), secret_scan.Novelty()
+    for n in (64, 128, 500, 2000):
+        for letters in (string.ascii_letters, string.ascii_lowercase):
+            secret = "".join(rng.choices(letters, k=n))
+            text = f"authorization: Bearer {secret} was sent"
+            assert [text[a:b] for a, b, _ in secret_scan.find_spans(text, novelty)] == [secret]
+    for word in ("incomprehensibility", "Bundesverfassungsgericht", "getAuthenticationTokenProvider", "some-words-joined-by-a-hyphen", "xy12" * 100):
+        assert secret_scan.find_spans(f"the private key {word} is no secret", novelty) == [], word
+
+
 # ------------------------------------------------------------------ 3 HTML
 def test_articles_of_given_pages(spark):
     pages = dict(duckdb.sql(f"SELECT page_id, html FROM '{SF_SMALL}/pages.parquet'").fetchall())

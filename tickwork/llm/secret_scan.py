@@ -4,9 +4,15 @@ The patterns give the base spans. Further candidates are long strings of key
 characters near a sensitive word. Each is measured by what it adds to the
 compressed size of the text around it, by a compressor primed with a dictionary
 of identifiers: names, paths and words that occur nearby cost few bytes, random
-strings cost nearly all of theirs. A candidate whose novelty, added bytes per
-character, reaches ``NOVELTY`` is reported as kind ``novel``, unless a base span
-covers part of it.
+strings cost nearly all of theirs. A candidate is measured in pieces, each after
+the ones before it: zstandard would code the letters of longer strings by their
+frequency, and a random string of few different characters would look explained.
+A candidate whose novelty, added bytes per character, reaches ``NOVELTY`` is
+reported as kind ``novel``, unless a base span covers part of it.
+
+Candidates mix letters and digits, or are all digits, or letters whose case
+changes often or that are longer than words get; shorter letters of one case
+can't be told from a rare word by what they add.
 
 Defined results: a null text counts as an empty one (no span, the digest of an
 empty list); rows are independent; an empty table gives an empty table; further
@@ -43,6 +49,10 @@ REACH = 48
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Added bytes per character from which a candidate is reported; text around it that primes the compressor.
 NOVELTY, CONTEXT = 0.85, 1024
+#: Characters of a piece; zstandard codes literals by frequency from 64 bytes.
+PIECE = 32
+#: Letters from which a string without digits can't be a word.
+LONGEST_WORD = 40
 
 #: Identifiers and phrases that code and configuration use often; the compressor knows them beforehand.
 IDENTIFIERS = """abstract access_key access_token account address api_key application argument array async authorization
@@ -66,7 +76,7 @@ example changeme placeholder your_api_key your-secret-here ---------------- ====
 
 
 class Novelty:
-    """Marginal compressed size of a string, given the text around it and the identifier dictionary."""
+    """Marginal compressed size of a string, piece by piece, given the text around it and the identifier dictionary."""
 
     def __init__(self):
         self.prime = IDENTIFIERS.encode()
@@ -74,10 +84,13 @@ class Novelty:
         self.parameters = zstandard.ZstdCompressionParameters(window_log=17, hash_log=12, chain_log=12, search_log=6, min_match=3, target_length=64, strategy=zstandard.STRATEGY_LAZY2, write_checksum=False, write_content_size=False, write_dict_id=False)
 
     def __call__(self, text: str, start: int, end: int) -> float:
-        around = (text[max(0, start - CONTEXT) : start] + " " + text[end : end + CONTEXT]).encode("utf-8", "surrogatepass")
-        known = zstandard.ZstdCompressionDict(self.prime + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        compress = zstandard.ZstdCompressor(dict_data=known, compression_params=self.parameters).compress
-        return (len(compress(text[start:end].encode())) - len(compress(b""))) / (end - start)
+        after, added = text[end : end + CONTEXT], 0
+        for a in range(start, end, PIECE):
+            around = (text[max(0, a - CONTEXT) : a] + " " + after).encode("utf-8", "surrogatepass")
+            known = zstandard.ZstdCompressionDict(self.prime + b" " + around, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            compress = zstandard.ZstdCompressor(dict_data=known, compression_params=self.parameters).compress
+            added += len(compress(text[a : min(end, a + PIECE)].encode())) - len(compress(b""))
+        return added / (end - start)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -89,8 +102,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def may_be_random(s: str) -> bool:
+    """Whether what a string adds can tell it from words."""
+    digits, letters = any(c.isdigit() for c in s), sum(c.isalpha() for c in s)
+    if digits:
+        return letters > 0 or s.isdigit()
+    changes = sum(a.isalpha() and b.isalpha() and a.isupper() != b.isupper() for a, b in zip(s, s[1:], strict=False))
+    return 4 * changes > len(s) or s.isalpha() and len(s) >= LONGEST_WORD
+
+
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Long mixed strings that start at most REACH characters after a sensitive word."""
+    """Long strings that may be random and start at most REACH characters after a sensitive word."""
     low = text.lower() if text.isascii() else None
     if low is not None and not any(s in low for s in _SENSITIVE_STEMS):
         return
@@ -100,8 +122,7 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
             if m.start() > word.end() + REACH:
                 break
             done = m.end()
-            s = m.group()
-            if any(c.isdigit() for c in s) and any(c.isalpha() for c in s):
+            if may_be_random(m.group()):
                 yield m.start(), m.end()
 
 
