@@ -221,6 +221,29 @@ def test_packing_over_levels_places_each_piece_once(spark):
     assert placed.sequence_id.nunique() <= sum(n for _, n in rows) / 100 * 1.05 + 1
 
 
+@pytest.mark.parametrize("capacity,block,most", [(4096, 2048, 1), (4096, 2048, 40), (100, 50, 2)])
+def test_packing_of_tiny_pieces_ends(spark, monkeypatch, capacity, block, most):
+    tables = []
+    real = packing.written
+    monkeypatch.setattr(packing, "written", lambda df, name: tables.append(name) or len(tables) < 60 and real(df, name))  # without an end, an error
+    rng = random.Random(10)
+    rows = [(k, rng.randint(1, most)) for k in range(5000)]
+    placed = packing.pack(spark.createDataFrame(rows, "row long, length long"), capacity, block=block).toPandas()
+    assert sorted(placed["row"]) == list(range(5000))
+    placed["length"] = placed["row"].map(dict(rows))
+    in_order = placed.sort_values(["sequence_id", "offset"])
+    assert (in_order.groupby("sequence_id").length.cumsum() - in_order.length == in_order.offset).all()
+    assert in_order.groupby("sequence_id").length.sum().max() <= capacity
+    assert placed.sequence_id.nunique() <= -(-sum(n for _, n in rows) // capacity) + 1
+
+
+def test_packing_of_null_texts(spark):
+    docs = documents(spark, [(k, None if k % 2 else "") for k in range(4500)])
+    got = packing.pack_documents(docs, WORD).toPandas()
+    assert sorted(got.doc_id) == list(range(4500)) and (got.length == 1).all()
+    assert got.sequence_id.nunique() == 2 and not got.duplicated(["sequence_id", "offset"]).any()
+
+
 # ------------------------------------------------------------------ 6 WARC
 def test_warc_round_trip_revisits_and_same_bytes(spark, tmp_path):
     rows = [(1, "u1", "x" * 200), (2, "u\n2", "x" * 200), (2, "u2", "x" * 200), (3, None, None), (4, "u", "y" * 10), (5, "u", "y" * 10), (None, "u", "x" * 200), (None, "q", "z" * 300), (None, "q", "z" * 300), (7, "é", "é" * 60)]

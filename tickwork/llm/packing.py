@@ -10,9 +10,12 @@ of bins. A crossover injects well-filled bins of one parent into the other,
 removes the bins that hold the same documents, and best-fits what this
 displaces. An island stops when its best solution reaches the lower bound.
 
+Tiny pieces are first tied into bundles, which are packed like pieces, so every
+block has many bins, however short the texts.
+
 The least filled bins of every block are opened again and their pieces packed
 together on the next level, until one block holds them all; each level has about
-a hundredth of the pieces of the one before.
+a hundredth of the pieces of the one before, and half the blocks at most.
 
 Defined results: a null text counts as empty (one piece, the end token); rows
 are independent, so repeated ids give pieces of their own; an empty table gives
@@ -31,12 +34,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickwork.llm.common import batch_of, renamed, small_batches, text_chunks, worker_state, written
 
 #: Words whose ids a worker keeps (about 200 bytes each), twice: those used since the last turn, and before.
 WORDS_KEPT = 150_000
 
+#: Pieces shorter than this part of the capacity are bundled.
+TINY = 128
+
 #: ASCII marks other than the apostrophe, with which contractions begin.
 MARKS = string.punctuation.replace("'", "")
 
@@ -284,12 +291,28 @@ def _place_rows(capacity: int, level: int, reopen: int):
     return run
 
 
+def bundles(tiny: DataFrame, share: int, group: int = 4096) -> DataFrame:
+    """row, length, item, inner: pieces of less than ``share`` tokens, tied into items of about ``share`` and under twice that.
+
+    Groups of about ``group`` pieces are dealt by a hash; an item is named after its first row.
+    """
+    groups = max(1, -(-tiny.count() // group))
+    by = Window.partitionBy("group").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("group", "part")
+    ordered = tiny.withColumn("group", F.pmod(F.xxhash64(F.col("row"), F.lit(-1)), F.lit(groups))).withColumn("before", F.coalesce(F.sum("length").over(by), F.lit(0)))
+    parts = ordered.withColumn("part", F.floor(F.col("before") / share))
+    return parts.select("row", "length", F.min("row").over(inside).alias("item"), (F.col("before") - F.min("before").over(inside)).alias("inner"))
+
+
 def pack(pieces: DataFrame, capacity: int = 4096, block: int = 2048, islands: int = 3, epochs: int = 2, size: int = 4, births: int = 8, reopen: int = 2) -> DataFrame:
     """``pieces`` (row long, length) of fewer than ``capacity`` tokens with sequence_id and offset, by row."""
-    level, placed = 0, None
+    level, placed, blocks, share = 0, None, None, capacity // TINY
     rest = pieces.select("row", F.col("length").cast("int").alias("length"))
+    tied = written(bundles(rest.where(F.col("length") < share), share), "bundles")
+    rest = rest.where(F.col("length") >= share).unionByName(tied.groupBy("item").agg(F.sum("length").cast("int").alias("length")).withColumnRenamed("item", "row"))
     while True:
-        blocks = -(-rest.count() // block)
+        needed = -(-rest.count() // block)
+        blocks = needed if blocks is None else min(needed, blocks // 2 or 1)
         if not blocks:
             break
         dealt = rest.groupBy(F.pmod(F.xxhash64(F.col("row"), F.lit(level)), F.lit(blocks)).alias("block")).agg(F.sort_array(F.collect_list(F.struct("row", "length"))).alias("items"))
@@ -309,7 +332,8 @@ def pack(pieces: DataFrame, capacity: int = 4096, block: int = 2048, islands: in
         rest, level = done.where("open").select("row", "length"), level + 1
     if placed is None:
         return pieces.sparkSession.createDataFrame([], "row long, sequence_id long, offset long")
-    return placed
+    members = tied.select(F.col("row").alias("member"), "item", "inner")
+    return placed.join(members, F.col("row") == F.col("item"), "left").select(F.coalesce("member", "row").alias("row"), "sequence_id", (F.col("offset") + F.coalesce("inner", F.lit(0))).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", words_kept: int = WORDS_KEPT, **evolution) -> DataFrame:
