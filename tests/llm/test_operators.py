@@ -420,6 +420,26 @@ def test_given_exact_passages_are_found(spark, texts):
                 assert any(a <= k and k + 50 <= b for a, b in spans[i])
 
 
+def test_passages_of_members_that_the_first_document_lacks(spark):
+    rng, docs = random.Random(11), []
+    for k in range(16):  # many hold a clause, one more words after it, one only its end and those words
+        clause, after = _words(rng, 60), _words(rng, 10 + k % 3)
+        docs += [" ".join(_words(rng, 20) + clause + _words(rng, 20)) for _ in range(4)]
+        docs.append(" ".join(_words(rng, 20) + clause + after + _words(rng, 20)))
+        docs.append(" ".join(_words(rng, 20) + clause[-40:] + after + _words(rng, 20)))
+        docs.append(" ".join(_words(rng, 20) + clause[:30] + ["changed"] + clause[31:] + after + _words(rng, 20)))
+    got = substring_dedup.repeated_passages(documents(spark, docs)).toPandas()
+    spans = {i: list(zip(g.start, g.end, strict=True)) for i, g in got.groupby("doc_id")}
+    words, holders = [d.split() for d in docs], collections.defaultdict(set)
+    for i, w in enumerate(words):
+        for k in range(len(w) - 49):
+            holders[tuple(w[k : k + 50])].add(i)
+    for i, w in enumerate(words):
+        for k in range(len(w) - 49):
+            if len(holders[tuple(w[k : k + 50])]) > 1:
+                assert any(a <= k and k + 50 <= b for a, b in spans.get(i, [])), (i, k)
+
+
 # ------------------------------------------------------------------ helpers
 def test_worker_keeps_one_state():
     from tickwork.llm.common import forget_state, worker_state
