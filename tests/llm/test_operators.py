@@ -440,6 +440,21 @@ def test_passages_of_members_that_the_first_document_lacks(spark):
                 assert any(a <= k and k + 50 <= b for a, b in spans.get(i, [])), (i, k)
 
 
+def test_common_lines_under_the_least_length_are_no_passage(spark):
+    rng, docs = random.Random(12), []
+    for n in (42, 43, 44):  # 45 words hold enough equal shingles
+        for _ in range(4):
+            line = _words(rng, n)
+            docs += [" ".join(_words(rng, 30) + line + _words(rng, 30)) for _ in range(5)]
+    clean = len(docs)
+    line, passage = _words(rng, 20), _words(rng, 40)
+    docs += [" ".join(_words(rng, 30) + line + _words(rng, 30)) for _ in range(30)]
+    docs += [" ".join(_words(rng, 30) + passage[:20] + line + passage[20:] + _words(rng, 30)) for _ in range(2)]
+    got = substring_dedup.repeated_passages(documents(spark, docs)).toPandas()
+    assert got.doc_id.min() >= clean and set(got.doc_id) == {len(docs) - 2, len(docs) - 1}
+    assert all(docs[r.doc_id].split()[r.start : r.end] == passage[:20] + line + passage[20:] for r in got.itertuples())
+
+
 # ------------------------------------------------------------------ helpers
 def test_worker_keeps_one_state():
     from tickwork.llm.common import forget_state, worker_state
