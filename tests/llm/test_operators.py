@@ -131,6 +131,20 @@ def test_page_without_article():
     assert html_extract.extract(PAGE) == "A title <b>\n\nFirst one with a link and enough words to be long, really quite long. Yes.\n\nSecond one here."
 
 
+@pytest.mark.parametrize("tag", sorted(html_extract.RAW_TAGS))
+def test_raw_elements_without_end(tag):
+    texts = [b.text for b in html_extract.read_blocks(f"<p>before</p><{tag} x=1><p>behind</p><{tag}><div>and more</div>")]
+    assert texts == (["before", "behind", "and more"] if tag in html_extract.MARKUP_TAGS else ["before"])
+    assert [b.text for b in html_extract.read_blocks(f"<p>before</p><{tag}>in it</{tag}><p>behind</p>")] == ["before", "behind"]
+
+
+@pytest.mark.parametrize("mark,bad,good", [("<nav>", True, False), ("<form>", True, False), ("<article>", False, True)])
+def test_marks_in_the_middle_of_deep_nesting(mark, bad, good):
+    (block,) = html_extract.read_blocks("<span>" * 50 + mark + "<span>" * 50 + "some words")
+    assert (any(e.bad for e in block.path), any(e.good for e in block.path)) == (bad, good)
+    assert len(block.path) <= html_extract.DEPTH + 5
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(5)
     for _ in range(150):

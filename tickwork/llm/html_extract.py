@@ -41,6 +41,8 @@ RAW_TAGS = frozenset("script style textarea title iframe noscript noembed nofram
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: An element of the first kind ends when one of its kind opens, up to the element that holds them.
 ENDED_BY = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table", "tbody", "thead", "tfoot")), "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
+#: Of those, the ones that hold markup: without its end tag such a tag is passed over, and the page goes on.
+MARKUP_TAGS = frozenset("template svg math canvas audio video object".split())
 
 #: Elements, roles and words of class or id that mark regions.
 BAD_TAGS = frozenset("nav footer aside form dialog menu select button fieldset search head".split())
@@ -60,17 +62,23 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 MARKED = re.compile(r"class|id|role|hidden|style", re.IGNORECASE)
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE) for tag in RAW_TAGS}
 
-#: Of deeper nesting, the outer and inner half of so many elements describe a block.
+#: Of deeper nesting, the outer and inner half of so many elements describe a block, and the last of each mark between.
 DEPTH = 64
 #: Capacities are whole numbers: this many to a point of score.
 UNIT = 100
 
 
 class Element:
-    __slots__ = ("tag", "bad", "good", "soft", "chars", "holds_good", "within_good")
+    __slots__ = ("tag", "bad", "good", "soft", "chars", "holds_good", "within_good", "marks")
 
     def __init__(self, tag: str, bad: bool, good: bool, soft: bool, inside_good: bool):
         self.tag, self.bad, self.good, self.soft, self.chars, self.holds_good, self.within_good = tag, bad, good, soft, 0, False, good or inside_good
+        self.marks: dict[str, Element] = {}
+
+    def marked(self) -> dict[str, Element]:
+        """The last element of each mark, up to this one; ``marks`` are those around it (none refers to itself)."""
+        kind = ("soft" if self.soft else "bad") if self.bad else "good" if self.good else "heading" if self.tag in HEADINGS else "text" if self.tag in ("p", "blockquote", "pre") else None
+        return {**self.marks, kind: self} if kind else self.marks
 
 
 class Block:
@@ -107,6 +115,7 @@ def read_blocks(html: str) -> list[Block]:
     links = link_depth = at = 0
     path: tuple[Element, ...] | None = None
     heading = False
+    unended: set[str] = set()
 
     def flush() -> None:
         nonlocal links, path, heading
@@ -128,7 +137,9 @@ def read_blocks(html: str) -> list[Block]:
             if html[start] != "<" or at == start + 1:
                 text = m.group()
                 if path is None and not text.isspace():
-                    path = tuple(stack if len(stack) <= DEPTH else stack[: DEPTH // 2] + stack[-DEPTH // 2 :])
+                    outer, inner = (stack, []) if len(stack) <= DEPTH else (stack[: DEPTH // 2], stack[-DEPTH // 2 :])
+                    between = [e for e in stack[-DEPTH // 2 - 1].marked().values() if e not in outer] if inner else []
+                    path = (*outer, *between, *inner)
                     heading = any(e.tag in HEADINGS for e in path)
                 parts.append(unescape(text) if "&" in text else text)
                 if link_depth:
@@ -150,9 +161,14 @@ def read_blocks(html: str) -> list[Block]:
                     break
             continue
         if tag in RAW_TAGS:
-            if not attributes.endswith("/"):
+            if not attributes.endswith("/") and tag not in unended:
                 close = RAW_END[tag].search(html, at)
-                at = close.end() if close else end
+                if close:
+                    at = close.end()
+                elif tag in MARKUP_TAGS:
+                    unended.add(tag)
+                else:
+                    at = end
             continue
         if tag in VOID_TAGS:
             continue
@@ -166,6 +182,8 @@ def read_blocks(html: str) -> list[Block]:
                 if stack[k].tag in limit or (ends == "p" and stack[k].tag in BLOCK_TAGS):
                     break
         e = element(tag, attributes, bool(stack) and stack[-1].within_good)
+        if stack:
+            e.marks = stack[-1].marked()
         if e.good:
             for x in stack:
                 x.holds_good = True
