@@ -1,0 +1,109 @@
+"""The audit against filters that are run one after the other, document by document."""
+
+import random
+import re
+from itertools import permutations
+
+import numpy as np
+import pytest
+from llm_tables import SF_SMALL, documents
+
+from tickwork.llm import filter_audit
+from tickwork.llm.queries import op13_filter_interaction_audit
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def fails(rows):
+    """The set of filters that each (doc_id, text, part) fails."""
+    least = {}
+    for i, t, _ in rows:
+        if i is not None:
+            least[t or ""] = min(i, least.get(t or "", i))
+    out = []
+    for i, t, _ in rows:
+        t = t or ""
+        words = WORD.findall(t)
+        checks = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words), "C": 100 * sum("A" <= c <= "Z" for c in t) > 3 * len(t),
+                  "D": any(c in "#$%&*|" for c in t), "E": t in least and (i is None or i > least[t])}
+        out.append({f for f, bad in checks.items() if bad})
+    return out
+
+
+def brute(rows, labels):
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, x in labels if x == 1 and i is not None}
+    failed, out = fails(rows), {}
+    for part in {r[2] or "" for r in rows}:
+        mine = [(i, bad) for (i, _, p), bad in zip(rows, failed, strict=True) if (p or "") == part]
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                before = sum(f in bad for _, bad in mine) - len(gone)
+                left = [r for r in left if f not in r[1]]
+                shapley[f] += len(gone)
+                out[part, "".join(order), step] = [len(left), len(gone), before, sum(bad == {f} for _, bad in mine), sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone)]
+        for (p, order, step), figures in out.items():
+            if p == part:
+                figures.append(shapley[order[step - 1]])
+    return out
+
+
+def got(df):
+    rows = df.collect()
+    found = {(r["part"], r["filter_order"], r["step"]): [r[f] for f in filter_audit.FIGURES] for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+LABELS = "doc_id long, quality int, toxic int, lang string"
+
+
+def tables(spark, rows, labels):
+    docs = documents(spark, [(i, t) for i, t, _ in rows])
+    schema = docs.drop("lang").schema
+    docs = spark.createDataFrame([(*(v for c, v in zip(docs.columns, r, strict=True) if c != "lang"), part) for r, (_, _, part) in zip(docs.collect(), rows, strict=True)], schema.add("lang", "string"))
+    return docs, spark.createDataFrame([(*label, "x") for label in labels], LABELS)
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(5)
+    texts = [None, "", "a b", "A", "#x " * 150, "one two three " * 80, " ".join(f"w{k}" for k in range(250)), "ABC " + " ".join(f"w{k}" for k in range(300)), "\x0bp\x0c" * 250, "$ Z"]
+    rows = [(rng.choice([None, *range(40)]), rng.choice(texts), rng.choice([None, "", "de", "en"])) for _ in range(150)] + [(3, "a b", "de")] * 5
+    labels = [(rng.choice([None, *range(60)]), rng.choice([0, 1, None]), rng.choice([0, 1, None])) for _ in range(50)]
+    docs, marks = tables(spark, rows, labels)
+    assert got(filter_audit.audit_filters(docs, marks)) == brute(rows, labels)
+
+
+def test_query_against_brute_force(spark):
+    read = lambda t, *c: list(map(tuple, spark.read.parquet(f"{SF_SMALL}/{t}.parquet").select(*c).collect()))
+    assert got(op13_filter_interaction_audit(spark, SF_SMALL)) == brute(read("documents", "doc_id", "text", "lang"), read("labels", "doc_id", "quality", "toxic"))
+
+
+def test_contractions():
+    """Vectors select pass, fail or all along each axis."""
+    tensor = np.arange(8).reshape(1, 2, 2, 2)
+    passing = np.array([[True, False, False], [False, False, False]])
+    failing = np.array([[False, True, False], [False, False, False]])
+    assert filter_audit.contract(tensor, passing, failing).tolist() == [[tensor[0, 0, 1].sum(), tensor.sum()]]
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_other_numbers_of_filters(spark, k):
+    counts = spark.createDataFrame([("p", f, 10 ** f, f, 0) for f in range(1 << k)], "part string, failed int, n long, good long, toxic long")
+    rows = got(filter_audit.audit(counts, "XYZ"[:k]))
+    assert len(rows) == k * len(list(permutations(range(k))))
+    assert all(rows["p", order, k][0] == 1 for _, order, _ in rows)  # what passes all is left at the end, in any order
+    assert rows["p", "XYZ"[:k], 1][1] == sum(10 ** f for f in range(1 << k) if f & 1)
+
+
+def test_edges(spark):
+    docs, marks = tables(spark, [(1, None, None), (2, "", "de")], [(9, 1, 1)])
+    assert got(filter_audit.audit_filters(docs, marks.where("false"))) == brute([(1, None, None), (2, "", "de")], [])
+    none = filter_audit.audit_filters(docs.where("false"), marks)
+    assert none.count() == 0 and none.columns == ["part", "filter_order", "step", *filter_audit.FIGURES]
+    long = "x " * 400_000 + "X"
+    docs, marks = tables(spark, [(k, long, "de") for k in range(4)], [(1, 1, 0)])
+    assert got(filter_audit.audit_filters(docs, marks)) == brute([(k, long, "de") for k in range(4)], [(1, 1, 0)])
