@@ -15,6 +15,9 @@ all of the data, are never read. ``method="binaryFile"`` is Spark's
 Spark's file systems can open. Either way one task per group of files, and a
 damaged tail ends only its own file. Everything after the decode (hourly
 statistics, joins) is plain DataFrame work.
+
+A file of more than ``split_bytes`` is read in byte ranges by many tasks, see
+:mod:`tickwork.sources.blocksplit`.
 """
 
 from __future__ import annotations
@@ -78,17 +81,31 @@ def _decode_files(batches):
             yield from _arrow_batches(path, frame_heads(io.BytesIO(raw), raw.size))
 
 
-def read_block_files(spark: SparkSession, path: str, *, glob: str = "blk*.dat", method: str = "stream") -> DataFrame:
+def list_files(path: str, glob: str) -> list[tuple[str, int]]:
+    """Path and length of each ``glob`` file under ``path``, recursively; an error where there is no such folder."""
+    from pyarrow import fs
+
+    filesystem, base = pyarrow_filesystem(path)
+    found = filesystem.get_file_info(fs.FileSelector(base, recursive=True))
+    return sorted((i.path, i.size or 0) for i in found if i.is_file and fnmatch.fnmatch(i.base_name, glob))
+
+
+def read_block_files(spark: SparkSession, path: str, *, glob: str = "blk*.dat", method: str = "stream", split_bytes: int = 512 << 20) -> DataFrame:
     """S6 + S7: decode every ``glob`` file under ``path`` (recursively) into ``path, block_time`` (epoch seconds),
     ``tx_count`` (decimal: a count can be any unsigned 64-bit number).
 
     A path without a scheme is one of the session's default file system with either ``method`` (see the module). A
-    folder without such files gives no rows, a missing folder an error.
+    folder without such files gives no rows, a missing folder an error. With ``method="stream"`` files of more than
+    ``split_bytes`` are read in ranges of that many bytes, the others as a whole.
     """
     path = qualified(spark, path)
     if method == "stream":
+        from tickwork.sources.blocksplit import read_split_files
+
         spark.dataSource.register(BlockFileSource)
-        return spark.read.format(BlockFileSource.name()).option("pathGlobFilter", glob).load(path)
+        whole = spark.read.format(BlockFileSource.name()).option("pathGlobFilter", glob).option("maxFileBytes", split_bytes).load(path)
+        large = [(name, n) for name, n in list_files(path, glob) if n > split_bytes]
+        return whole.unionByName(read_split_files(spark, path, large, split_bytes)) if large else whole
     if method != "binaryFile":
         raise ValueError(f"method must be 'stream' or 'binaryFile', not {method!r}")
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
@@ -101,8 +118,9 @@ class BlockFileSource(DataSource):
 
     The driver lists the matching files (recursively) and packs them into
     partitions of about ``maxPartitionBytes`` (default 128 MiB): one task per
-    large file, several small files per task. Tasks open them through
-    ``pyarrow.fs`` (local or any shared file system URI).
+    large file, several small files per task; files of more than
+    ``maxFileBytes`` are left out. Tasks open them through ``pyarrow.fs`` (local
+    or any shared file system URI).
     """
 
     @classmethod
@@ -121,13 +139,10 @@ class _BlockFileReader(DataSourceReader):
         self.path = options["path"]
         self.glob = options.get("pathGlobFilter", "blk*.dat")
         self.target = int(options.get("maxPartitionBytes", 128 * 1024 * 1024))
+        self.most = int(options.get("maxFileBytes", 1 << 62))
 
     def partitions(self):
-        from pyarrow import fs
-
-        filesystem, base = pyarrow_filesystem(self.path)
-        found = filesystem.get_file_info(fs.FileSelector(base, recursive=True))  # raises where there is no such folder
-        files = sorted((i.path, i.size or 0) for i in found if i.is_file and fnmatch.fnmatch(i.base_name, self.glob))
+        files = [(name, n) for name, n in list_files(self.path, self.glob) if n <= self.most]
         groups: list[list[str]] = [[]]
         size = 0
         for name, n in files:
