@@ -1,0 +1,73 @@
+"""Bars from stored states equal bars from ticks, whatever the loads."""
+
+import random
+
+import pytest
+from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
+
+from tickwork import tables
+from tickwork.operators import append_state, bar_state, bars_from_state, compact, merge_states, ohlcv_bars, read_state
+from tickwork.plans.explain import plan_text
+from tickwork.sinks import scratch_path
+
+
+def _same(a, b, n_keys=1):
+    def rounded(df):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows(df)), key=str)
+
+    assert a.columns == b.columns and rounded(a) == rounded(b)
+
+
+@pytest.mark.parametrize("size", ["15 minutes", "1 hour", "6 hours", "1 day"])
+def test_coarser_bars_of_many_loads(spark, size):
+    ticks = tables.ticks(spark, SF_SMALL, keyed=True).withColumn("load", F.pmod(F.xxhash64("ts_raw", "close"), F.lit(4)))
+    path = scratch_path(spark, "test_state")
+    for load in range(4):
+        append_state(bar_state(ticks.where(F.col("load") == load), keys=["event_type"], size="15 minutes"), path)
+    got = bars_from_state(read_state(spark, path), keys=["event_type"], size=size)
+    _same(got, ohlcv_bars(ticks, keys=["event_type"], size=size))
+    done = path + "-compact"
+    compact(spark, path, done, keys=["event_type"], size="15 minutes")
+    assert spark.read.parquet(done).count() == spark.read.parquet(path).select("event_type", "bucket").distinct().count()
+    _same(bars_from_state(read_state(spark, done), keys=["event_type"], size=size), got)
+
+
+def test_late_tick_changes_open_close_and_moments(spark):
+    def ticks(*data):
+        df = spark.createDataFrame([(f"2024-01-01 {t}", v) for t, v in data], "t string, v double")
+        return df.select(F.col("t").cast("timestamp_ntz").alias("ts_raw"), *(F.col("v").alias(c) for c in ("open", "high", "low", "close", "volume")))
+
+    first = ticks(("10:20:00", 3.0), ("10:40:00", 5.0))
+    late = ticks(("10:05:00", 9.0), ("10:59:00", 1.0), ("10:40:00", 6.0))
+    (r,) = bars_from_state(bar_state(first).unionByName(bar_state(late)), size="1 hour").collect()
+    assert (r.open_1h, r.close_1h, r.high_1h, r.low_1h, r.vol_1h) == (9.0, 1.0, 9.0, 1.0, 24.0)
+    _same(bars_from_state(bar_state(first).unionByName(bar_state(late)), size="1 hour"), ohlcv_bars(first.unionByName(late)))
+
+
+def test_moments_lose_no_digits_far_from_zero(spark):
+    rng = random.Random(1)
+    values = [1e9 + rng.random() for _ in range(600)]
+    df = spark.createDataFrame([(k * 60, v) for k, v in enumerate(values)], "s long, v double").select(
+        F.timestamp_seconds("s").alias("ts_raw"), *(F.col("v").alias(c) for c in ("open", "high", "low", "close", "volume")))
+    (r,) = bars_from_state(bar_state(df, size="1 minute"), size="1 day").collect()
+    mean = sum(v - 1e9 for v in values) / 600
+    exact = (sum((v - 1e9 - mean) ** 2 for v in values) / 600) ** 0.5
+    assert abs(r.volatility_1h / exact - 1) < 1e-6
+
+
+def test_nulls_and_empty_store(spark):
+    df = spark.createDataFrame([("2024-01-01 10:00:00", None), ("2024-01-01 10:01:00", 2.0), (None, 5.0), ("2024-01-01 11:00:00", None)], "t string, v double")
+    ticks = df.select(F.col("t").cast("timestamp_ntz").alias("ts_raw"), *(F.col("v").alias(c) for c in ("open", "high", "low", "close", "volume")))
+    _same(bars_from_state(bar_state(ticks, size="1 minute"), size="1 hour"), ohlcv_bars(ticks))
+    assert bars_from_state(bar_state(ticks.where("false")), size="1 hour").count() == 0
+    with pytest.raises(Exception):
+        compact(spark, "nowhere", "nowhere2", size="an hour")
+
+
+def test_states_are_hash_aggregates_and_merging_reads_no_ticks(spark):
+    state = bar_state(tables.ticks(spark, SF_SMALL))
+    assert "SortAggregate" not in plan_text(state, "simple")
+    path = scratch_path(spark, "test_state")
+    append_state(state, path)
+    assert all("test_state" in f for f in merge_states(read_state(spark, path), size="1 hour").inputFiles())
