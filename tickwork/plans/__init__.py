@@ -3,6 +3,7 @@
 from tickwork.plans.evaluate import accuracy, auc_roc, metrics_frame
 from tickwork.plans.explain import plan_text, single_partition_exchanges
 from tickwork.plans.features import build_features
+from tickwork.plans.incremental import features_step
 from tickwork.plans.model import MODEL_DEFAULTS, classifier_pipeline, make_classifier
 from tickwork.plans.run import (
     RunParams,
@@ -23,6 +24,7 @@ __all__ = [
     "class_share",
     "classifier_pipeline",
     "make_classifier",
+    "features_step",
     "metrics_frame",
     "params_from_config",
     "plan_text",

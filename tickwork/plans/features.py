@@ -64,9 +64,14 @@ def build_features(
     specs, reach = indicator_specs(close, f"high{suffix}", f"low{suffix}", ret, MA, VOL_WINDOW, LAGS, unit, on_zero=on_zero)
     ordered = with_series_columns(bars, specs + future_spec(close, horizon), keys=keys, order="ts_hour",
                                   ahead=horizon, layout=layout, **reach)
+    return labelled_table(ordered, activity, keys, [name for name, _ in specs], close, size, threshold, on_zero, activity_columns, use_activity)
+
+
+def labelled_table(ordered, activity, keys, indicators, close, size, threshold, on_zero, activity_columns, use_activity) -> DataFrame:
+    """Bars with indicators and future close, joined to the activity and labelled, in the table's column order."""
     joined = _with_activity(ordered, activity, keys, activity_columns, use_activity, size)
     labelled = finish_labels(joined, close, threshold, on_zero)
-    head = [*keys, "ts_hour", *(f"{c}{suffix}" for c in BAR_NAMES), *(name for name, _ in specs)]
+    head = [*keys, "ts_hour", *(f"{c}{size_suffix(size)[0]}" for c in BAR_NAMES), *indicators]
     right = [c for c in labelled.columns if c not in head and c not in LABEL_COLUMNS]
     return labelled.select(*head, *right, *LABEL_COLUMNS)
 
