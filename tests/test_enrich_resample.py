@@ -47,6 +47,32 @@ def test_forward_fill_of_a_long_gap_and_instants(spark):
     assert out.dtypes == [("t", "timestamp"), ("v", "double")]
 
 
+def test_forward_fill_takes_any_column_and_sorts_no_observation(spark):
+    import random
+
+    from tickwork.operators import latest_rows
+    from tickwork.plans.explain import plan_text
+
+    rng = random.Random(2)
+    data = [(rng.choice(["a", None]), rng.randrange(600), rng.choice(["x", "yy", None]), [rng.randrange(3)], {"k": rng.randrange(3)}, rng.randrange(4)) for _ in range(300)]
+    df = spark.createDataFrame(data, "key string, s long, text string, list array<int>, map map<string,int>, n int").withColumn("t", F.timestamp_seconds("s")).drop("s")
+    steps = df.withColumn("step", F.floor(F.unix_seconds("t") / 60))
+    without_map = latest_rows(steps, ["key", "step"], "t", ["n", "text", "list"])
+    want = {}
+    for key, s, text, some, _, n in data:
+        row = (s, n, text is not None, text or "", some)
+        if (key, s // 60) not in want or row > want[key, s // 60]:
+            want[key, s // 60] = row
+    got = {(r["key"], r["step"]): (r["n"], r["text"], r["list"]) for r in without_map.collect()}
+    assert got == {k: (n, text if some_text else None, some) for k, (_, n, some_text, text, some) in want.items()}
+    filled = resample_ffill(df, ts="t", keys=["key"], step="1 minute")
+    assert filled.columns == df.columns
+    assert filled.count() == sum(max(s for k, s in want if k == key) - min(s for k, s in want if k == key) + 1 for key in ("a", None))
+    assert all(r["map"]["k"] in (0, 1, 2) for r in filled.collect())
+    narrow = df.select("key", "t", "n")
+    assert "SortAggregate" not in plan_text(latest_rows(narrow.withColumn("step", F.floor(F.unix_seconds("t") / 60)), ["key", "step"], "t", ["n"]), "simple")
+
+
 def test_activity_rows_without_a_time_stay(spark):
     from tickwork.sources import align_activity
 

@@ -25,6 +25,23 @@ def test_stream_bars_equal_batch_bars_for_closed_windows(spark):
     assert len(have) == len(want) and have == want
 
 
+def test_tied_ticks_give_the_batch_bars(spark):
+    """Equal times in files and partitions of any number: the value decides, as in the batch operator."""
+    ticks = spark.range(200).select(F.expr("timestamp '2024-01-01 10:00:00' + make_interval(0,0,0,0, id div 100 * 2)").alias("ts_raw"),
+                                    *(F.pmod(F.col("id") * 37, F.lit(200)).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")))
+    found = []
+    for parts in (5, 9):
+        src, out = scratch_path(spark, "tied_src"), scratch_path(spark, "tied_out")
+        ticks.repartition(parts).write.parquet(src)
+        stream = spark.readStream.schema(ticks.schema).parquet(src)
+        q = (stream_bars(stream, watermark="0 seconds").writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", out + "_ckpt").trigger(availableNow=True).start(out))
+        q.awaitTermination(120)
+        found.append(rows(spark.read.parquet(out).select("ts_hour", "open_1h", "close_1h")))
+    batch = sorted(rows(hourly_bars(ticks).select("ts_hour", "open_1h", "close_1h")))
+    assert found[0] == found[1] == batch[:1]
+
+
 def test_keyed_stream_drops_late_ticks_after_watermark(spark):
     import datetime as dt
 
