@@ -26,7 +26,6 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickwork import tables
 from tickwork.functions.time import epoch_seconds_ntz, truncate_hour
@@ -34,24 +33,32 @@ from tickwork.operators import (
     Layout,
     add_indicators,
     add_labels,
+    append_state,
     apply_null_policy,
+    auc_by_ranks,
+    bar_state,
+    bars_from_state,
     daily_to_hourly_proxy,
+    file_positions,
     high_low_ratio,
     hourly_block_stats,
     join_activity,
     lagged_returns,
     log_returns,
+    long_frames,
     moving_averages,
     ohlcv_bars,
+    read_state,
     resample_ffill,
     rolling_volatility,
     select_features,
     split_counts,
     time_split,
     total_blocks,
+    with_running_totals,
 )
 from tickwork.operators.series import materialize
-from tickwork.plans import RunParams, build_features, class_share, metrics_frame, run_config, train_and_evaluate
+from tickwork.plans import RunParams, build_features, class_share, features_step, metrics_frame, run_config, train_and_evaluate
 from tickwork.plans.evaluate import accuracy, auc_roc
 from tickwork.plans.model import classifier_pipeline
 from tickwork.sinks import (
@@ -137,6 +144,18 @@ def q_bars_tied_ticks(spark, d):
     return _round(ohlcv_bars(tied), NOISY_BAR)
 
 
+def q_bars_from_state(spark, d):
+    """15-minute states of two loads, the second with late ticks for buckets of the first, merged to hours and days."""
+    path = scratch_path(spark, "bar_state")
+    ticks = tables.ticks(spark, d, keyed=True)
+    late = F.col("event_type") == "purchase"
+    for load in (~late, late):
+        append_state(bar_state(ticks.where(F.coalesce(load, F.lit(False))), size="15 minutes"), path)
+    states = read_state(spark, path)
+    sizes = [bars_from_state(states, size=size, out_ts="ts_bar", suffix="").withColumn("size", F.lit(size)) for size in ("1 hour", "1 day")]
+    return _round(sizes[0].unionByName(sizes[1]), ["vol", "volatility"])
+
+
 def q_truncated_hours(spark, d):
     """calendar truncation, counted."""
     hour = truncate_hour("ts").cast("timestamp_ntz").alias("ts_hour")
@@ -171,6 +190,20 @@ def q_rolling_volatility(spark, d):
     return _round(rolling_volatility(_bars(spark, d)).select("ts_hour", "vol_24h"), ["vol_24h"])
 
 
+def q_long_frames(spark, d):
+    """Frames of 1,000 and 100,000 ticks, in blocks of 256: each reaches over many blocks."""
+    ev = tables.table(spark, d, "events").select("event_id", "ts", "value")
+    out = long_frames(ev, (1_000, 100_000), value="value", order="ts", tiebreak=["event_id"], name="v", size="1 minute", block_rows=256)
+    return _round(out.drop("value"), [c for c in out.columns if "avg" in c or "stddev" in c])
+
+
+def q_long_frames_keyed(spark, d):
+    """Frames of 500 bars of each supplier's daily bars; of logarithms, whose averages don't end in a decimal tie."""
+    bars = _large_bars(spark, d).select("l_suppkey", "ts_day", F.ln("close_1d").alias("log_close"))
+    out = long_frames(bars, (500,), value="log_close", keys=["l_suppkey"], order="ts_day", name="log", **DAY)
+    return _round(out, [c for c in out.columns if c.startswith("log")])
+
+
 def q_high_low_ratio(spark, d):
     return high_low_ratio(_bars(spark, d), **ZERO).select("ts_hour", "high_1h", "low_1h", "high_low_ratio")
 
@@ -283,6 +316,15 @@ def q_feature_dataset_keyed(spark, d):
     return _int_as_double(_round(_features(spark, d, keyed=True), NOISY_BAR + NOISY_IND))
 
 
+def q_features_incremental(spark, d):
+    """The keyed feature table in two runs: half a month of ticks, then the rest and what the first run has left."""
+    ticks, cut = tables.ticks(spark, d, keyed=True), "2024-01-16"
+    kw = {"keys": ["event_type"], "activity": _activity(spark, d), **ZERO}
+    first, carry = features_step(ticks.where(F.col("ts_raw") < F.lit(cut)), **kw)
+    second, _ = features_step(ticks.where(F.col("ts_raw") >= F.lit(cut)), carry, **kw)
+    return _int_as_double(_round(first.unionByName(second), NOISY_BAR + NOISY_IND))
+
+
 # ---------------------------------------------------------------- sources
 def q_csv_candles(spark, d):
     """Ticks written as a candle CSV (padded time text, source column names, an extra column), read back."""
@@ -402,21 +444,23 @@ def q_auc_fixed_score(spark, d):
     return spark.createDataFrame([(auc,)], "auc_roc double").select(F.round("auc_roc", 9).alias("auc_roc"))
 
 
+def q_auc_by_ranks(spark, d):
+    """M8 by its definition, over running totals of distinct scores."""
+    return auc_by_ranks(_scored_events(spark, d), label="label_up", score="score").select(F.round("auc_roc", 9).alias("auc_roc"))
+
+
+def q_running_totals(spark, d):
+    """All ticks in order of time and id: their position, and the value and the users before each."""
+    ev = tables.table(spark, d, "events").select("event_id", "ts", F.col("value").cast("decimal(18,2)").alias("value"), "user_id")
+    out = with_running_totals(ev, ["ts", "event_id"], {"value_before": F.col("value"), "users_before": F.col("user_id")}, position="position")
+    return out.select("event_id", "ts", F.col("value_before").cast("double").alias("value_before"), "users_before", "position")
+
+
 def q_accuracy_fixed_score(spark, d):
     acc = accuracy(_scored_events(spark, d))
     return spark.createDataFrame([(acc,)], "accuracy double").select(F.round("accuracy", 9).alias("accuracy"))
 
 
-def _rank_auc(scored, label, score):
-    """Area under the curve by ranks: the share of pairs that the score orders rightly, ties half."""
-    by = scored.groupBy(score).agg(F.sum(label).cast("double").alias("p"), F.count(F.lit(1)).cast("double").alias("n"))
-    up = Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)  # one row for each distinct score of the test set
-    below = by.withColumn("below", F.coalesce(F.sum(F.col("n") - F.col("p")).over(up), F.lit(0.0)))
-    t = below.agg(F.sum(F.col("p") * (F.col("below") + (F.col("n") - F.col("p")) / 2)).alias("w"), F.sum("p").alias("p"),
-                  F.sum(F.col("n") - F.col("p")).alias("q")).first()
-    return t["w"] / (t["p"] * t["q"])
-
-
 def _train(spark, d, model_type, params, keyed=False):
     """Ticks + activity -> features -> split -> fit -> metrics, and what must hold for any trained model.
 
@@ -433,7 +477,7 @@ def _train(spark, d, model_type, params, keyed=False):
     scored = model.transform(apply_null_policy(test, cols)).select("label_up", "prediction", p[1].alias("score"), (p[0] + p[1]).alias("total")).persist()
     share = scored.agg(F.avg((F.col("label_up") == F.col("prediction")).cast("double")).alias("a"), F.max(F.abs(F.col("total") - 1)).alias("t")).first()
     checks = {"n_train": m["n_train"], "n_test": m["n_test"], "accuracy_is_share": abs(m["accuracy"] - share["a"]) < 1e-9,
-              "auc_is_by_ranks": abs(m["auc_roc"] - _rank_auc(scored, "label_up", "score")) < 1e-9, "probabilities_add_up": share["t"] < 1e-9}
+              "auc_is_by_ranks": abs(m["auc_roc"] - auc_by_ranks(scored, label="label_up", score="score").first()[0]) < 1e-9, "probabilities_add_up": share["t"] < 1e-9}
     scored.unpersist()
     fitted = model.stages[-1]
     if model_type == "logistic_regression":
@@ -503,24 +547,18 @@ def q_feature_parquet_roundtrip(spark, d):
     return _int_as_double(_round(spark.read.parquet(path), NOISY_BAR + NOISY_IND))
 
 
-def _in_file_order(spark, path, *cols):
-    """Rows of a sorted table with their position: by file, then place in the file."""
-    place = F.col("_metadata.file_name"), F.col("_metadata.row_index")
-    return spark.read.parquet(path).select(*cols, F.row_number().over(Window.orderBy(*place)).alias("position"))
-
-
 def q_features_file_order(spark, d):
     """O1: the feature table is in order of time and series over all its files."""
     path = scratch_path(spark, "features")
     write_features(_features(spark, d, keyed=True), path, keys=["event_type"])
-    return _in_file_order(spark, path, "ts_hour", "event_type")
+    return file_positions(spark, path, "ts_hour", "event_type")
 
 
 def q_stats_file_order(spark, d):
     """O2: the hourly statistics are in order of time."""
     path = scratch_path(spark, "hourly_stats")
     write_hourly_stats(tables.activity(spark, d), path)
-    return _in_file_order(spark, path, "timestamp")
+    return file_positions(spark, path, "timestamp")
 
 
 def q_stats_parquet_roundtrip(spark, d):
@@ -566,6 +604,14 @@ def q_block_files_hourly_binary(spark, d):
     return _block_stats(spark, d, method="binaryFile")
 
 
+def q_block_files_split(spark, d):
+    """Files cut into ranges of 16 KiB: many tasks read one file."""
+    ev = tables.table(spark, d, "events")
+    path = scratch_path(spark, "blocks")
+    write_block_files(ev.select(epoch_seconds_ntz("ts").alias("block_time"), F.col("user_id").alias("tx_count")), path)
+    return hourly_block_stats(read_block_files(spark, path, split_bytes=16 << 10))
+
+
 def q_block_files_total(spark, d):
     return total_blocks(_block_stats(spark, d))
 
@@ -577,12 +623,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bars_15min": q_bars_15min,
     "truncated_hours": q_truncated_hours,
     "bars_tied_ticks": q_bars_tied_ticks,
+    "bars_from_state": q_bars_from_state,
     "prev_close_log_return": q_prev_close_log_return,
     "lagged_returns": q_lagged_returns,
     "moving_averages": q_moving_averages,
     "rolling_volatility": q_rolling_volatility,
     "time_frames_keyed": q_time_frames_keyed,
     "time_frames_15min_blocked": q_time_frames_15min_blocked,
+    "long_frames": q_long_frames,
+    "long_frames_keyed": q_long_frames_keyed,
     "high_low_ratio": q_high_low_ratio,
     "indicators": q_indicators,
     "indicators_custom": q_indicators_custom,
@@ -602,6 +651,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_dataset": q_feature_dataset,
     "feature_dataset_15min": q_feature_dataset_15min,
     "feature_dataset_keyed": q_feature_dataset_keyed,
+    "features_incremental": q_features_incremental,
     "csv_candles": q_csv_candles,
     "activity_detect_ts": q_activity_detect_ts,
     "date_range_filter": q_date_range_filter,
@@ -616,6 +666,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_split_test": q_time_split_test,
     "standardised_features": q_standardised_features,
     "auc_fixed_score": q_auc_fixed_score,
+    "auc_by_ranks": q_auc_by_ranks,
+    "running_totals": q_running_totals,
     "accuracy_fixed_score": q_accuracy_fixed_score,
     "class_share": q_class_share,
     "train_logistic": q_train_logistic,
@@ -634,6 +686,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "block_files_hourly_stream": q_block_files_hourly,
     "block_files_hourly_binary": q_block_files_hourly_binary,
     "block_files_total": q_block_files_total,
+    "block_files_split": q_block_files_split,
 }
 
 
@@ -830,6 +883,12 @@ def _trained_sql(keyed: bool = False, trees: int | None = None) -> str:
         TRUE AS auc_is_by_ranks, TRUE AS probabilities_add_up, {model} FROM ({_prepared_counts(_prepared_sql(keyed))}) c"""
 
 
+def _frame_figures(value: str, name: str, n: int, order: str) -> str:
+    over = f"OVER ({order} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    return (f"round(avg({value}) {over}, 6) + 0.0 AS {name}_avg_{n}, round(stddev_samp({value}) {over}, 6) + 0.0 AS {name}_stddev_{n}, "
+            f"min({value}) {over} AS {name}_min_{n}, max({value}) {over} AS {name}_max_{n}")
+
+
 _ORACLE: dict[str, str] = {
     "bars_tied_ticks": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY.replace('events', "(SELECT date_trunc('minute', ts) AS ts, value FROM events) e")}) b",
     "truncated_hours": "SELECT date_trunc('hour', ts) AS ts_hour, count(*) AS n FROM events GROUP BY 1",
@@ -847,8 +906,15 @@ _ORACLE: dict[str, str] = {
     "train_forest": _trained_sql(trees=150),
     "run_config": f"SELECT n_train, n_test, TRUE AS metrics_valid, CAST(3 AS INTEGER) AS n_stages FROM ({_prepared_counts(_prepared_sql())}) c",
     "model_roundtrip": f"SELECT CAST(n_test AS BIGINT) AS n_rows, CAST(n_test AS BIGINT) AS n_equal FROM ({_prepared_counts(_prepared_sql())}) c",
-    "features_file_order": f"SELECT ts_hour, event_type, CAST(row_number() OVER (ORDER BY ts_hour, event_type) AS INTEGER) AS position FROM ({_features_sql(True, rounded=False)}) f",
-    "stats_file_order": f"SELECT timestamp, CAST(row_number() OVER (ORDER BY timestamp) AS INTEGER) AS position FROM ({_ACT_ALL}) a",
+    "features_file_order": f"SELECT ts_hour, event_type, row_number() OVER (ORDER BY ts_hour, event_type) AS position FROM ({_features_sql(True, rounded=False)}) f",
+    "stats_file_order": f"SELECT timestamp, row_number() OVER (ORDER BY timestamp) AS position FROM ({_ACT_ALL}) a",
+    "bars_from_state": " UNION ALL ".join(f"""SELECT date_trunc('{unit}', ts) AS ts_bar, arg_min(value, (ts, value)) AS open, arg_max(value, (ts, value)) AS close,
+        max(value) AS high, min(value) AS low, round(sum(value), 6) AS vol, round(stddev_pop(value), 6) AS volatility, '1 {unit}' AS size
+        FROM events GROUP BY 1""" for unit in ("hour", "day")),
+    "long_frames": "SELECT event_id, ts, " + ", ".join(_frame_figures("value", "v", n, "ORDER BY ts, event_id") for n in (1_000, 100_000)) + " FROM events",
+    "long_frames_keyed": "SELECT l_suppkey, ts_day, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in ("log_close", *(f"log_{f}_500" for f in ("avg", "stddev", "min", "max")))) + f"""
+        FROM (SELECT l_suppkey, ts_day, log_close, {_frame_figures("log_close", "log", 500, "PARTITION BY l_suppkey ORDER BY ts_day")}
+              FROM (SELECT *, ln(close_1d) AS log_close FROM ({_LARGE_BODY}) b) l) f""",
     "hourly_bars": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY}) b",
     "hourly_bars_keyed": f"SELECT event_type, ts_hour, {_BAR_SEL} FROM ({_BARS_KEYED_BODY}) b",
     "bars_15min": f"""SELECT ts_bar, open_15m, close_15m, high_15m, low_15m, {_r('vol_15m')}, {_r('volatility_15m')}
@@ -910,6 +976,7 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "price_without_activity": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY}) b",
     "feature_dataset": _features_sql(False),
     "feature_dataset_keyed": _features_sql(True),
+    "features_incremental": _features_sql(True),
     "csv_candles": """SELECT ts AS ts_raw, value AS open, value AS high, value AS low, value AS close,
         value AS volume FROM events""",
     "activity_detect_ts": """SELECT date_trunc('hour', ts) AS ts_hour, count(*) AS block_count,
@@ -941,6 +1008,10 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "class_share": f"""SELECT round(CAST(avg(CAST(label_up AS DOUBLE)) AS DOUBLE), 9) AS positive_share
         FROM ({_features_sql(False, rounded=False)}) f WHERE ts_hour >= TIMESTAMP '{TEST_START}'""",
     "auc_fixed_score": _AUC,
+    "auc_by_ranks": _AUC,
+    "running_totals": """SELECT event_id, ts, CAST(coalesce(sum(CAST(value AS DECIMAL(18,2))) OVER w, 0) AS DOUBLE) AS value_before,
+        CAST(coalesce(sum(user_id) OVER w, 0) AS BIGINT) AS users_before, row_number() OVER (ORDER BY ts, event_id) AS position
+        FROM events WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     "accuracy_fixed_score": _ACC,
     "metrics_csv_roundtrip": f"""SELECT a.auc_roc, b.accuracy, c.n_train, c.n_test FROM ({_AUC}) a, ({_ACC}) b,
         (SELECT CAST(count_if(ts < TIMESTAMP '{TEST_START}') AS INTEGER) AS n_train,
@@ -955,6 +1026,7 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "block_files_hourly_stream": _BLOCK_STATS_SQL,
     "block_files_hourly_binary": _BLOCK_STATS_SQL,
     "block_files_total": "SELECT count(*) AS n_blocks FROM events",
+    "block_files_split": _BLOCK_STATS_SQL,
 }
 
 
