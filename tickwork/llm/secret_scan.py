@@ -46,7 +46,9 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 SENSITIVE = re.compile(r"password|passwd|pwd|passphrase|secret|token|credential|private|bearer|authorization|auth|api[_-]?key|access[_-]?key|client[_-]?id|signature|webhook|\bkey\b", re.IGNORECASE | re.ASCII)
 _SENSITIVE_STEMS = ("pass", "pwd", "secret", "token", "credential", "private", "bearer", "auth", "key", "client", "signature", "webhook")
 REACH = 48
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+_CHARACTERS = "[A-Za-z0-9+/_=-]"
+CANDIDATE_START, CANDIDATE = re.compile(f"{_CHARACTERS}{{{LEAST}}}"), re.compile(f"{_CHARACTERS}+")
 #: Added bytes per character from which a candidate is reported; text around it that primes the compressor.
 NOVELTY, CONTEXT = 0.85, 1024
 #: Characters of a piece; zstandard codes literals by frequency from 64 bytes.
@@ -112,25 +114,36 @@ def may_be_random(s: str) -> bool:
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Long strings that may be random and start at most REACH characters after a sensitive word."""
+    """Long strings that may be random and start at most REACH characters after a sensitive word.
+
+    After each word only what is in reach is searched, and no string is read twice: the time is linear in the text.
+    """
     low = text.lower() if text.isascii() else None
     if low is not None and not any(s in low for s in _SENSITIVE_STEMS):
         return
     done = 0
     for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, max(done, word.end())):
-            if m.start() > word.end() + REACH:
-                break
-            done = m.end()
-            if may_be_random(m.group()):
-                yield m.start(), m.end()
+        until = word.end() + REACH + LEAST  # where a string that begins in reach has its least length
+        while m := CANDIDATE_START.search(text, max(done, word.end()), until):
+            done = CANDIDATE.match(text, m.start()).end()
+            if may_be_random(text[m.start() : done]):
+                yield m.start(), done
 
 
 def find_spans(text: str, novelty: Novelty) -> list[tuple[int, int, str]]:
     """All spans by start, then kind."""
     spans = base_spans(text)
+    covered: list[list[int]] = []  # base spans, those that overlap as one, in order
+    for a, b, _ in sorted(spans):
+        if covered and a < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    k = 0
     for start, end in candidates(text):
-        if all(end <= a or b <= start for a, b, _ in spans) and novelty(text, start, end) >= NOVELTY:
+        while k < len(covered) and covered[k][1] <= start:
+            k += 1
+        if (k == len(covered) or end <= covered[k][0]) and novelty(text, start, end) >= NOVELTY:
             spans.append((start, end, "novel"))
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
