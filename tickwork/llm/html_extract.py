@@ -62,34 +62,51 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 MARKED = re.compile(r"class|id|role|hidden|style", re.IGNORECASE)
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE) for tag in RAW_TAGS}
 
-#: Of deeper nesting, the outer and inner half of so many elements describe a block, and the last of each mark between.
-DEPTH = 64
 #: Capacities are whole numbers: this many to a point of score.
 UNIT = 100
 
 
+TEXT_TAGS = frozenset(("p", "blockquote", "pre"))
+
+
 class Element:
-    __slots__ = ("tag", "bad", "good", "soft", "chars", "holds_good", "within_good", "marks")
+    """An open element; what holds for all within it (``heading``, ``prose``, ``marked``, ``content``) is handed down."""
 
-    def __init__(self, tag: str, bad: bool, good: bool, soft: bool, inside_good: bool):
-        self.tag, self.bad, self.good, self.soft, self.chars, self.holds_good, self.within_good = tag, bad, good, soft, 0, False, good or inside_good
-        self.marks: dict[str, Element] = {}
+    __slots__ = ("tag", "parent", "depth", "bad", "good", "soft", "chars", "holds_good", "within_good", "heading", "prose", "marked", "content")
 
-    def marked(self) -> dict[str, Element]:
-        """The last element of each mark, up to this one; ``marks`` are those around it (none refers to itself)."""
-        kind = ("soft" if self.soft else "bad") if self.bad else "good" if self.good else "heading" if self.tag in HEADINGS else "text" if self.tag in ("p", "blockquote", "pre") else None
-        return {**self.marks, kind: self} if kind else self.marks
+    def __init__(self, tag: str, parent: Element | None, bad: bool, good: bool, soft: bool):
+        self.tag, self.parent, self.bad, self.good, self.soft, self.chars, self.holds_good = tag, parent, bad, good, soft, 0, False
+        self.depth = parent.depth + 1 if parent else 1
+        self.within_good = good or (parent is not None and parent.within_good)
+        self.heading = tag in HEADINGS or (parent is not None and parent.heading)
+        self.prose = tag in TEXT_TAGS or (parent is not None and parent.prose)
+        #: Depth of the innermost element, up to this one, that marks a region.
+        self.marked = self.depth if bad or good else parent.marked if parent else 0
+        #: False in a region of boilerplate, True in one of content, None in neither; known when the page is read.
+        self.content: bool | None = None
 
 
 class Block:
-    __slots__ = ("text", "path", "links", "heading")
+    """A text, its innermost open element, and how many of the open elements it has in common with the block before."""
+
+    __slots__ = ("text", "leaf", "common", "links")
+
+    def __init__(self, text: str, leaf: Element | None, common: int, links: int):
+        self.text, self.leaf, self.common, self.links = text, leaf, common, links
 
-    def __init__(self, text: str, path: tuple[Element, ...], links: int, heading: bool):
-        self.text, self.path, self.links, self.heading = text, path, links, heading
+    @property
+    def depth(self) -> int:
+        return self.leaf.depth if self.leaf else 0
 
 
-def element(tag: str, attributes: str, inside_good: bool) -> Element:
+def closes_itself(attributes: str) -> bool:
+    """Whether a tag ends with a slash of its own; one at the end of a value without quotes is the value's."""
+    return attributes.endswith("/") and (len(attributes) == 1 or attributes[-2].isspace() or attributes[-2] in "\"'")
+
+
+def element(tag: str, attributes: str, parent: Element | None) -> Element:
     """An element and what its tag, role, class and id say."""
+    inside_good = parent is not None and parent.within_good
     bad, soft = tag in BAD_TAGS or (tag == "header" and not inside_good), tag == "form"
     good = tag in GOOD_TAGS
     if attributes and MARKED.search(attributes):
@@ -104,29 +121,82 @@ def element(tag: str, attributes: str, inside_good: bool) -> Element:
         if role in BAD_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
             bad = True
         good = good or role in GOOD_ROLES
-    return Element(tag, bad, good and not bad, soft, inside_good)
+    return Element(tag, parent, bad, good and not bad, soft)
+
+
+class Stack:
+    """The open elements, and where in the stack those of each tag and the block elements are: no search walks it."""
+
+    def __init__(self):
+        self.open: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.link_depth = 0
+
+    def top(self) -> Element | None:
+        return self.open[-1] if self.open else None
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost element of one of the tags; -1 without one."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def push(self, e: Element) -> None:
+        self.places.setdefault(e.tag, []).append(len(self.open))
+        if e.tag in BLOCK_TAGS:
+            self.blocks.append(len(self.open))
+        self.link_depth += e.tag == "a"
+        self.open.append(e)
+
+    def cut(self, size: int) -> None:
+        while len(self.open) > size:
+            e = self.open.pop()
+            self.places[e.tag].pop()
+            if e.tag in BLOCK_TAGS:
+                self.blocks.pop()
+            self.link_depth -= e.tag == "a"
+
+    def ended_by_close(self, tag: str) -> int:
+        """Place of the element that ``</tag>`` ends: an inline one within the innermost block element only."""
+        k = self.last(tag)
+        return k if tag in BLOCK_TAGS or k > (self.blocks[-1] if self.blocks else -1) else -1
+
+    def ended_by_open(self, tag: str) -> int:
+        """Place of the element that ends when the block element ``tag`` opens."""
+        if tag not in ENDED_BY:  # an open paragraph, if no block element is open in it
+            k = self.last("p")
+            return k if k >= 0 and k == self.blocks[-1] else -1
+        ends, limits = ENDED_BY[tag]
+        k = self.last(*ends.split())
+        return k if k > self.last(*limits) else -1
 
 
 def read_blocks(html: str) -> list[Block]:
     """The blocks of a page in order."""
     blocks: list[Block] = []
-    stack: list[Element] = []
+    stack, elements = Stack(), []
     parts: list[str] = []
-    links = link_depth = at = 0
-    path: tuple[Element, ...] | None = None
-    heading = False
+    links = at = common = 0
+    leaf, placed = None, False
+    # fewest open elements since the block before began, and since this one did
+    since_block = since_start = 0
     unended: set[str] = set()
 
     def flush() -> None:
-        nonlocal links, path, heading
+        nonlocal links, leaf, placed, since_block
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                for e in path or ():
-                    e.chars += len(text)
-                blocks.append(Block(text, path or (), links, heading))
+                if leaf:
+                    leaf.chars += len(text)
+                blocks.append(Block(text, leaf, common, links))
+                since_block = since_start
             parts.clear()
-        links, path, heading = 0, None, False
+        links, leaf, placed = 0, None, False
+
+    def cut(size: int) -> None:
+        nonlocal since_block, since_start
+        stack.cut(size)
+        since_block, since_start = min(since_block, size), min(since_start, size)
 
     scan, end = TOKEN.match, len(html)
     while at < end:
@@ -136,13 +206,10 @@ def read_blocks(html: str) -> list[Block]:
         if tag is None:
             if html[start] != "<" or at == start + 1:
                 text = m.group()
-                if path is None and not text.isspace():
-                    outer, inner = (stack, []) if len(stack) <= DEPTH else (stack[: DEPTH // 2], stack[-DEPTH // 2 :])
-                    between = [e for e in stack[-DEPTH // 2 - 1].marked().values() if e not in outer] if inner else []
-                    path = (*outer, *between, *inner)
-                    heading = any(e.tag in HEADINGS for e in path)
+                if not placed and not text.isspace():
+                    leaf, placed, common, since_start = stack.top(), True, since_block, len(stack.open)
                 parts.append(unescape(text) if "&" in text else text)
-                if link_depth:
+                if stack.link_depth:
                     links += len(text.strip())
             continue
         tag, closing, attributes = tag.lower(), m.group(1) or m.group(4), m.group(3) or m.group(6) or ""
@@ -152,16 +219,12 @@ def read_blocks(html: str) -> list[Block]:
         if block:
             flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    link_depth -= sum(e.tag == "a" for e in stack[k:])
-                    del stack[k:]
-                    break
-                if not block and stack[k].tag in BLOCK_TAGS:
-                    break
+            k = stack.ended_by_close(tag)
+            if k >= 0:
+                cut(k)
             continue
         if tag in RAW_TAGS:
-            if not attributes.endswith("/") and tag not in unended:
+            if not closes_itself(attributes) and tag not in unended:
                 close = RAW_END[tag].search(html, at)
                 if close:
                     at = close.end()
@@ -172,43 +235,47 @@ def read_blocks(html: str) -> list[Block]:
             continue
         if tag in VOID_TAGS:
             continue
-        ends, limit = ENDED_BY.get(tag, ("p", ())) if block else ((), ())
-        if ends:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in ends.split():
-                    link_depth -= sum(e.tag == "a" for e in stack[k:])
-                    del stack[k:]
-                    break
-                if stack[k].tag in limit or (ends == "p" and stack[k].tag in BLOCK_TAGS):
-                    break
-        e = element(tag, attributes, bool(stack) and stack[-1].within_good)
-        if stack:
-            e.marks = stack[-1].marked()
+        if block:
+            k = stack.ended_by_open(tag)
+            if k >= 0:
+                cut(k)
+        e = element(tag, attributes, stack.top())
         if e.good:
-            for x in stack:
-                x.holds_good = True
-        if not attributes.endswith("/") or block:
-            stack.append(e)
-            link_depth += tag == "a"
+            x = e.parent
+            while x is not None and not x.holds_good:  # what is around a marked element is marked
+                x.holds_good, x = True, x.parent
+        if not closes_itself(attributes) or block:
+            elements.append(e)
+            stack.push(e)
     flush()
+    settle(elements, sum(len(b.text) for b in blocks))
     return blocks
 
 
-def score(block: Block, total: int) -> float:
+def settle(elements: list[Element], total: int) -> None:
+    """Add up the characters in all elements, and hand down which of them are content; each comes after its parent."""
+    for e in reversed(elements):
+        if e.parent is not None:
+            e.parent.chars += e.chars
+    for e in elements:
+        around = e.parent.content if e.parent is not None else None
+        if around is False or (e.bad and not (e.soft and e.holds_good and e.chars > 0.6 * total)):
+            e.content = False
+        else:
+            e.content = e.good or around
+
+
+def score(block: Block) -> float:
     """Points for content, negative for boilerplate."""
-    inner = None
-    for e in block.path:
-        if e.bad and not (e.soft and e.holds_good and e.chars > 0.6 * total):
-            inner = False
-            break
-        inner = e.good or inner
+    inner = block.leaf.content if block.leaf else None
+    heading = block.leaf is not None and block.leaf.heading
     words, chars = block.text.count(" ") + 1, len(block.text)
     points = {None: -0.5, False: -8.0, True: 5.0}[inner]
     share = min(1.0, block.links / chars)
     points += -3.0 * share if share > 0.3 else 0.0
-    points += 2.0 if words >= 25 else 1.0 if words >= 10 else -0.5 if words < 4 and not block.heading else 0.0
+    points += 2.0 if words >= 25 else 1.0 if words >= 10 else -0.5 if words < 4 and not heading else 0.0
     points += 0.5 if block.text[-1] in ".!?…”\"" and words >= 4 else 0.0
-    points += 0.5 if block.heading or any(e.tag in ("p", "blockquote", "pre") for e in block.path) else 0.0
+    points += 0.5 if heading or (block.leaf is not None and block.leaf.prose) else 0.0
     if inner is None and (block.text[0] == "©" or "all rights reserved" in block.text.lower()):
         points -= 3.0
     return points
@@ -218,18 +285,14 @@ def edges(blocks: list[Block]) -> list[tuple[int, int, int]]:
     """Smoothness between neighbours on the page, and between next siblings."""
     out, last = [], {}
     for k, b in enumerate(blocks):
-        parent = id(b.path[-2]) if len(b.path) > 1 else 0
+        parent = id(b.leaf.parent) if b.depth > 1 else 0
         near = {k - 1, last.get(parent, k - 1)} - {-1}
         last[parent] = k
         for j in near:
-            a = blocks[j].path
-            common = 0
-            for x, y in zip(a, b.path, strict=False):
-                if x is not y:
-                    break
-                common += 1
-            apart = any(e.bad or e.good for e in (*a[common:], *b.path[common:]))
-            weight = (1.5 if j == k - 1 else 0.75) * (2 * common + 1) / (len(a) + len(b.path) + 1) * (0.1 if apart else 1.0)
+            a = blocks[j]
+            common = b.common if j == k - 1 else max(0, b.depth - 1 + (a.leaf is b.leaf))
+            apart = any(x.leaf is not None and x.leaf.marked > common for x in (a, b))
+            weight = (1.5 if j == k - 1 else 0.75) * (2 * common + 1) / (a.depth + b.depth + 1) * (0.1 if apart else 1.0)
             out.append((j, k, round(UNIT * weight)))
     return out
 
@@ -294,8 +357,7 @@ def source_side(excess: list[int], links: list[tuple[int, int, int]]) -> list[bo
 def extract(html: str | None) -> str:
     """The main text of a page."""
     blocks = read_blocks(html or "")
-    total = sum(len(b.text) for b in blocks)
-    keep = source_side([round(UNIT * score(b, total)) for b in blocks], edges(blocks))
+    keep = source_side([round(UNIT * score(b)) for b in blocks], edges(blocks))
     return "\n\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
 
 
