@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import string
+import time
 import zlib
 
 import duckdb
@@ -14,6 +15,7 @@ import public_tokenizers
 import pytest
 import xxhash
 from llm_tables import SF_MID, SF_SMALL, documents
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickwork.llm import decontaminate, graph, html_extract, langid, packing, quality, queries, secret_scan, simhash, substring_dedup, token_counts, warc
@@ -38,7 +40,7 @@ def test_language_held_out_accuracy(spark):
 
 def test_naive_bayes_equals_plain_counting(spark):
     train = [("abab", "x"), ("abc", "x"), ("zzz z", "y")]
-    model = langid.train_model(spark.createDataFrame(train, "text string, lang string"))
+    model = langid.train_model(spark.createDataFrame(train, "text string, lang string")).block(0)
     bits = model.bits
     counts = {lang: collections.Counter(int(b) for t, la in train if la == lang for g in langid.ngram_buckets([t], bits)[0] for b in g if b < 1 << bits) for lang in "xy"}
     text = "abz"
@@ -50,6 +52,36 @@ def test_naive_bayes_equals_plain_counting(spark):
     assert model.predict(["12 34", None, ""])[0] == ["und"] * 3
 
 
+def test_many_languages_in_blocks(spark, monkeypatch):
+    """3,000 labels: the buckets stay, and blocks of languages give what one block gives."""
+    rng = random.Random(2)
+    words = {k: [f"{chr(97 + k % 26)}{''.join(rng.choices(string.ascii_lowercase, k=5))}" for _ in range(4)] for k in range(3000)}
+    train = spark.createDataFrame([(" ".join(w), f"l{k:04}") for k, w in words.items()], "text string, lang string")
+    texts = [(k, " ".join(rng.choices(words[k * 7 % 3000], k=6))) for k in range(120)] + [(200, None), (201, "12"), (None, "word"), (202, "")]
+    docs = documents(spark, texts)
+    blocked = langid.train_model(train)
+    assert blocked.bits == langid.BUCKETS.bit_length() - 1 and blocked.blocks > 1
+    assert all(blocked.block(k).weights.nbytes <= langid.MODEL_BYTES for k in range(blocked.blocks))
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1 << 30)
+    whole = langid.train_model(train)
+    assert whole.blocks == 1
+    by = lambda m: {r.doc_id: (r.lang_pred, r.score) for r in langid.identify_languages(docs, m).collect()}
+    one, many = by(whole), by(blocked)
+    assert {i: lang for i, (lang, _) in one.items()} == {i: lang for i, (lang, _) in many.items()}
+    assert all(np.isclose(one[i][1], many[i][1], rtol=1e-9) for i in one)
+    assert one[200] == one[201] == one[202] == ("und", 0.0)
+    assert sum(one[k][0] == f"l{k * 7 % 3000:04}" for k in range(120)) > 110
+    named = langid.with_language(docs, blocked, "found")
+    assert named.columns == [*docs.columns, "found"] and named.count() == len(texts)
+
+
+def test_equal_scores_and_empty_labels(spark):
+    train = spark.createDataFrame([("abc", "b"), ("abc", "a"), ("xyz", ""), ("abc", None)], "text string, lang string")
+    model = langid.train_model(train).block(0)
+    assert model.langs == ["", "a", "b"]
+    assert model.predict(["abc", "xyz"])[0] == ["a", ""]
+
+
 # ------------------------------------------------------------------ 2 secrets
 def _plain_base(text):
     spans = []
@@ -97,6 +129,21 @@ def test_random_secrets_of_any_length(alphabet):
             assert [text[a:b] for a, b, _ in secret_scan.find_spans(text, novelty)] == [secret]
 
 
+def test_time_is_linear_in_texts_full_of_sensitive_words():
+    novelty, start = secret_scan.Novelty(), time.monotonic()
+    assert secret_scan.find_spans("the key is good and fine today. " * 125_000, novelty) == []
+    assert len(secret_scan.find_spans("password=abcdefgh secret key AAAAAAAAAAAAAAAAAAAA1 " * 50_000, novelty)) == 50_000
+    assert time.monotonic() - start < 60
+
+
+def test_candidates_begin_in_reach():
+    key = "Zk8vQx2LmN9pR4sT7wYb"
+    for gap, found in ((0, 0), (1, 1), (secret_scan.REACH, 1), (secret_scan.REACH + 1, 0)):
+        text = "private" + "," * gap + key + ", " + key[::-1]
+        assert [text[a:b] for a, b in secret_scan.candidates(text)][:1] == ([key] if found or gap == 0 else [])
+    assert list(secret_scan.candidates("token " + "A1" * 5000 + " secret")) == [(6, 10_006)]
+
+
 def test_letters_without_digits():
     rng, novelty = random.Random(9), secret_scan.Novelty()
     for n in (64, 128, 500, 2000):
@@ -140,9 +187,72 @@ def test_raw_elements_without_end(tag):
 
 @pytest.mark.parametrize("mark,bad,good", [("<nav>", True, False), ("<form>", True, False), ("<article>", False, True)])
 def test_marks_in_the_middle_of_deep_nesting(mark, bad, good):
-    (block,) = html_extract.read_blocks("<span>" * 50 + mark + "<span>" * 50 + "some words")
-    assert (any(e.bad for e in block.path), any(e.good for e in block.path)) == (bad, good)
-    assert len(block.path) <= html_extract.DEPTH + 5
+    (block,) = html_extract.read_blocks("<span>" * 500 + mark + "<span>" * 500 + "some words")
+    assert block.leaf.content == {(True, False): False, (False, True): True}[bad, good]
+    assert (block.depth, block.leaf.marked) == (1001, 501)
+
+
+def test_common_elements_of_deep_blocks():
+    """Common depth is that of the whole paths, however deep, and edges follow from it."""
+    rng = random.Random(4)
+    for _ in range(40):
+        html, opened = [], []
+        for k in range(120):
+            kind = rng.random()
+            if kind < 0.5:
+                opened.append(rng.choice(["div", "span", "section", "b", "nav", "p", "li", "ul"]))
+                html.append(f"<{opened[-1]}>")
+            elif kind < 0.7 and opened:
+                html.append(f"</{opened.pop(rng.randrange(len(opened)))}>")
+            else:
+                html.append(f"word{k} ")
+        blocks = html_extract.read_blocks("<div>" * 200 + "".join(html))
+
+        def path(block):
+            out, e = [], block.leaf
+            while e is not None:
+                out, e = [e, *out], e.parent
+            return out
+
+        weights = dict(((j, k), w) for j, k, w in html_extract.edges(blocks))
+        for k in range(1, len(blocks)):
+            a, b = path(blocks[k - 1]), path(blocks[k])
+            common = sum(1 for _ in itertools.takewhile(lambda xy: xy[0] is xy[1], zip(a, b, strict=False)))
+            assert blocks[k].common == common
+            apart = any(e.bad or e.good for e in (*a[common:], *b[common:]))
+            assert weights[k - 1, k] == round(html_extract.UNIT * 1.5 * (2 * common + 1) / (len(a) + len(b) + 1) * (0.1 if apart else 1.0))
+
+
+def test_time_is_linear_in_open_elements():
+    n, start = 200_000, time.monotonic()
+    assert html_extract.extract("<span>" * n + "</b>x" * n) == ""  # one word without an end
+    assert html_extract.read_blocks("<b><div>" + "<span>" * n + "</b>x" * n)[0].text == "x" * n
+    assert len(html_extract.read_blocks("<div>" * n + "<p>some text</i></td>" * 20_000)) == 20_000
+    assert len(html_extract.read_blocks("<article><div>" * 50_000 + "<li>text" * 20_000)) == 20_000
+    assert time.monotonic() - start < 60
+
+
+TABLES = """<html><body><table width=100%><tr><td colspan=2><a href=/>Home</a> | <a href=/news>News</a> | <a href=/about>About</a></td></tr>
+<tr><td><a href=1>First</a><br><a href=2>Second</a><br><a href=3>Third</a></td><td>
+<h1>Tides of the northern coast</h1><p>The water along the northern coast rises twice a day, and each time it brings sand from the banks further out at sea.</p>
+<p>Fishermen have kept tables of it for three hundred years, which are now used to check the models of the institute.</p></td></tr>
+<tr><td colspan=2>&copy; 2024 Coast News. All rights reserved.</td></tr></table></body></html>"""
+COMMENTS = """<body><div id=nav><ul><li><a href=a>Start</a><li><a href=b>Topics</a></ul></div><div class=wrap><div class=entry-content><h2>A bridge is closed</h2>
+<p>The old bridge over the river will be closed for repairs until the end of the year, the town council has decided.</p>
+<p>Buses take the road through the village instead, which adds ten minutes to the journey.</p></div>
+<div class=comments><h3>2 comments</h3><div class=comment><p>I have waited for this decision for years, the bridge was dangerous for everybody.</p></div>
+<div class=comment><p>And who pays for the longer journey that all of us have from now on?</p></div></div></div><div id=footer>Imprint | Privacy</div></body>"""
+PLAIN = """<body><p><a href=/>Index</a></p><h1>Notes on grinding</h1>
+<p>A burr grinder crushes the beans between two rings, and the distance of the rings decides how fine the powder gets.</p>
+<p>Blades chop instead, so that fine and coarse pieces are mixed, whatever one does with the switch of the machine.</p></body>"""
+
+
+@pytest.mark.parametrize("page, first, last, out", [(TABLES, "Tides of the", "of the institute.", ["Home", "Second", "rights reserved"]), (COMMENTS, "A bridge", "to the journey.", ["Topics", "2 comments", "who pays", "Imprint"]), (PLAIN, "Notes on", "of the machine.", ["Index"])])
+def test_other_layouts(page, first, last, out):
+    """Tables as layout, no article element, comments outside of it, plain pages."""
+    text = html_extract.extract(page)
+    assert text.startswith(first) and text.endswith(last)
+    assert not any(o in text for o in out)
 
 
 def test_minimum_cut_is_minimal():
@@ -318,8 +428,70 @@ def test_changed_passages(spark, monkeypatch, limit):
             docs.append((len(docs), " ".join([f"q{rng.getrandbits(40)}" for _ in range(rng.randint(0, 9))] + body + ["end"] * rng.randint(0, 5)).upper()))
     bench = spark.createDataFrame([(9, " ".join(item)), (8, ", ".join(item)), (7, "one two"), (6, None), (5, "k1 k2 k3 k4 k5 k6 k7 k8 k9")], "item_id long, text string")
     docs += [(100, "so k1 k2 k3 k4 k5 k6 k7 k8 k9 it ends"), (101, "so k1 k2 k3 k4 zz k6 k7 k8 k9 it ends"), (102, "one two")]
+    docs += [(103, "two one"), (104, "it has one, Two words"), (105, "one")]
     got = {r.doc_id: (r.item_id, r.n_equal) for r in decontaminate.find_passages(documents(spark, docs), bench).collect()}
-    assert got == {k: (8, 13 - k // 6) for k in range(18)} | {100: (5, 9)}
+    assert got == {k: (8, 13 - k // 6) for k in range(18)} | {100: (5, 9), 102: (7, 2), 104: (7, 2)}
+
+
+@pytest.mark.parametrize("n", range(1, 8))
+def test_items_shorter_than_a_seed(spark, n):
+    """Items of 1 to 7 words are found where all their words are, at the ends of a document too."""
+    item = [f"k{j}" for j in range(n)]
+    bench = spark.createDataFrame([(4, " ".join(item)), (3, "-".join(item)), (9, "!")], "item_id long, text string")
+    docs = [(1, " ".join(item)), (2, " ".join(["a", *item])), (3, " ".join([*item, "b"])), (4, " ".join(item[:-1])), (5, " ".join([*item[:-1], "zz"])), (6, "a b c d e f g h i j k l m n " + " ".join(item).upper() + ". x")]
+    got = {r.doc_id: (r.item_id, r.n_equal) for r in decontaminate.find_passages(documents(spark, docs), bench).collect()}
+    assert got == {k: (3, n) for k in (1, 2, 3, 6)}
+
+
+def _windows(text):
+    words = [w for w in re.split(r"[^\w]+|_", (text or "").lower()) if w]
+    return [words[k : k + 13] for k in range(len(words) - 12)]
+
+
+@pytest.mark.parametrize("hot", [decontaminate.HOT, 3, 0])
+def test_hot_seeds_lose_no_pair(spark, monkeypatch, hot):
+    """Items that share a phrase, documents that hold the phrase with words of their own or an item's: against all pairs of windows."""
+    monkeypatch.setattr(decontaminate, "HOT", hot)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 200_000)
+    rng = random.Random(12)
+    phrase = "which of the following is the most likely reason why".split()
+    own = lambda: [f"u{rng.getrandbits(30)}" for _ in range(rng.randint(0, 6))]
+    items = [own() + phrase + own() for _ in range(60)] + [phrase[:8] + [f"s{k}"] for k in range(5)] + [phrase[:9]]
+    docs = []
+    for k in range(80):
+        body = list(items[rng.randrange(len(items))])
+        for _ in range(rng.randint(0, 3)):
+            body[rng.randrange(len(body))] = f"z{rng.getrandbits(30)}"
+        docs.append(own() + own() + body + own() + (own() + phrase if k % 3 else []))
+    bench = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    found = decontaminate.find_passages(documents(spark, [" ".join(d) for d in docs]), bench)
+    got = {r.doc_id: (r[1], r[2]) for r in found.groupBy("doc_id").agg({"item_id": "min", "n_equal": "max"}).select("doc_id", "min(item_id)", "max(n_equal)").collect()}
+    want = {}
+    for d, words in enumerate(docs):
+        hits = []
+        for k, item in enumerate(items):
+            if len(item) < 13:
+                if any(words[a : a + len(item)] == item for a in range(len(words))):
+                    hits.append((k, len(item)))
+            else:
+                best = max((sum(x == y for x, y in zip(a, b, strict=True)) for a in _windows(" ".join(words)) for b in _windows(" ".join(item))), default=0)
+                if best >= 11:
+                    hits.append((k, best))
+        if hits:
+            want[d] = (min(k for k, _ in hits), max(n for _, n in hits))
+    assert got == want and len(want) > 30
+
+
+def test_work_follows_matches_in_hot_seeds(spark):
+    """20,000 items and documents share nine words and nothing else: no pair of them is compared, the one planted is found."""
+    phrase = "which of the following is the most likely reason"
+    rows = spark.range(20_000).select("id", F.format_string(f"x%d y%d {phrase} z%d v%d w%d", *[F.abs(F.xxhash64("id", F.lit(k))) for k in range(5)]).alias("text"))
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.format_string(f"a%d b%d {phrase} c%d d%d e%d", *[F.abs(F.xxhash64("id", F.lit(9 + k))) for k in range(5)]).alias("text"))
+    docs = docs.unionByName(rows.where("id = 777").select((F.col("id") + 100_000).alias("doc_id"), "text"))
+    start = time.monotonic()
+    found = decontaminate.find_passages(docs, rows.withColumnRenamed("id", "item_id")).collect()
+    assert [tuple(r) for r in found] == [(100_777, 777, 13)]
+    assert time.monotonic() - start < 120
 
 
 # ------------------------------------------------------------------ 9 SimHash

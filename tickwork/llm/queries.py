@@ -18,7 +18,7 @@ TOKEN_LIMIT = 512
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.train_model(docs.where(~held_out(F.col("doc_id"))))
-    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), langid.language_column(spark, model, F.col("text")).alias("found"))
+    found = langid.with_language(docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), model, "found")
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
@@ -109,8 +109,12 @@ parts(p, a, z) AS (VALUES (0, 1, 4), (1, 5, 8), (2, 9, 13)),
 dp AS (SELECT doc_id, win, p, win[a:z] AS part FROM dw, parts),
 bp AS (SELECT item_id, win, p, win[a:z] AS part FROM bw, parts),
 hit AS (SELECT doc_id, item_id, list_sum(list_transform(range(1, 14), lambda k: CAST(dp.win[k] = bp.win[k] AS INTEGER))) AS n
-        FROM dp JOIN bp USING (p, part))
-SELECT doc_id, min(item_id) AS item_id, CAST(max(n) AS INTEGER) AS n_equal FROM hit WHERE n >= 11 GROUP BY doc_id"""
+        FROM dp JOIN bp USING (p, part)),
+few AS (SELECT item_id, w, len(w) AS n FROM b WHERE len(w) BETWEEN 1 AND 12),
+run AS (SELECT d.doc_id, s.item_id, s.n FROM d, range(1, len(d.w) + 1) t(i), (SELECT DISTINCT n FROM few) m
+        JOIN few s ON s.n = m.n WHERE s.w = d.w[i:i + m.n - 1])
+SELECT doc_id, min(item_id) AS item_id, CAST(max(n) AS INTEGER) AS n_equal
+FROM (SELECT doc_id, item_id, n FROM hit WHERE n >= 11 UNION ALL SELECT doc_id, item_id, n FROM run) f GROUP BY doc_id"""
 
 #: refers_to is cast because pandas turns Spark's nullable long into a double.
 _OP6 = """
