@@ -1,0 +1,82 @@
+"""File ledger, and one schema for files of several producers."""
+
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tickwork.sinks import scratch_path
+from tickwork.sinks.scratch import local_fs_path
+from tickwork.sources import load_activity, new_files, read_reconciled, scan_new
+from tickwork.sources.ledger import common_type, list_table_files
+
+
+def _file(spark, path, *values):
+    spark.createDataFrame([(v,) for v in values], "n long").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_second_scan_reads_new_files_only(spark):
+    root = scratch_path(spark, "test_ledger")
+    folder, ledger = f"{root}/in", f"{root}/ledger"
+    read = lambda paths: spark.read.parquet(*paths)
+    _file(spark, folder, 1, 2)
+    first, files = scan_new(spark, folder, ledger, read)
+    assert sorted(rows(first)) == [(1,), (2,)]
+    again, _ = scan_new(spark, folder, ledger, read)  # the run died before the commit
+    assert sorted(rows(again)) == [(1,), (2,)]
+    files.commit()
+    assert scan_new(spark, folder, ledger, read)[0] is None
+    _file(spark, f"{folder}/more", 3)
+    second, files = scan_new(spark, folder, ledger, read)
+    assert rows(second) == [(3,)] and len(files.paths) == len(second.inputFiles()) == 1
+    files.commit()
+    assert new_files(spark, folder, ledger).paths == []
+
+
+def test_changed_files_are_an_error_and_hidden_ones_are_no_files(spark):
+    root = scratch_path(spark, "test_ledger")
+    folder, ledger = f"{root}/in", f"{root}/ledger"
+    _file(spark, folder, 1)
+    files = new_files(spark, folder, ledger)
+    assert len(files.paths) == 1 and "_SUCCESS" in os.listdir(local_fs_path(folder))
+    files.commit()
+    place = local_fs_path(files.paths[0])
+    os.utime(place, (1, 1))
+    with pytest.raises(ValueError, match="changed after"):
+        new_files(spark, folder, ledger)
+    assert list_table_files(spark, folder, "*.csv").count() == 0
+
+
+def test_types_of_several_producers(spark):
+    path = scratch_path(spark, "test_mixed")
+    spark.createDataFrame([("2024-01-01 05:10:00", 7, 1)], "timestamp string, tx long, a int").write.parquet(f"{path}/1")
+    spark.createDataFrame([("2024-01-01 06:00:00", 2.5, 1 << 40, "x")], "timestamp string, tx double, a long, b string").write.parquet(f"{path}/2")
+    out = load_activity(spark, path, mixed=True)
+    assert dict(out.dtypes) == {"timestamp": "string", "tx": "double", "a": "bigint", "b": "string", "ts_hour": "timestamp"}
+    assert sorted(rows(out, "tx", "a", "b"), key=str) == sorted([(7.0, 1, None), (2.5, 1 << 40, "x")], key=str)
+    with pytest.raises(Exception):
+        load_activity(spark, path).collect()  # one file's schema doesn't hold for both
+
+
+def test_common_types():
+    assert common_type("c", [T.IntegerType(), T.LongType()]) == T.LongType()
+    assert common_type("c", [T.LongType(), T.FloatType()]) == T.DoubleType()
+    assert common_type("c", [T.StringType(), T.StringType(), T.NullType()]) == T.StringType()
+    with pytest.raises(ValueError, match="column c"):
+        common_type("c", [T.StringType(), T.LongType()])
+
+
+def test_times_keep_their_kind(spark):
+    path = scratch_path(spark, "test_times")
+    spark.range(1).select(F.expr("timestamp '2024-01-01 05:00:00'").alias("t"), F.expr("timestamp_ntz '2024-01-01 05:00:00'").alias("n")).write.parquet(path)
+    files = [r["path"] for r in list_table_files(spark, path, "*.parquet").collect()]
+    assert read_reconciled(spark, files).dtypes == spark.read.parquet(path).dtypes
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    try:
+        spark.range(1).select(F.expr("timestamp '2024-01-01 05:00:00'").alias("t")).write.parquet(path + "-old")
+    finally:
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    old = read_reconciled(spark, [r["path"] for r in list_table_files(spark, path + "-old", "*.parquet").collect()])
+    assert rows(old) == rows(spark.read.parquet(path + "-old")) and old.dtypes == [("t", "timestamp")]

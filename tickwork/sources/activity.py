@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from tickwork.functions.time import bucket_floor
+from tickwork.sources.ledger import list_table_files, read_reconciled
 
 log = logging.getLogger(__name__)
 
@@ -41,9 +42,15 @@ def align_activity(df: DataFrame, *, ts_col: str | None = None, size: str = "1 h
     return df.withColumn("ts_hour", bucket_floor(t, size, ntz=isinstance(kind, TimestampNTZType)))
 
 
-def load_activity(spark: SparkSession, path: str | None, *, ts_col: str | None = None, size: str = "1 hour") -> DataFrame | None:
-    """S3 + S4: the Parquet activity table aligned to ``ts_hour``, or ``None`` without a path (no join then)."""
+def load_activity(spark: SparkSession, path: str | None, *, ts_col: str | None = None, size: str = "1 hour", mixed: bool = False) -> DataFrame | None:
+    """S3 + S4: the Parquet activity table aligned to ``ts_hour``, or ``None`` without a path (no join then).
+
+    ``mixed`` reads a folder of files whose column types differ (:func:`tickwork.sources.ledger.read_reconciled`).
+    """
     if not path:
         log.warning("no activity path given; activity features skipped")
         return None
+    if mixed:
+        files = [r["path"] for r in list_table_files(spark, path, "*.parquet").select("path").collect()]
+        return align_activity(read_reconciled(spark, files), ts_col=ts_col, size=size)
     return align_activity(spark.read.parquet(path), ts_col=ts_col, size=size)
