@@ -1,0 +1,88 @@
+"""Published tables: complete or not there at all, repeatable, counted while written; bucketed joins."""
+
+import pytest
+from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from tickwork.plans.explain import plan_text
+from tickwork.sinks import PublishedTable, scratch_path
+from tickwork.sinks.buckets import join_buckets, write_buckets
+
+
+def _day():
+    return F.expr("date_add(DATE '2024-01-01', day)")
+
+
+def _days(spark, *days, add=0):
+    return spark.createDataFrame([(d, 10 * d + k + add) for d in days for k in range(3)], "day int, v int")
+
+
+def test_dates_are_replaced_and_others_stay(spark):
+    table = PublishedTable(spark, scratch_path(spark, "test_published"))
+    assert table.version() == 0 and table.read("day int, v int").count() == 0
+    with pytest.raises(ValueError):
+        table.read()
+    assert table.write(_days(spark, 1, 2, 3), _day(), counts={"total": F.sum("v")}) == {"rows": 9, "total": 189}
+    table.write(_days(spark, 3, 4, add=100), _day(), sort_by=("v",))
+    want = sorted(rows(_days(spark, 1, 2).unionByName(_days(spark, 3, 4, add=100))))
+    assert sorted(rows(table.read())) == want and table.read().columns == ["day", "v"]
+    assert sorted(rows(table.read(version=1))) == sorted(rows(_days(spark, 1, 2, 3)))
+    table.write(_days(spark, 3, 4, add=100), _day())  # repeated
+    assert sorted(rows(table.read())) == want
+
+
+def test_run_that_dies_before_its_commit(spark):
+    table = PublishedTable(spark, scratch_path(spark, "test_published"))
+    table.write(_days(spark, 1), _day())
+
+    def die():
+        assert sorted(rows(table.read())) == sorted(rows(_days(spark, 1)))  # a reader during the write
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        table.write(_days(spark, 1, 2, add=5), _day(), before_commit=die)
+    assert sorted(rows(table.read())) == sorted(rows(_days(spark, 1)))
+    table.write(_days(spark, 1, 2, add=5), _day())
+    assert sorted(rows(table.read())) == sorted(rows(_days(spark, 1, 2, add=5)))
+    assert table.sweep() == 1 and table.sweep() == 0
+    assert sorted(rows(table.read())) == sorted(rows(_days(spark, 1, 2, add=5)))
+
+
+def test_task_that_fails_half_way(spark):
+    table = PublishedTable(spark, scratch_path(spark, "test_published"))
+    table.write(_days(spark, 1), _day())
+    broken = _days(spark, 1, 2).select("day", F.when(F.col("v") == 22, F.raise_error(F.lit("lost"))).otherwise(F.col("v")).cast("int").alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        table.write(broken, _day())
+    assert sorted(rows(table.read())) == sorted(rows(_days(spark, 1))) and table.version() == 1
+
+
+def test_two_writers(spark):
+    """The second to commit a version fails and leaves the first one's rows."""
+    path = scratch_path(spark, "test_published")
+    table, other = PublishedTable(spark, path), PublishedTable(spark, path)
+    with pytest.raises(RuntimeError, match="write again"):
+        table.write(_days(spark, 1), _day(), before_commit=lambda: other.write(_days(spark, 2), _day()))
+    assert sorted(rows(table.read())) == sorted(rows(_days(spark, 2)))
+
+
+def test_rows_without_a_date_and_empty_writes(spark):
+    table = PublishedTable(spark, scratch_path(spark, "test_published"))
+    df = spark.createDataFrame([(1, 1), (None, 2)], "day int, v int")
+    table.write(df, _day())
+    table.write(df.where("false"), _day())
+    assert sorted(rows(table.read(), "v")) == [(1,), (2,)] and table.version() == 2
+
+
+def test_stored_tables_join_without_an_exchange(spark):
+    bars = spark.createDataFrame([(h, float(h)) for h in range(200)], "ts_hour int, close double")
+    act = spark.createDataFrame([(h % 150, h) for h in range(170)], "ts_hour int, n int")
+    stored = [write_buckets(df, scratch_path(spark, "test_buckets"), ["ts_hour"], 4) for df in (bars, act)]
+    joined = join_buckets(spark, *stored)
+    text = plan_text(joined, "simple")
+    assert "Exchange" not in text and "Broadcast" not in text and "SortMergeJoin" in text
+    assert sorted(rows(joined), key=str) == sorted(rows(bars.join(act, "ts_hour", "left")), key=str)  # doubled hours fan out
+    assert joined.count() == 200 + 20
+    text = plan_text(E.queries()["price_activity_buckets"](spark, SF_SMALL), "simple")
+    assert "Exchange" not in text and "Broadcast" not in text

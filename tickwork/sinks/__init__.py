@@ -1,5 +1,6 @@
 """Sinks: Parquet tables, metrics CSV, fitted models, raw block files."""
 
+from tickwork.sinks.publish import PublishedTable
 from tickwork.sinks.scratch import drop_scratch, scratch_mark, scratch_path, shared_dir
 from tickwork.sinks.writers import (
     load_model,
@@ -13,6 +14,7 @@ from tickwork.sinks.writers import (
 )
 
 __all__ = [
+    "PublishedTable",
     "drop_scratch",
     "load_model",
     "read_metrics_csv",
