@@ -22,6 +22,7 @@ bigint into float64 and DuckDB into Int64, which would hash differently.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,7 @@ from tickwork.plans import RunParams, build_features, class_share, features_step
 from tickwork.plans.evaluate import accuracy, auc_roc
 from tickwork.plans.model import classifier_pipeline
 from tickwork.sinks import (
+    PublishedTable,
     load_model,
     read_metrics_csv,
     save_model,
@@ -72,6 +74,7 @@ from tickwork.sinks import (
     write_proxy,
 )
 from tickwork.sinks.blockfiles import write_block_files
+from tickwork.sinks.buckets import join_buckets, write_buckets
 from tickwork.sources import (
     land_candles,
     load_activity,
@@ -79,6 +82,8 @@ from tickwork.sources import (
     load_candles_parquet,
     normalize_candles,
     read_block_files,
+    read_reconciled,
+    scan_new,
 )
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -297,6 +302,13 @@ def q_price_activity_left_join(spark, d):
     return _int_as_double(_round(join_activity(_bars(spark, d), act), NOISY_BAR))
 
 
+def q_price_activity_buckets(spark, d):
+    """J1 over tables that are stored by the hash of the join key: no side is shuffled or broadcast."""
+    act = _activity(spark, d).select("ts_hour", "block_count", "tx_count_hour")
+    stored = [write_buckets(df, scratch_path(spark, name), ["ts_hour"], 8) for name, df in (("bars", _bars(spark, d)), ("activity", act))]
+    return _int_as_double(_round(join_buckets(spark, *stored), NOISY_BAR))
+
+
 def q_price_without_activity(spark, d):
     return _round(join_activity(_bars(spark, d), None), NOISY_BAR)
 
@@ -351,6 +363,29 @@ def q_activity_detect_ts(spark, d):
     return loaded.select(F.col("ts_hour").cast("timestamp_ntz").alias("ts_hour"), "block_count", "tx_count_hour")
 
 
+def q_activity_mixed_files(spark, d):
+    """One folder with files of two producers, transactions as integers in one and doubles in the other; ``Timestamp`` in one more column order."""
+    act, path = tables.activity(spark, d).drop("ts_hour"), scratch_path(spark, "activity_mixed")
+    early = F.col("timestamp") < F.lit("2024-01-16")
+    act.where(early).withColumn("tx_count_hour", F.col("tx_count_hour").cast("bigint")).write.parquet(f"{path}/a")
+    act.where(~early).select("block_count", "tx_count_hour", "total_value_hour", "timestamp").write.parquet(f"{path}/b")
+    loaded = load_activity(spark, path, mixed=True)
+    return loaded.select("timestamp", "total_value_hour", "tx_count_hour", "block_count", F.col("ts_hour").cast("timestamp_ntz").alias("ts_hour"))
+
+
+def q_activity_new_files(spark, d):
+    """Two scans of a growing folder by its ledger: the second reads only the files that came since, all rows come once."""
+    act, path = tables.activity(spark, d), scratch_path(spark, "activity_growing")
+    folder, ledger, store = f"{path}/in", f"{path}/ledger", f"{path}/store"
+    early = F.col("timestamp") < F.lit("2024-01-16")
+    for part in (early, ~early):
+        act.where(part).drop("ts_hour").write.mode("append").parquet(folder)
+        rows, files = scan_new(spark, folder, ledger, lambda paths: read_reconciled(spark, paths))
+        rows.write.mode("append").parquet(store)
+        files.commit()
+    return load_activity(spark, store).select("timestamp", "total_value_hour", "tx_count_hour", "block_count", F.col("ts_hour").cast("timestamp_ntz").alias("ts_hour"))
+
+
 def q_date_range_filter(spark, d):
     ev = tables.table(spark, d, "events")
     v = F.col("value").cast("string")
@@ -547,6 +582,24 @@ def q_feature_parquet_roundtrip(spark, d):
     return _int_as_double(_round(spark.read.parquet(path), NOISY_BAR + NOISY_IND))
 
 
+def q_features_published(spark, d):
+    """The feature table published by date, and its second half again: dates are replaced, every row is there once."""
+    features, table = materialize(_features(spark, d), "features"), PublishedTable(spark, scratch_path(spark, "published"))
+    table.write(features, F.to_date("ts_hour"), sort_by=("ts_hour",))
+    table.write(features.where(F.col("ts_hour") >= F.lit("2024-01-16")), F.to_date("ts_hour"), sort_by=("ts_hour",))
+    return _int_as_double(_round(table.read(), NOISY_BAR + NOISY_IND))
+
+
+def q_counts_while_writing(spark, d):
+    """A3, A4: blocks, and sizes of the splits, observed in the jobs that write the tables."""
+    root = scratch_path(spark, "counted")
+    stats = PublishedTable(spark, f"{root}/stats").write(tables.activity(spark, d), F.to_date("ts_hour"), counts={"n_blocks": F.sum("block_count")})
+    at, early, late = F.col("ts_hour"), F.lit(TRAIN_END).cast("timestamp_ntz"), F.lit(TEST_START).cast("timestamp_ntz")
+    split = {"n_train": F.count_if(at <= early), "n_test": F.count_if(at >= late), "n_gap": F.count_if((at > early) & (at < late))}
+    sizes = PublishedTable(spark, f"{root}/features").write(_features(spark, d), F.to_date("ts_hour"), counts=split)
+    return spark.createDataFrame([(stats["n_blocks"], sizes["n_train"], sizes["n_test"], sizes["n_gap"])], "n_blocks long, n_train long, n_test long, n_gap long")
+
+
 def q_features_file_order(spark, d):
     """O1: the feature table is in order of time and series over all its files."""
     path = scratch_path(spark, "features")
@@ -647,6 +700,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "activity_hourly": q_activity_hourly,
     "activity_total_blocks": q_activity_total_blocks,
     "price_activity_left_join": q_price_activity_left_join,
+    "price_activity_buckets": q_price_activity_buckets,
     "price_without_activity": q_price_without_activity,
     "feature_dataset": q_feature_dataset,
     "feature_dataset_15min": q_feature_dataset_15min,
@@ -654,6 +708,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_incremental": q_features_incremental,
     "csv_candles": q_csv_candles,
     "activity_detect_ts": q_activity_detect_ts,
+    "activity_mixed_files": q_activity_mixed_files,
+    "activity_new_files": q_activity_new_files,
     "date_range_filter": q_date_range_filter,
     "candles_parquet_pruned": q_candles_parquet_pruned,
     "daily_to_hourly_ffill": q_daily_to_hourly_ffill,
@@ -678,6 +734,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_csv_roundtrip": q_metrics_csv_roundtrip,
     "feature_parquet_roundtrip": q_feature_parquet_roundtrip,
     "features_file_order": q_features_file_order,
+    "features_published": q_features_published,
+    "counts_while_writing": q_counts_while_writing,
     "stats_parquet_roundtrip": q_stats_parquet_roundtrip,
     "stats_file_order": q_stats_file_order,
     "proxy_parquet_roundtrip": q_proxy_parquet_roundtrip,
@@ -699,17 +757,16 @@ def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[st
     """Queries and oracles of the training-data subpackage and its pipeline; none where those aren't installed."""
     found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
     oracles: dict[str, str] = {}
-    try:
+    if find_spec("tickwork.llm") and find_spec("tickwork.llm.queries"):  # an error in what is there isn't an absence
         from tickwork.llm import queries as llm
 
         found, oracles = dict(llm.QUERIES), dict(llm.ORACLES)
-        import corpus_pipeline
+        if find_spec("corpus_pipeline"):
+            import corpus_pipeline
 
-        found["pipeline"] = corpus_pipeline.run
-        if corpus_pipeline.ORACLE_SQL:
-            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
-    except ImportError:
-        pass
+            found["pipeline"] = corpus_pipeline.run
+            if corpus_pipeline.ORACLE_SQL:
+                oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found, oracles
 
 
@@ -973,6 +1030,16 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "price_activity_left_join": f"""SELECT ts_hour, {_BAR_SEL}, CAST(a.block_count AS DOUBLE) AS block_count,
         a.tx_count_hour
         FROM ({_BARS_BODY}) b LEFT JOIN ({_ACT_BODY}) a USING (ts_hour)""",
+    "price_activity_buckets": f"""SELECT ts_hour, {_BAR_SEL}, CAST(a.block_count AS DOUBLE) AS block_count,
+        a.tx_count_hour
+        FROM ({_BARS_BODY}) b LEFT JOIN ({_ACT_BODY}) a USING (ts_hour)""",
+    "activity_mixed_files": _ACT_ALL,
+    "activity_new_files": _ACT_ALL,
+    "features_published": _features_sql(False),
+    "counts_while_writing": f"""SELECT (SELECT count(*) FROM events) AS n_blocks, CAST(count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS BIGINT) AS n_train,
+        CAST(count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS BIGINT) AS n_test,
+        CAST(count_if(ts_hour > TIMESTAMP '{TRAIN_END}' AND ts_hour < TIMESTAMP '{TEST_START}') AS BIGINT) AS n_gap
+        FROM ({_features_sql(False, rounded=False)}) f""",
     "price_without_activity": f"SELECT ts_hour, {_BAR_SEL} FROM ({_BARS_BODY}) b",
     "feature_dataset": _features_sql(False),
     "feature_dataset_keyed": _features_sql(True),
