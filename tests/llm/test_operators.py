@@ -335,6 +335,58 @@ def test_evolution_keeps_items_and_never_loses_to_its_start():
         assert max(people[0]) <= max(first[0])
 
 
+def _bins(solution):
+    return max(solution) + 1
+
+
+def _hard_lengths(kind, seed):
+    """Lengths that best fit packs badly: two or three to a bin, or triplets that fill bins exactly."""
+    rng = random.Random(seed)
+    if kind == "middle":
+        return [rng.randint(1100, 1800) for _ in range(600)]
+    triplets = []
+    for _ in range(200):
+        a = rng.randint(1030, 2000)
+        b = rng.randint(1030, min(2000, 4096 - a - 1030))
+        triplets += [a, b, 4096 - a - b]
+    return triplets
+
+
+def _islands(length, epochs, move):
+    people = [[] for _ in range(3)]
+    for epoch in range(epochs):
+        people = [packing.evolve(length, p, 4096, k, 4, 8) for k, p in enumerate(people)]
+        if move and epoch + 1 < epochs:
+            people = [p + [people[k - 1][0]] for k, p in enumerate(people)]
+    return min(_bins(p[0]) for p in people)
+
+
+def test_islands_beat_best_fit_and_migration_counts():
+    found = []
+    for kind, seed in itertools.product(("middle", "triplets"), range(4)):
+        length, plain = _hard_lengths(kind, seed), []
+        packing.best_fit(plain, [], list(range(len(length))), length, 4096)
+        found.append((len(plain), _islands(length, 1, False), _islands(length, 2, True), _islands(length, 4, False), _islands(length, 4, True)))
+    for plain, one, two, alone, moved in found:
+        assert one <= 0.985 * plain and two <= one
+        assert moved <= alone and moved < 0.97 * plain
+    assert sum(m < a for *_, a, m in found) >= 6  # islands that get others' elites end lower
+
+
+def test_packing_beats_best_fit(spark):
+    length, plain = _hard_lengths("middle", 1), []
+    packing.best_fit(plain, [], list(range(len(length))), length, 4096)
+    placed = packing.pack(spark.createDataFrame(list(enumerate(length)), "row long, length long"), 4096).toPandas()
+    assert sorted(placed["row"]) == list(range(600)) and placed.sequence_id.nunique() <= 0.98 * len(plain)
+
+
+def test_displaced_pieces_take_places():
+    length = [50, 30, 40, 45, 20]
+    bins, rooms = [[0, 1]], [20]
+    assert sorted(packing.take_places(bins, rooms, [2, 3, 4], length)) == [0, 1, 4] or sorted(i for b in bins for i in b) != [0, 1]
+    assert sum(length[i] for i in bins[0]) + rooms[0] == 100 and rooms[0] < 20
+
+
 def test_packing_over_levels_places_each_piece_once(spark):
     rng = random.Random(7)
     rows = [(k, rng.randint(1, 45)) for k in range(700)]

@@ -7,8 +7,9 @@ block is evolved by several islands: a row of the table is one island with its
 population, tasks evolve rows, and between epochs the best solution of each
 island moves to the next one (a join on block and island). A solution is a list
 of bins. A crossover injects well-filled bins of one parent into the other,
-removes the bins that hold the same documents, and best-fits what this
-displaces. An island stops when its best solution reaches the lower bound.
+removes the bins that hold the same documents, opens the emptiest ones, lets what
+this displaces take the places of shorter documents where it fits, and best-fits
+what is left then: bins fill up, and the rest gets shorter. An island stops when its best solution reaches the lower bound.
 
 Tiny pieces are first tied into bundles, which are packed like pieces, so every
 block has many bins, however short the texts.
@@ -27,7 +28,7 @@ from __future__ import annotations
 import random
 import string
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,9 @@ WORDS_KEPT = 150_000
 #: Pieces shorter than this part of the capacity are bundled.
 TINY = 128
 
+#: A crossover opens one in so many of the bins that it keeps.
+OPENED = 8
+
 #: ASCII marks other than the apostrophe, with which contractions begin.
 MARKS = string.punctuation.replace("'", "")
 
@@ -194,6 +198,22 @@ def best_fit(bins: list[list[int]], rooms: list[int], items: list[int], length:
             insort(free, (rooms[k], k))
 
 
+def take_places(bins: list[list[int]], rooms: list[int], displaced: list[int], length: list[int]) -> list[int]:
+    """Swap documents in bins for the longest displaced ones that fit in their place; returns what is displaced then."""
+    pool = sorted((length[i], i) for i in displaced)
+    for k, members in enumerate(bins):
+        for j, held in enumerate(members):
+            if not rooms[k]:
+                break
+            at = bisect_right(pool, (length[held] + rooms[k], len(length))) - 1
+            if at >= 0 and pool[at][0] > length[held]:
+                n, i = pool.pop(at)
+                insort(pool, (length[held], held))
+                members[j] = i
+                rooms[k] -= n - length[held]
+    return [i for _, i in pool]
+
+
 def crossover(into: list[list[int]], source: list[list[int]], length: list[int], capacity: int, rng: random.Random) -> list[list[int]]:
     """``into`` with well-filled bins of ``source``; bins that hold their documents go, displaced documents are best-fitted."""
     fill = [sum(length[i] for i in b) for b in source]
@@ -207,11 +227,13 @@ def crossover(into: list[list[int]], source: list[list[int]], length: list[int],
             bins.append(list(b))
         else:
             displaced += [i for i in b if i not in held]
-    for k in sorted(range(len(injected), len(bins)), key=lambda k: sum(length[i] for i in bins[k]))[:2][::-1]:  # mutation: the emptiest bins open too
+    kept = sorted(range(len(injected), len(bins)), key=lambda k: sum(length[i] for i in bins[k]))
+    for k in kept[: max(2, len(kept) // OPENED)]:  # mutation: the emptiest bins open too
         displaced += bins[k]
         bins[k] = []
     bins = [b for b in bins if b]
-    best_fit(bins, [capacity - sum(length[i] for i in b) for b in bins], displaced, length, capacity)
+    rooms = [capacity - sum(length[i] for i in b) for b in bins]
+    best_fit(bins, rooms, take_places(bins, rooms, displaced, length), length, capacity)
     return bins
 
 
