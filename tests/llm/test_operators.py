@@ -644,6 +644,38 @@ def test_shared_passages_are_found_and_others_left_alone(spark):
         assert len(set(words) & set(passage)) >= 50 and len(words) <= 54
 
 
+def test_hot_sources_and_shuffled_joins_change_nothing(spark, monkeypatch):
+    """Pairs dealt to copies of a source's words, and joins without a broadcast, give the same spans."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    spans = lambda: sorted(tuple(r) for r in substring_dedup.repeated_passages(docs).collect())
+    before = spans()
+    monkeypatch.setattr(substring_dedup, "PAIRS_A_COPY", 2)
+    monkeypatch.setattr(substring_dedup, "BROADCAST_BYTES", 0)
+    assert spans() == before and len(before) > 50
+
+
+def test_recall_of_changed_passages(spark):
+    """Pairs share 60 words of which one is changed, so some 50 of them are similar enough, without or with a third document that only has their common line."""
+    rng, docs, pairs = random.Random(21), [], []
+    for k in range(60):
+        passage, line = _words(rng, 60), _words(rng, 20)
+        for j in range(2):
+            body = list(passage)
+            if j:
+                body[rng.randrange(60)] = f"changed{k}"
+            if k >= 30:  # a group whose first document lacks the passage
+                body = body[:30] + line + body[30:]
+            docs.append(" ".join(_words(rng, 40) + body + _words(rng, 40)))
+        pairs.append((len(docs) - 2, len(docs) - 1))
+        docs += [" ".join(_words(rng, 50) + line + _words(rng, 50)) for _ in range(3)] if k >= 30 else [" ".join(_words(rng, 120))]
+    got = substring_dedup.repeated_passages(documents(spark, docs)).toPandas()
+    spans = {i: [(r.start, r.end) for r in g.itertuples()] for i, g in got.groupby("doc_id")}
+    near = lambda i: any(min(b, 100) - max(a, 40) >= 45 for a, b in spans.get(i, []))
+    for part in (pairs[:30], pairs[30:]):
+        assert sum(near(i) and near(j) for i, j in part) >= 0.9 * len(part)
+    assert set(spans) <= {i for p in pairs for i in p}  # a line of 20 words is no passage
+
+
 def test_given_exact_passages_are_found(spark, texts):
     got = substring_dedup.repeated_passages(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).toPandas()
     words = {i: (t or "").encode().lower().split() for i, t in texts.items()}
