@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -44,14 +45,24 @@ def worker_state(key: str, make: Callable[[], T]) -> T:
     kept = state.get("kept")
     if kept is None or kept[0] != key:
         state["kept"] = kept = None
+        give_back()
         state["kept"] = kept = (key, make())
     return kept[1]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: what one stage has used would stay with the worker through the next ones."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
 def forget_state() -> None:
     """Free what an earlier stage has kept in this worker process."""
     worker_state("", lambda: None)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def text_chunks(texts: list, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:

@@ -165,9 +165,9 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary, words_kept), np.array([end_id], dtype="<u4").tobytes()
-        for part in small_batches(batches, 1024):
+        for part in small_batches(batches, 512):
             ids, texts = part.column(0).to_pylist(), [t or "" for t in part.column(1).to_pylist()]
-            for a, b in text_chunks(texts, 1 << 21):
+            for a, b in text_chunks(texts, 1 << 20):
                 rows: list[tuple] = []
                 for doc, raw in zip(ids[a:b], enc.ids(texts[a:b]), strict=True):
                     raw += end
