@@ -1,5 +1,7 @@
 """Every operator on nulls, empty and long texts, repeated rows, empty tables and clashing columns."""
 
+import collections
+
 import public_tokenizers
 import pytest
 from llm_tables import documents
@@ -38,6 +40,19 @@ def test_edge_rows(spark, name):
     twins = [tuple(r)[1:] for r in got if r.doc_id == 4]
     if name in PER_ROW:
         assert len(twins) == 2 and twins[0] == twins[1]
+    if name == "packing":
+        by = collections.Counter(r.doc_id for r in got)
+        assert [by[k] for k in (0, 1, 2, 3, 4, None, 7)] == [1, 1, 1, 1, 2, 1, 1] and by[5] == by[6] > 1
+        assert all(r.length == 1 for r in got if r.doc_id in (0, 1, 2))  # the end token
+        assert sorted((r.piece, r.ids_crc32) for r in got if r.doc_id == 5) == sorted((r.piece, r.ids_crc32) for r in got if r.doc_id == 6)
+        filled = collections.Counter()
+        for r in got:
+            filled[r.sequence_id] += r.length
+        assert max(filled.values()) <= 4096
+    if name == "substring":
+        assert sorted(map(tuple, got)) == [(k, 0, len(LONG.split()), got[0].source_id) for k in (5, 6)] and got[0].source_id in (5, 6)
+    if name == "decontaminate":
+        assert {(r.doc_id, r.item_id) for r in got} == {(4, 4), (5, 5), (6, 5)}
 
 
 @pytest.mark.parametrize("name", OPERATORS)
