@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import random
 import re
 import string
@@ -546,6 +547,18 @@ def test_work_follows_matches_in_hot_seeds(spark):
     assert time.monotonic() - start < 120
 
 
+# ------------------------------------------------------------------ 7 vocabularies of other kinds
+def test_counter_refuses_options_that_it_lacks(tmp_path):
+    with open(BPE, encoding="utf-8") as f:
+        plain = json.load(f)
+    token_counts.refuse_other_options(plain, BPE)
+    with pytest.raises(ValueError, match="normalizer, model.end_of_word_suffix, pre_tokenizer"):
+        token_counts.PrefixCounter(WORD)
+    for change in ({"model": plain["model"] | {"ignore_merges": True}}, {"normalizer": {"type": "NFC"}}, {"pre_tokenizer": plain["pre_tokenizer"] | {"add_prefix_space": True}}, {"added_tokens": [{"content": "x", "lstrip": True}]}):
+        with pytest.raises(ValueError, match="plain byte-level"):
+            token_counts.refuse_other_options(plain | change, "other.json")
+
+
 # ------------------------------------------------------------------ 9 SimHash
 def _fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))

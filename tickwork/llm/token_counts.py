@@ -48,12 +48,25 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+def refuse_other_options(spec: dict, path: str) -> None:
+    """``ValueError`` for a vocabulary whose options the counter doesn't implement: its counts would be wrong without a word."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    wrong = [name for name in ("normalizer", "post_processor", "truncation", "padding") if spec.get(name)]
+    wrong += [f"model.{name}" for name in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(name)]
+    wrong += ["model.type"] * (model.get("type", "BPE") != "BPE")
+    wrong += ["pre_tokenizer"] * (split.get("type") != "ByteLevel" or split.get("add_prefix_space", True) or not split.get("use_regex", True))
+    wrong += [f"added token {t['content']!r}" for t in spec["added_tokens"] if any(t.get(o) for o in ("single_word", "lstrip", "rstrip", "normalized"))]
+    if wrong:
+        raise ValueError(f"{path} isn't plain byte-level BPE: {', '.join(wrong)}")
+
+
 class PrefixCounter:
     """Deltas of the token count, one for each code point of a text."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        refuse_other_options(spec, path)
         letters = byte_letters()
         raw = lambda token: bytes(letters[c] for c in token)
         self.special = [t["content"] for t in spec["added_tokens"]]
