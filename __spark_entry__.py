@@ -115,13 +115,14 @@ def _large_bars(spark, d):
 
 
 def _activity(spark, d):
-    """One event type: the join then meets hours without activity."""
+    """One event type, where the query is about hours without activity."""
     return tables.activity(spark, d, "view")
 
 
-def _features(spark, d, keyed=False, size="1 hour"):
+def _features(spark, d, keyed=False, size="1 hour", event_type=None):
+    """The feature table with the activity of all events, or of one type: the join then meets hours without activity."""
     keys = ["event_type"] if keyed else []
-    return build_features(tables.ticks(spark, d, keyed), _activity(spark, d), keys=keys, size=size, **ZERO)
+    return build_features(tables.ticks(spark, d, keyed), tables.activity(spark, d, event_type), keys=keys, size=size, **ZERO)
 
 
 # ---------------------------------------------------------------- bars (A1)
@@ -315,17 +316,17 @@ def q_price_without_activity(spark, d):
 
 # ---------------------------------------------------------------- feature table
 def q_feature_dataset(spark, d):
-    return _int_as_double(_round(_features(spark, d), NOISY_BAR + NOISY_IND))
+    return _int_as_double(_round(_features(spark, d, event_type="view"), NOISY_BAR + NOISY_IND))
 
 
 def q_feature_dataset_15min(spark, d):
     noisy = ["vol_15m", "volatility_15m", "ret_15m", "ret_15m_lag1", "ret_15m_lag2", "ma_close_3x15m", "ma_close_12x15m",
              "vol_24x15m"]
-    return _int_as_double(_round(_features(spark, d, size="15 minutes"), noisy))
+    return _int_as_double(_round(_features(spark, d, size="15 minutes", event_type="view"), noisy))
 
 
 def q_feature_dataset_keyed(spark, d):
-    return _int_as_double(_round(_features(spark, d, keyed=True), NOISY_BAR + NOISY_IND))
+    return _int_as_double(_round(_features(spark, d, keyed=True, event_type="view"), NOISY_BAR + NOISY_IND))
 
 
 def q_features_incremental(spark, d):
@@ -419,14 +420,14 @@ def q_daily_proxy(spark, d):
 
 
 # ---------------------------------------------------------------- preparation
-def _prepared(spark, d):
-    feats = _features(spark, d)
+def _prepared(spark, d, event_type=None):
+    feats = _features(spark, d, event_type=event_type)
     cols = select_features(feats.columns)
     return apply_null_policy(feats, cols), cols
 
 
 def q_null_policy(spark, d):
-    prep, cols = _prepared(spark, d)
+    prep, cols = _prepared(spark, d, "view")
     return _round(prep.select("ts_hour", *cols, "label_up"), [c for c in cols if c in NOISY_BAR + NOISY_IND])
 
 
@@ -534,7 +535,7 @@ def q_run_config(spark, d):
     path, v = scratch_path(spark, "configured"), F.col("value").cast("string")
     tables.table(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Open time"), v.alias("Open"), v.alias("High"),
                                             v.alias("Low"), v.alias("Close"), v.alias("Volume")).write.option("header", True).csv(f"{path}/candles")
-    _activity(spark, d).drop("ts_hour").write.parquet(f"{path}/activity")
+    tables.activity(spark, d).drop("ts_hour").write.parquet(f"{path}/activity")
     cfg = {"data": {"price_path": f"{path}/candles", "blockchain_path": f"{path}/activity"}, "features": {"use_blockchain": True},
            "model": {"type": "logistic_regression"}, "train": {"train_end_date": TRAIN_END, "test_start_date": TEST_START},
            "output": {"metrics_csv": f"{path}/metrics", "models_dir": f"{path}/models"}}
@@ -578,20 +579,20 @@ def q_metrics_csv_roundtrip(spark, d):
 
 def q_feature_parquet_roundtrip(spark, d):
     path = scratch_path(spark, "features")
-    write_features(_features(spark, d), path)
+    write_features(_features(spark, d, event_type="view"), path)
     return _int_as_double(_round(spark.read.parquet(path), NOISY_BAR + NOISY_IND))
 
 
 def q_features_published(spark, d):
     """The feature table published by date, and its second half again: dates are replaced, every row is there once."""
-    features, table = materialize(_features(spark, d), "features"), PublishedTable(spark, scratch_path(spark, "published"))
+    features, table = materialize(_features(spark, d, event_type="view"), "features"), PublishedTable(spark, scratch_path(spark, "published"))
     table.write(features, F.to_date("ts_hour"), sort_by=("ts_hour",))
     table.write(features.where(F.col("ts_hour") >= F.lit("2024-01-16")), F.to_date("ts_hour"), sort_by=("ts_hour",))
     return _int_as_double(_round(table.read(), NOISY_BAR + NOISY_IND))
 
 
-def q_counts_while_writing(spark, d):
-    """A3, A4: blocks, and sizes of the splits, observed in the jobs that write the tables."""
+def q_published_counts(spark, d):
+    """A3, A4: blocks, and sizes of the splits, from the files that a publication has written: tables aren't computed again."""
     root = scratch_path(spark, "counted")
     stats = PublishedTable(spark, f"{root}/stats").write(tables.activity(spark, d), F.to_date("ts_hour"), counts={"n_blocks": F.sum("block_count")})
     at, early, late = F.col("ts_hour"), F.lit(TRAIN_END).cast("timestamp_ntz"), F.lit(TEST_START).cast("timestamp_ntz")
@@ -735,7 +736,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_parquet_roundtrip": q_feature_parquet_roundtrip,
     "features_file_order": q_features_file_order,
     "features_published": q_features_published,
-    "counts_while_writing": q_counts_while_writing,
+    "published_counts": q_published_counts,
     "stats_parquet_roundtrip": q_stats_parquet_roundtrip,
     "stats_file_order": q_stats_file_order,
     "proxy_parquet_roundtrip": q_proxy_parquet_roundtrip,
@@ -840,7 +841,7 @@ def _ind_select(prefix: str = "") -> str:
             f"{_r('ret_1h_lag2')}, {_r('ma_close_3h')}, {_r('ma_close_12h')}, {_r('vol_24h')}")
 
 
-def _features_sql(keyed: bool, rounded: bool = True) -> str:
+def _features_sql(keyed: bool, rounded: bool = True, activity: str = _ACT_BODY) -> str:
     part = "PARTITION BY event_type" if keyed else ""
     bars = f"({_BARS_KEYED_BODY if keyed else _BARS_BODY}) b"
     prefix = "event_type, " if keyed else ""
@@ -849,7 +850,7 @@ def _features_sql(keyed: bool, rounded: bool = True) -> str:
     return f"""
 WITH f AS ({_ind_body(bars, part)}),
      l AS (SELECT *, lead(close_1h, 1) OVER ({part} ORDER BY ts_hour) AS close_future FROM f),
-     a AS ({_ACT_BODY}),
+     a AS ({activity}),
      j AS (SELECT l.*, a.timestamp, a.total_value_hour, a.tx_count_hour,
                   CAST(a.block_count AS DOUBLE) AS block_count
            FROM l LEFT JOIN a USING (ts_hour)),
@@ -860,12 +861,12 @@ FROM y WHERE close_future IS NOT NULL AND NOT isnan(close_future)
          AND return_future IS NOT NULL AND NOT isnan(return_future)"""
 
 
-def _prepared_sql(keyed: bool = False) -> str:
+def _prepared_sql(keyed: bool = False, activity: str = _ACT_ALL) -> str:
     feats = ["ret_1h", "vol_1h", "volatility_1h", "high_low_ratio", "ma_close_3h", "ma_close_12h"]
     cond = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in feats)
     return f"""
 SELECT ts_hour, {', '.join(feats)}, COALESCE(tx_count_hour, 0.0) AS tx_count_hour, label_up
-FROM ({_features_sql(keyed, rounded=False)}) x
+FROM ({_features_sql(keyed, rounded=False, activity=activity)}) x
 WHERE {cond} AND label_up IS NOT NULL"""
 
 
@@ -1036,7 +1037,7 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
     "activity_mixed_files": _ACT_ALL,
     "activity_new_files": _ACT_ALL,
     "features_published": _features_sql(False),
-    "counts_while_writing": f"""SELECT (SELECT count(*) FROM events) AS n_blocks, CAST(count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS BIGINT) AS n_train,
+    "published_counts": f"""SELECT (SELECT count(*) FROM events) AS n_blocks, CAST(count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS BIGINT) AS n_train,
         CAST(count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS BIGINT) AS n_test,
         CAST(count_if(ts_hour > TIMESTAMP '{TRAIN_END}' AND ts_hour < TIMESTAMP '{TEST_START}') AS BIGINT) AS n_gap
         FROM ({_features_sql(False, rounded=False)}) f""",
@@ -1057,7 +1058,7 @@ WHERE close_future IS NOT NULL AND return_future IS NOT NULL""",
         Volume / 24.0 AS total_value_hour, Volume / 24.0 / 10000.0 AS tx_count_hour,
         CAST(6 AS BIGINT) AS block_count FROM ({_FFILL_BODY}) f""",
     "null_policy": f"""SELECT ts_hour, {_r('ret_1h')}, {_r('vol_1h')}, {_r('volatility_1h')}, high_low_ratio,
-        {_r('ma_close_3h')}, {_r('ma_close_12h')}, tx_count_hour, label_up FROM ({_prepared_sql()}) p""",
+        {_r('ma_close_3h')}, {_r('ma_close_12h')}, tx_count_hour, label_up FROM ({_prepared_sql(activity=_ACT_BODY)}) p""",
     "time_split_counts": f"""SELECT CAST(count_if(ts_hour <= TIMESTAMP '{TRAIN_END}') AS BIGINT) AS n_train,
         CAST(count_if(ts_hour >= TIMESTAMP '{TEST_START}') AS BIGINT) AS n_test,
         CAST(count_if(ts_hour > TIMESTAMP '{TRAIN_END}' AND ts_hour < TIMESTAMP '{TEST_START}') AS BIGINT) AS n_gap

@@ -1,4 +1,4 @@
-"""Published tables: complete or not there at all, repeatable, counted while written; bucketed joins."""
+"""Published tables: complete or not there at all, repeatable, counted; bucketed joins."""
 
 import pytest
 from conftest import SF_SMALL, rows
@@ -32,6 +32,12 @@ def test_dates_are_replaced_and_others_stay(spark):
     assert sorted(rows(table.read())) == want
 
 
+def test_models_can_be_shipped_after_a_publication(spark):
+    """A session that has observed a write couldn't score with a logistic model any more."""
+    PublishedTable(spark, scratch_path(spark, "test_published")).write(_days(spark, 1), _day(), counts={"total": F.sum("v")})
+    assert E.queries()["model_roundtrip"](spark, SF_SMALL).count() == 1
+
+
 def test_run_that_dies_before_its_commit(spark):
     table = PublishedTable(spark, scratch_path(spark, "test_published"))
     table.write(_days(spark, 1), _day())

@@ -12,8 +12,11 @@ also while it runs, after it was killed, and when it is repeated: what a dead ru
 has left is listed nowhere (``sweep`` deletes it). A manifest has one entry a
 date.
 
-The counts of a commit are observed in the write job itself and checked against
-the footers of the files that it has written.
+The counts of a commit are taken from the files that were written, from their
+footers or the columns that an aggregate needs; the rows aren't computed again.
+(``DataFrame.observe`` would count in the write job, but a Spark 4.1 session that
+has used an ``Observation`` can't ship models with a training summary to tasks
+any more, so the library doesn't use it.)
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ import json
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwork.fsutil import qualified
@@ -70,22 +73,19 @@ class PublishedTable:
             raise RuntimeError(f"another writer has committed version {version} of {self.path}; write again")
 
     def write(self, df: DataFrame, date: Column, *, sort_by: tuple[str, ...] = (), counts: Mapping[str, Column] | None = None, before_commit=None) -> dict:
-        """Replace the dates that ``df`` has by its rows; returns the observed counts, ``rows`` and those of ``counts``.
+        """Replace the dates that ``df`` has by its rows; returns what was written: ``rows`` and the aggregates of ``counts``.
 
         ``date`` gives a row's date (rows without one form a date of their own), ``counts`` are aggregates.
         ``before_commit`` is called between write and commit, e.g. to store what belongs to the write elsewhere.
         """
         version, folder = self.version(), f"data-{uuid.uuid4().hex}"
-        seen = Observation()
         dated = df.withColumn(DATE, F.coalesce(date.cast("date").cast("string"), F.lit("none")))
         dated = dated.repartitionByRange(DATE, *sort_by).sortWithinPartitions(DATE, *sort_by)
-        dated = dated.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in (counts or {}).items()))
         dated.write.partitionBy(DATE).parquet(f"{self.path}/{folder}")
-        found = {n: (v if isinstance(v, (int, float, str, type(None))) else str(v)) for n, v in seen.get.items()}
         dates = [n.split("=", 1)[1] for n in self._names(folder) if n.startswith(f"{DATE}=")]
-        stored = self.spark.read.parquet(f"{self.path}/{folder}").count() if dates else 0  # footers only
-        if stored != found["rows"]:
-            raise RuntimeError(f"{found['rows']} rows were written, but the files of {folder} hold {stored}")
+        files = self.spark.read.schema(df.schema).parquet(*(f"{self.path}/{folder}/{DATE}={d}" for d in dates)) if dates else self.spark.createDataFrame([], df.schema)
+        counted = files.agg(F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in (counts or {}).items())).first().asDict()
+        found = {n: (v if isinstance(v, (int, float, str, type(None))) else str(v)) for n, v in counted.items()}
         if before_commit:
             before_commit()
         old = self.manifest(version)["dates"]
