@@ -737,6 +737,103 @@ def test_common_lines_under_the_least_length_are_no_passage(spark):
     assert all(docs[r.doc_id].split()[r.start : r.end] == passage[:20] + line + passage[20:] for r in got.itertuples())
 
 
+def _linked(a, b, n=50, enough=41):
+    """Whether some n words of each have so many five-word shingles in common."""
+    x, y = ([hash(tuple(w[k : k + 5])) for k in range(len(w) - 4)] for w in (a, b))
+    common = set(x) & set(y)
+    marks = [k for k, h in enumerate(x) if h in common]
+    there = {h: k for k, h in enumerate(y)}
+    for i in range(len(x) - n + 5):
+        inside = sorted(there[x[k]] for k in marks if i <= k < i + n - 4)
+        if any(inside[k + enough - 1] - inside[k] < n - 4 for k in range(len(inside) - enough + 1)):
+            return True
+    return False
+
+
+def _chained(got, docs):
+    """Components of documents by the rows (doc_id, source_id)."""
+    root = list(range(docs))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in got.itertuples():
+        root[top(r.doc_id)] = top(r.source_id)
+    return [top(k) for k in range(docs)]
+
+
+def test_members_that_only_resemble_each_other(spark):
+    """Two members of a large group share 50 words with one word changed, added or left out; the other members only have a line of theirs."""
+    rng, docs, pairs = random.Random(31), [], []
+    for k in range(24):
+        line = _words(rng, 20)
+        passage = _words(rng, k % 4) + line + _words(rng, 30 - k % 4)
+        passage = passage[::-1] if k % 2 else passage
+        line = line[::-1] if k % 2 else line
+        at = 24 - k % 3 if k % 2 else 25 + k % 3
+        edited = passage[:at] + ([], ["new"], ["new", passage[at]])[k % 3] + passage[at + 1 :]
+        pairs.append((len(docs), len(docs) + 1))
+        docs += [" ".join(_words(rng, 40) + x + _words(rng, 40)) for x in (passage, edited)]
+        docs += [" ".join(_words(rng, 50) + line + _words(rng, 50)) for _ in range(12)]
+    got = substring_dedup.repeated_passages(documents(spark, docs)).toPandas()
+    assert all(_linked(docs[i].split(), docs[j].split()) for i, j in pairs)
+    assert set(got.doc_id) == {i for p in pairs for i in p}
+    tops = _chained(got, len(docs))
+    for i in (i for p in pairs for i in p):
+        assert any(a <= 42 and b >= 88 and a >= 39 and b <= 92 for a, b in zip(got.start[got.doc_id == i], got.end[got.doc_id == i], strict=True))
+    assert all(tops[i] == tops[j] for i, j in pairs)
+
+
+def test_links_of_many_variants_by_brute_force(spark):
+    """Variants of passages, each with words changed, added and left out of its own: whichever two are similar enough are linked, and have a span there."""
+    rng, docs = random.Random(32), []
+    for _ in range(12):
+        base = _words(rng, 90)
+        for _ in range(12):
+            new = lambda w: rng.choice([[], _words(rng, 1), [w, *_words(rng, 1)]])
+            body = [x for w in base for x in (new(w) if rng.random() < 0.03 else [w])]
+            docs.append(" ".join(_words(rng, 10) + body + _words(rng, 10)))
+    got = substring_dedup.repeated_passages(documents(spark, docs)).toPandas()
+    tops, held = _chained(got, len(docs)), set(got.doc_id)
+    links = [(i, j) for g in range(0, len(docs), 12) for i in range(g, g + 12) for j in range(i + 1, g + 12) if _linked(docs[i].split(), docs[j].split())]
+    assert len(links) > 100
+    assert [p for p in links if p[0] not in held or p[1] not in held or tops[p[0]] != tops[p[1]]] == []
+
+
+def test_each_source_has_its_row(spark):
+    """Passages of two documents that touch in a third one are two rows: neither link is lost."""
+    rng = random.Random(33)
+    a, b = _words(rng, 60), _words(rng, 60)
+    docs = [" ".join(x) for x in (_words(rng, 30) + a + _words(rng, 30), _words(rng, 30) + b + _words(rng, 30), _words(rng, 9) + a + b + _words(rng, 9))]
+    got = substring_dedup.repeated_passages(documents(spark, docs)).toPandas()
+    assert len(set(_chained(got, 3))) == 1
+
+
+def test_displaced_shingles_that_come_twice():
+    """A shingle that the other text also has far before counts by its nearest place."""
+    words = lambda x: np.array(x, dtype=np.int32)
+    rng = np.random.default_rng(5)
+    own = rng.integers(1, 1 << 30, 60)
+    other = np.concatenate([own[30:42], rng.integers(1, 1 << 30, 40), own[:28], own[29:]])
+    pair, start, end, *_ = substring_dedup.repeated_stretches((words(own), np.array([0, 60])), (words(other), np.array([0, len(other)])), np.array([-52]), 46, 41)
+    assert (list(pair), list(start), list(end)) == ([0], [0], [60])
+
+
+def test_anchor_in_every_run_of_shingles():
+    """Each 25 words of a text, in whatever text they stand, offer the same snippet."""
+    rng = np.random.default_rng(8)
+    for spread in (1, 3, 1 << 30):
+        part = rng.integers(0, spread, 25)
+        texts = [np.concatenate([rng.integers(0, 1 << 30, k), part, rng.integers(0, 1 << 30, 60 - k)]).astype(np.int32) for k in (7, 31)]
+        found = []
+        for k, t in zip((7, 31), texts, strict=True):
+            _, at, key = substring_dedup.snippets(t, np.array([0, len(t)]), 46, 21)
+            found.append({(int(a) - k, int(h)) for a, h in zip(at, key, strict=True) if k <= a and a + 15 <= k + 25})
+        assert found[0] & found[1]
+
+
 # ------------------------------------------------------------------ helpers
 def test_worker_keeps_one_state():
     from tickwork.llm.common import forget_state, worker_state

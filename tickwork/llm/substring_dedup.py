@@ -41,10 +41,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickwork.llm.common import batch_of, renamed, small_batches, written
+from tickwork.sinks.scratch import drop_scratch, scratch_mark
 
-WORDS, SNIPPET, HASHES = 5, 12, 2
+WORDS = 5
 #: Places from one stretch to the next around a hit that is grouped again.
-STEP = 9
+STEP = 6
 #: By how many words a shingle may be displaced in a near-duplicate.
 DRIFT = 8
 #: Tables that decide what is looked at are broadcast up to this size in memory, else joined by shuffling.
@@ -63,19 +64,43 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """A signed 32-bit hash of each word."""
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+def _words_of(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A signed 32-bit hash of each word of the texts that lie between ``bounds``, and how many words lie before each bound."""
     inside = ~_SPACE[raw]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    begin, size = edges[::2], edges[1::2] - edges[::2]
+    fresh = np.ones(len(raw) + 1, dtype=bool)  # where the text before has ended
+    fresh[1:-1] = ~inside[:-1]
+    fresh[bounds] = True
+    begin = np.flatnonzero(inside & fresh[:-1])
     if not len(begin):
-        return np.empty(0, dtype=np.int32)
+        return np.empty(0, dtype=np.int32), np.zeros(len(bounds), dtype=np.int64)
+    last = np.ones(len(raw), dtype=bool)
+    last[:-1] = ~inside[1:]
+    cut = bounds[(bounds > 0) & (bounds < len(raw))]
+    last[cut - 1] = True
+    size = np.flatnonzero(inside & last) + 1 - begin
     first = np.cumsum(size) - size
     letters = _LOWER[raw[inside]] + np.uint64(1)
     place = np.arange(len(letters)) - np.repeat(first, size)
     sums = np.add.reduceat(letters * _POWERS[place & 1023], first)
-    return (_mix(sums) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (_mix(sums) >> np.uint64(32)).astype(np.uint32).view(np.int32), np.searchsorted(begin, bounds)
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A signed 32-bit hash of each word."""
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+    return _words_of(raw, np.array([0, len(raw)]))[0]
+
+
+def _hashed_texts(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, words and their bounds of as many rows in a row as have about ``limit`` bytes (one at least)."""
+    column = column.cast(pa.large_string()).fill_null("")
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
+    k = 0
+    while k < len(column):
+        to = max(k + 1, int(np.searchsorted(ends, ends[k] + limit, side="right")) - 1)
+        yield k, *_words_of(raw[ends[k] : ends[to]], ends[k : to + 1] - ends[k])
+        k = to
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
@@ -87,64 +112,86 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return _mix(sum((w[k + 1 : k + 1 + n] * _POWERS[k + 1] for k in range(WORDS - 1)), w[:n] * _POWERS[0]))
 
 
+def _reach(hashed: np.ndarray, first: np.ndarray, last: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far to the left and right each place is the minimum, up to ``most`` places and within [first, last]; of equal minima the left one is."""
+    left, right = np.zeros(len(hashed), dtype=np.int64), np.zeros(len(hashed), dtype=np.int64)
+    for reach, sign, bound in ((left, -1, first), (right, 1, last)):
+        at = np.arange(len(hashed))
+        for d in range(1, most + 1):
+            at = at[(at - d >= bound[at]) if sign < 0 else (at + d <= bound[at])]
+            at = at[(hashed[at - d] > hashed[at]) if sign < 0 else (hashed[at + d] >= hashed[at])]
+            if not len(at):
+                break
+            reach[at] = d
+    return left, right
+
+
 def compact_windows(hashed: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(l, c, r) of the Cartesian tree's nodes that span ``least`` places or more; of equal minima the left one is above.
+    """(l, c, r) of the Cartesian tree's nodes that span ``least`` places or more; of equal minima the left one is above."""
+    n = len(hashed)
+    left, right = _reach(hashed, np.zeros(n, dtype=np.int64), np.full(n, n - 1), n)
+    return [(int(c - left[c]), int(c), int(c + right[c])) for c in np.flatnonzero(left + right + 1 >= least)]
+
+
+def snippets(words: np.ndarray, bounds: np.ndarray, least: int, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, place and hash of the text offered by all windows of ``run`` shingles of texts with ``least`` or more.
+
+    Of any ``run`` shingles in a row, the least hash has (run + 1) // 2 beside it: those that begin or those that end there.
+    """
+    n = (run + 1) // 2
+    size = np.diff(bounds) - WORDS + 1
+    which = np.flatnonzero(size >= least)
+    if not len(which):
+        return (np.empty(0, dtype=np.int64),) * 3
+    size, s = size[which], shingles(words)
+    first = np.cumsum(size) - size
+    text = np.repeat(np.arange(len(which)), size)
+    own = np.arange(len(text)) - first[text]
+    s = s[bounds[which][text] + own]
+    left, right = _reach(_mix(s ^ _SEEDS[0]), first[text], (first + size - 1)[text], run - 1)
+    node = np.flatnonzero(left + right + 1 >= run)
+    at = np.unique(np.concatenate([node[right[node] >= n - 1], node[left[node] >= n - 1] - n + 1]))
+    parts = sorted({*range(0, n, WORDS), n - 1})
+    key = _mix(sum(s[at + k] * _POWERS[k + 1] for k in parts[1:]) + s[at] * _SEEDS[1])
+    return which[text[at]], own[at], key.view(np.int64)
+
 
-    In long stretches full of one minimum (repeated text) the middle one is, or the tree would be a list.
+def repeated_stretches(own: tuple, other: tuple, shift: np.ndarray, least: int, enough: int) -> tuple[np.ndarray, ...]:
+    """Pair, start, end, start and end in ``other``, in words, of stretches of ``own`` that ``other`` has at ``shift`` places less.
+
+    ``own`` and ``other``: the words of all pairs one after the other, and their bounds.
     """
-    out, todo = [], [(0, len(hashed) - 1)]
-    while todo:
-        a, b = todo.pop()
-        if b - a + 1 < least:
-            continue
-        c = a + int(hashed[a : b + 1].argmin())
-        if b - a > 512:
-            equal = np.flatnonzero(hashed[a : b + 1] == hashed[c])
-            if len(equal) > 16:
-                c = a + int(equal[len(equal) // 2])
-        out.append((a, c, b))
-        todo += [(a, c - 1), (c + 1, b)]
-    return out
-
-
-def snippets(words: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the text offered by all windows."""
-    s = shingles(words)
-    if len(s) < least:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    n = len(s) - SNIPPET + 1
-    text = _mix(s[:n] * _SEEDS[0] + s[5 : 5 + n] * _SEEDS[1] + s[10 : 10 + n] * _SEEDS[2] + s[11 : 11 + n] * _SEEDS[3])
-    at = set()
-    for seed in _SEEDS[:HASHES]:
-        for a, c, b in compact_windows(_mix(s ^ seed), least):
-            if b - c >= SNIPPET - 1:
-                at.add(c)
-            if c - a >= SNIPPET - 1:
-                at.add(c - SNIPPET + 1)
-    place = np.array(sorted(at), dtype=np.int64)
-    return place, text[place].view(np.int64)
-
-
-def repeated_stretches(own: np.ndarray, other: np.ndarray, shift: int, least: int, enough: int) -> list[tuple[int, int, int, int]]:
-    """(start, end, start and end in ``other``), in words, of stretches of ``own`` that ``other`` has at ``shift`` places less."""
-    a, b = shingles(own), shingles(other)
-    if len(a) < least or len(b) < least:
-        return []
-    there = np.arange(len(a)) - shift
-    inside = (there >= 0) & (there < len(b))
-    equal = np.zeros(len(a), dtype=bool)
-    equal[inside] = a[inside] == b[there[inside]]
-    order = np.argsort(b, kind="stable")
-    at = np.minimum(np.searchsorted(b[order], a), len(b) - 1)
-    equal |= (b[order[at]] == a) & (np.abs(order[at] - there) <= DRIFT)
+    (words, bounds), (there_words, there_bounds) = own, other
+    size, there_size = (np.maximum(np.diff(x) - WORDS + 1, 0) for x in (bounds, there_bounds))
+    size[there_size < least] = 0
+    size[size < least] = 0
+    pair = np.repeat(np.arange(len(size)), size)
+    if not len(pair):
+        return (np.empty(0, dtype=np.int64),) * 5
+    begin = np.cumsum(size) - size
+    place = np.arange(len(pair)) - begin[pair]
+    a, b = shingles(words)[bounds[:-1][pair] + place], shingles(there_words)
+    equal, todo = np.zeros(len(pair), dtype=bool), np.arange(len(pair))
+    there, base, most = (place - shift[pair]), there_bounds[:-1][pair], there_size[pair]
+    for d in sorted(range(-DRIFT, DRIFT + 1), key=abs):
+        to = there[todo] + d
+        inside = (to >= 0) & (to < most[todo])
+        same = np.zeros(len(todo), dtype=bool)
+        same[inside] = b[(base[todo] + to)[inside]] == a[todo[inside]]
+        equal[todo[same]] = True
+        todo = todo[~same]
     total = np.concatenate([[0], np.cumsum(equal)])
     good = np.flatnonzero(total[least:] - total[:-least] >= enough)
-    out = []
-    for run in np.split(good, np.flatnonzero(np.diff(good) > least) + 1) if len(good) else ():
-        hit = np.flatnonzero(equal[run[0] : run[-1] + least]) + run[0]
-        start, end = int(hit[0]), int(hit[-1]) + WORDS
-        out.append((start, end, max(0, start - shift), min(len(other), max(0, end - shift))))
-    return out
+    good = good[place[good] + least <= size[pair[good]]]
+    if not len(good):
+        return (np.empty(0, dtype=np.int64),) * 5
+    new = np.flatnonzero((np.diff(good) > least) | (np.diff(pair[good]) > 0)) + 1
+    first, last = good[np.concatenate([[0], new])], good[np.concatenate([new - 1, [len(good) - 1]])]
+    hit, which = np.flatnonzero(equal), pair[first]
+    start = hit[np.searchsorted(hit, first)] - begin[which]
+    end = hit[np.searchsorted(hit, last + least) - 1] - begin[which] + WORDS
+    there_length = np.diff(there_bounds)[which]
+    return which, start, end, np.maximum(0, start - shift[which]), np.minimum(there_length, np.maximum(0, end - shift[which]))
 
 
 def _within(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -157,26 +204,19 @@ def _key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
-def offer(texts: DataFrame, least: int) -> DataFrame:
+def offer(texts: DataFrame, least: int, run: int) -> DataFrame:
     """snippet, doc, at: what all windows of all texts offer."""
     schema = pa.schema([("snippet", pa.int64()), ("doc", pa.int64()), ("at", pa.int32())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def offered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, at, text, waiting = [], [], [], 0
-            for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                place, key = snippets(word_hashes(t), least)
-                docs.append(np.full(len(place), doc, dtype=np.int64))
-                at.append(place.astype(np.int32))
-                text.append(key)
-                waiting += len(place)
-                if waiting > 200_000:
-                    yield batch_of(schema, np.concatenate(text), np.concatenate(docs), np.concatenate(at))
-                    docs, at, text, waiting = [], [], [], 0
-            if docs:
-                yield batch_of(schema, np.concatenate(text), np.concatenate(docs), np.concatenate(at))
-
-    return texts.select("doc", "text").mapInArrow(run, "snippet long, doc long, at int")
+            docs = batch.column(0).to_numpy(zero_copy_only=False)
+            for k, words, bounds in _hashed_texts(batch.column(1)):
+                text, at, key = snippets(words, bounds, least, run)
+                if len(at):
+                    yield batch_of(schema, key, docs[k + text], at.astype(np.int32))
+
+    return texts.select("doc", "text").mapInArrow(offered, "snippet long, doc long, at int")
 
 
 def hashed_words(texts: DataFrame) -> DataFrame:
@@ -185,12 +225,19 @@ def hashed_words(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                yield batch_of(schema, batch.column(0)[k : k + 512], [word_hashes(t) for t in batch.column(1)[k : k + 512].to_pylist()])
+            for k, words, bounds in _hashed_texts(batch.column(1)):
+                lists = pa.ListArray.from_arrays(pa.array(bounds, type=pa.int32()), pa.array(words, type=pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[k : k + len(lists)], lists], schema=schema)
 
     return texts.select("doc", "text").mapInArrow(run, "doc long, words array<int>")
 
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists one after the other, and their bounds."""
+    values, bounds = column.flatten(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+    return values.to_numpy(zero_copy_only=False).astype(np.int32, copy=False), bounds.astype(np.int64)
+
+
 def verify(pairs: DataFrame, least: int, enough: int) -> DataFrame:
     """doc, start, end, source of the verified stretches of pairs, in both documents.
 
@@ -199,15 +246,16 @@ def verify(pairs: DataFrame, least: int, enough: int) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("source", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            numbers = [c.to_pylist() for c in batch.columns[:5]]
-            for k, (doc, source, begin, source_begin, shift) in enumerate(zip(*numbers, strict=True)):
-                own, other = (batch.column(c)[k].values.to_numpy(zero_copy_only=False).astype(np.int32, copy=False) for c in (5, 6))
-                for a, b, x, y in repeated_stretches(own, other, shift - begin + source_begin, least, enough):
-                    rows += [(doc, begin + a, begin + b, source), (source, source_begin + x, source_begin + y, source)]
-            if rows:
-                yield batch_of(schema, *zip(*rows, strict=True))
+        for whole in batches:
+            size = np.cumsum(whole.column(5).value_lengths().to_numpy(zero_copy_only=False))
+            cuts = np.flatnonzero(np.diff(size // 200_000)) + 1
+            for k, to in zip([0, *cuts], [*cuts, whole.num_rows], strict=True):
+                batch = whole.slice(k, to - k)
+                doc, source, begin, source_begin, shift = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:5])
+                pair, a, b, x, y = repeated_stretches(_lists(batch.column(5)), _lists(batch.column(6)), shift - begin + source_begin, least, enough)
+                if len(pair):
+                    both = [np.concatenate(c) for c in ((doc[pair], source[pair]), (begin[pair] + a, source_begin[pair] + x), (begin[pair] + b, source_begin[pair] + y), (source[pair], source[pair]))]
+                    yield batch_of(schema, *both)
 
     return pairs.mapInArrow(run, "doc long, start long, end long, source long")
 
@@ -222,81 +270,209 @@ def _joined(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return rows.join(large, key).unionByName(rows.join(groups.where(F.col("n") <= many), key))
 
 
-def _with_words(pairs: DataFrame, words: DataFrame, margin: int) -> DataFrame:
+def _with_words(pairs: DataFrame, words: DataFrame, margin: int, snippet: int) -> DataFrame:
     """What verify() takes, from doc, source, at, shift: hits with the same shift make one interval of a pair."""
-    pairs = pairs.groupBy("doc", "source", "shift").agg(F.greatest(F.min("at") - margin, F.lit(0)).alias("from"), (F.max("at") + margin + SNIPPET + WORDS).alias("to"))
+    pairs = pairs.groupBy("doc", "source", "shift").agg(F.greatest(F.min("at") - margin, F.lit(0)).alias("from"), (F.max("at") + margin + snippet).alias("to"))
     pairs = pairs.join(words, "doc").select("doc", "source", "shift", "from", "to", F.slice("words", F.col("from") + 1, F.col("to") - F.col("from")).alias("words"))
     pairs = pairs.withColumn("source_from", F.greatest(F.col("from") - F.col("shift"), F.lit(0))).join(words.select(F.col("doc").alias("source"), F.col("words").alias("all")), "source")
     return pairs.select("doc", "source", "from", "source_from", "shift", "words", F.slice("all", F.col("source_from") + 1, F.greatest(F.col("to") - F.col("shift") - F.col("source_from"), F.lit(0))).alias("source_words"))
 
 
 def _hash_at(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """A signed 64-bit hash of the ``length`` words that begin at each start."""
+    """A 64-bit hash of the ``length`` words that begin at each start."""
     sums = np.zeros(len(starts), dtype=np.uint64)
     own = words.view(np.uint32).astype(np.uint64)
     for k in range(length):
         sums += own[starts + k] * _POWERS[k & 1023]
-    return _mix(sums).view(np.int64)
+    return _mix(sums)
 
 
 def _numbers(column: pa.Array, k: int) -> np.ndarray:
     return column[k].values.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
 
 
-def stretches(rows: DataFrame, min_words: int) -> DataFrame:
-    """stretch, doc, start, covered, known and known_shift: text around the hits of each document, at every ``STEP``-th place from them.
+def _concatenated(schema: pa.Schema, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    if rows:
+        yield batch_of(schema, *map(np.concatenate, zip(*rows, strict=True)))
+
 
-    Any ``min_words`` words around a snippet hold one of its stretches, with fewer than ``STEP`` words before it. One
-    is covered where all such words lie in a verified span; ``known`` is the document that this place has been compared
-    with. ``rows``: doc, hits (at, start and end of the span, source, shift), words.
+def stretches(rows: DataFrame, half: int, snippet: int, around: int) -> DataFrame:
+    """stretch, doc, start, covered, own: text around the hits of each document, at every ``STEP``-th place from them.
+
+    Any ``half`` words around a snippet of ``snippet`` words hold one of its stretches, with fewer than ``STEP`` words
+    before it. A stretch counts for the source that its hit was found with. One is covered where such words, with
+    ``around`` more before and after them, lie in a span that was verified with this source; the source's own is.
+    ``rows``: doc, hits (at, start and end of the span, source, shift), words.
     """
-    schema = pa.schema([("stretch", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("covered", pa.bool_()), ("known", pa.int64()), ("known_shift", pa.int32())])
-    length = min_words - STEP + 1
-    before = np.arange(0, min_words - WORDS - SNIPPET + 2, STEP, dtype=np.int32)
+    schema = pa.schema([("stretch", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("covered", pa.bool_()), ("own", pa.bool_())])
+    length = half - STEP + 1
+    before = np.arange(0, half - snippet + 1, STEP, dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 512):
             rows = []
             for k, doc in enumerate(batch.column(0).to_pylist()):
-                at, begin, end, source, shift = (f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten())
+                hits = [f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten()]
                 words = _numbers(batch.column(2), k)
-                start = (at[:, None] - before).ravel()
-                inside = (np.repeat(begin, len(before)) <= np.maximum(start - STEP + 1, 0)) & (np.repeat(end, len(before)) >= np.minimum(start + min_words, len(words)))
+                start = (hits[0][:, None] - before).ravel()
+                _, begin, end, source, shift = (np.repeat(f, len(before)) for f in hits)
+                own = (source == doc) & (shift == 0)
+                covered = own | ((begin <= np.maximum(start - STEP + 1 - around, 0)) & (end >= np.minimum(start + half + around, len(words))))
                 fits = (start >= 0) & (start + length <= len(words))
-                start, first = np.unique(start[fits], return_index=True)
-                hit = np.flatnonzero(fits)[first] // len(before)
-                rows.append((_hash_at(words, start, length), np.full(len(start), doc, dtype=np.int64), start, inside[fits][first], source[hit], shift[hit]))
-            if rows:
-                yield batch_of(schema, *map(np.concatenate, zip(*rows, strict=True)))
+                key = _mix(_hash_at(words, start[fits], length) + source[fits].view(np.uint64) * _SEEDS[2]).view(np.int64)
+                _, first = np.unique(np.stack([key, start[fits]]), axis=1, return_index=True)
+                rows.append((key[first], np.full(len(first), doc, dtype=np.int64), *(f[fits][first] for f in (start, covered, own))))
+            yield from _concatenated(schema, rows)
+
+    return rows.mapInArrow(run, "stretch long, doc long, start int, covered boolean, own boolean")
 
-    return rows.mapInArrow(run, "stretch long, doc long, start int, covered boolean, known long, known_shift int")
 
+def _sided(words: np.ndarray, side: int, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words in the order of the side, and where what lies between start and end begins there."""
+    return (words[::-1], len(words) - end) if side else (words, start)
 
-def windows(rows: DataFrame, min_words: int) -> DataFrame:
-    """window, doc, start: all ``min_words`` words that hold one of a document's stretches. ``rows``: doc, starts, words."""
-    schema = pa.schema([("window", pa.int64()), ("doc", pa.int64()), ("start", pa.int32())])
+
+def halves(rows: DataFrame, half: int, whole: int, rest: int) -> DataFrame:
+    """window, doc, start, end, side, again: all ``half`` words that hold one of a document's stretches, with up to
+    ``rest + 1`` words that follow them (side 0) or go before them (side 1, in reverse order); ``again`` if the document
+    has the same ones before. ``rows``: doc, starts, words.
+    """
+    schema = pa.schema([("window", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("side", pa.int8()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 512):
             rows = []
             for k, doc in enumerate(batch.column(0).to_pylist()):
                 words = _numbers(batch.column(2), k)
+                n = len(words)
                 start = np.unique(_numbers(batch.column(1), k)[:, None] - np.arange(STEP, dtype=np.int32))
-                start = start[(start >= 0) & (start + min_words <= len(words))]
-                rows.append((_hash_at(words, start, min_words), np.full(len(start), doc, dtype=np.int64), start))
-            if rows:
-                yield batch_of(schema, *map(np.concatenate, zip(*rows, strict=True)))
+                start = start[(start >= 0) & (start + half <= n)]
+                for side in (0, 1):
+                    text, place = _sided(words, side, start, start + half)
+                    more = np.minimum(n - half - place, rest + 1)
+                    fits = more >= (rest if side else min(rest, whole - half))
+                    place, more = place[fits], more[fits]
+                    key, window = _hash_at(text, place, half) ^ _SEEDS[side], np.zeros(len(place), dtype=np.uint64)
+                    for m in np.unique(more):
+                        window[more == m] = _mix(key[more == m] * _SEEDS[3] + _hash_at(text, place[more == m] + half, int(m)) + np.uint64(m))
+                    begin, end = (n - place - half - more, n - place) if side else (place, place + half + more)
+                    again = np.ones(len(place), dtype=bool)
+                    again[np.unique(window, return_index=True)[1]] = False
+                    rows.append((window.view(np.int64), np.full(len(place), doc, dtype=np.int64), begin, end, np.full(len(place), side, dtype=np.int8), again))
+            yield from _concatenated(schema, rows)
+
+    return rows.mapInArrow(run, "window long, doc long, start int, end int, side tinyint, again boolean")
+
+
+def tails(rows: DataFrame, half: int, whole: int, rest: int) -> DataFrame:
+    """key, kind, doc, start, end, side: what documents with nearly equal windows have in common.
+
+    Of kind 0 the first ``whole`` words (side 0 only); of kind 1 the half and the last ``WORDS`` of all ``rest + 1`` words
+    after it, of kind 2 the half and those of ``rest`` words, if there are as many. ``rows``: doc, at (start, end, side),
+    words.
+    """
+    schema = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("side", pa.int8())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 512):
+            rows = []
+            for k, doc in enumerate(batch.column(0).to_pylist()):
+                starts, ends, sides = (f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten())
+                for side in (0, 1):
+                    start, end = starts[sides == side], ends[sides == side]
+                    text, place = _sided(_numbers(batch.column(2), k), side, start, end)
+                    key = _hash_at(text, place, half) ^ _SEEDS[side]
+
+                    def add(kind, which, found):
+                        rows.append((found.view(np.int64), np.full(len(found), kind, dtype=np.int8), np.full(len(found), doc, dtype=np.int64), start[which], end[which], np.full(len(found), side, dtype=np.int8)))
+
+                    if side == 0:
+                        add(0, slice(None), _mix(key * _SEEDS[2] + _hash_at(text, place + half, whole - half)))
+                    for kind, m in ((1, rest + 1), (2, rest)) if rest >= WORDS else ():
+                        which = end - start - half >= m
+                        add(kind, which, _mix(key[which] + _hash_at(text, place[which] + half + m - WORDS, WORDS)))
+            yield from _concatenated(schema, rows)
+
+    return rows.mapInArrow(run, "key long, kind tinyint, doc long, start int, end int, side tinyint")
+
+
+def edits(rows: DataFrame, half: int, rest: int) -> DataFrame:
+    """key, doc, start, end: ``half`` words and ``rest`` more, and with one more less one word at each place in turn.
+
+    Documents with a key in common have equal words but for one that one of them has more, or that is another one.
+    ``rows``: doc, at (start, end, side, whether less one word, whether as they are), words.
+    """
+    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 512):
+            rows = []
+            for k, doc in enumerate(batch.column(0).to_pylist()):
+                starts, ends, sides, less, plain = (f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten())
+                words = _numbers(batch.column(2), k)
+                n = len(words)
+
+                def add(side, place, length, key):
+                    begin = n - place - length if side else place
+                    rows.append((key.view(np.int64), np.full(len(place), doc, dtype=np.int64), begin.astype(np.int32), (begin + length).astype(np.int32)))
+
+                for side in (0, 1):
+                    text, places = _sided(words, side, starts[sides == side], ends[sides == side])
+                    place = places[plain[sides == side]]
+                    add(side, place, half + rest, _mix((_hash_at(text, place, half) ^ _SEEDS[side]) + _hash_at(text, place + half, rest)))
+                    place = places[less[sides == side]]
+                    key = _hash_at(text, place, half) ^ _SEEDS[side]
+                    own = text.view(np.uint32).astype(np.uint64)[place[:, None] + half + np.arange(rest + 1)]
+                    head = np.cumsum(own * _POWERS[: rest + 1], axis=1)
+                    tail = np.cumsum((own[:, 1:] * _POWERS[:rest])[:, ::-1], axis=1)[:, ::-1]
+                    for j in range(rest - WORDS + 1):
+                        add(side, place, half + rest + 1, _mix(key + _mix(tail[:, j] + (head[:, j - 1] if j else np.uint64(0)))))
+            yield from _concatenated(schema, rows)
+
+    return rows.mapInArrow(run, "key long, doc long, start int, end int")
+
+
+def everywhere(rows: DataFrame) -> DataFrame:
+    """doc, source, start, end: all places of a document where the words of one of its spans are. ``rows``: doc, spans (start, end, source), words."""
+    schema = pa.schema([("doc", pa.int64()), ("source", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 512):
+            rows = []
+            for k, doc in enumerate(batch.column(0).to_pylist()):
+                start, end, source = (f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten())
+                words = _numbers(batch.column(2), k)
+                for length in np.unique(end - start):
+                    own = end - start == length
+                    text = _hash_at(words, np.arange(len(words) - length + 1), int(length))
+                    order = np.argsort(text, kind="stable")
+                    first, after = (np.searchsorted(text[order], text[start[own]], side=side) for side in ("left", "right"))
+                    n = after - first
+                    places = order[np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                    rows.append((np.full(len(places), doc, dtype=np.int64), np.repeat(source[own], n), places, places + int(length)))
+            yield from _concatenated(schema, rows)
 
-    return rows.mapInArrow(run, "window long, doc long, start int")
+    return rows.mapInArrow(run, "doc long, source long, start long, end long")
 
 
 def merged(spans: DataFrame) -> DataFrame:
-    """doc, start, end, source: overlapping and touching spans of a document as one."""
-    by = Window.partitionBy("doc").orderBy("start", "end")
+    """doc, source, start, end: overlapping and touching spans of a document and source as one."""
+    by = Window.partitionBy("doc", "source").orderBy("start", "end")
     open_until = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum("fresh").over(by.rowsBetween(Window.unboundedPreceding, 0))
     islands = spans.withColumn("fresh", F.coalesce((F.col("start") > open_until).cast("int"), F.lit(1))).withColumn("island", island)
-    return islands.groupBy("doc", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("source", F.struct("start", "end", "source")).alias("source")).drop("island")
+    return islands.groupBy("doc", "source", "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+
+
+def _spans(rows: DataFrame, length: int) -> DataFrame:
+    """doc, source, start, end: spans of ``length`` words or more, those that overlap by their start as one."""
+    return rows.groupBy("doc", "source", F.expr(f"start div {length}")).agg(F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end")).select("doc", "source", "start", "end")
+
+
+def _groups(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """key, source, n: the keys that two documents or more have, written."""
+    groups = rows.groupBy(key).agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
+    return written(groups.where("last > source").select(key, "source", "n"), name)
 
 
 def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,34 +482,55 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
     """
     least = min_words - WORDS + 1
     enough = math.ceil(least * 2 * similarity / (1 + similarity) - 1e-9)
+    run = -(-enough // ((least - enough) // (WORDS - 1) + 1))  # an edit inside costs as many shingles at least
+    snippet = (run + 1) // 2 + WORDS - 1
     texts = renamed(docs, doc_id=id_col, text=text_col).select(_key(F.col("doc_id"), F.col("text")).alias("doc"), "doc_id", "text")
-    offered = written(offer(texts, least), "offered")
+    begun = scratch_mark()
+    offered = written(offer(texts, least, run), "offered")
     met = offered.groupBy("snippet").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).where("last > first.doc").select("snippet", F.col("first.doc").alias("source"), F.col("first.at").alias("source_at"), "n")
     met = _within(written(met, "met"), 112)
+    unused = scratch_mark()
     hits = written(offered.join(met, "snippet").select("doc", "at", "source", "source_at", "n"), "hits")
+    drop_scratch(docs.sparkSession, begun, unused)
     involved = _within(written(hits.select("doc").distinct(), "involved"), 48)
     words = written(hashed_words(texts.join(involved, "doc", "left_semi")).dropDuplicates(["doc"]), "words")
 
     margin = min_words + DRIFT
     pairs = hits.where("doc <> source").select("doc", "source", "at", (F.col("at") - F.col("source_at")).alias("shift"))
-    found = written(verify(_with_words(pairs, words, margin), least, enough).groupBy("doc", "start", "end").agg(F.min("source").alias("source")), "found")
+    found = written(merged(verify(_with_words(pairs, words, margin, snippet), least, enough)), "found")
 
     # a group of two has been compared in full; the members of others may share more with each other than with the first
-    covered = merged(found).select("doc", "start", "end")
-    many = hits.where("n > 2").join(covered, (hits["doc"] == covered["doc"]) & (F.col("at") >= F.col("start")) & (F.col("at") < F.col("end")), "left")
-    near = F.struct("at", F.coalesce("start", F.lit(0)).cast("int").alias("start"), F.coalesce("end", F.lit(0)).cast("int").alias("end"), "source", (F.col("at") - F.col("source_at")).alias("shift"))
-    many = many.groupBy(hits["doc"]).agg(F.collect_set(near).alias("hits"))
-    laid = written(stretches(many.join(words, "doc").select("doc", "hits", "words"), min_words), "stretches")
-    shared = laid.groupBy("stretch").agg(F.min(F.struct("doc", "start", "covered")).alias("first"), F.max("doc").alias("last"), F.bool_and("covered").alias("covered"), F.count(F.lit(1)).alias("n"))
-    shared = shared.where("last > first.doc AND NOT covered").select("stretch", F.col("first.doc").alias("source"), F.col("first.start").alias("source_start"), F.col("first.covered").alias("source_covered"), "n")
-    again = written(_joined(laid, written(shared, "shared"), "stretch").select("doc", "start", "covered", "known", "known_shift", "source", "source_covered", (F.col("start") - F.col("source_start")).alias("shift")), "again")
-    new = again.where("doc <> source AND NOT (covered AND source_covered) AND NOT (source = known AND shift = known_shift)")
-    pairs = new.select("doc", "source", F.col("start").alias("at"), "shift")
-    more = verify(_with_words(pairs, words, margin), least, enough)
-    held = written(windows(again.groupBy("doc").agg(F.collect_set("start").alias("starts")).join(words, "doc").select("doc", "starts", "words"), min_words), "windows")
-    equal = held.groupBy("window").agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).where("last > source").select("window", "source", "n")
-    exact = _joined(held, written(equal, "equal"), "window").select("doc", "start", (F.col("start") + min_words).alias("end"), "source")
-
-    spans = merged(found.unionByName(more).unionByName(exact))
+    half, whole = run + WORDS - 1, enough + WORDS - 1
+    rest = enough + 2 * (WORDS - 1) - half if least - enough >= WORDS else whole - half
+    at, shift = F.col("at"), (F.col("at") - F.col("source_at")).alias("shift")
+    missed = hits.where("n > 2")
+    many = missed.join(found, (missed["doc"] == found["doc"]) & (missed["source"] == found["source"]) & (at >= F.col("start")) & (at < F.col("end")), "left")
+    near = F.struct("at", F.coalesce("start", F.lit(0)).cast("int").alias("start"), F.coalesce("end", F.lit(0)).cast("int").alias("end"), missed["source"].alias("source"), shift)
+    many = many.groupBy(missed["doc"]).agg(F.collect_set(near).alias("hits"))
+    begun = scratch_mark()
+    laid = written(stretches(many.join(words, "doc").select("doc", "hits", "words"), half, snippet, rest + 1), "stretches")
+    shared = laid.groupBy("stretch").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.bool_and("covered").alias("covered"), F.bool_or("own").alias("own"), F.count(F.lit(1)).alias("n"))
+    shared = shared.where("last > first AND NOT covered AND NOT (n = 2 AND own)").select("stretch", "n")
+    again = _joined(laid.select("stretch", "doc", "start"), written(shared, "shared"), "stretch").groupBy("doc").agg(F.collect_set("start").alias("starts"))
+    held = written(halves(again.join(words, "doc").select("doc", "starts", "words"), half, whole, rest), "halves")
+    first = lambda c: F.min_by(c, F.when(~F.col("again"), F.col("doc"))).alias(c)
+    classes = held.groupBy("window").agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"), first("start"), first("end"), F.min("side").alias("side"))
+    classes = written(classes, "classes")
+    same = _joined(held.select("window", "doc", "start", "end"), classes.where("last > source").select("window", "source", "n"), "window")
+    same = written(_spans(same, whole), "same")
+    # of equal windows the first document's is compared further: the others are linked to it
+    firsts = classes.groupBy(F.col("source").alias("doc")).agg(F.collect_list(F.struct("start", "end", "side")).alias("at"))
+    ends = written(tails(firsts.join(words, "doc").select("doc", "at", "words"), half, whole, rest), "tails")
+    runs, edges = ends.where("kind = 0").withColumn("end", F.col("start") + whole), ends.where("kind > 0")
+    runs = _joined(runs, _groups(runs, "key", "alike"), "key").select("doc", "start", "end", "source")
+    places = _joined(edges, _groups(edges, "key", "alike"), "key").groupBy("doc", "start", "end", "side").agg(F.bool_or(F.col("kind") == 1).alias("less"), F.bool_or(F.col("kind") == 2).alias("plain"))
+    places = places.groupBy("doc").agg(F.collect_list(F.struct("start", "end", "side", "less", "plain")).alias("at"))
+    edited = written(edits(places.join(words, "doc").select("doc", "at", "words"), half, rest), "edits")
+    edited = _joined(edited, _groups(edited, "key", "edited"), "key").select("doc", "start", "end", "source")
+    near = runs.unionByName(edited).groupBy("doc").agg(F.collect_set(F.struct("start", "end", "source")).alias("spans"))
+    near = written(_spans(everywhere(near.join(words, "doc").select("doc", "spans", "words")), whole), "near")
+
+    spans = written(merged(found.unionByName(same).unionByName(near)), "spans")
+    drop_scratch(docs.sparkSession, begun, scratch_mark() - 1)
     ids = written(texts.select("doc", "doc_id").join(involved, "doc", "left_semi").distinct(), "ids")
     return spans.join(ids, "doc").join(ids.select(F.col("doc").alias("source"), F.col("doc_id").alias("source_id")), "source").select("doc_id", "start", "end", "source_id")
