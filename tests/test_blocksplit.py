@@ -14,7 +14,7 @@ from tickwork.sinks.blockfiles import encode_block, write_block_files
 from tickwork.sinks.scratch import local_fs_path
 from tickwork.sources import read_block_files
 from tickwork.sources.blockfiles import MAGICS, frame_heads
-from tickwork.sources.blocksplit import guessed_entry, magics
+from tickwork.sources.blocksplit import _tasks, guessed_entry, magics
 
 
 def _walk(body: bytes):
@@ -101,3 +101,13 @@ def test_ranges_of_written_files(spark):
         read_block_files(spark, path, split_bytes=0).count()
     one = read_block_files(spark, path, split_bytes=5000)
     assert sorted(rows(one, "block_time", "tx_count")) == sorted(rows(read_block_files(spark, path), "block_time", "tx_count"))
+
+
+def test_small_ranges_share_tasks(spark):
+    """The number of tasks follows from the bytes, not from the number of ranges; large ranges still have one each."""
+    path = scratch_path(spark, "test_tasks")
+    write_block_files(spark.range(4000).selectExpr("1600000000 + id * 60 AS block_time", "id AS tx_count"), path, rows_per_file=500)
+    found = read_block_files(spark, path, split_bytes=512)
+    assert len([f for f in found.inputFiles() if "frames" in f]) <= 8 < 4000 * 89 // 512
+    assert sorted(rows(found, "block_time", "tx_count")) == sorted(rows(read_block_files(spark, path), "block_time", "tx_count"))
+    assert [_tasks(16, 128 << 20, 8), _tasks(5, 1, 8), _tasks(216_000, 16 << 10, 200), _tasks(10**6, 16 << 10, 200), _tasks(0, 1, 8)] == [16, 5, 200, 489, 1]

@@ -36,6 +36,7 @@ from tickwork.fsutil import pyarrow_filesystem
 from tickwork.sources.blockfiles import BLOCK_SCHEMA, COUNT_WIDTHS, FRAME_HEAD, FRAME_PREFIX, HEAD_LEN, HEADER_LEN, MAGICS
 
 SPLIT_BYTES = 128 << 20
+TASK_BYTES = 32 << 20  # small ranges are dealt to tasks of about so many bytes
 _SEARCH = 1 << 20  # bytes read at a time in search of a magic
 _BATCH = 8192  # frames in an Arrow batch
 _HEADS = "path string, part int, at bigint, until bigint, block_time bigint, tx_count decimal(20,0)"
@@ -99,14 +100,13 @@ def guessed_entry(file, first: int, last: int, length: int) -> int | None:
     return best
 
 
-def _batches(path: str, part: int, found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+def _batches(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple] = []
     schema = pa.schema([("path", pa.string()), ("part", pa.int32()), ("at", pa.int64()), ("until", pa.int64()), ("block_time", pa.int64()), ("tx_count", pa.decimal128(20, 0))])
 
     def batch():
-        at, end, seconds, count = zip(*rows)
-        columns = [[path] * len(rows), [part] * len(rows), at, end, seconds, [None if c is None else Decimal(c) for c in count]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        *columns, count = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*columns, [None if c is None else Decimal(c) for c in count]], schema)], schema=schema)
 
     for row in found:
         rows.append(row)
@@ -120,14 +120,19 @@ def _batches(path: str, part: int, found: Iterator[tuple]) -> Iterator[pa.Record
 def _read(batches, base: str, guess: bool):
     """Frames of ranges (path, length, entry, last, part), from a guessed place or from the entry given."""
     filesystem, _ = pyarrow_filesystem(base)
-    for batch in batches:
-        for r in batch.to_pylist():
-            with filesystem.open_input_file(r["path"]) as file:
-                entry = r["entry"]
-                if guess and entry:
-                    entry = guessed_entry(file, entry, r["last"], r["length"])
-                if entry is not None:
-                    yield from _batches(r["path"], r["part"], frames(file, entry, r["last"], r["length"]))
+
+    def found():
+        for batch in batches:
+            for r in batch.to_pylist():
+                with filesystem.open_input_file(r["path"]) as file:
+                    entry = r["entry"]
+                    if guess and entry:
+                        entry = guessed_entry(file, entry, r["last"], r["length"])
+                    if entry is not None:
+                        for frame in frames(file, entry, r["last"], r["length"]):
+                            yield r["path"], r["part"], *frame
+
+    return _batches(found())
 
 
 def _stitch(batches, base: str):
@@ -158,6 +163,11 @@ def _stitch(batches, base: str):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()))], names=["path", "length", "part", "entry", "last", "walk"])
 
 
+def _tasks(ranges: int, split_bytes: int, least: int) -> int:
+    """Tasks for so many ranges: one each, but where ranges are small one for ``TASK_BYTES``, or ``least`` if that is more."""
+    return max(1, min(ranges, max(least, -(-ranges * split_bytes // max(split_bytes, TASK_BYTES)))))
+
+
 def read_split_files(spark: SparkSession, base: str, files: list[tuple[str, int]], split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """``BLOCK_SCHEMA`` rows of the files (path and length, of the file system that ``base`` is of), cut into ranges."""
     from tickwork.operators.series import materialize
@@ -167,14 +177,15 @@ def read_split_files(spark: SparkSession, base: str, files: list[tuple[str, int]
     listed = spark.createDataFrame(files, "path string, length bigint")
     starts = F.posexplode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("bigint"))).alias("part", "entry")
     ranges = listed.select("path", "length", starts).withColumn("last", F.least(F.col("entry") + split_bytes, F.col("length")))
-    # a range a task, within what Spark deals out well: a range takes a second of seeks, a task starts in milliseconds
-    tasks = max(1, min(100_000, sum(-(-n // split_bytes) for _, n in files)))
+    tasks = _tasks(sum(-(-n // split_bytes) for _, n in files), split_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
     guessed = materialize(ranges.repartition(tasks, "path", "part").mapInArrow(lambda it: _read(it, base, True), _HEADS), "frames")
-    met = guessed.groupBy("path", "part").agg(F.min("at").alias("guess"), F.max("until").alias("until"))
+    met = materialize(guessed.groupBy("path", "part").agg(F.min("at").alias("guess"), F.max("until").alias("until")), "met")
     known = ranges.select("path", "length", "part", "last").join(met, ["path", "part"], "left")
     in_order = known.repartition("path").sortWithinPartitions("path", "part").select("path", "length", "part", "last", "guess", "until")
     stitched = materialize(in_order.mapInArrow(lambda it: _stitch(it, base), _STITCHED), "ranges")
-    right = guessed.join(stitched.where("NOT walk").select("path", "part"), ["path", "part"], "left_semi")
+    # hardly a guess is wrong, so these are what the frames are joined with
+    wrong = materialize(met.select("path", "part").join(stitched.where("NOT walk").select("path", "part"), ["path", "part"], "left_anti"), "wrong")
+    right = guessed.join(wrong, ["path", "part"], "left_anti")
     again = stitched.where("walk")
     walked = again.repartition(max(1, min(tasks, again.count())), "path", "part").mapInArrow(lambda it: _read(it, base, False), _HEADS)
     return right.unionByName(walked).where("tx_count IS NOT NULL").select(*(c.split()[0] for c in BLOCK_SCHEMA.split(", ")))
