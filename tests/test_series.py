@@ -165,3 +165,19 @@ def test_time_frames_do_not_depend_on_the_layout(spark, size, step, block_rows,
         return rolling_volatility(moving_averages(bars, **kw), **kw)
 
     _same(frames(Layout(block_rows=block_rows, chunk=chunk)), frames(PARTITIONED), cols)
+
+
+def test_short_series_need_no_chunk_join(spark):
+    """Rows of series that fit one block aren't joined with chunks; long and short series and null keys give the plain windows' values."""
+    df = spark.range(900).selectExpr("CASE WHEN id % 9 = 0 THEN 'a' WHEN id % 9 = 1 THEN NULL WHEN id % 9 = 2 THEN 'c' ELSE 'long' END AS k", "id",
+                                     "timestamp_seconds(id * 3600) AS ts_hour")
+    cols = [("prev", lambda s: F.lag("id", 7).over(s.rows)), ("nxt", lambda s: F.lead("id", 2).over(s.rows))]
+    run = lambda layout: with_series_columns(df, cols, keys=["k"], back=7, ahead=2, layout=layout)
+    key = lambda r: r[1]
+    want = sorted(rows(run(PARTITIONED), "k", "id", "prev", "nxt"), key=key)
+    for block_rows in (5, 100, 599, 600, 65536):
+        assert sorted(rows(run(Layout(block_rows=block_rows, chunk="day")), "k", "id", "prev", "nxt"), key=key) == want
+    out = run(Layout(block_rows=65536, chunk="day"))
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in final and "_tw_chunk" not in final

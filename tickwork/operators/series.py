@@ -23,7 +23,9 @@ layout expressed in plain DataFrame operations:
    ``partitionBy(*keys, block).orderBy(ts)``; keep each row only in its home
    block.
 
-There is this one plan for series of every length. A window partition holds
+Keyed series that fit one block need neither chunks nor halo: their rows go
+straight to the block of their key, and only those of longer series are counted
+by chunk and joined. There is this one plan for series of every length. A window partition holds
 at most ``block_rows`` rows plus one chunk (blocks are whole chunks), plus the
 halo chunks, however long a series is. A key holding a third of all bars is
 split into many blocks; nothing is dropped or sampled. A chunk is bounded by its
@@ -202,12 +204,17 @@ def with_series_columns(
         return _add(df, columns, _specs(df, keys, order, tiebreak))
 
     src = materialize(df) if layout.materialize else df
-    chunked = src.withColumn(_CHUNK, chunk_of(src, order, layout.chunk))
+    rows, short = src, None
+    if keys and layout.materialize:
+        rows, short = _by_length(src, keys, layout.block_rows)
+    chunked = rows.withColumn(_CHUNK, chunk_of(rows, order, layout.chunk))
     plan = chunk_blocks(chunked, keys, order, layout, back, ahead, back_seconds)
     alias = {k: f"_tw_k{i}" for i, k in enumerate([*keys, _CHUNK])}
     plan = plan.select(*[F.col(k).alias(a) for k, a in alias.items()], _HOME, _BLK)
     cond = [chunked[k].eqNullSafe(plan[a]) for k, a in alias.items()]
     spread = chunked.join(plan, cond, "inner").drop(*alias.values(), _CHUNK)
+    if short is not None:
+        spread = short.withColumns({_HOME: F.lit(1), _BLK: F.lit(1)}).unionByName(spread)
     # Hash the rows by block explicitly: whichever join strategy AQE picks, the
     # windows then never inherit the small table's single-partition layout.
     spread = spread.repartition(*[F.col(k) for k in keys], F.col(_BLK))
@@ -215,6 +222,18 @@ def with_series_columns(
     return _add(spread, columns, specs).filter(F.col(_BLK) == F.col(_HOME)).drop(_BLK, _HOME)
 
 
+def _by_length(src: DataFrame, keys: Sequence[str], block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of series that need more than one block, and those of the others.
+
+    Only the keys of the long series are written: one for ``block_rows`` rows at most, so Spark sees how few they are.
+    """
+    alias = {k: f"_tw_s{i}" for i, k in enumerate(keys)}
+    long = src.groupBy(*keys).agg(F.count(F.lit(1)).alias(_CNT)).filter(F.col(_CNT) > block_rows)
+    long = materialize(long.select(*[F.col(k).alias(a) for k, a in alias.items()]), "long_series")
+    cond = [src[k].eqNullSafe(long[a]) for k, a in alias.items()]
+    return src.join(long, cond, "left_semi"), src.join(long, cond, "left_anti")
+
+
 def _add(df: DataFrame, columns: Sequence[tuple[str, ColumnBuilder]], specs: Specs) -> DataFrame:
     names = {n for n, _ in columns}
     keep = [F.col(f"`{c}`") for c in df.columns if c not in names]
