@@ -10,15 +10,13 @@ Documents meet where the text at a min-hash is equal: each window offers the
 ``SNIPPET`` shingles that begin at c and those that end there, as far as they
 lie in it; a passage that two documents share has one of them inside. The first
 document of a group is its representative. Members are paired with it, not with
-each other; hits of all windows and hash functions with the same offset make one
+each other; hits of all windows with the same offset make one
 interval of a pair, which is verified once: in some stretch of ``min_words``
 words the shingles' similarity must reach ``similarity``, where a shingle may be
 displaced by a few words. Members of a group of three and more may share a passage
-that the representative lacks: the text around all their hits is grouped again by
-longer stretches, whatever spans a member has, as long as one member isn't covered
-there. Members of a stretch are verified against its first document; all
-``min_words`` words around it are also compared by their hash, which needs no pairs
-and finds every equal passage.
+that the representative lacks: where one of them isn't covered by a span verified with
+it, all are compared by keys that need no pairs, of equal words and of words with one
+changed, added or left out (see ``tails`` and ``edits``).
 
 Groups therefore cost as many rows as they have members, however many that are.
 
@@ -497,7 +495,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
 
     margin = min_words + DRIFT
     pairs = hits.where("doc <> source").select("doc", "source", "at", (F.col("at") - F.col("source_at")).alias("shift"))
-    found = written(merged(verify(_with_words(pairs, words, margin, snippet), least, enough)), "found")
+    found = written(merged(verify(_with_words(pairs, words, margin, snippet), least, enough).distinct()), "found")
 
     # a group of two has been compared in full; the members of others may share more with each other than with the first
     half, whole = run + WORDS - 1, enough + WORDS - 1
