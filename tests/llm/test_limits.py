@@ -1,0 +1,49 @@
+"""What operators leave behind in workers."""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pandas as pd
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from tickwork.llm import secret_scan
+
+ROOT = Path(__file__).resolve().parents[2]
+
+ENCODE = """
+import os, sys
+from tickwork.llm import packing
+threads = lambda: len(os.listdir("/proc/self/task"))
+before = threads()
+encoder = packing.encoder(sys.argv[1], 100_000)
+texts = [" ".join("w" + chr(97 + i % 26) * (1 + i % 7) + chr(97 + k % 26) for i in range(400)) for k in range(50)]
+ids = encoder.ids(texts)
+assert ids == [encoder.encode([t])[0] for t in texts]
+print(threads() - before)
+"""
+
+
+def test_packing_encodes_in_the_tasks_own_thread():
+    """Each further thread would keep what it has freed, on top of an executor's memory."""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"} | {"PYTHONPATH": str(ROOT), "RAYON_NUM_THREADS": "4"}
+    out = subprocess.run([sys.executable, "-c", ENCODE, public_tokenizers.path("word_bpe_49k.json")], env=env, capture_output=True, text=True, check=True).stdout
+    assert int(out) == 0
+
+
+def test_secrets_are_masked_in_small_parts(spark, monkeypatch):
+    """A batch of 10,000 long texts is never held masked as a whole; nulls and order stay."""
+    made = []
+
+    def pandas_udf(_):
+        return lambda f: made.append(f) or (lambda c: c)
+
+    monkeypatch.setattr(secret_scan.F, "pandas_udf", pandas_udf)
+    secret_scan.redacted(F.col("text"))
+    texts = [None if k % 5 == 0 else f"line {k} password = hunter2{k:04d}" for k in range(1000)]
+    parts = list(made[0](iter([pd.Series(texts), pd.Series([], dtype=object), pd.Series(texts[:3])])))
+    assert max(map(len, parts)) <= 256
+    got = [t for p in parts for t in p]
+    assert got == [t if t is None else t[: t.index("password")] + "[SECRET]" for t in texts + texts[:3]]

@@ -25,6 +25,7 @@ an empty table; further columns are left out. Texts are never cut short.
 
 from __future__ import annotations
 
+import os
 import random
 import string
 import zlib
@@ -42,6 +43,9 @@ from tickwork.llm.common import batch_of, renamed, small_batches, text_chunks, w
 #: Words whose ids a worker keeps (about 200 bytes each), twice: those used since the last turn, and before.
 WORDS_KEPT = 150_000
 
+#: New words that are encoded together: the library's results take many times the space of the ids.
+AT_ONCE = 8192
+
 #: Pieces shorter than this part of the capacity are bundled.
 TINY = 128
 
@@ -125,7 +129,8 @@ class WordEncoder:
             if end:
                 other.add(end)
         new, rest = [c for c in letters if c not in seen], [c for c in other if c not in seen]
-        seen.update(zip(new, self.encode_letters(new), strict=True))
+        for k in range(0, len(new), AT_ONCE):
+            seen.update(zip(new[k : k + AT_ONCE], self.encode_letters(new[k : k + AT_ONCE]), strict=True))
         seen.update(zip(rest, self.encode(rest), strict=True))
         for w, (core, end) in parts.items():
             seen[w] = seen[core] + seen[end] if end else seen[core]
@@ -156,7 +161,8 @@ class WordEncoder:
 
 
 def encoder(path: str, words_kept: int) -> WordEncoder:
-    """One for each worker process and vocabulary."""
+    """One for each worker process and vocabulary; it stays in the task's own thread, others would each keep freed memory."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return worker_state(f"{words_kept} words of {path}", lambda: WordEncoder(path, words_kept))
 
 

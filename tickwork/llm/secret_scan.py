@@ -192,6 +192,7 @@ def redacted(text: Column, by: str = "[SECRET]") -> Column:
         forget_state()
         novelty = Novelty()
         for texts in batches:
-            yield pd.Series([t if t is None else mask(t, find_spans(t, novelty), by) for t in texts.tolist()], dtype=object)
+            for k in range(0, len(texts), 256):
+                yield pd.Series([t if t is None else mask(t, find_spans(t, novelty), by) for t in texts.iloc[k : k + 256].tolist()], dtype=object)
 
     return redact(text)
