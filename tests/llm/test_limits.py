@@ -1,8 +1,9 @@
-"""What operators leave behind in workers."""
+"""What operators leave behind: memory of workers, files of finished queries."""
 
 import os
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 import pandas as pd
@@ -10,6 +11,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tickwork.llm import secret_scan
+from tickwork.llm.common import CLEANUP, written
 
 ROOT = Path(__file__).resolve().parents[2]
 
@@ -47,3 +49,20 @@ def test_secrets_are_masked_in_small_parts(spark, monkeypatch):
     assert max(map(len, parts)) <= 256
     got = [t for p in parts for t in p]
     assert got == [t if t is None else t[: t.index("password")] + "[SECRET]" for t in texts + texts[:3]]
+
+
+def shuffle_files(spark) -> set[str]:
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before, conf = shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    table = written(spark.range(5000).groupBy((F.col("id") % 977).alias("k")).agg(F.count(F.lit(1)).alias("n")), "counts")
+    for _ in range(40):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.25)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(CLEANUP, None) == conf
+    assert table.agg(F.sum("n"), F.count(F.lit(1))).first()[:] == (5000, 977)
