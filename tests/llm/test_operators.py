@@ -834,6 +834,54 @@ def test_anchor_in_every_run_of_shingles():
         assert found[0] & found[1]
 
 
+def test_pieces_hash_alike_wherever_they_stand():
+    """A piece read forward, and one read backward, has the hash of its words in that order, whatever stands around it."""
+    rng = np.random.default_rng(9)
+    words = rng.integers(-(1 << 31), 1 << 31, 3000).astype(np.int32)
+    alone = lambda x: substring_dedup._Pieces(x).at(0, np.array([0]), len(x))[0]
+    pieces = substring_dedup._Pieces(words)
+    for place, length in ((0, 1), (7, 25), (2975, 25), (100, 1500)):
+        part = words[place : place + length]
+        assert pieces.at(0, np.array([place]), length)[0] == alone(part)
+        assert pieces.at(1, np.array([place + length]), np.array([length]))[0] == alone(np.ascontiguousarray(part[::-1]))
+
+
+def test_snippets_meet_without_sorting_and_edited_keys_are_sifted(spark, monkeypatch):
+    """First places are aggregated by hash, keys that no other document has aren't shuffled for joins, settings stay."""
+    plans, kept = {}, substring_dedup.written
+
+    def written(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(substring_dedup, "written", written)
+    settings = lambda: {k: v for k, v in spark.conf.getAll.items() if "bloomFilter" in k}
+    before, threshold = settings(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large to be broadcast
+    try:
+        assert substring_dedup.repeated_passages(spark.read.parquet(f"{SF_SMALL}/documents.parquet")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "HashAggregate" in plans["met"] and "SortAggregate" not in plans["met"]
+    assert all("might_contain" in plans[name] for name in ("halves", "edits", "near"))
+    assert settings() == before
+
+
+def test_batches_are_cut_without_change(spark, monkeypatch):
+    """Documents worked through one at a time, or all in one part, give the same spans."""
+    rng, docs = random.Random(34), []
+    for _ in range(6):
+        base = _words(rng, 90)
+        for _ in range(5):
+            at = rng.randrange(30, 60)
+            docs.append(" ".join(_words(rng, 10) + base[:at] + _words(rng, 1) + base[at + 1 :] + _words(rng, 10)))
+    docs += ["", " ".join(_words(rng, 3)), " ".join(_words(rng, 900) + base)]
+    spans = lambda: sorted(tuple(r) for r in substring_dedup.repeated_passages(documents(spark, docs)).collect())
+    before, parts = spans(), substring_dedup._text_parts
+    monkeypatch.setattr(substring_dedup, "_text_parts", lambda batches: parts(batches, 1))
+    assert spans() == before and len({r[0] for r in before}) == 31
+
+
 # ------------------------------------------------------------------ helpers
 def test_worker_keeps_one_state():
     from tickwork.llm.common import forget_state, worker_state

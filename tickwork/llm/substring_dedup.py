@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickwork.llm.common import batch_of, renamed, small_batches, written
+from tickwork.llm.common import batch_of, renamed, written
 from tickwork.sinks.scratch import drop_scratch, scratch_mark
 
 WORDS = 5
@@ -48,15 +49,24 @@ STEP = 6
 DRIFT = 8
 #: Tables that decide what is looked at are broadcast up to this size in memory, else joined by shuffling.
 BROADCAST_BYTES = 256 << 20
+#: Size of a Bloom filter of keys, at most.
+BLOOM_BITS = 1 << 28
+#: Windows that are edited at a time.
+EDITED = 4096
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
 _POWERS = np.cumprod(np.full(1024, 0x9E3779B97F4A7C15, dtype=np.uint64))
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SEEDS = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
+#: Marks of shingles, and the bits of a hash that aren't used for them.
+_MARKS, _MARK_SHIFT = 1 << 18, np.uint64(46)
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
@@ -168,16 +178,23 @@ def repeated_stretches(own: tuple, other: tuple, shift: np.ndarray, least: int,
         return (np.empty(0, dtype=np.int64),) * 5
     begin = np.cumsum(size) - size
     place = np.arange(len(pair)) - begin[pair]
-    a, b = shingles(words)[bounds[:-1][pair] + place], shingles(there_words)
-    equal, todo = np.zeros(len(pair), dtype=bool), np.arange(len(pair))
-    there, base, most = (place - shift[pair]), there_bounds[:-1][pair], there_size[pair]
-    for d in sorted(range(-DRIFT, DRIFT + 1), key=abs):
-        to = there[todo] + d
-        inside = (to >= 0) & (to < most[todo])
-        same = np.zeros(len(todo), dtype=bool)
-        same[inside] = b[(base[todo] + to)[inside]] == a[todo[inside]]
-        equal[todo[same]] = True
-        todo = todo[~same]
+    salt = _mix(np.arange(len(size), dtype=np.uint64) * _SEEDS[3])  # a shingle of one pair equals none of another
+    a, b = shingles(words)[bounds[:-1][pair] + place] + salt[pair], shingles(there_words)
+    of = np.repeat(np.arange(len(size)), np.diff(there_bounds))[: len(b)]
+    whole = np.arange(len(b)) - there_bounds[of] < there_size[of]
+    b[whole] += salt[of[whole]]
+    none = _SEEDS[:1]
+    b, there = np.concatenate([none, b, none]), there_bounds[pair] + place - shift[pair] + 1
+    equal = b.take(there, mode="clip") == a
+    # what the other text has nowhere needn't be looked for at each place
+    anywhere = np.zeros(_MARKS, dtype=bool)
+    anywhere[b >> _MARK_SHIFT] = True
+    todo = np.flatnonzero(~equal)
+    todo = todo[anywhere[a[todo] >> _MARK_SHIFT]]
+    sought, there, near = a[todo], there[todo], np.zeros(len(todo), dtype=bool)
+    for d in (*range(-DRIFT, 0), *range(1, DRIFT + 1)):
+        near |= b.take(there + d, mode="clip") == sought
+    equal[todo[near]] = True
     total = np.concatenate([[0], np.cumsum(equal)])
     good = np.flatnonzero(total[least:] - total[:-least] >= enough)
     good = good[place[good] + least <= size[pair[good]]]
@@ -203,8 +220,8 @@ def _key(doc_id: Column, text: Column) -> Column:
 
 
 def offer(texts: DataFrame, least: int, run: int) -> DataFrame:
-    """snippet, doc, at: what all windows of all texts offer."""
-    schema = pa.schema([("snippet", pa.int64()), ("doc", pa.int64()), ("at", pa.int32())])
+    """snippet, doc, at, again: what all windows of all texts offer; ``again`` if the document has the same before."""
+    schema = pa.schema([("snippet", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("again", pa.bool_())])
 
     def offered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,9 +229,11 @@ def offer(texts: DataFrame, least: int, run: int) -> DataFrame:
             for k, words, bounds in _hashed_texts(batch.column(1)):
                 text, at, key = snippets(words, bounds, least, run)
                 if len(at):
-                    yield batch_of(schema, key, docs[k + text], at.astype(np.int32))
+                    again = np.ones(len(at), dtype=bool)
+                    again[_first_of(text, key)] = False
+                    yield batch_of(schema, key, docs[k + text], at.astype(np.int32), again)
 
-    return texts.select("doc", "text").mapInArrow(offered, "snippet long, doc long, at int")
+    return texts.select("doc", "text").mapInArrow(offered, "snippet long, doc long, at int, again boolean")
 
 
 def hashed_words(texts: DataFrame) -> DataFrame:
@@ -246,7 +265,7 @@ def verify(pairs: DataFrame, least: int, enough: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             size = np.cumsum(whole.column(5).value_lengths().to_numpy(zero_copy_only=False))
-            cuts = np.flatnonzero(np.diff(size // 200_000)) + 1
+            cuts = np.flatnonzero(np.diff(size // 40_000)) + 1
             for k, to in zip([0, *cuts], [*cuts, whole.num_rows], strict=True):
                 batch = whole.slice(k, to - k)
                 doc, source, begin, source_begin, shift = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:5])
@@ -258,6 +277,23 @@ def verify(pairs: DataFrame, least: int, enough: int) -> DataFrame:
     return pairs.mapInArrow(run, "doc long, start long, end long, source long")
 
 
+@contextmanager
+def _sifted(*groups: DataFrame) -> Iterator[None]:
+    """Within, rows that are joined with these keys pass Spark's Bloom filters of them before they are shuffled."""
+    conf, n = groups[0].sparkSession.conf, max(g.count() for g in groups)
+    bits = min(max(16 * n, 1 << 20), BLOOM_BITS)
+    of = "spark.sql.optimizer.runtime.bloomFilter."
+    own = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "100g", "expectedNumItems": max(n, 1), "maxNumItems": max(n, 1), "numBits": bits, "maxNumBits": bits}
+    before = {k: conf.get(of + k, None) for k in own}
+    try:
+        for k, v in own.items():
+            conf.set(of + k, str(v))
+        yield
+    finally:
+        for k, v in before.items():
+            conf.unset(of + k) if v is None else conf.set(of + k, v)
+
+
 def _joined(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     """``rows`` with what is known of their groups (written; n rows each): large groups by broadcast, the rest by shuffling.
 
@@ -276,22 +312,48 @@ def _with_words(pairs: DataFrame, words: DataFrame, margin: int, snippet: int) -
     return pairs.select("doc", "source", "from", "source_from", "shift", "words", F.slice("all", F.col("source_from") + 1, F.greatest(F.col("to") - F.col("shift") - F.col("source_from"), F.lit(0))).alias("source_words"))
 
 
-def _hash_at(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """A 64-bit hash of the ``length`` words that begin at each start."""
-    sums = np.zeros(len(starts), dtype=np.uint64)
-    own = words.view(np.uint32).astype(np.uint64)
-    for k in range(length):
-        sums += own[starts + k] * _POWERS[k & 1023]
-    return _mix(sums)
+class _Pieces:
+    """Hashes of pieces of texts that stand one after the other, from sums over all words before a place.
+
+    Read forward (side 0), the k-th word of a piece counts with the k-th power of an odd number, whatever stands before it;
+    read backward (side 1), the k-th from its end does. Odd numbers have inverses, so a piece costs two places.
+    """
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        own = words.view(np.uint32).astype(np.uint64)
+        self.up, self.down = (np.concatenate([np.ones(1, dtype=np.uint64), np.cumprod(np.full(n, x, dtype=np.uint64))]) for x in (_POWERS[0], _INVERSE))
+        self.sums = [np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(own * x)]) for x in (self.up[1:], self.down[:-1])]
 
+    def at(self, side: int, place: np.ndarray, length) -> np.ndarray:
+        """A 64-bit hash of each piece of ``length`` words that begins at ``place``; side 1: that ends there, in reverse order."""
+        a, b, unit = (place - length, place, self.up) if side else (place, place + length, self.down)
+        return _mix((self.sums[side][b] - self.sums[side][a]) * unit[place])
 
-def _numbers(column: pa.Array, k: int) -> np.ndarray:
-    return column[k].values.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
 
+def _text_parts(batches: Iterator[pa.RecordBatch], limit: int = 50_000) -> Iterator[tuple[np.ndarray, list, np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents, the fields of their listed items, the items' rows, words and their bounds of about ``limit`` words (one row at least).
 
-def _concatenated(schema: pa.Schema, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    if rows:
-        yield batch_of(schema, *map(np.concatenate, zip(*rows, strict=True)))
+    ``batches``: doc, a list of items (numbers or structs), words.
+    """
+    for whole in batches:
+        size = np.cumsum(whole.column(2).value_lengths().to_numpy(zero_copy_only=False))
+        cuts = np.flatnonzero(np.diff(size // limit)) + 1
+        for k, to in zip([0, *cuts], [*cuts, whole.num_rows], strict=True):
+            part = whole.slice(k, to - k)
+            items = part.column(1).flatten()
+            fields = [f.to_numpy(zero_copy_only=False) for f in (items.flatten() if pa.types.is_struct(items.type) else [items])]
+            row = np.repeat(np.arange(part.num_rows), part.column(1).value_lengths().to_numpy(zero_copy_only=False))
+            yield part.column(0).to_numpy(zero_copy_only=False), fields, row, *_lists(part.column(2))
+
+
+def _first_of(*keys: np.ndarray) -> np.ndarray:
+    """The first place of each combination of values."""
+    order = np.lexsort(keys[::-1])
+    fresh = np.ones(len(order), dtype=bool)
+    if len(order):
+        fresh[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
+    return order[fresh]
 
 
 def stretches(rows: DataFrame, half: int, snippet: int, around: int) -> DataFrame:
@@ -307,29 +369,22 @@ def stretches(rows: DataFrame, half: int, snippet: int, around: int) -> DataFram
     before = np.arange(0, half - snippet + 1, STEP, dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 512):
-            rows = []
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                hits = [f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten()]
-                words = _numbers(batch.column(2), k)
-                start = (hits[0][:, None] - before).ravel()
-                _, begin, end, source, shift = (np.repeat(f, len(before)) for f in hits)
-                own = (source == doc) & (shift == 0)
-                covered = own | ((begin <= np.maximum(start - STEP + 1 - around, 0)) & (end >= np.minimum(start + half + around, len(words))))
-                fits = (start >= 0) & (start + length <= len(words))
-                key = _mix(_hash_at(words, start[fits], length) + source[fits].view(np.uint64) * _SEEDS[2]).view(np.int64)
-                _, first = np.unique(np.stack([key, start[fits]]), axis=1, return_index=True)
-                rows.append((key[first], np.full(len(first), doc, dtype=np.int64), *(f[fits][first] for f in (start, covered, own))))
-            yield from _concatenated(schema, rows)
+        for doc, hits, row, words, bounds in _text_parts(batches):
+            start = (hits[0][:, None] - before).ravel()
+            row, begin, end, source, shift = (np.repeat(f, len(before)) for f in (row, *hits[1:]))
+            size = np.diff(bounds)[row]
+            own = (source == doc[row]) & (shift == 0)
+            covered = own | ((begin <= np.maximum(start - STEP + 1 - around, 0)) & (end >= np.minimum(start + half + around, size)))
+            fits = (start >= 0) & (start + length <= size)
+            start, row, covered, own = start[fits], row[fits], covered[fits], own[fits]
+            key = _mix(_Pieces(words).at(0, bounds[row] + start, length) + source[fits].view(np.uint64) * _SEEDS[2]).view(np.int64)
+            order = np.lexsort((own, covered))  # of equal ones the least covered
+            first = order[_first_of(row[order], start[order], key[order])]
+            yield batch_of(schema, key[first], doc[row[first]], start[first], covered[first], own[first])
 
     return rows.mapInArrow(run, "stretch long, doc long, start int, covered boolean, own boolean")
 
 
-def _sided(words: np.ndarray, side: int, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The words in the order of the side, and where what lies between start and end begins there."""
-    return (words[::-1], len(words) - end) if side else (words, start)
-
-
 def halves(rows: DataFrame, half: int, whole: int, rest: int) -> DataFrame:
     """window, doc, start, end, side, again: all ``half`` words that hold one of a document's stretches, with up to
     ``rest + 1`` words that follow them (side 0) or go before them (side 1, in reverse order); ``again`` if the document
@@ -338,26 +393,24 @@ def halves(rows: DataFrame, half: int, whole: int, rest: int) -> DataFrame:
     schema = pa.schema([("window", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("side", pa.int8()), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 512):
-            rows = []
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                words = _numbers(batch.column(2), k)
-                n = len(words)
-                start = np.unique(_numbers(batch.column(1), k)[:, None] - np.arange(STEP, dtype=np.int32))
-                start = start[(start >= 0) & (start + half <= n)]
-                for side in (0, 1):
-                    text, place = _sided(words, side, start, start + half)
-                    more = np.minimum(n - half - place, rest + 1)
-                    fits = more >= (rest if side else min(rest, whole - half))
-                    place, more = place[fits], more[fits]
-                    key, window = _hash_at(text, place, half) ^ _SEEDS[side], np.zeros(len(place), dtype=np.uint64)
-                    for m in np.unique(more):
-                        window[more == m] = _mix(key[more == m] * _SEEDS[3] + _hash_at(text, place[more == m] + half, int(m)) + np.uint64(m))
-                    begin, end = (n - place - half - more, n - place) if side else (place, place + half + more)
-                    again = np.ones(len(place), dtype=bool)
-                    again[np.unique(window, return_index=True)[1]] = False
-                    rows.append((window.view(np.int64), np.full(len(place), doc, dtype=np.int64), begin, end, np.full(len(place), side, dtype=np.int8), again))
-            yield from _concatenated(schema, rows)
+        for doc, (starts,), row, words, bounds in _text_parts(batches):
+            own = (starts[:, None] - np.arange(STEP, dtype=np.int32)).ravel()
+            row = np.repeat(row, STEP)
+            fits = (own >= 0) & (own + half <= np.diff(bounds)[row])
+            place = np.unique(bounds[row[fits]] + own[fits])
+            row = np.searchsorted(bounds, place, side="right") - 1
+            pieces = _Pieces(words)
+            for side in (0, 1):
+                more = np.minimum(place - bounds[row] if side else bounds[row + 1] - half - place, rest + 1)
+                fits = more >= (rest if side else min(rest, whole - half))
+                at, more, k = place[fits], more[fits], row[fits]
+                begin, inner = (at + half, at) if side else (at, at + half)
+                key = pieces.at(side, begin, half) ^ _SEEDS[side]
+                window = _mix(key * _SEEDS[3] + pieces.at(side, inner, more) + more.view(np.uint64))
+                start = at - bounds[k] - (more if side else 0)
+                again = np.ones(len(at), dtype=bool)
+                again[_first_of(k, window)] = False
+                yield batch_of(schema, window.view(np.int64), doc[k], start, start + half + more, np.full(len(at), side), again)
 
     return rows.mapInArrow(run, "window long, doc long, start int, end int, side tinyint, again boolean")
 
@@ -372,24 +425,22 @@ def tails(rows: DataFrame, half: int, whole: int, rest: int) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("kind", pa.int8()), ("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("side", pa.int8())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 512):
-            rows = []
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                starts, ends, sides = (f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten())
-                for side in (0, 1):
-                    start, end = starts[sides == side], ends[sides == side]
-                    text, place = _sided(_numbers(batch.column(2), k), side, start, end)
-                    key = _hash_at(text, place, half) ^ _SEEDS[side]
-
-                    def add(kind, which, found):
-                        rows.append((found.view(np.int64), np.full(len(found), kind, dtype=np.int8), np.full(len(found), doc, dtype=np.int64), start[which], end[which], np.full(len(found), side, dtype=np.int8)))
-
-                    if side == 0:
-                        add(0, slice(None), _mix(key * _SEEDS[2] + _hash_at(text, place + half, whole - half)))
-                    for kind, m in ((1, rest + 1), (2, rest)) if rest >= WORDS else ():
-                        which = end - start - half >= m
-                        add(kind, which, _mix(key[which] + _hash_at(text, place[which] + half + m - WORDS, WORDS)))
-            yield from _concatenated(schema, rows)
+        for doc, (starts, ends, sides), row, words, bounds in _text_parts(batches):
+            pieces = _Pieces(words)
+            for side, sign in ((0, 1), (1, -1)):
+                mine = np.flatnonzero(sides == side)
+                start, end, k = starts[mine], ends[mine], row[mine]
+                place = bounds[k] + (end if side else start)
+                key = pieces.at(side, place, half) ^ _SEEDS[side]
+
+                def made(kind, which, found, k=k, start=start, end=end, side=side):
+                    return batch_of(schema, found.view(np.int64), np.full(len(found), kind), doc[k[which]], start[which], end[which], np.full(len(found), side))
+
+                if side == 0:
+                    yield made(0, slice(None), _mix(key * _SEEDS[2] + pieces.at(0, place + half, whole - half)))
+                for kind, m in ((1, rest + 1), (2, rest)) if rest >= WORDS else ():
+                    which = end - start - half >= m
+                    yield made(kind, which, _mix(key[which] + pieces.at(side, place[which] + sign * (half + m - WORDS), WORDS)))
 
     return rows.mapInArrow(run, "key long, kind tinyint, doc long, start int, end int, side tinyint")
 
@@ -403,29 +454,27 @@ def edits(rows: DataFrame, half: int, rest: int) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 512):
-            rows = []
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                starts, ends, sides, less, plain = (f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten())
-                words = _numbers(batch.column(2), k)
-                n = len(words)
-
-                def add(side, place, length, key):
-                    begin = n - place - length if side else place
-                    rows.append((key.view(np.int64), np.full(len(place), doc, dtype=np.int64), begin.astype(np.int32), (begin + length).astype(np.int32)))
-
-                for side in (0, 1):
-                    text, places = _sided(words, side, starts[sides == side], ends[sides == side])
-                    place = places[plain[sides == side]]
-                    add(side, place, half + rest, _mix((_hash_at(text, place, half) ^ _SEEDS[side]) + _hash_at(text, place + half, rest)))
-                    place = places[less[sides == side]]
-                    key = _hash_at(text, place, half) ^ _SEEDS[side]
-                    own = text.view(np.uint32).astype(np.uint64)[place[:, None] + half + np.arange(rest + 1)]
+        for doc, (starts, ends, sides, less, plain), row, words, bounds in _text_parts(batches):
+            pieces = _Pieces(words)
+            for side, sign in ((0, 1), (1, -1)):
+
+                def made(which, length, key, side=side):
+                    times = len(key) // max(1, len(which))
+                    start = ends[which] - length if side else starts[which]
+                    return batch_of(schema, key.view(np.int64), *(np.repeat(x, times) for x in (doc[row[which]], start, start + length)))
+
+                of = lambda which, side=side: bounds[row[which]] + (ends if side else starts)[which]
+                which = np.flatnonzero((sides == side) & plain)
+                place = of(which)
+                yield made(which, half + rest, _mix((pieces.at(side, place, half) ^ _SEEDS[side]) + pieces.at(side, place + sign * half, rest)))
+                for which in np.array_split(np.flatnonzero((sides == side) & less), 1 + len(starts) // EDITED):
+                    place = of(which)
+                    key = pieces.at(side, place, half) ^ _SEEDS[side]
+                    own = words.view(np.uint32)[place[:, None] + sign * (half + np.arange(rest + 1)) - side].astype(np.uint64)
                     head = np.cumsum(own * _POWERS[: rest + 1], axis=1)
                     tail = np.cumsum((own[:, 1:] * _POWERS[:rest])[:, ::-1], axis=1)[:, ::-1]
-                    for j in range(rest - WORDS + 1):
-                        add(side, place, half + rest + 1, _mix(key + _mix(tail[:, j] + (head[:, j - 1] if j else np.uint64(0)))))
-            yield from _concatenated(schema, rows)
+                    tail[:, 1:] += head[:, : rest - 1]
+                    yield made(which, half + rest + 1, _mix(key[:, None] + _mix(tail[:, : rest - WORDS + 1])).ravel())
 
     return rows.mapInArrow(run, "key long, doc long, start int, end int")
 
@@ -435,20 +484,23 @@ def everywhere(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("doc", pa.int64()), ("source", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 512):
-            rows = []
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                start, end, source = (f.to_numpy(zero_copy_only=False) for f in batch.column(1)[k].values.flatten())
-                words = _numbers(batch.column(2), k)
-                for length in np.unique(end - start):
-                    own = end - start == length
-                    text = _hash_at(words, np.arange(len(words) - length + 1), int(length))
-                    order = np.argsort(text, kind="stable")
-                    first, after = (np.searchsorted(text[order], text[start[own]], side=side) for side in ("left", "right"))
-                    n = after - first
-                    places = order[np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                    rows.append((np.full(len(places), doc, dtype=np.int64), np.repeat(source[own], n), places, places + int(length)))
-            yield from _concatenated(schema, rows)
+        for doc, (start, end, source), row, words, bounds in _text_parts(batches):
+            pieces = _Pieces(words)
+            text = np.repeat(np.arange(len(doc)), np.diff(bounds))
+            for length in np.unique(end - start):
+                own = np.flatnonzero(end - start == length)
+                place = np.flatnonzero(np.arange(len(words)) + length <= bounds[text + 1])
+                k = text[place]
+                key = _mix(pieces.at(0, place, int(length)) + k.view(np.uint64) * _SEEDS[2])  # within its document
+                sought, which = np.unique(key[np.searchsorted(place, bounds[row[own]] + start[own])], return_inverse=True)
+                to = np.searchsorted(sought, key)
+                there = np.flatnonzero(sought[np.minimum(to, len(sought) - 1)] == key)
+                there = there[np.argsort(to[there], kind="stable")]
+                n = np.bincount(to[there], minlength=len(sought))
+                first, n = (np.cumsum(n) - n)[which], n[which]
+                hit = there[np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                begin = place[hit] - bounds[k[hit]]
+                yield batch_of(schema, doc[k[hit]], np.repeat(source[own], n), begin, begin + length)
 
     return rows.mapInArrow(run, "doc long, source long, start long, end long")
 
@@ -485,7 +537,8 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
     texts = renamed(docs, doc_id=id_col, text=text_col).select(_key(F.col("doc_id"), F.col("text")).alias("doc"), "doc_id", "text")
     begun = scratch_mark()
     offered = written(offer(texts, least, run), "offered")
-    met = offered.groupBy("snippet").agg(F.min(F.struct("doc", "at")).alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).where("last > first.doc").select("snippet", F.col("first.doc").alias("source"), F.col("first.at").alias("source_at"), "n")
+    first = lambda c: F.min_by(c, F.when(~F.col("again"), F.col("doc")))
+    met = offered.groupBy("snippet").agg(F.min("doc").alias("source"), first("at").alias("source_at"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")).where("last > source").drop("last")
     met = _within(written(met, "met"), 112)
     unused = scratch_mark()
     hits = written(offered.join(met, "snippet").select("doc", "at", "source", "source_at", "n"), "hits")
@@ -509,10 +562,11 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
     laid = written(stretches(many.join(words, "doc").select("doc", "hits", "words"), half, snippet, rest + 1), "stretches")
     shared = laid.groupBy("stretch").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.bool_and("covered").alias("covered"), F.bool_or("own").alias("own"), F.count(F.lit(1)).alias("n"))
     shared = shared.where("last > first AND NOT covered AND NOT (n = 2 AND own)").select("stretch", "n")
-    again = _joined(laid.select("stretch", "doc", "start"), written(shared, "shared"), "stretch").groupBy("doc").agg(F.collect_set("start").alias("starts"))
-    held = written(halves(again.join(words, "doc").select("doc", "starts", "words"), half, whole, rest), "halves")
-    first = lambda c: F.min_by(c, F.when(~F.col("again"), F.col("doc"))).alias(c)
-    classes = held.groupBy("window").agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"), first("start"), first("end"), F.min("side").alias("side"))
+    shared = written(shared, "shared")
+    again = _joined(laid.select("stretch", "doc", "start"), shared, "stretch").groupBy("doc").agg(F.collect_set("start").alias("starts"))
+    with _sifted(shared):
+        held = written(halves(again.join(words, "doc").select("doc", "starts", "words"), half, whole, rest), "halves")
+    classes = held.groupBy("window").agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"), first("start").alias("start"), first("end").alias("end"), F.min("side").alias("side"))
     classes = written(classes, "classes")
     same = _joined(held.select("window", "doc", "start", "end"), classes.where("last > source").select("window", "source", "n"), "window")
     same = written(_spans(same, whole), "same")
@@ -520,13 +574,17 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, similarity: float =
     firsts = classes.groupBy(F.col("source").alias("doc")).agg(F.collect_list(F.struct("start", "end", "side")).alias("at"))
     ends = written(tails(firsts.join(words, "doc").select("doc", "at", "words"), half, whole, rest), "tails")
     runs, edges = ends.where("kind = 0").withColumn("end", F.col("start") + whole), ends.where("kind > 0")
-    runs = _joined(runs, _groups(runs, "key", "alike"), "key").select("doc", "start", "end", "source")
-    places = _joined(edges, _groups(edges, "key", "alike"), "key").groupBy("doc", "start", "end", "side").agg(F.bool_or(F.col("kind") == 1).alias("less"), F.bool_or(F.col("kind") == 2).alias("plain"))
+    alike, edged = _groups(runs, "key", "alike"), _groups(edges, "key", "edged")
+    runs = _joined(runs, alike, "key").select("doc", "start", "end", "source")
+    places = _joined(edges, edged, "key").groupBy("doc", "start", "end", "side").agg(F.bool_or(F.col("kind") == 1).alias("less"), F.bool_or(F.col("kind") == 2).alias("plain"))
     places = places.groupBy("doc").agg(F.collect_list(F.struct("start", "end", "side", "less", "plain")).alias("at"))
-    edited = written(edits(places.join(words, "doc").select("doc", "at", "words"), half, rest), "edits")
-    edited = _joined(edited, _groups(edited, "key", "edited"), "key").select("doc", "start", "end", "source")
+    with _sifted(edged):
+        edited = written(edits(places.join(words, "doc").select("doc", "at", "words"), half, rest), "edits")
+    meant = _groups(edited, "key", "edited")
+    edited = _joined(edited, meant, "key").select("doc", "start", "end", "source")
     near = runs.unionByName(edited).groupBy("doc").agg(F.collect_set(F.struct("start", "end", "source")).alias("spans"))
-    near = written(_spans(everywhere(near.join(words, "doc").select("doc", "spans", "words")), whole), "near")
+    with _sifted(alike, meant):
+        near = written(_spans(everywhere(near.join(words, "doc").select("doc", "spans", "words")), whole), "near")
 
     spans = written(merged(found.unionByName(same).unionByName(near)), "spans")
     drop_scratch(docs.sparkSession, begun, scratch_mark() - 1)
